@@ -1,0 +1,35 @@
+"""Join helpers: broadcast a side only after its size has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Largest dimension (in rows) shipped to every task. A tower or request row
+# is a few short strings, so this keeps a broadcast relation near 100 MB.
+# Override per session with ``spark.conf.set("tracelake.broadcast.maxRows", n)``.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+BROADCAST_CONF = "tracelake.broadcast.maxRows"
+
+
+def broadcast_limit(spark: SparkSession, max_rows: int | None = None) -> int:
+    if max_rows is not None:
+        return int(max_rows)
+    return int(spark.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_ROWS)))
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
+
+    The check is a ``limit(max_rows + 1).count()``: bounded work on a small
+    side, and no rows reach the driver. A side above the limit is returned
+    unchanged, so the join falls back to a shuffled sort-merge join that
+    adaptive execution can split when a key is skewed.
+    """
+    limit = broadcast_limit(df.sparkSession, max_rows)
+    if limit <= 0:
+        return df, False
+    n = df.limit(limit + 1).count()
+    if n <= limit:
+        return F.broadcast(df), True
+    return df, False

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The original jobs are batch only: no streaming source, watermark, window or
+state exists in them, so nothing is built here. The batch operators are
+plain DataFrame functions and accept streaming DataFrames where Spark allows
+the same operations (parsing, the stream-static tower join); see README.
+"""
