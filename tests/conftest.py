@@ -1,0 +1,29 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tracelake.session import local_session
+    s = local_session("*", shuffle_partitions=8)
+    yield s
+    s.stop()
+
+
+def rows(df, *cols):
+    """Sorted list of tuples, for order-insensitive comparison."""
+    sel = df.select(*cols) if cols else df
+    return sorted(tuple(r) for r in sel.collect())
+
+
+def lines_df(spark, lines):
+    return spark.createDataFrame([(v,) for v in lines], "value string")

@@ -1,0 +1,137 @@
+"""Golden cases for the text readers (tiny files in a temp directory)."""
+
+import pytest
+
+from conftest import lines_df, rows
+from tracelake.sources import (
+    parse_cells,
+    parse_logs,
+    read_cells,
+    read_cells_csv,
+    read_lines,
+    read_logs,
+    read_places,
+    with_day,
+)
+
+HEADER_A = "id,x,LAC,CELL,f4,f5,f6,f7,f8,f9,f10,f11,CITY,extra"
+CELLS_A = [
+    HEADER_A,
+    "1,t,1,17,a,b,c,d,e,f,g,h,CityA,z",
+    "2,t,11,7,a,b,c,d,e,f,g,h,CityB",
+    "",
+    "3,t,2,3,a,b,c,d,e,f,g,h,,z",        # empty city, later field filled: kept as ""
+    "4,t,2,4,a,b,c,d,e,f,g,h,",          # empty city last: 12 fields, dropped
+    "5,t,2,5,a,b,c,d,e,f,g,h",           # 12 fields, dropped
+    '6,t,2,6,a,"b,c",d,e,f,g,h,i,CityC,z',  # quoted comma shifts the city
+    HEADER_A,                             # header text again, later in the file
+    "7,t,9,9,a,b,c,d,e,f,g,h,CityE,z,more,fields",
+]
+HEADER_B = "ID,X,lac,cell,g4,g5,g6,g7,g8,g9,g10,g11,city"
+CELLS_B = [HEADER_B, "8,t,3,3,a,b,c,d,e,f,g,h,CityD"]
+
+
+@pytest.fixture()
+def cell_dir(tmp_path):
+    d = tmp_path / "cells"
+    d.mkdir()
+    (d / "a.csv").write_text("\n".join(CELLS_A) + "\n")
+    (d / "b.csv").write_text("\n".join(CELLS_B) + "\n")
+    return str(d)
+
+
+def test_header_per_file(spark, cell_dir):
+    got = rows(read_cells(spark, cell_dir, header="per_file"))
+    assert got == sorted([
+        ("1", "17", "CityA"), ("11", "7", "CityB"), ("2", "3", ""), ("2", "6", "i"),
+        ("LAC", "CELL", "CITY"), ("9", "9", "CityE"), ("3", "3", "CityD"),
+    ])
+
+
+def test_header_by_first_value(spark, cell_dir):
+    # The first line of the input (from the larger file) is dropped wherever
+    # it occurs; the other file's header stays in as data.
+    got = rows(read_cells(spark, cell_dir, header="first_value"))
+    assert got == sorted([
+        ("1", "17", "CityA"), ("11", "7", "CityB"), ("2", "3", ""), ("2", "6", "i"),
+        ("9", "9", "CityE"), ("lac", "cell", "city"), ("3", "3", "CityD"),
+    ])
+
+
+def test_header_none_keeps_everything(spark, cell_dir):
+    assert read_lines(spark, cell_dir).count() == len(CELLS_A) + len(CELLS_B)
+
+
+def test_quote_aware_cells(spark, cell_dir):
+    got = dict(((r.lac, r.cell), r.city) for r in read_cells_csv(spark, f"{cell_dir}/a.csv").collect())
+    assert got[("2", "6")] == "CityC"
+
+
+def test_cell_field_counts(spark):
+    df = lines_df(spark, [
+        "0,1,2,3,4,5,6,7,8,9,10,11",         # 12 fields
+        "0,1,2,3,4,5,6,7,8,9,10,11,C",       # 13 fields
+        "0,1,2,3,4,5,6,7,8,9,10,11,C,13",    # 14 fields
+        "0,1,2,3,4,5,6,7,8,9,10,11,,,",      # empty from 12 on
+        "0,1,2,3,4,5,6,7,8,9,10,11,,13",     # empty at 12, 13 filled
+    ])
+    assert rows(parse_cells(df)) == sorted([("2", "3", "C"), ("2", "3", "C"), ("2", "3", "")])
+
+
+def test_cell_mode_fail(spark):
+    df = lines_df(spark, ["0,1,2,3"])
+    with pytest.raises(Exception):
+        parse_cells(df, mode="fail").collect()
+
+
+LOGS = [
+    "0,1,17,13800000001,2024-01-05 10:00:00,x",
+    "0,11,7,13800000002,2024-01-05 11:00:00",
+    "0,1,17,13800000003,",          # trailing empty: four fields
+    "0,1,17,13800000004",           # four fields
+    "0,1,17",                       # three fields
+    "0,1,17,,2024-01-05 12:00:00",  # empty phone
+    "0,2,3,13800000005,2024-01-0",  # day text of nine characters
+]
+
+
+def test_log_rules(spark, tmp_path):
+    p = tmp_path / "logs.txt"
+    p.write_text("\n".join(LOGS) + "\n")
+    got = rows(read_logs(spark, str(p)))
+    assert got == sorted([
+        ("1", "17", "13800000001", "2024-01-05 10:00:00"),
+        ("11", "7", "13800000002", "2024-01-05 11:00:00"),
+        ("2", "3", "13800000005", "2024-01-0"),
+    ])
+
+
+def test_log_min_fields_parameter(spark):
+    df = lines_df(spark, ["0,1,17,13800000004"])
+    assert parse_logs(df).count() == 0
+    assert rows(parse_logs(df, min_fields=4)) == [("1", "17", "13800000004", None)]
+
+
+def test_short_day_text(spark):
+    logs = parse_logs(lines_df(spark, LOGS))
+    assert sorted(r.day for r in with_day(logs).collect()) == ["2024-01-05", "2024-01-05"]
+    with pytest.raises(Exception):
+        with_day(logs, mode="fail").collect()
+
+
+def test_log_mode_fail(spark):
+    with pytest.raises(Exception):
+        parse_logs(lines_df(spark, ["0,1,17"]), mode="fail").collect()
+
+
+def test_trailing_newline_is_not_a_separator(spark):
+    # A line ending in a carriage return keeps it in the last field.
+    got = parse_logs(lines_df(spark, ["0,1,2,3,ts\r"])).collect()
+    assert got[0].ts == "ts\r"
+
+
+def test_read_places(spark, tmp_path):
+    p = tmp_path / "places.csv"
+    p.write_text('ID,LNG,LAT,REGION,COUNTRY,NOTE\n1,116.4,39.9,北京市,中国,"a, b"\n')
+    got = read_places(spark, str(p)).collect()
+    assert [tuple(r) for r in got] == [("116.4", "39.9", "北京市", "中国")]

@@ -5,9 +5,10 @@ Plan shape, chosen for very large logs and a comparatively small directory:
 * the tower → city side is deduplicated and, when its row count is within
   the broadcast limit, broadcast: the join then runs inside the scan tasks
   and the logs are never shuffled for it;
-* the per-phone set is a ``collect_set`` whose partial aggregate runs before
-  the shuffle, so a phone seen a billion times ships at most one set per map
-  task, and each set is bounded by the number of distinct cities;
+* duplicates are removed by a distinct on (keys, city) whose partial
+  aggregate runs before the shuffle; only then are the cities of a key
+  gathered, so a phone seen a billion times gathers one row per distinct
+  city, wherever its logs were;
 * when the directory is too large to broadcast, the logs are first reduced
   to distinct (keys, tower) rows — again with a map-side partial aggregate —
   before the shuffled join, and adaptive execution splits a hot tower.
@@ -76,16 +77,18 @@ def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = (
 
 def _itineraries(visits: DataFrame, group_keys: list[str], unmatched: str, strip: str,
                  dedupe: str) -> DataFrame:
-    if dedupe == "cleaned":
-        agg = sorted_join(F.collect_set("city"))
-        return visits.groupBy(*group_keys).agg(agg.alias("itinerary"))
-    # "raw": distinct on the raw text, then clean, then concatenate. Two raw
-    # texts that clean to the same name both stay (RDD job order).
+    # Distinct (keys, city) first: a codegen'd hash aggregate with a map-side
+    # partial step. The per-key list is then built from distinct rows only,
+    # so even a key holding a third of all logs reaches its final task as at
+    # most one row per distinct city.
     pairs = visits.distinct()
-    city = F.when(F.col("city").isNotNull(), clean_city("city", strip))
-    if unmatched == "null_text":
-        city = F.coalesce(city, F.lit(NULL_CITY))
-    pairs = pairs.select(*group_keys, city.alias("city")).where(F.col("city").isNotNull())
+    if dedupe == "raw":
+        # Distinct on the raw text, then clean: two raw texts that clean to
+        # the same name both stay (RDD job order).
+        city = F.when(F.col("city").isNotNull(), clean_city("city", strip))
+        if unmatched == "null_text":
+            city = F.coalesce(city, F.lit(NULL_CITY))
+        pairs = pairs.select(*group_keys, city.alias("city")).where(F.col("city").isNotNull())
     return pairs.groupBy(*group_keys).agg(sorted_join(F.collect_list("city")).alias("itinerary"))
 
 

@@ -77,8 +77,10 @@ def request_sets(daily: DataFrame, requests: DataFrame, level: str = "city",
     side, _ = bounded_broadcast(req, broadcast_rows)
     days = daily.select("phone", "day", "itinerary")
     hits = days.join(side, (days.phone == side.phone) & days.day.between(side.start, side.end))
-    elems = hits.select("request_id", _elements(level).alias("element"))
-    return elems.groupBy("request_id").agg(F.collect_set("element").alias("elements"))
+    # Distinct first (map-side partial aggregate), then gather: a request's
+    # list is bounded by its distinct elements, however many days matched.
+    elems = hits.select("request_id", _elements(level).alias("element")).distinct()
+    return elems.groupBy("request_id").agg(F.collect_list("element").alias("elements"))
 
 
 def _answer(requests: DataFrame, sets: DataFrame, cols: list[str]) -> DataFrame:
@@ -136,8 +138,8 @@ def lookup_one(daily: DataFrame, phone: str, start: str, end: str,
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     rows = key_range(daily, phone, start, end)
-    agg = rows.select(_elements(level).alias("element")).agg(
-        F.collect_set("element").alias("elements"))
+    agg = rows.select(_elements(level).alias("element")).distinct().agg(
+        F.collect_list("element").alias("elements"))
     n = F.size("elements").cast("bigint")
     return agg.select(sorted_join(F.col("elements")).alias("visited"),
                       n.alias("n_visited"), (n > 0).alias("found"))
