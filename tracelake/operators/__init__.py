@@ -9,6 +9,7 @@ from tracelake.operators.itineraries import (  # noqa: F401
 )
 from tracelake.operators.joins import bounded_broadcast  # noqa: F401
 from tracelake.operators.lookup import (  # noqa: F401
+    answer_requests,
     lookup_batch,
     lookup_itineraries,
     lookup_one,

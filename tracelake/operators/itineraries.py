@@ -62,7 +62,8 @@ def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = (
     else:
         facts = logs.select(*group_keys, "lac", "cell")
         on = ["lac", "cell"]
-    dim, broadcast = bounded_broadcast(dim, broadcast_rows)
+    # The directory's row count bounds the deduplicated side's.
+    dim, broadcast = bounded_broadcast(dim, broadcast_rows, bound=cells)
     if not broadcast:
         # Shuffled join: shrink the logs to distinct (keys, tower) rows first;
         # the partial aggregate removes repeats before any data moves.

@@ -18,18 +18,23 @@ def broadcast_limit(spark: SparkSession, max_rows: int | None = None) -> int:
     return int(spark.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
+                      bound: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
 
     The check is a ``limit(max_rows + 1).count()``: bounded work on a small
-    side, and no rows reach the driver. A side above the limit is returned
-    unchanged, so the join falls back to a shuffled sort-merge join that
-    adaptive execution can split when a key is skewed.
+    side, and no rows reach the driver. ``bound`` is an optional input whose
+    row count is known to bound ``df``'s (``df`` is a distinct or aggregate
+    of it); counting it avoids running ``df``'s own shuffle twice. A side
+    above the limit is returned unchanged, so the join falls back to a
+    shuffled sort-merge join that adaptive execution can split when a key is
+    skewed.
     """
     limit = broadcast_limit(df.sparkSession, max_rows)
     if limit <= 0:
         return df, False
-    n = df.limit(limit + 1).count()
+    probe = df if bound is None else bound
+    n = probe.limit(limit + 1).count()
     if n <= limit:
         return F.broadcast(df), True
     return df, False

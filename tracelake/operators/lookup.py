@@ -64,33 +64,39 @@ def _elements(level: str) -> F.Column:
     return F.col("itinerary")
 
 
-def request_sets(daily: DataFrame, requests: DataFrame, level: str = "city",
-                 broadcast_rows: int | None = None) -> DataFrame:
-    """``(request_id, elements)`` for the requests that match any day.
-
-    The requests side is broadcast when its size allows; otherwise both sides
-    shuffle on the phone and adaptive execution splits a hot phone.
+def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
+                    accepted: str | None = None, level: str = "city",
+                    broadcast_rows: int | None = None) -> DataFrame:
+    """One row per request: ``(*cols, visited, n_visited, found)``.
+
+    ``requests`` must have ``request_id, phone, start, end`` among ``cols``;
+    only rows where the boolean column ``accepted`` is true (all rows when it
+    is None) are looked up. The requests side is broadcast when its size
+    allows; otherwise both sides shuffle on the phone and adaptive execution
+    splits a hot phone.
+
+    Instead of joining the per-request sets back to the requests, every
+    request contributes one row with a null element and every hit one row
+    with its element; a single distinct + gather then yields all requests,
+    including those without a hit, with one shuffle fewer.
     """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
-    req = requests.select("request_id", "phone", "start", "end")
-    side, _ = bounded_broadcast(req, broadcast_rows)
-    days = daily.select("phone", "day", "itinerary")
-    hits = days.join(side, (days.phone == side.phone) & days.day.between(side.start, side.end))
+    req = requests.select(*cols)
+    looked = req.where(F.col(accepted)) if accepted else req
+    side, _ = bounded_broadcast(looked, broadcast_rows)
+    days = daily.select(F.col("phone").alias("_day_phone"), "day", "itinerary")
+    hits = days.join(side, (days["_day_phone"] == side["phone"])
+                     & days["day"].between(side["start"], side["end"]))
+    hit_rows = hits.select(*[side[c] for c in cols], _elements(level).alias("element"))
+    base = req.select(*cols, F.lit(None).cast("string").alias("element"))
     # Distinct first (map-side partial aggregate), then gather: a request's
     # list is bounded by its distinct elements, however many days matched.
-    elems = hits.select("request_id", _elements(level).alias("element")).distinct()
-    return elems.groupBy("request_id").agg(F.collect_list("element").alias("elements"))
-
-
-def _answer(requests: DataFrame, sets: DataFrame, cols: list[str]) -> DataFrame:
-    n = F.coalesce(F.size("elements"), F.lit(0)).cast("bigint")
-    return requests.join(sets, "request_id", "left").select(
-        *cols,
-        F.coalesce(sorted_join(F.col("elements")), F.lit("")).alias("visited"),
-        n.alias("n_visited"),
-        (n > 0).alias("found"),
-    )
+    pairs = base.unionByName(hit_rows).distinct()
+    sets = pairs.groupBy(*cols).agg(F.collect_list("element").alias("elements"))
+    n = F.size("elements").cast("bigint")
+    return sets.select(*cols, sorted_join(F.col("elements")).alias("visited"),
+                       n.alias("n_visited"), (n > 0).alias("found"))
 
 
 def lookup_itineraries(daily: DataFrame, requests: DataFrame, level: str = "city",
@@ -99,15 +105,14 @@ def lookup_itineraries(daily: DataFrame, requests: DataFrame, level: str = "city
     n_visited, found)``.
 
     ``daily``: ``(phone, day, itinerary)``. ``requests``: ``(request_id,
-    phone, start, end)``, already valid. Both ends of the range are
-    inclusive and compared as text. ``level="city"`` gives the set of cities
-    over the range; ``"day_text"`` the set of whole daily itinerary texts,
-    as the original form printed. A request with no match gets
-    ``visited = ''`` and ``found = false``.
+    phone, start, end)``, already valid, one row per ``request_id``. Both
+    ends of the range are inclusive and compared as text. ``level="city"``
+    gives the set of cities over the range; ``"day_text"`` the set of whole
+    daily itinerary texts, as the original form printed. A request with no
+    match gets ``visited = ''`` and ``found = false``.
     """
-    req = requests.select("request_id", "phone", "start", "end")
-    sets = request_sets(daily, req, level, broadcast_rows)
-    return _answer(req, sets, ["request_id", "phone", "start", "end"])
+    return answer_requests(daily, requests, ["request_id", "phone", "start", "end"],
+                           level=level, broadcast_rows=broadcast_rows)
 
 
 def lookup_batch(daily: DataFrame, requests: DataFrame, level: str = "city",
@@ -120,9 +125,11 @@ def lookup_batch(daily: DataFrame, requests: DataFrame, level: str = "city",
     """
     checked = validate_requests(requests)
     ok = F.col("valid") & (F.col("calendar_ok") if strict else F.lit(True))
-    checked = checked.select("request_id", "phone", "start", "end", "valid", ok.alias("accepted"))
-    sets = request_sets(daily, checked.where("accepted"), level, broadcast_rows)
-    return _answer(checked, sets, ["request_id", "phone", "start", "end", "valid"])
+    checked = checked.select("request_id", "phone", "start", "end", "valid", ok.alias("_accepted"))
+    out = answer_requests(daily, checked,
+                          ["request_id", "phone", "start", "end", "valid", "_accepted"],
+                          accepted="_accepted", level=level, broadcast_rows=broadcast_rows)
+    return out.drop("_accepted")
 
 
 def rejected_requests(requests: DataFrame, strict: bool = False) -> DataFrame:
