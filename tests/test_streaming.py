@@ -1,0 +1,42 @@
+"""The parsers and the tower join are plain DataFrame code: they run on a
+streaming source too (stream-static join against the broadcast directory)."""
+
+from conftest import rows
+from tracelake.operators import city_visits
+from tracelake.sources import parse_logs, with_day
+
+LOGS = [
+    "0,1,17,13800000001,2024-01-05 10:00:00",
+    "0,11,7,13800000001,2024-01-06 10:00:00",
+    "0,5,5,13800000002,2024-01-05 10:00:00",
+    "0,1,17",
+]
+
+
+def test_visits_on_a_file_stream(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("\n".join(LOGS[:2]) + "\n")
+    (src / "b.txt").write_text("\n".join(LOGS[2:]) + "\n")
+    cells = spark.createDataFrame([("1", "17", "Alpha"), ("11", "7", "Beta")],
+                                  "lac string, cell string, city string")
+
+    stream = spark.readStream.schema("value string").text(str(src))
+    visits = city_visits(with_day(parse_logs(stream)), cells, ["phone", "day"],
+                         unmatched="null_text", cells_mode="one")
+    q = (visits.writeStream.format("memory").queryName("visits_stream").outputMode("append")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = rows(spark.table("visits_stream"))
+
+    batch = spark.read.text(str(src))
+    expected = rows(city_visits(with_day(parse_logs(batch)), cells, ["phone", "day"],
+                                unmatched="null_text", cells_mode="one"))
+    assert got == expected == [
+        ("13800000001", "2024-01-05", "Alpha"),
+        ("13800000001", "2024-01-06", "Beta"),
+        ("13800000002", "2024-01-05", "null"),
+    ]

@@ -22,8 +22,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
                       bound: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
 
-    The check is a ``limit(max_rows + 1).count()``: bounded work on a small
-    side, and no rows reach the driver. ``bound`` is an optional input whose
+    The check is a plain ``count()``: each task counts its part and only the
+    partial counts move, so no rows are shuffled or reach the driver
+    (``limit(n).count()`` would instead funnel up to n rows per partition
+    into one task). ``bound`` is an optional input whose
     row count is known to bound ``df``'s (``df`` is a distinct or aggregate
     of it); counting it avoids running ``df``'s own shuffle twice. A side
     above the limit is returned unchanged, so the join falls back to a
@@ -34,7 +36,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
     if limit <= 0:
         return df, False
     probe = df if bound is None else bound
-    n = probe.limit(limit + 1).count()
+    n = probe.count()
     if n <= limit:
         return F.broadcast(df), True
     return df, False

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake import schemas
+from tracelake.operators.joins import bounded_broadcast
 
 UNKNOWN_MODES = ("drop", "fail")
 
@@ -46,13 +47,14 @@ def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop")
     """Attach the class number of each region from a fixed dictionary.
 
     Not ``StringIndexer``: that numbers by frequency, while the classes here
-    are fixed. The dictionary is a small fixed table and is broadcast.
+    are fixed. The dictionary is small (one row per class) and is broadcast
+    after its size is checked.
     ``unknown="drop"`` removes regions missing from the dictionary,
     ``"fail"`` fails the job on the first one.
     """
     if unknown not in UNKNOWN_MODES:
         raise ValueError(f"unknown must be one of {UNKNOWN_MODES}, got {unknown!r}")
-    lab = F.broadcast(labels.select("region", "label"))
+    lab, _ = bounded_broadcast(labels.select("region", "label"))
     if unknown == "drop":
         return places.join(lab, "region", "inner")
     joined = places.join(lab, "region", "left")
@@ -98,13 +100,20 @@ def _label_with_classes(df: DataFrame, num_classes: int) -> DataFrame:
     return df.withColumn("label", F.col("label").alias("label", metadata=meta))
 
 
-def train_region_model(train: DataFrame, num_classes: int,
-                       params: dict | None = None) -> RandomForestClassificationModel:
-    """Fit the forest on ``(label, coordinate)`` rows; the input is cached
-    for the fit (every tree level scans it) and released afterwards."""
+def train_region_model(train: DataFrame, num_classes: int, params: dict | None = None,
+                       partitions: int | None = None) -> RandomForestClassificationModel:
+    """Fit the forest on ``(label, coordinate)`` rows.
+
+    Every tree level scans the training rows, so they are spread evenly over
+    ``partitions`` (default: the cluster's default parallelism) — one
+    shuffle of the training part — then cached for the fit and released
+    afterwards. A lost executor recomputes its cached blocks from the plan.
+    """
     p = dict(schemas.FOREST_PARAMS)
     p.update(params or {})
-    data = _label_with_classes(train.select("label", "coordinate"), num_classes).cache()
+    n = partitions or train.sparkSession.sparkContext.defaultParallelism
+    rows_ = train.select("label", "coordinate").repartition(n)
+    data = _label_with_classes(rows_, num_classes).cache()
     try:
         forest = RandomForestClassifier(labelCol="label", featuresCol="coordinate", **p)
         return forest.fit(data)
