@@ -165,3 +165,11 @@ def test_repartitioning_changes_nothing(trace):
     base = rows(itineraries(logs, towers))
     assert rows(itineraries(logs.repartition(7, "ts"), towers.repartition(3))) == base
     assert rows(itineraries(logs.coalesce(1), towers, broadcast_rows=0)) == base
+
+
+def test_text_keys(spark):
+    from tracelake.functions import phone_day_key, tower_key
+    df = spark.createDataFrame([("1", "17", "13800000001", "2024-01-05")],
+                               "lac string, cell string, phone string, day string")
+    r = df.select(tower_key().alias("t"), phone_day_key().alias("k")).first()
+    assert (r.t, r.k) == ("1:17", "13800000001_2024-01-05")

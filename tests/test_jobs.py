@@ -111,3 +111,13 @@ def test_region_job(spark, tmp_path):
     acc = spark.read.parquet(str(tmp_path / "regions" / "accuracy")).first()
     assert acc.n == res.predictions.count() > 0
     assert spark.read.parquet(str(tmp_path / "regions" / "confusion")).count() > 0
+
+
+def test_cell_dimension_job(spark, files, tmp_path):
+    d, cell_lines, _ = files
+    out = str(tmp_path / "dim")
+    assert cli(["cells", "--cells", str(d / "cells"), "--out", out]) == 0
+    from tracelake.operators import cell_dimension
+    cells = parse_cells(spark.createDataFrame([(v,) for v in cell_lines], "value string"))
+    assert rows(spark.read.parquet(out)) == rows(cell_dimension(cells))
+    assert rows(jobs.build_cell_dimension(spark, str(d / "cells"))) == rows(cell_dimension(cells))

@@ -106,3 +106,12 @@ def test_confusion_matrix_zero_cells(spark):
     got = rows(confusion_matrix(pairs))
     assert got == [(0.0, 0.0, 1), (0.0, 1.0, 0), (1.0, 0.0, 1), (1.0, 1.0, 1)]
     assert accuracy(pairs.where(F.lit(False))).collect()[0].n == 0
+
+
+def test_random_split_option(spark):
+    df = spark.range(0, 1000).withColumnRenamed("id", "k")
+    train, test = split_by_key(df, "k", method="random", seed=42)
+    assert train.count() + test.count() == 1000
+    assert set(r.k for r in train.collect()).isdisjoint(r.k for r in test.collect())
+    with pytest.raises(ValueError):
+        split_by_key(df, "k", method="bogus")

@@ -21,6 +21,12 @@ def main(argv: list[str] | None = None) -> int:
         for opt in ("key", "unmatched", "cells_mode", "strip", "dedupe", "header", "mode"):
             p.add_argument("--" + opt.replace("_", "-"), dest=opt, default=None)
 
+    p = sub.add_parser("cells")
+    p.add_argument("--cells", required=True, help="tower directory text (file, dir or glob)")
+    p.add_argument("--out", required=True)
+    p.add_argument("--header", default="per_file", choices=["per_file", "first_value", "none"])
+    p.add_argument("--mode", default="drop", choices=["drop", "fail"])
+
     p = sub.add_parser("lookup")
     p.add_argument("--daily", required=True)
     p.add_argument("--phone")
@@ -49,6 +55,9 @@ def main(argv: list[str] | None = None) -> int:
         fn = jobs.build_itineraries if args.job == "itineraries" else jobs.build_daily_itineraries
         fn(spark, args.cells, args.logs, args.out, variant=args.variant, **overrides)
         print(json.dumps({"job": args.job, "out": args.out}))
+    elif args.job == "cells":
+        jobs.build_cell_dimension(spark, args.cells, args.out, args.header, args.mode)
+        print(json.dumps({"job": "cells", "out": args.out}))
     elif args.job == "lookup":
         if args.requests:
             jobs.answer_lookups(spark, args.daily, args.requests, args.out, args.level, args.strict)

@@ -10,7 +10,9 @@ from tracelake.functions.text import (  # noqa: F401
     full_match,
     java_split,
     java_trim,
+    phone_day_key,
     sorted_join,
     strip_ends,
     strip_quotes,
+    tower_key,
 )

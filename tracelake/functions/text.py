@@ -88,6 +88,19 @@ def clean_city(c: Column | str, strip: str = "quotes") -> Column:
         raise ValueError(f"strip must be one of {sorted(CITY_STRIP)}, got {strip!r}") from None
 
 
+def tower_key(lac: Column | str = "lac", cell: Column | str = "cell", sep: str = ":") -> Column:
+    """Text key of a tower, ``lac:cell`` (unambiguous as long as neither
+    part contains ``sep``). The operators join on the two columns instead."""
+    return F.concat_ws(sep, _col(lac), _col(cell))
+
+
+def phone_day_key(phone: Column | str = "phone", day: Column | str = "day",
+                  sep: str = "_") -> Column:
+    """Text key ``phone_day`` of a daily itinerary row. Because every phone
+    has the same length, text order of this key is (phone, day) order."""
+    return F.concat_ws(sep, _col(phone), _col(day))
+
+
 def day_of(ts: Column | str) -> Column:
     """First ten characters of the timestamp text, null when it is shorter."""
     ts = _col(ts)

@@ -76,8 +76,24 @@ def split_flag(key: str | F.Column, train_fraction: float = 0.8, buckets: int =
     return (h % buckets) < int(round(train_fraction * buckets))
 
 
-def split_by_key(df: DataFrame, key: str, train_fraction: float = 0.8,
-                 buckets: int = 10) -> tuple[DataFrame, DataFrame]:
+SPLIT_METHODS = ("hash", "random")
+
+
+def split_by_key(df: DataFrame, key: str | None, train_fraction: float = 0.8,
+                 buckets: int = 10, method: str = "hash",
+                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Train and test parts.
+
+    ``method="hash"`` (default) uses ``split_flag`` on ``key``: the same rows
+    land in the same part on every run and engine. ``"random"`` is Spark's
+    seeded ``randomSplit`` (the original's method); its parts depend on how
+    the rows are partitioned.
+    """
+    if method not in SPLIT_METHODS:
+        raise ValueError(f"method must be one of {SPLIT_METHODS}, got {method!r}")
+    if method == "random":
+        train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed)
+        return train, test
     flag = split_flag(key, train_fraction, buckets)
     return df.where(flag), df.where(~flag)
 
@@ -129,7 +145,8 @@ def predict(model: RandomForestClassificationModel, df: DataFrame,
 
 def region_pipeline(places_text: DataFrame, labels: DataFrame, key: str,
                     country: str = schemas.DEFAULT_COUNTRY, train_fraction: float = 0.8,
-                    params: dict | None = None, num_classes: int | None = None
+                    params: dict | None = None, num_classes: int | None = None,
+                    split_method: str = "hash"
                     ) -> tuple[RandomForestClassificationModel, DataFrame]:
     """Prepare, encode, split, train and score: returns the model and the
     test predictions ``(key, label, prediction)``.
@@ -138,7 +155,7 @@ def region_pipeline(places_text: DataFrame, labels: DataFrame, key: str,
     """
     prepared = prepare_places(places_text, country)
     encoded = assemble_coordinate(encode_regions(prepared, labels))
-    train, test = split_by_key(encoded, key, train_fraction)
+    train, test = split_by_key(encoded, key, train_fraction, method=split_method)
     if num_classes is None:
         top = labels.agg(F.max("label").alias("m")).first()["m"]
         num_classes = int(top) + 1

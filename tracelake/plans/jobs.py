@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tracelake import schemas
 from tracelake.operators import (
     accuracy,
+    cell_dimension,
     confusion_matrix,
     daily_itineraries,
     itineraries,
@@ -74,6 +75,17 @@ def load_inputs(spark: SparkSession, cells_path: str, logs_path: str,
     return cells, logs
 
 
+def build_cell_dimension(spark: SparkSession, cells_path: str, out_path: str | None = None,
+                         header: str = "per_file", mode: str = "drop") -> DataFrame:
+    """Tower → one city, from the directory text; written ordered by tower."""
+    cells = parse_cells(read_lines(spark, cells_path, header=header), mode=mode)
+    result = cell_dimension(cells)
+    if out_path:
+        write_table(result, out_path, ["lac", "cell"])
+        return read_table(spark, out_path)
+    return result
+
+
 def build_itineraries(spark: SparkSession, cells_path: str, logs_path: str,
                       out_path: str | None = None, variant: str = "default",
                       **overrides) -> DataFrame:
