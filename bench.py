@@ -3,8 +3,8 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is built and run to completion (``noop`` sink: every row is
-produced, nothing is collected) once to warm up, then ``BENCH_REPEATS``
-times; the reported time per query is the median. ``value`` is the sum of
+produced, nothing is collected): all queries once to warm up, then each
+``BENCH_REPEATS`` times; the reported time per query is the median. ``value`` is the sum of
 the medians.
 """
 
@@ -38,11 +38,11 @@ def main() -> None:
     from tracelake.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=2 * cpus)
+    for name in names:  # warm-up pass over every query first
+        run_once(spark, QUERIES[name], sf_dir)
     timings = {}
     for name in names:
-        fn = QUERIES[name]
-        run_once(spark, fn, sf_dir)  # warm-up
-        runs = [run_once(spark, fn, sf_dir) for _ in range(repeats)]
+        runs = [run_once(spark, QUERIES[name], sf_dir) for _ in range(repeats)]
         timings[name] = round(statistics.median(runs), 3)
     spark.stop()
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")

@@ -116,6 +116,14 @@ def _label_with_classes(df: DataFrame, num_classes: int) -> DataFrame:
     return df.withColumn("label", F.col("label").alias("label", metadata=meta))
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # e.g. a Spark Connect session has no SparkContext
+        conf = spark.conf.get("spark.default.parallelism", None)
+        return int(conf or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def train_region_model(train: DataFrame, num_classes: int, params: dict | None = None,
                        partitions: int | None = None) -> RandomForestClassificationModel:
     """Fit the forest on ``(label, coordinate)`` rows.
@@ -127,7 +135,7 @@ def train_region_model(train: DataFrame, num_classes: int, params: dict | None =
     """
     p = dict(schemas.FOREST_PARAMS)
     p.update(params or {})
-    n = partitions or train.sparkSession.sparkContext.defaultParallelism
+    n = partitions or _parallelism(train.sparkSession)
     rows_ = train.select("label", "coordinate").repartition(n)
     data = _label_with_classes(rows_, num_classes).cache()
     try:

@@ -59,8 +59,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and the bench."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
+                  min_partition_bytes: str = "64k") -> SparkSession:
+    """Session for tests and the bench.
+
+    Test inputs are small, so adaptive coalescing would merge most shuffles
+    into a single partition (its default floor is 1 MB) and leave the other
+    cores idle; a lower floor keeps them busy. Cluster sessions keep Spark's
+    defaults.
+    """
     driver_mem = os.environ.get("TRACELAKE_DRIVER_MEMORY", "8g")
     return get_session(master=f"local[{cores}]", shuffle_partitions=shuffle_partitions,
-                       extra={"spark.driver.memory": driver_mem})
+                       extra={"spark.driver.memory": driver_mem,
+                              "spark.sql.adaptive.coalescePartitions.minPartitionSize":
+                                  min_partition_bytes})
