@@ -81,3 +81,42 @@ def test_single_lookup_pushes_key_range_to_scan(spark, tmp_path):
     for f in ("EqualTo(phone,13800000001)", "GreaterThanOrEqual(day,2024-01-01)",
               "LessThanOrEqual(day,2024-01-31)"):
         assert f in pushed
+
+
+def test_hot_tower_is_split_by_adaptive_skew_join(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import rows
+
+    # One tower holds a third of all (distinct) logs.
+    logs = spark.range(0, 60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("0")).otherwise((F.col("id") % 997).cast("string")).alias("lac"),
+        F.lit("1").alias("cell"),
+        F.format_string("1%010d", F.col("id")).alias("phone"),
+        F.lit("2024-01-05 10:00:00").alias("ts"))
+    cells = spark.range(0, 997).select(F.col("id").cast("string").alias("lac"), F.lit("1").alias("cell"),
+                                       F.concat(F.lit("C"), (F.col("id") % 50).cast("string")).alias("city"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = itineraries(logs, cells, broadcast_rows=0)
+        got = rows(df)
+        final = plan(df)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "isFinalPlan=true" in final
+    assert "SortMergeJoin(skew=true)" in final
+    assert got == rows(itineraries(logs, cells))
