@@ -80,6 +80,27 @@ def q_daily_itineraries(spark: SparkSession, sf: str) -> DataFrame:
     return daily_itineraries(fx.event_logs(spark, sf), fx.towers(spark, sf))
 
 
+def q_daily_itineraries_inner(spark: SparkSession, sf: str) -> DataFrame:
+    return daily_itineraries(fx.event_logs(spark, sf), fx.towers(spark, sf),
+                             unmatched="drop", cells_mode="all")
+
+
+def _text_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return parse_logs(fx.log_lines(spark, sf)), parse_cells(fx.cell_lines(spark, sf))
+
+
+def q_itineraries_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    # The MapReduce job from raw text: positional parse, left join, one
+    # city per tower, no clean-up.
+    logs, cells = _text_inputs(spark, sf)
+    return itineraries(logs, cells, unmatched="null_text", cells_mode="one", strip="none")
+
+
+def q_daily_itineraries_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    logs, cells = _text_inputs(spark, sf)
+    return daily_itineraries(logs, cells, strip="none")
+
+
 def _daily(spark: SparkSession, sf: str) -> DataFrame:
     return daily_itineraries(fx.event_logs(spark, sf), fx.towers(spark, sf))
 
@@ -155,6 +176,9 @@ QUERIES: dict[str, Query] = {
     "itineraries_left": q_itineraries_left,
     "itineraries_distinct_pairs": q_itineraries_distinct_pairs,
     "daily_itineraries": q_daily_itineraries,
+    "daily_itineraries_inner": q_daily_itineraries_inner,
+    "itineraries_from_text": q_itineraries_from_text,
+    "daily_itineraries_from_text": q_daily_itineraries_from_text,
     "lookup_range": q_lookup_range,
     "lookup_range_day_text": q_lookup_range_day_text,
     "lookup_batch": q_lookup_batch,

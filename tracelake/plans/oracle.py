@@ -156,6 +156,13 @@ dim as (select lac, cell, {_quotes('max(city)')} city from {src}
         where city is not null group by lac, cell)"""
 
 
+_TEXT = """
+log_parts as (select string_split(regexp_replace(value, ',+$', ''), ',') p from log_lines),
+text_logs as (select p[2] lac, p[3] cell, p[4] phone, p[5] ts
+              from log_parts where len(p) >= 5 and p[4] is not null and p[4] <> ''),
+text_dim as (select lac, cell, max(city) city from parsed_cells
+             where city is not null group by lac, cell)"""
+
 _DAILY = """
 daily as (
   select phone, day, string_agg(city, ',' order by city) itinerary
@@ -230,6 +237,26 @@ select distinct l.phone, d.city from trace_logs l join dim d on l.lac = d.lac an
     "daily_itineraries": _with(_SUP, _EVENTS, _dim_one(), _DAILY) + """
 select phone, day, itinerary from daily""",
 
+    "daily_itineraries_inner": _with(_SUP, _EVENTS, _dim_all()) + """
+select phone, day, string_agg(city, ',' order by city) itinerary
+from (select distinct l.phone, substr(l.ts, 1, 10) as day, d.city
+      from event_logs l join dim d on l.lac = d.lac and l.cell = d.cell
+      where length(l.ts) >= 10) v
+group by phone, day""",
+
+    "itineraries_from_text": _with(_SUP, _EVENTS, _LOG_LINES, _CELL_LINES, _TEXT) + """
+select phone, string_agg(city, ',' order by city) itinerary
+from (select distinct l.phone, coalesce(d.city, 'null') city from text_logs l
+      left join text_dim d on l.lac = d.lac and l.cell = d.cell) v
+group by phone""",
+
+    "daily_itineraries_from_text": _with(_SUP, _EVENTS, _LOG_LINES, _CELL_LINES, _TEXT) + """
+select phone, day, string_agg(city, ',' order by city) itinerary
+from (select distinct l.phone, substr(l.ts, 1, 10) as day, coalesce(d.city, 'null') city
+      from text_logs l left join text_dim d on l.lac = d.lac and l.cell = d.cell
+      where length(l.ts) >= 10) v
+group by phone, day""",
+
     "lookup_range": _with(_SUP, _EVENTS, _dim_one(), _DAILY, _REQUESTS,
                           "\nchecked_out as (select * from checked where valid)",
                           _lookup("city", "valid", "r.request_id, r.phone, r.start, r.\"end\"")),
