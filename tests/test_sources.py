@@ -135,3 +135,10 @@ def test_read_places(spark, tmp_path):
     p.write_text('ID,LNG,LAT,REGION,COUNTRY,NOTE\n1,116.4,39.9,北京市,中国,"a, b"\n')
     got = read_places(spark, str(p)).collect()
     assert [tuple(r) for r in got] == [("116.4", "39.9", "北京市", "中国")]
+
+
+def test_per_file_lines_keep_control_characters(spark, tmp_path):
+    p = tmp_path / "f.txt"
+    p.write_text("header\na\x01b,c\n  d,e \n")
+    got = [r.value for r in read_lines(spark, str(p), header="per_file").collect()]
+    assert got == ["a\x01b,c", "  d,e "]

@@ -27,6 +27,7 @@ from tracelake.operators import (
     province_labels,
     region_pipeline,
 )
+from tracelake.sources.places import PLACE_COLUMNS
 from tracelake.sources import (
     parse_cells,
     parse_logs,
@@ -161,14 +162,13 @@ def train_regions(spark: SparkSession, places_path: str,
     ``key`` names a column that identifies a row for the split; without one
     the split hashes the coordinates and region text together.
     """
-    places = read_places(spark, places_path)
     if key is None:
         key = "_row_key"
+        places = read_places(spark, places_path)
         places = places.withColumn(key, F.concat_ws("|", "lng", "lat", "region", "country"))
     else:
         raw = spark.read.option("header", True).csv(places_path)
-        places = raw.select(F.col(key), F.col("LNG").alias("lng"), F.col("LAT").alias("lat"),
-                            F.col("REGION").alias("region"), F.col("COUNTRY").alias("country"))
+        places = raw.select(F.col(key), *[F.col(src).alias(dst) for src, dst in PLACE_COLUMNS.items()])
     num_classes = None
     if labels is None:
         labels = province_labels(spark)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tracelake import schemas
 
 HEADER_MODES = ("none", "per_file", "first_value")
+# A field separator that never occurs in text lines (see read_lines).
+LINE_SEP = "\u0001\u0002\u0003\u0004"
 
 
 def read_lines(spark: SparkSession, path: str | list[str], header: str = "none") -> DataFrame:
@@ -29,12 +31,14 @@ def read_lines(spark: SparkSession, path: str | list[str], header: str = "none")
     if header == "none":
         return spark.read.text(path)
     if header == "per_file":
-        # The CSV reader with a separator and quote that never occur returns
-        # each line whole, and with header=True it skips the first line of
-        # every file it reads from offset 0.
+        # The CSV reader with quoting off and a separator that does not occur
+        # in text returns each line whole, and with header=True it skips the
+        # first line of every file it reads from offset 0. The separator is a
+        # run of four control characters: a single one occurring in a line
+        # would cut the line short.
         return (spark.read.schema(schemas.LINES)
                 .option("header", True)
-                .option("sep", "\u0001")
+                .option("sep", LINE_SEP)
                 .option("quote", "")
                 .option("escape", "")
                 .option("comment", "")
