@@ -11,7 +11,7 @@ from tracelake.operators import (
     encode_regions,
     prepare_places,
     province_labels,
-    region_pipeline,
+    fit_regions,
     split_by_key,
     split_flag,
 )
@@ -65,7 +65,7 @@ def test_split_is_stable_under_repartitioning(spark):
 
 
 def test_forest_quality_on_learnable_fixture(spark):
-    model, pred = region_pipeline(fx.places_text(spark, SF_MID), fx.region_labels(spark, SF_MID),
+    model, pred = fit_regions(fx.places_text(spark, SF_MID), fx.region_labels(spark, SF_MID),
                                   key="c_custkey", country=fx.FIXTURE_COUNTRY)
     assert model.getNumTrees == 100
     assert model.numClasses == 25
@@ -75,7 +75,7 @@ def test_forest_quality_on_learnable_fixture(spark):
 
 
 def test_forest_small_settings_run(spark):
-    _, pred = region_pipeline(fx.places_text(spark, SF_SMALL), fx.region_labels(spark, SF_SMALL),
+    _, pred = fit_regions(fx.places_text(spark, SF_SMALL), fx.region_labels(spark, SF_SMALL),
                               key="c_custkey", country=fx.FIXTURE_COUNTRY,
                               params={"numTrees": 5}, num_classes=31)
     assert set(pred.columns) == {"c_custkey", "label", "prediction"}

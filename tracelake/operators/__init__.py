@@ -24,7 +24,7 @@ from tracelake.operators.regions import (  # noqa: F401
     predict,
     prepare_places,
     province_labels,
-    region_pipeline,
+    fit_regions,
     split_by_key,
     split_flag,
     train_region_model,

@@ -151,7 +151,7 @@ def predict(model: RandomForestClassificationModel, df: DataFrame,
     return model.transform(df).select(*keep, "label", "prediction")
 
 
-def region_pipeline(places_text: DataFrame, labels: DataFrame, key: str,
+def fit_regions(places_text: DataFrame, labels: DataFrame, key: str,
                     country: str = schemas.DEFAULT_COUNTRY, train_fraction: float = 0.8,
                     params: dict | None = None, num_classes: int | None = None,
                     split_method: str = "hash"

@@ -23,7 +23,7 @@ from tracelake.operators import (
     lookup_batch,
     lookup_itineraries,
     prepare_places,
-    region_pipeline,
+    fit_regions,
     split_flag,
     validate_requests,
 )
@@ -148,7 +148,7 @@ def q_assemble_coordinate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_predict_region(spark: SparkSession, sf: str) -> DataFrame:
-    _, pred = region_pipeline(fx.places_text(spark, sf), fx.region_labels(spark, sf),
+    _, pred = fit_regions(fx.places_text(spark, sf), fx.region_labels(spark, sf),
                               key="c_custkey", country=fx.FIXTURE_COUNTRY)
     return pred
 

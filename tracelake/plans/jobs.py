@@ -25,7 +25,7 @@ from tracelake.operators import (
     lookup_batch,
     lookup_one,
     province_labels,
-    region_pipeline,
+    fit_regions,
 )
 from tracelake.sources.places import PLACE_COLUMNS
 from tracelake.sources import (
@@ -173,7 +173,7 @@ def train_regions(spark: SparkSession, places_path: str,
     if labels is None:
         labels = province_labels(spark)
         num_classes = len(schemas.PROVINCE_LABELS)
-    model, pred = region_pipeline(places, labels, key=key, country=country, params=params,
+    model, pred = fit_regions(places, labels, key=key, country=country, params=params,
                                   num_classes=num_classes)
     result = RegionResult(model, pred, confusion_matrix(pred), accuracy(pred))
     if out_dir:
