@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracelake.operators import (
     accuracy,
@@ -143,8 +144,11 @@ def q_split_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_assemble_coordinate(spark: SparkSession, sf: str) -> DataFrame:
-    v = assemble_coordinate(_prepared(spark, sf))
-    return coordinate_array(v).select("c_custkey", "coordinate")
+    # The assembled vector's two elements, read back from the vector, as
+    # scalar columns (array values compare unreliably across engines).
+    v = coordinate_array(assemble_coordinate(_prepared(spark, sf)))
+    return v.select("c_custkey", F.col("coordinate")[0].alias("coord_lng"),
+                    F.col("coordinate")[1].alias("coord_lat"))
 
 
 def q_predict_region(spark: SparkSession, sf: str) -> DataFrame:

@@ -288,7 +288,7 @@ select c_custkey,
 from prepared""",
 
     "assemble_coordinate": _with(_PLACES) + """
-select c_custkey, [lng, lat] coordinate from prepared""",
+select c_custkey, lng coord_lng, lat coord_lat from prepared""",
 
     "confusion_matrix": _with(_PAIRS, """
 truth as (select distinct label from pairs),
