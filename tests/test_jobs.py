@@ -121,3 +121,17 @@ def test_cell_dimension_job(spark, files, tmp_path):
     cells = parse_cells(spark.createDataFrame([(v,) for v in cell_lines], "value string"))
     assert rows(spark.read.parquet(out)) == rows(cell_dimension(cells))
     assert rows(jobs.build_cell_dimension(spark, str(d / "cells"))) == rows(cell_dimension(cells))
+
+
+def test_two_step_flow_with_stored_dimension(spark, files, tmp_path):
+    d, _, _ = files
+    dim = str(tmp_path / "dim")
+    jobs.build_cell_dimension(spark, str(d / "cells"), dim)
+    two_step = jobs.build_itineraries(spark, None, str(d / "logs"), cells_table=dim,
+                                      variant="mapreduce")
+    one_plan = jobs.build_itineraries(spark, str(d / "cells"), str(d / "logs"), variant="mapreduce")
+    assert rows(two_step) == rows(one_plan)
+    out = str(tmp_path / "daily2")
+    assert cli(["daily", "--cells-table", dim, "--logs", str(d / "logs"), "--out", out]) == 0
+    assert rows(spark.read.parquet(out)) == rows(
+        jobs.build_daily_itineraries(spark, str(d / "cells"), str(d / "logs")))

@@ -13,7 +13,10 @@ def main(argv: list[str] | None = None) -> int:
 
     for name in ("itineraries", "daily"):
         p = sub.add_parser(name)
-        p.add_argument("--cells", required=True, help="tower directory text (file, dir or glob)")
+        src = p.add_mutually_exclusive_group(required=True)
+        src.add_argument("--cells", help="tower directory text (file, dir or glob)")
+        src.add_argument("--cells-table", dest="cells_table",
+                         help="stored cell dimension (output of the cells job)")
         p.add_argument("--logs", required=True, help="log text (file, dir or glob)")
         p.add_argument("--out", required=True, help="output Parquet table")
         p.add_argument("--variant", default="default" if name == "itineraries" else "mapreduce",
@@ -42,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--country", default=None)
     p.add_argument("--key", default=None)
     p.add_argument("--out", default=None)
+    p.add_argument("--show", action="store_true",
+                   help="print a preview of the training rows, the predictions and the matrix")
 
     args = ap.parse_args(argv)
 
@@ -53,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
         overrides = {k: getattr(args, k) for k in
                      ("key", "unmatched", "cells_mode", "strip", "dedupe", "header", "mode")}
         fn = jobs.build_itineraries if args.job == "itineraries" else jobs.build_daily_itineraries
-        fn(spark, args.cells, args.logs, args.out, variant=args.variant, **overrides)
+        fn(spark, args.cells, args.logs, args.out, variant=args.variant,
+           cells_table=args.cells_table, **overrides)
         print(json.dumps({"job": args.job, "out": args.out}))
     elif args.job == "cells":
         jobs.build_cell_dimension(spark, args.cells, args.out, args.header, args.mode)
@@ -79,6 +85,9 @@ def main(argv: list[str] | None = None) -> int:
         from tracelake import schemas
         res = jobs.train_regions(spark, args.places, country=args.country or schemas.DEFAULT_COUNTRY,
                                  key=args.key, out_dir=args.out)
+        if args.show:
+            res.predictions.show()
+            res.confusion.orderBy("label", "prediction").show(1000)
         acc = res.accuracy.first()
         print(json.dumps({"accuracy": acc.accuracy, "n": acc.n}))
     return 0

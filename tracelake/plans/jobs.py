@@ -68,9 +68,15 @@ def _preset(variant: str, overrides: dict) -> dict:
     return opts
 
 
-def load_inputs(spark: SparkSession, cells_path: str, logs_path: str,
-                opts: dict) -> tuple[DataFrame, DataFrame]:
-    cells = parse_cells(read_lines(spark, cells_path, header=opts["header"]), mode=opts["mode"])
+def load_inputs(spark: SparkSession, cells_path: str | None, logs_path: str,
+                opts: dict, cells_table: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parsed logs and tower directory. With ``cells_table`` the directory is
+    a stored dimension (``build_cell_dimension``'s output) instead of text."""
+    if cells_table:
+        cells = read_table(spark, cells_table).select("lac", "cell", "city")
+    else:
+        cells = parse_cells(read_lines(spark, cells_path, header=opts["header"]),
+                            mode=opts["mode"])
     logs = parse_logs(read_lines(spark, logs_path), min_fields=opts["log_min_fields"],
                       mode=opts["mode"])
     return cells, logs
@@ -87,12 +93,16 @@ def build_cell_dimension(spark: SparkSession, cells_path: str, out_path: str | N
     return result
 
 
-def build_itineraries(spark: SparkSession, cells_path: str, logs_path: str,
+def build_itineraries(spark: SparkSession, cells_path: str | None, logs_path: str,
                       out_path: str | None = None, variant: str = "default",
-                      **overrides) -> DataFrame:
-    """Phone → itinerary from the raw texts; written when ``out_path`` is set."""
+                      cells_table: str | None = None, **overrides) -> DataFrame:
+    """Phone → itinerary from the raw texts; written when ``out_path`` is set.
+
+    ``cells_table`` reads a stored cell dimension instead of the directory
+    text (the two-step flow: dimension first, then itineraries).
+    """
     opts = _preset(variant, overrides)
-    cells, logs = load_inputs(spark, cells_path, logs_path, opts)
+    cells, logs = load_inputs(spark, cells_path, logs_path, opts, cells_table)
     result = itineraries(logs, cells, key=opts["key"], unmatched=opts["unmatched"],
                          cells_mode=opts["cells_mode"], strip=opts["strip"],
                          dedupe=opts["dedupe"])
@@ -102,13 +112,13 @@ def build_itineraries(spark: SparkSession, cells_path: str, logs_path: str,
     return result
 
 
-def build_daily_itineraries(spark: SparkSession, cells_path: str, logs_path: str,
+def build_daily_itineraries(spark: SparkSession, cells_path: str | None, logs_path: str,
                             out_path: str | None = None, variant: str = "mapreduce",
-                            **overrides) -> DataFrame:
+                            cells_table: str | None = None, **overrides) -> DataFrame:
     """(phone, day) → itinerary from the raw texts (the daily job's
     behaviour by default); written ordered by (phone, day)."""
     opts = _preset(variant, overrides)
-    cells, logs = load_inputs(spark, cells_path, logs_path, opts)
+    cells, logs = load_inputs(spark, cells_path, logs_path, opts, cells_table)
     result = daily_itineraries(logs, cells, key=opts["key"], unmatched=opts["unmatched"],
                                cells_mode=opts["cells_mode"], strip=opts["strip"],
                                dedupe=opts["dedupe"], day_mode=opts["mode"])
