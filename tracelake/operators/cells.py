@@ -34,9 +34,10 @@ def tower_cities(cells: DataFrame, cells_mode: str = "all", strip: str = "quotes
     if cells_mode not in CELLS_MODES:
         raise ValueError(f"cells_mode must be one of {CELLS_MODES}, got {cells_mode!r}")
     if cells_mode == "one":
+        # Already one row per tower.
         dim = cell_dimension(cells)
-    else:
-        dim = cells.where(F.col("city").isNotNull()).select("lac", "cell", "city")
+        return dim.withColumn("city", clean_city("city", strip)) if clean else dim
+    dim = cells.where(F.col("city").isNotNull()).select("lac", "cell", "city")
     if clean:
         dim = dim.withColumn("city", clean_city("city", strip))
     return dim.distinct()
