@@ -120,3 +120,22 @@ def test_hot_tower_is_split_by_adaptive_skew_join(spark):
     assert "isFinalPlan=true" in final
     assert "SortMergeJoin(skew=true)" in final
     assert got == rows(itineraries(logs, cells))
+
+
+def test_small_batch_filters_daily_by_phone(spark, tmp_path):
+    from conftest import rows
+
+    daily = spark.createDataFrame(
+        [(f"1380000000{i}", "2024-01-05", f"C{i}") for i in range(10)],
+        "phone string, day string, itinerary string")
+    path = str(tmp_path / "daily")
+    write_table(daily, path, ["phone", "day"])
+    req = spark.createDataFrame([(1, "13800000003", "2024-01-01", "2024-01-09"),
+                                 (2, "13800000007", "2024-01-01", "2024-01-09")],
+                                "request_id long, phone string, start string, end string")
+    table = read_table(spark, path)
+    pruned = lookup_batch(table, req)
+    p = plan(pruned, "formatted")
+    pushed = re.search(r"PushedFilters: \[(.*?)\]\n", p).group(1)
+    assert "In(phone" in pushed or "phone IN" in pushed or "Or(EqualTo(phone" in pushed
+    assert rows(pruned) == rows(lookup_batch(table, req, prune_phones=0))

@@ -23,6 +23,10 @@ DATE_PATTERN = r"\d{4}-\d{2}-\d{2}"
 DATE_FORMAT = "yyyy-MM-dd"
 
 LEVELS = ("city", "day_text")
+# A batch with at most this many distinct phones also filters the daily side
+# by those phones, so a table sorted by phone skips row groups and a daily
+# table computed in the same plan is filtered before its aggregation.
+PRUNE_PHONES_MAX = 256
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
@@ -66,7 +70,8 @@ def _elements(level: str) -> F.Column:
 
 def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
                     accepted: str | None = None, level: str = "city",
-                    broadcast_rows: int | None = None) -> DataFrame:
+                    broadcast_rows: int | None = None,
+                    prune_phones: int = PRUNE_PHONES_MAX) -> DataFrame:
     """One row per request: ``(*cols, visited, n_visited, found)``.
 
     ``requests`` must have ``request_id, phone, start, end`` among ``cols``;
@@ -79,13 +84,22 @@ def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
     request contributes one row with a null element and every hit one row
     with its element; a single distinct + gather then yields all requests,
     including those without a hit, with one shuffle fewer.
+
+    When the looked-up requests are few enough to broadcast and name at most
+    ``prune_phones`` distinct phones, that (bounded) list is collected and
+    the daily side is filtered by it before the join.
     """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     req = requests.select(*cols)
     looked = req.where(F.col(accepted)) if accepted else req
-    side, _ = bounded_broadcast(looked, broadcast_rows)
+    side, small = bounded_broadcast(looked, broadcast_rows)
     days = daily.select(F.col("phone").alias("_day_phone"), "day", "itinerary")
+    if small and prune_phones > 0:
+        phones = [r[0] for r in looked.where(F.col("phone").isNotNull()).select("phone")
+                  .distinct().limit(prune_phones + 1).collect()]
+        if len(phones) <= prune_phones:
+            days = days.where(F.col("_day_phone").isin(phones))
     hits = days.join(side, (days["_day_phone"] == side["phone"])
                      & days["day"].between(side["start"], side["end"]))
     hit_rows = hits.select(*[side[c] for c in cols], _elements(level).alias("element"))
@@ -100,7 +114,8 @@ def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
 
 
 def lookup_itineraries(daily: DataFrame, requests: DataFrame, level: str = "city",
-                       broadcast_rows: int | None = None) -> DataFrame:
+                       broadcast_rows: int | None = None,
+                       prune_phones: int = PRUNE_PHONES_MAX) -> DataFrame:
     """Answer every request: ``(request_id, phone, start, end, visited,
     n_visited, found)``.
 
@@ -112,11 +127,13 @@ def lookup_itineraries(daily: DataFrame, requests: DataFrame, level: str = "city
     match gets ``visited = ''`` and ``found = false``.
     """
     return answer_requests(daily, requests, ["request_id", "phone", "start", "end"],
-                           level=level, broadcast_rows=broadcast_rows)
+                           level=level, broadcast_rows=broadcast_rows,
+                           prune_phones=prune_phones)
 
 
 def lookup_batch(daily: DataFrame, requests: DataFrame, level: str = "city",
-                 strict: bool = False, broadcast_rows: int | None = None) -> DataFrame:
+                 strict: bool = False, broadcast_rows: int | None = None,
+                 prune_phones: int = PRUNE_PHONES_MAX) -> DataFrame:
     """Validate, look up the accepted requests, and return one row per request.
 
     Requests that fail the shape checks are not looked up (``valid =
@@ -128,7 +145,8 @@ def lookup_batch(daily: DataFrame, requests: DataFrame, level: str = "city",
     checked = checked.select("request_id", "phone", "start", "end", "valid", ok.alias("_accepted"))
     out = answer_requests(daily, checked,
                           ["request_id", "phone", "start", "end", "valid", "_accepted"],
-                          accepted="_accepted", level=level, broadcast_rows=broadcast_rows)
+                          accepted="_accepted", level=level, broadcast_rows=broadcast_rows,
+                          prune_phones=prune_phones)
     return out.drop("_accepted")
 
 
