@@ -19,7 +19,8 @@ def broadcast_limit(spark: SparkSession, max_rows: int | None = None) -> int:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
-                      bound: DataFrame | None = None) -> tuple[DataFrame, bool]:
+                      bound: DataFrame | None = None,
+                      rows: int | None = None) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` when ``df`` has at most ``max_rows`` rows.
 
     The check is a plain ``count()``: each task counts its part and only the
@@ -27,7 +28,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
     (``limit(n).count()`` would instead funnel up to n rows per partition
     into one task). ``bound`` is an optional input whose
     row count is known to bound ``df``'s (``df`` is a distinct or aggregate
-    of it); counting it avoids running ``df``'s own shuffle twice. A side
+    of it); counting it avoids running ``df``'s own shuffle twice. ``rows``
+    is a count the caller already has. A side
     above the limit is returned unchanged, so the join falls back to a
     shuffled sort-merge join that adaptive execution can split when a key is
     skewed.
@@ -35,8 +37,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
     limit = broadcast_limit(df.sparkSession, max_rows)
     if limit <= 0:
         return df, False
-    probe = df if bound is None else bound
-    n = probe.count()
+    if rows is not None:
+        n = rows
+    else:
+        n = (df if bound is None else bound).count()
     if n <= limit:
         return F.broadcast(df), True
     return df, False

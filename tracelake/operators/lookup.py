@@ -23,8 +23,8 @@ DATE_PATTERN = r"\d{4}-\d{2}-\d{2}"
 DATE_FORMAT = "yyyy-MM-dd"
 
 LEVELS = ("city", "day_text")
-# A batch with at most this many distinct phones also filters the daily side
-# by those phones, so a table sorted by phone skips row groups and a daily
+# A batch of at most this many requests also filters the daily side by their
+# phones, so a table sorted by phone skips row groups and a daily
 # table computed in the same plan is filtered before its aggregation.
 PRUNE_PHONES_MAX = 256
 
@@ -85,21 +85,22 @@ def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
     with its element; a single distinct + gather then yields all requests,
     including those without a hit, with one shuffle fewer.
 
-    When the looked-up requests are few enough to broadcast and name at most
-    ``prune_phones`` distinct phones, that (bounded) list is collected and
-    the daily side is filtered by it before the join.
+    When at most ``prune_phones`` requests are looked up, their phones (a
+    list bounded by that count) are collected and the daily side is filtered
+    by them before the join.
     """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     req = requests.select(*cols)
     looked = req.where(F.col(accepted)) if accepted else req
-    side, small = bounded_broadcast(looked, broadcast_rows)
+    n_looked = looked.count()
+    side, _ = bounded_broadcast(looked, broadcast_rows, rows=n_looked)
     days = daily.select(F.col("phone").alias("_day_phone"), "day", "itinerary")
-    if small and prune_phones > 0:
-        phones = [r[0] for r in looked.where(F.col("phone").isNotNull()).select("phone")
-                  .distinct().limit(prune_phones + 1).collect()]
-        if len(phones) <= prune_phones:
-            days = days.where(F.col("_day_phone").isin(phones))
+    if 0 < n_looked <= prune_phones:
+        # At most n_looked distinct phones: a bounded list.
+        phones = [r[0] for r in looked.where(F.col("phone").isNotNull())
+                  .select("phone").distinct().collect()]
+        days = days.where(F.col("_day_phone").isin(phones))
     hits = days.join(side, (days["_day_phone"] == side["phone"])
                      & days["day"].between(side["start"], side["end"]))
     hit_rows = hits.select(*[side[c] for c in cols], _elements(level).alias("element"))
