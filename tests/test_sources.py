@@ -142,3 +142,12 @@ def test_per_file_lines_keep_control_characters(spark, tmp_path):
     p.write_text("header\na\x01b,c\n  d,e \n")
     got = [r.value for r in read_lines(spark, str(p), header="per_file").collect()]
     assert got == ["a\x01b,c", "  d,e "]
+
+
+def test_fail_mode_is_not_skipped_by_later_filters(spark):
+    # A three-field line has no phone; the empty-phone filter must not hide it.
+    df = lines_df(spark, ["0,1,17,13800000001,2024-01-05 10:00:00", "0,1,17"])
+    with pytest.raises(Exception):
+        parse_logs(df, mode="fail").where("phone = '13800000001'").select("lac").collect()
+    with pytest.raises(Exception):
+        parse_cells(lines_df(spark, ["0,1,2,3"]), mode="fail").where("city = 'x'").collect()

@@ -24,14 +24,14 @@ def parse_cells(lines: DataFrame, min_fields: int = schemas.CELL_MIN_FIELDS,
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    df = lines.select(java_split(value_col).alias("parts"))
-    n = field_count("parts")
+    parts = java_split(value_col)
+    if mode == "fail":
+        # Part of the expression the fields come from (see parse_logs).
+        parts = F.when(field_count(parts) >= min_fields, parts).otherwise(
+            F.raise_error(F.concat(F.lit("cell line with too few fields: "), F.col(value_col))))
+    df = lines.select(parts.alias("parts"))
     if mode == "drop":
-        df = df.where(n >= min_fields)
-    else:
-        df = df.where(F.when(n >= min_fields, F.lit(True))
-                      .otherwise(F.raise_error(F.concat(F.lit("cell line with too few fields: "),
-                                                        F.array_join("parts", ",")))))
+        df = df.where(field_count("parts") >= min_fields)
     return df.select(*[field("parts", i).alias(name) for name, i in schemas.CELL_FIELDS.items()])
 
 
