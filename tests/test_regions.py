@@ -115,3 +115,14 @@ def test_random_split_option(spark):
     assert set(r.k for r in train.collect()).isdisjoint(r.k for r in test.collect())
     with pytest.raises(ValueError):
         split_by_key(df, "k", method="bogus")
+
+
+def test_predict_unlabeled_rows(spark):
+    from tracelake.operators import predict, train_region_model
+
+    df = assemble_coordinate(encode_regions(
+        prepare_places(fx.places_text(spark, SF_SMALL), "home"), fx.region_labels(spark, SF_SMALL)))
+    model = train_region_model(df, 25, {"numTrees": 3})
+    out = predict(model, df.drop("label"), keep=["c_custkey"])
+    assert out.columns == ["c_custkey", "prediction"]
+    assert out.count() == df.count()

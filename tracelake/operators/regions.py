@@ -147,8 +147,10 @@ def train_region_model(train: DataFrame, num_classes: int, params: dict | None =
 
 def predict(model: RandomForestClassificationModel, df: DataFrame,
             keep: Sequence[str] = ()) -> DataFrame:
-    """``(*keep, label, prediction)`` for the rows of ``df``."""
-    return model.transform(df).select(*keep, "label", "prediction")
+    """``(*keep, label, prediction)`` for the rows of ``df`` (without
+    ``label`` when ``df`` has none). Scoring is a narrow map: no shuffle."""
+    label = ["label"] if "label" in df.columns else []
+    return model.transform(df).select(*keep, *label, "prediction")
 
 
 def fit_regions(places_text: DataFrame, labels: DataFrame, key: str,
