@@ -37,7 +37,7 @@ def main() -> None:
     from tracelake.plans.catalog import QUERIES
     from tracelake.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=2 * cpus)
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)))
     for name in names:  # warm-up pass over every query first
         run_once(spark, QUERIES[name], sf_dir)
     timings = {}

@@ -43,10 +43,12 @@ def get_session(master: str | None = None, app_name: str = "tracelake",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) is a scratch folder made.
+    Only a local-mode session without one (tests) gets a scratch folder; a
+    cluster session without one is left as it is, because a machine-local
+    folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            return None
         configured = tempfile.mkdtemp(prefix="tracelake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
