@@ -102,25 +102,21 @@ def q_daily_itineraries_from_text(spark: SparkSession, sf: str) -> DataFrame:
     return daily_itineraries(logs, cells, strip="none")
 
 
-def _daily(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_itineraries(fx.event_logs(spark, sf), fx.towers(spark, sf))
-
-
 def _valid_requests(spark: SparkSession, sf: str) -> DataFrame:
     return (validate_requests(fx.requests(spark, sf)).where("valid")
             .select("request_id", "phone", "start", "end"))
 
 
 def q_lookup_range(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup_itineraries(_daily(spark, sf), _valid_requests(spark, sf), level="city")
+    return lookup_itineraries(q_daily_itineraries(spark, sf), _valid_requests(spark, sf), level="city")
 
 
 def q_lookup_range_day_text(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup_itineraries(_daily(spark, sf), _valid_requests(spark, sf), level="day_text")
+    return lookup_itineraries(q_daily_itineraries(spark, sf), _valid_requests(spark, sf), level="day_text")
 
 
 def q_lookup_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return lookup_batch(_daily(spark, sf), fx.requests(spark, sf))
+    return lookup_batch(q_daily_itineraries(spark, sf), fx.requests(spark, sf))
 
 
 def q_validate_requests(spark: SparkSession, sf: str) -> DataFrame:
