@@ -135,3 +135,15 @@ def test_two_step_flow_with_stored_dimension(spark, files, tmp_path):
     assert cli(["daily", "--cells-table", dim, "--logs", str(d / "logs"), "--out", out]) == 0
     assert rows(spark.read.parquet(out)) == rows(
         jobs.build_daily_itineraries(spark, str(d / "cells"), str(d / "logs")))
+
+
+def test_quote_aware_directory(spark, tmp_path):
+    cells = tmp_path / "cells.csv"
+    cells.write_text("id,t,LAC,CELL,a,b,c,d,e,f,g,h,CITY\n"
+                     '1,t,1,1,a,"b,c",d,e,f,g,h,i,Alpha\n')
+    logs = tmp_path / "logs.txt"
+    logs.write_text("0,1,1,13800000001,2024-01-05 10:00:00\n")
+    positional = jobs.build_itineraries(spark, str(cells), str(logs)).collect()
+    quoted = jobs.build_itineraries(spark, str(cells), str(logs), quote_aware=True).collect()
+    assert [r.itinerary for r in positional] == ["i"]
+    assert [r.itinerary for r in quoted] == ["Alpha"]

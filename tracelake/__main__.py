@@ -23,6 +23,8 @@ def main(argv: list[str] | None = None) -> int:
                        choices=["default", "mapreduce", "rdd"])
         for opt in ("key", "unmatched", "cells_mode", "strip", "dedupe", "header", "mode"):
             p.add_argument("--" + opt.replace("_", "-"), dest=opt, default=None)
+        p.add_argument("--quote-aware", dest="quote_aware", action="store_true", default=None,
+                       help="read the directory as quoted CSV instead of by raw position")
 
     p = sub.add_parser("cells")
     p.add_argument("--cells", required=True, help="tower directory text (file, dir or glob)")
@@ -56,7 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     if args.job in ("itineraries", "daily"):
         overrides = {k: getattr(args, k) for k in
-                     ("key", "unmatched", "cells_mode", "strip", "dedupe", "header", "mode")}
+                     ("key", "unmatched", "cells_mode", "strip", "dedupe", "header", "mode",
+                      "quote_aware")}
         fn = jobs.build_itineraries if args.job == "itineraries" else jobs.build_daily_itineraries
         fn(spark, args.cells, args.logs, args.out, variant=args.variant,
            cells_table=args.cells_table, **overrides)

@@ -31,6 +31,7 @@ from tracelake.sources.places import PLACE_COLUMNS
 from tracelake.sources import (
     parse_cells,
     parse_logs,
+    read_cells_csv,
     read_lines,
     read_places,
     read_table,
@@ -71,9 +72,13 @@ def _preset(variant: str, overrides: dict) -> dict:
 def load_inputs(spark: SparkSession, cells_path: str | None, logs_path: str,
                 opts: dict, cells_table: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Parsed logs and tower directory. With ``cells_table`` the directory is
-    a stored dimension (``build_cell_dimension``'s output) instead of text."""
+    a stored dimension (``build_cell_dimension``'s output) instead of text;
+    with the option ``quote_aware`` it is read as quoted CSV (a quoted comma
+    does not shift the city) instead of by raw position."""
     if cells_table:
         cells = read_table(spark, cells_table).select("lac", "cell", "city")
+    elif opts.get("quote_aware"):
+        cells = read_cells_csv(spark, cells_path)
     else:
         cells = parse_cells(read_lines(spark, cells_path, header=opts["header"]),
                             mode=opts["mode"])
