@@ -15,8 +15,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The columns of the test tables that the fixtures read, with their types.
+# An explicit schema means no inference job per read, and only these
+# columns are ever read.
+TABLE_SCHEMAS = {
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = TABLE_SCHEMAS.get(name)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 # Fixed values of the fixture rules (shared with the oracle SQL).
