@@ -147,3 +147,26 @@ def test_quote_aware_directory(spark, tmp_path):
     quoted = jobs.build_itineraries(spark, str(cells), str(logs), quote_aware=True).collect()
     assert [r.itinerary for r in positional] == ["i"]
     assert [r.itinerary for r in quoted] == ["Alpha"]
+
+
+def test_region_job_with_the_province_dictionary(spark, tmp_path):
+    import random
+
+    rnd = random.Random(5)
+    centres = {"北京市": (116.4, 39.9), "上海市": (121.5, 31.2), "广东省": (113.3, 23.1)}
+    p = tmp_path / "places.csv"
+    with open(p, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["LNG", "LAT", "REGION", "COUNTRY", "NAME"])
+        for i in range(300):
+            region = list(centres)[i % 3]
+            lng, lat = centres[region]
+            w.writerow([lng + rnd.uniform(-1, 1), lat + rnd.uniform(-1, 1), region,
+                        "中国" if i % 10 else "其他", f"place {i}, somewhere"])
+        w.writerow(["bad", "1.0", "北京市", "中国", "malformed"])
+        w.writerow(["116.0", "40.0", "", "中国", "no region"])
+    res = jobs.train_regions(spark, str(p), params={"numTrees": 10})
+    assert res.model.numClasses == 31
+    acc = res.accuracy.first()
+    assert acc.n > 0 and acc.accuracy >= 0.9
+    assert set(r.label for r in res.confusion.collect()) <= {0.0, 2.0, 16.0}
