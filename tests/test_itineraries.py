@@ -173,3 +173,12 @@ def test_text_keys(spark):
                                "lac string, cell string, phone string, day string")
     r = df.select(tower_key().alias("t"), phone_day_key().alias("k")).first()
     assert (r.t, r.k) == ("1:17", "13800000001_2024-01-05")
+
+
+def test_with_cities_array(logs, cells):
+    df = itineraries(logs, cells, unmatched="null_text", with_cities=True)
+    assert df.columns == ["phone", "itinerary", "cities"]
+    got = {r.phone: (r.itinerary, list(r.cities)) for r in df.collect()}
+    assert got["p1"] == ("Alpha,Beta,null", ["Alpha", "Beta", "null"])
+    daily = daily_itineraries(logs, cells, with_cities=True)
+    assert all(r.itinerary == ",".join(r.cities) for r in daily.collect())

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.functions.text import NULL_CITY, clean_city, sorted_join
+from tracelake.functions.text import ITINERARY_SEP, NULL_CITY, clean_city, sorted_join
 from tracelake.operators.cells import tower_cities
 from tracelake.operators.joins import bounded_broadcast
 from tracelake.sources.logs import with_day
@@ -77,7 +77,7 @@ def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = (
 
 
 def _itineraries(visits: DataFrame, group_keys: list[str], unmatched: str, strip: str,
-                 dedupe: str) -> DataFrame:
+                 dedupe: str, with_cities: bool = False) -> DataFrame:
     # Distinct (keys, city) first: a codegen'd hash aggregate with a map-side
     # partial step. The per-key list is then built from distinct rows only,
     # so even a key holding a third of all logs reaches its final task as at
@@ -90,14 +90,18 @@ def _itineraries(visits: DataFrame, group_keys: list[str], unmatched: str, strip
         if unmatched == "null_text":
             city = F.coalesce(city, F.lit(NULL_CITY))
         pairs = pairs.select(*group_keys, city.alias("city")).where(F.col("city").isNotNull())
-    return pairs.groupBy(*group_keys).agg(sorted_join(F.collect_list("city")).alias("itinerary"))
+    if not with_cities:
+        return pairs.groupBy(*group_keys).agg(sorted_join(F.collect_list("city")).alias("itinerary"))
+    out = pairs.groupBy(*group_keys).agg(F.array_sort(F.collect_list("city")).alias("cities"))
+    return out.select(*group_keys, F.array_join("cities", ITINERARY_SEP).alias("itinerary"), "cities")
 
 
 def itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
                 unmatched: str = "drop", cells_mode: str = "all", strip: str = "quotes",
-                dedupe: str = "cleaned", broadcast_rows: int | None = None) -> DataFrame:
+                dedupe: str = "cleaned", broadcast_rows: int | None = None,
+                with_cities: bool = False) -> DataFrame:
     """``(phone, itinerary)``: the distinct cities of each phone, sorted and
-    joined with commas.
+    joined with commas; with ``with_cities`` also the sorted ``cities`` array.
 
     ``dedupe="cleaned"`` removes duplicates after the city clean-up;
     ``"raw"`` removes them before, as the RDD job did.
@@ -105,13 +109,14 @@ def itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
     _check("dedupe", dedupe, DEDUPE)
     visits = city_visits(logs, cells, ["phone"], key, unmatched, cells_mode, strip,
                          clean=dedupe == "cleaned", broadcast_rows=broadcast_rows)
-    return _itineraries(visits, ["phone"], unmatched, strip, dedupe)
+    return _itineraries(visits, ["phone"], unmatched, strip, dedupe, with_cities)
 
 
 def daily_itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
                       unmatched: str = "null_text", cells_mode: str = "one",
                       strip: str = "quotes", dedupe: str = "cleaned",
-                      day_mode: str = "drop", broadcast_rows: int | None = None) -> DataFrame:
+                      day_mode: str = "drop", broadcast_rows: int | None = None,
+                      with_cities: bool = False) -> DataFrame:
     """``(phone, day, itinerary)``: cities per phone and calendar day.
 
     The day is the first ten characters of the timestamp text. Defaults
@@ -123,7 +128,7 @@ def daily_itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
     keys = ["phone", "day"]
     visits = city_visits(dated, cells, keys, key, unmatched, cells_mode, strip,
                          clean=dedupe == "cleaned", broadcast_rows=broadcast_rows)
-    return _itineraries(visits, keys, unmatched, strip, dedupe)
+    return _itineraries(visits, keys, unmatched, strip, dedupe, with_cities)
 
 
 def distinct_pairs(logs: DataFrame, cells: DataFrame, key: str = "columns",
