@@ -74,7 +74,8 @@ def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
                     prune_phones: int = PRUNE_PHONES_MAX) -> DataFrame:
     """One row per request: ``(*cols, visited, n_visited, found)``.
 
-    ``requests`` must have ``request_id, phone, start, end`` among ``cols``;
+    ``requests`` must have ``request_id, phone, start, end`` among ``cols``
+    and one row per ``request_id`` (two identical rows are answered once);
     only rows where the boolean column ``accepted`` is true (all rows when it
     is None) are looked up. The requests side is broadcast when its size
     allows; otherwise both sides shuffle on the phone and adaptive execution
