@@ -9,7 +9,7 @@ reaches the Parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions.text import ITINERARY_SEP, full_match, java_trim, sorted_join
@@ -62,7 +62,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def _elements(level: str) -> F.Column:
+def _elements(level: str) -> Column:
     if level == "city":
         return F.explode(F.split("itinerary", ITINERARY_SEP))
     return F.col("itinerary")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake import schemas
@@ -65,7 +65,7 @@ def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop")
          .cast("double"))
 
 
-def split_flag(key: str | F.Column, train_fraction: float = 0.8, buckets: int = 10) -> F.Column:
+def split_flag(key: str | Column, train_fraction: float = 0.8, buckets: int = 10) -> Column:
     """True for the training part: a stable hash of the key, not a sample.
 
     The first 32 bits of the key's MD5 modulo ``buckets``; reproducible in
