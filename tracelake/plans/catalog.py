@@ -46,6 +46,10 @@ def q_cell_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return cell_dimension(fx.towers(spark, sf))
 
 
+def q_cell_dimension_from_text(spark: SparkSession, sf: str) -> DataFrame:
+    return cell_dimension(parse_cells(fx.cell_lines(spark, sf)))
+
+
 def q_clean_city_quotes(spark: SparkSession, sf: str) -> DataFrame:
     cells = parse_cells(fx.cell_lines(spark, sf))
     return itineraries(fx.trace_logs(spark, sf), cells, strip="quotes")
@@ -119,6 +123,11 @@ def q_lookup_batch(spark: SparkSession, sf: str) -> DataFrame:
     return lookup_batch(q_daily_itineraries(spark, sf), fx.requests(spark, sf))
 
 
+def q_lookup_batch_strict(spark: SparkSession, sf: str) -> DataFrame:
+    # Requests must also name real calendar dates to be looked up.
+    return lookup_batch(q_daily_itineraries(spark, sf), fx.requests(spark, sf), strict=True)
+
+
 def q_validate_requests(spark: SparkSession, sf: str) -> DataFrame:
     return validate_requests(fx.requests(spark, sf))
 
@@ -169,6 +178,7 @@ QUERIES: dict[str, Query] = {
     "parse_logs": q_parse_logs,
     "parse_cells": q_parse_cells,
     "cell_dimension": q_cell_dimension,
+    "cell_dimension_from_text": q_cell_dimension_from_text,
     "clean_city_quotes": q_clean_city_quotes,
     "clean_city_ends": q_clean_city_ends,
     "itineraries": q_itineraries,
@@ -182,6 +192,7 @@ QUERIES: dict[str, Query] = {
     "lookup_range": q_lookup_range,
     "lookup_range_day_text": q_lookup_range_day_text,
     "lookup_batch": q_lookup_batch,
+    "lookup_batch_strict": q_lookup_batch_strict,
     "validate_requests": q_validate_requests,
     "prepare_places": q_prepare_places,
     "encode_regions": q_encode_regions,

@@ -199,6 +199,9 @@ select lac, cell, city from parsed_cells""",
     "cell_dimension": _with(_SUP) + """
 select lac, cell, max(city) city from towers where city is not null group by lac, cell""",
 
+    "cell_dimension_from_text": _with(_SUP, _CELL_LINES) + """
+select lac, cell, max(city) city from parsed_cells where city is not null group by lac, cell""",
+
     "clean_city_quotes": _with(_SUP, _TRACE, _CELL_LINES, _dim_all("parsed_cells")) + """
 select phone, string_agg(city, ',' order by city) itinerary
 from (select distinct l.phone, d.city from trace_logs l
@@ -271,6 +274,11 @@ group by phone, day""",
                           _lookup("city", "valid",
                                   "r.request_id, r.phone, r.start, r.\"end\", r.valid")),
 
+    "lookup_batch_strict": _with(_SUP, _EVENTS, _dim_one(), _DAILY, _REQUESTS,
+                                 "\nchecked_out as (select * from checked)",
+                                 _lookup("city", "valid and calendar_ok",
+                                         "r.request_id, r.phone, r.start, r.\"end\", r.valid")),
+
     "validate_requests": _with(_REQUESTS) + """
 select request_id, phone, start, "end", phone_ok, start_ok, end_ok, valid, calendar_ok, ordered
 from checked""",
