@@ -4,6 +4,7 @@ streaming source too (stream-static join against the broadcast directory)."""
 from conftest import rows
 from tracelake.operators import city_visits
 from tracelake.sources import parse_logs, with_day
+from tracelake.streaming import stream_visits
 
 LOGS = [
     "0,1,17,13800000001,2024-01-05 10:00:00",
@@ -21,9 +22,9 @@ def test_visits_on_a_file_stream(spark, tmp_path):
     cells = spark.createDataFrame([("1", "17", "Alpha"), ("11", "7", "Beta")],
                                   "lac string, cell string, city string")
 
-    stream = spark.readStream.schema("value string").text(str(src))
-    visits = city_visits(with_day(parse_logs(stream)), cells, ["phone", "day"],
-                         unmatched="null_text", cells_mode="one")
+    visits = stream_visits(spark, str(src), cells, ["phone", "day"],
+                           unmatched="null_text", cells_mode="one")
+    assert visits.isStreaming
     q = (visits.writeStream.format("memory").queryName("visits_stream").outputMode("append")
          .option("checkpointLocation", str(tmp_path / "ckpt")).start())
     try:
@@ -40,3 +41,14 @@ def test_visits_on_a_file_stream(spark, tmp_path):
         ("13800000001", "2024-01-06", "Beta"),
         ("13800000002", "2024-01-05", "null"),
     ]
+
+
+def test_stream_refuses_a_directory_above_the_limit(spark, tmp_path):
+    import pytest
+
+    src = tmp_path / "in"
+    src.mkdir()
+    cells = spark.createDataFrame([("1", "17", "Alpha"), ("11", "7", "Beta")],
+                                  "lac string, cell string, city string")
+    with pytest.raises(ValueError):
+        stream_visits(spark, str(src), cells, broadcast_rows=1)

@@ -1,7 +1,9 @@
 """Streaming.
 
 The original jobs are batch only: no streaming source, watermark, window or
-state exists in them, so nothing is built here. The batch operators are
-plain DataFrame functions and accept streaming DataFrames where Spark allows
-the same operations (parsing, the stream-static tower join); see README.
+state exists in them, so no streaming operator is defined here. ``logs``
+offers the batch parser and tower join on Structured Streaming's file
+source, for log files that keep arriving.
 """
+
+from tracelake.streaming.logs import read_log_stream, stream_visits  # noqa: F401

@@ -1,0 +1,47 @@
+"""Log files arriving over time, read as a stream with the batch rules.
+
+No new semantics: the same positional parser and the same tower join as the
+batch operators, applied to Structured Streaming's file source. The join to
+the (static) directory is a stream-static join, so no state is kept; what
+the caller does next (for example writing the visit rows with
+``foreachBatch`` into a table the batch jobs read) is up to the caller.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tracelake import schemas
+from tracelake.operators.itineraries import city_visits
+from tracelake.operators.joins import broadcast_limit
+from tracelake.sources.logs import parse_logs, with_day
+
+
+def read_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                    **parse_options) -> DataFrame:
+    """Streaming ``(lac, cell, phone, ts)`` from log text files in ``path``."""
+    reader = spark.readStream.schema(schemas.LINES)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return parse_logs(reader.text(path), **parse_options)
+
+
+def stream_visits(spark: SparkSession, path: str, cells: DataFrame,
+                  group_keys: Sequence[str] = ("phone", "day"), **options) -> DataFrame:
+    """Streaming ``(*group_keys, city)`` rows: arriving logs joined to the
+    directory (``city_visits`` options apply).
+
+    The directory must pass the broadcast size check: the shuffled fallback
+    deduplicates the logs first, which a stream could only do with
+    unbounded state.
+    """
+    limit = broadcast_limit(spark, options.get("broadcast_rows"))
+    if cells.count() > limit:
+        raise ValueError(f"tower directory above the broadcast limit ({limit} rows); "
+                         "join it in batch instead")
+    logs = read_log_stream(spark, path)
+    if "day" in group_keys:
+        logs = with_day(logs)
+    return city_visits(logs, cells, list(group_keys), **options)
