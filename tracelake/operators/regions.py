@@ -43,18 +43,20 @@ def prepare_places(places: DataFrame, country: str = schemas.DEFAULT_COUNTRY) ->
     return typed.where(F.col("lng").isNotNull() & F.col("lat").isNotNull())
 
 
-def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop") -> DataFrame:
+def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop",
+                   label_rows: int | None = None) -> DataFrame:
     """Attach the class number of each region from a fixed dictionary.
 
     Not ``StringIndexer``: that numbers by frequency, while the classes here
     are fixed. The dictionary is small (one row per class) and is broadcast
     after its size is checked.
     ``unknown="drop"`` removes regions missing from the dictionary,
-    ``"fail"`` fails the job on the first one.
+    ``"fail"`` fails the job on the first one. ``label_rows``: the
+    dictionary's row count, when the caller already has it.
     """
     if unknown not in UNKNOWN_MODES:
         raise ValueError(f"unknown must be one of {UNKNOWN_MODES}, got {unknown!r}")
-    lab, _ = bounded_broadcast(labels.select("region", "label"))
+    lab, _ = bounded_broadcast(labels.select("region", "label"), rows=label_rows)
     if unknown == "drop":
         return places.join(lab, "region", "inner")
     joined = places.join(lab, "region", "left")
@@ -163,11 +165,13 @@ def fit_regions(places_text: DataFrame, labels: DataFrame, key: str,
 
     ``num_classes`` defaults to the dictionary's highest class number + 1.
     """
+    # One pass over the dictionary: its size (for the broadcast check) and
+    # its highest class number.
+    stats = labels.agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("m")).first()
+    if num_classes is None:
+        num_classes = int(stats["m"]) + 1
     prepared = prepare_places(places_text, country)
-    encoded = assemble_coordinate(encode_regions(prepared, labels))
+    encoded = assemble_coordinate(encode_regions(prepared, labels, label_rows=stats["n"]))
     train, test = split_by_key(encoded, key, train_fraction, method=split_method)
-    if num_classes is None:
-        top = labels.agg(F.max("label").alias("m")).first()["m"]
-        num_classes = int(top) + 1
     model = train_region_model(train, num_classes, params)
     return model, predict(model, test, keep=[key])
