@@ -1,7 +1,7 @@
-"""Session set-up shared by tests, the bench and the query catalogue.
+"""Session set-up shared by tests, the bench and the command line.
 
-On a cluster the caller usually owns the session; ``configure`` only adds
-settings this library relies on and never overrides what the cluster set.
+On a cluster the caller usually owns the session; ``get_session`` only adds
+settings this library relies on where the cluster has not set them.
 """
 
 from __future__ import annotations
@@ -14,15 +14,19 @@ from pyspark.sql import SparkSession
 # Settings the operators are designed around: adaptive execution re-plans
 # joins and partition counts from real shuffle sizes and splits skewed join
 # partitions; the time zone is fixed so timestamp texts do not depend on the
-# machine.
+# machine. Applied only where the cluster (spark-defaults, submit options or
+# the builder) has not set them.
 DEFAULTS = {
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+# Local runs (tests, bench) open no web UI and print no progress bars.
+LOCAL_DEFAULTS = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
 
 
 def get_session(master: str | None = None, app_name: str = "tracelake",
@@ -31,14 +35,19 @@ def get_session(master: str | None = None, app_name: str = "tracelake",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULTS.items():
-        builder = builder.config(k, v)
+        if master.startswith("local"):
+            for k, v in LOCAL_DEFAULTS.items():
+                builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    explicit = spark.sparkContext.getConf()
+    for k, v in DEFAULTS.items():
+        if not explicit.contains(k):
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
