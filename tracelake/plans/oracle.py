@@ -126,10 +126,10 @@ prepared as (
 
 _PAIRS = """
 pairs as (
-  select cast(n_regionkey as double) label,
-         case when n_nationkey % 4 = 0 then 9.0::double
-              else cast(n_nationkey % 5 as double) end prediction
-  from nation)"""
+  select cast(c_nationkey % 5 as double) label,
+         case when c_custkey % 4 = 0 then 9.0::double
+              else cast((c_nationkey + c_custkey % 3) % 5 as double) end prediction
+  from customer)"""
 
 
 def _quotes(c: str) -> str:
