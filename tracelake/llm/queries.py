@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import binpack, decontaminate, mixing, simhash, toxicity
+from tracelake.llm import (binpack, chat, decontaminate, langid, lmscore, mixing, quality, simhash, tokencount,
+                           toxicity)
 from tracelake.llm.common import read
 
 TOKENIZERS = "/opt/tokenizers"
@@ -25,6 +26,20 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.fit(docs, ~langid.held_out())
+    return langid.with_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out().alias("held_out"), F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"), F.col("language.rejected").alias("rejected"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = tokencount.read_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    return tokencount.with_token_counts(docs, vocabulary).select("doc_id", "n_tokens")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), ~toxicity.held_out())
@@ -43,8 +58,22 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(read(spark, sf_dir, "conversations"))
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binpack.write_and_index(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_toxicity, op5_decontamination, op6_simhash, op8_token_ids)}
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(read(spark, sf_dir, "documents"), lmscore.learned())
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_language_id, op3_token_counts, op4_toxicity, op5_decontamination, op6_simhash, op7_chat_format,
+    op8_token_ids, op9_lm_score, op10_quality)}

@@ -53,3 +53,31 @@ FROM d LEFT JOIN c USING (r) LEFT JOIN l USING (r)
 """
 
 ORACLE = {"op1_mixing": OP1, "op5_decontamination": OP5}
+
+OP10 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+x AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+n AS (SELECT unnest([3, 5, 6, 7, 8, 9, 10]) AS n),
+g AS (SELECT r, n, p, array_to_string(w[p:p + n - 1], ' ') AS gram FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, n WHERE len(w) >= n)),
+h AS (SELECT r, n, p, count(*) OVER (PARTITION BY r, n, gram) AS times, row_number() OVER (PARTITION BY r, n, gram ORDER BY p) AS k FROM g),
+-- Words inside three-word windows found twice, and inside longer windows found before.
+c AS (SELECT DISTINCT r, n, unnest(range(p, p + n)) AS p FROM h WHERE CASE WHEN n = 3 THEN times > 1 ELSE k > 1 END),
+s AS (SELECT r, n, count(*) AS words, sum(len(word)) AS chars FROM c JOIN x USING (r, p) GROUP BY r, n),
+l AS (SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY p) AS k
+      FROM (SELECT r, unnest(string_split(t, chr(10))) AS line, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS p FROM d)),
+e AS (SELECT r, count(*) AS n_dup_lines, sum(len(array_to_string(regexp_extract_all(line, '{_WORDS}'), ''))) AS chars
+      FROM l WHERE k > 1 AND regexp_matches(line, '{_WORDS}') GROUP BY r),
+m AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, len(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(e.n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce((SELECT words FROM s WHERE s.r = d.r AND n = 3), 0)::BIGINT AS n_repeat_words, coalesce(e.chars, 0)::BIGINT AS dup_line_chars,
+         {", ".join(f"coalesce((SELECT chars FROM s WHERE s.r = d.r AND n = {n}), 0)::BIGINT AS dup_{n}gram_chars" for n in range(5, 11))}
+  FROM d LEFT JOIN e USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= 20 * word_chars AND {
+    " AND ".join(f"100 * dup_{n}gram_chars <= {limit} * word_chars" for n, limit in ((5, 15), (6, 14), (7, 13), (8, 12), (9, 11), (10, 10)))} AS kept
+FROM b
+"""
+
+ORACLE["op10_quality"] = OP10
