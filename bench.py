@@ -19,7 +19,8 @@ import time
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 
-HEADLINE = ["itineraries", "itineraries_left", "daily_itineraries", "lookup_batch", "predict_region"]
+HEADLINE = ["itineraries", "itineraries_left", "daily_itineraries", "lookup_batch", "predict_region",
+            "itineraries_from_text", "daily_itineraries_from_text"]
 
 
 def run_once(spark, fn, sf_dir: str) -> float:

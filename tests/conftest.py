@@ -1,3 +1,4 @@
+import contextlib
 import os
 import sys
 
@@ -27,3 +28,17 @@ def rows(df, *cols):
 
 def lines_df(spark, lines):
     return spark.createDataFrame([(v,) for v in lines], "value string")
+
+
+@contextlib.contextmanager
+def no_broadcast(spark):
+    """Every join is shuffled: what Spark does with sides too large to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -3,11 +3,12 @@ random inputs with a hot phone, a hot tower, unknown towers, towers with
 several cities, colliding glued keys and quoted cities."""
 
 import itertools
+import contextlib
 import random
 
 import pytest
 
-from conftest import rows
+from conftest import no_broadcast, rows
 from tracelake.operators import daily_itineraries, itineraries, lookup_batch
 
 CITIES = ["Alpha", '"Beta"', "Gamma", '"Delta', "x", "", '""', "Zeta"]
@@ -100,11 +101,11 @@ def test_itineraries_brute_force(inputs, key, unmatched, cells_mode, strip, dedu
     assert got == reference(logs, cells, "overall", key, unmatched, cells_mode, strip, dedupe)
 
 
-@pytest.mark.parametrize("broadcast_rows", [None, 0])
-def test_daily_brute_force(inputs, broadcast_rows):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_daily_brute_force(spark, inputs, broadcast):
     logs, cells, ldf, cdf = inputs
-    got = {(r.phone, r.day): r.itinerary
-           for r in daily_itineraries(ldf, cdf, broadcast_rows=broadcast_rows).collect()}
+    with contextlib.nullcontext() if broadcast else no_broadcast(spark):
+        got = {(r.phone, r.day): r.itinerary for r in daily_itineraries(ldf, cdf).collect()}
     assert got == reference(logs, cells, "daily", "columns", "null_text", "one", "quotes", "cleaned")
 
 
@@ -123,12 +124,12 @@ def test_lookup_brute_force(spark, inputs):
     rdf = spark.createDataFrame(reqs, "request_id long, phone string, start string, end string")
     ddf = spark.createDataFrame([(p, d, it) for (p, d), it in daily.items()],
                                 "phone string, day string, itinerary string")
-    for prune in (0, 1000):
-        got = {r.request_id: (r.visited, r.found) for r in lookup_batch(ddf, rdf, prune_phones=prune).collect()}
+    for broadcast in (True, False):
+        with contextlib.nullcontext() if broadcast else no_broadcast(spark):
+            got = {r.request_id: (r.visited, r.found) for r in lookup_batch(ddf, rdf).collect()}
         for rid, phone, start, end in reqs:
             cities = set()
             for (p, d), it in daily.items():
                 if p == phone and start <= d <= end:
                     cities.update(it.split(","))
             assert got[rid] == (",".join(sorted(cities)), bool(cities)), rid
-    assert rows(lookup_batch(ddf, rdf)) == rows(lookup_batch(ddf, rdf, broadcast_rows=0))

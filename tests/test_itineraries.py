@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from conftest import SF_SMALL, no_broadcast, rows
 from tracelake.operators import (
     cell_dimension,
     daily_itineraries,
@@ -120,13 +120,11 @@ def test_daily(logs, cells):
     assert got[("p4", "2024-01-07")] == '"Quoted,Quoted'
 
 
-def test_shuffled_path_equals_broadcast_path(logs, cells):
-    a = rows(itineraries(logs, cells))
-    b = rows(itineraries(logs, cells, broadcast_rows=0))
-    assert a == b
-    a = rows(daily_itineraries(logs, cells))
-    b = rows(daily_itineraries(logs, cells, broadcast_rows=0))
-    assert a == b
+def test_shuffled_join_equals_broadcast_join(spark, logs, cells):
+    a, b = rows(itineraries(logs, cells)), rows(daily_itineraries(logs, cells))
+    with no_broadcast(spark):
+        assert rows(itineraries(logs, cells)) == a
+        assert rows(daily_itineraries(logs, cells)) == b
 
 
 # Metamorphic checks on the derived fixtures.
@@ -164,7 +162,7 @@ def test_repartitioning_changes_nothing(trace):
     logs, towers = trace
     base = rows(itineraries(logs, towers))
     assert rows(itineraries(logs.repartition(7, "ts"), towers.repartition(3))) == base
-    assert rows(itineraries(logs.coalesce(1), towers, broadcast_rows=0)) == base
+    assert rows(itineraries(logs.coalesce(1), towers)) == base
 
 
 def test_text_keys(spark):

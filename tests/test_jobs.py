@@ -4,6 +4,7 @@ import csv
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tracelake.__main__ import main as cli
@@ -66,7 +67,7 @@ def test_daily_job_and_lookups(spark, files, tmp_path):
     cells = parse_cells(spark.createDataFrame([(v,) for v in cell_lines], "value string"))
     logs = parse_logs(spark.createDataFrame([(v,) for v in log_lines], "value string"))
     expected = daily_itineraries(logs, cells, strip="none")
-    assert rows(daily) == rows(expected)
+    assert rows(daily, "phone", "day", "itinerary") == rows(expected)
 
     req = fx.requests(spark, SF_SMALL)
     req_csv = tmp_path / "requests.csv"
@@ -76,11 +77,11 @@ def test_daily_job_and_lookups(spark, files, tmp_path):
         for r in req.collect():
             w.writerow([r.request_id, r.phone, r.start, r.end])
     got = jobs.answer_lookups(spark, daily_path, str(req_csv), str(tmp_path / "answers"))
-    assert rows(got) == rows(lookup_batch(expected, req))
+    assert rows(got) == rows(lookup_batch(expected, req.withColumn("request_id", F.col("request_id").cast("string"))))
 
     one = req.where("request_id % 7 = 0").orderBy("request_id").first()
     single = jobs.lookup(spark, daily_path, one.phone, one.start, one.end).first()
-    batch = {r.request_id: r for r in got.collect()}[one.request_id]
+    batch = {r.request_id: r for r in got.collect()}[str(one.request_id)]
     assert (single.visited, single.found) == (batch.visited, batch.found)
 
 
@@ -95,6 +96,13 @@ def test_cli(spark, files, tmp_path, capsys):
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["found"] and res["visited"] == first.itinerary
     assert cli(["lookup", "--daily", out, "--phone", "123", "--start", "x", "--end", "y"]) == 2
+    odd = ["lookup", "--daily", out, "--phone", first.phone, "--start", "2024-99-99", "--end", "2024-99-99"]
+    assert cli(odd) == 0
+    assert cli([*odd, "--strict"]) == 2
+    with pytest.raises(SystemExit):
+        cli(["lookup", "--daily", out, "--requests", "requests.csv"])
+    with pytest.raises(SystemExit):
+        cli(["lookup", "--daily", out])
 
 
 def test_region_job(spark, tmp_path):
@@ -133,8 +141,8 @@ def test_two_step_flow_with_stored_dimension(spark, files, tmp_path):
     assert rows(two_step) == rows(one_plan)
     out = str(tmp_path / "daily2")
     assert cli(["daily", "--cells-table", dim, "--logs", str(d / "logs"), "--out", out]) == 0
-    assert rows(spark.read.parquet(out)) == rows(
-        jobs.build_daily_itineraries(spark, str(d / "cells"), str(d / "logs")))
+    assert rows(spark.read.parquet(out), "phone", "day", "itinerary") == rows(
+        jobs.build_daily_itineraries(spark, str(d / "cells"), str(d / "logs")), "phone", "day", "itinerary")
 
 
 def test_quote_aware_directory(spark, tmp_path):
@@ -147,6 +155,30 @@ def test_quote_aware_directory(spark, tmp_path):
     quoted = jobs.build_itineraries(spark, str(cells), str(logs), quote_aware=True).collect()
     assert [r.itinerary for r in positional] == ["i"]
     assert [r.itinerary for r in quoted] == ["Alpha"]
+    cells.write_text(cells.read_text() + "2,t,1\n")
+    with pytest.raises(Exception):
+        jobs.build_itineraries(spark, str(cells), str(logs), quote_aware=True, mode="fail").collect()
+
+
+def test_lookup_of_a_city_with_a_comma(spark, tmp_path):
+    cells, logs, daily = tmp_path / "cells.csv", tmp_path / "logs.txt", str(tmp_path / "daily")
+    cells.write_text('id,t,LAC,CELL,a,b,c,d,e,f,g,h,CITY\n1,t,1,1,a,b,c,d,e,f,g,h,"Paris, FR"\n')
+    logs.write_text("0,1,1,13800000001,2024-01-05 10:00:00\n")
+    jobs.build_daily_itineraries(spark, str(cells), str(logs), daily, quote_aware=True)
+    one = jobs.lookup(spark, daily, "13800000001", "2024-01-01", "2024-01-31").first()
+    assert (one.visited, one.n_visited) == ("Paris, FR", 1)
+
+
+def test_region_presets(spark, tmp_path):
+    p = tmp_path / "places.csv"
+    rows_ = [f"{110 + i % 9},{30 + i % 7},{'北京市' if i % 2 else '上海市'},中国" for i in range(60)]
+    p.write_text("\n".join(["LNG,LAT,REGION,COUNTRY", *rows_, "1,1,Atlantis,中国"]) + "\n")
+    assert jobs.train_regions(spark, str(p), params={"numTrees": 2}).prepared.count() == 61
+    with pytest.raises(Exception):
+        jobs.train_regions(spark, str(p), params={"numTrees": 2}, variant="original")
+    p.write_text("\n".join(["LNG,LAT,REGION,COUNTRY", *rows_]) + "\n")
+    res = jobs.train_regions(spark, str(p), params={"numTrees": 2}, variant="original")
+    assert res.accuracy.first().n == res.predictions.count()
 
 
 def test_region_job_with_the_province_dictionary(spark, tmp_path):

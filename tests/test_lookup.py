@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-from conftest import rows
+from conftest import no_broadcast, rows
 from tracelake.operators import (
     lookup_batch,
     lookup_itineraries,
@@ -102,7 +102,26 @@ def test_batch_rejects_without_lookup(spark, daily):
 
 def test_batch_broadcast_and_shuffled_agree(spark, daily):
     r = req(spark, [(i, "13800000001", f"2024-01-0{i}", "2024-01-07") for i in range(1, 8)])
-    assert rows(lookup_batch(daily, r)) == rows(lookup_batch(daily, r, broadcast_rows=0))
+    base = rows(lookup_batch(daily, r))
+    with no_broadcast(spark):
+        assert rows(lookup_batch(daily, r)) == base
+
+
+def test_city_with_a_comma_is_one_city(spark):
+    daily = spark.createDataFrame([("13800000001", "2024-01-05", "Oslo,Paris, FR", ["Oslo", "Paris, FR"])],
+                                  "phone string, day string, itinerary string, cities array<string>")
+    one = by_id(lookup_batch(daily, req(spark, [(1, "13800000001", "2024-01-01", "2024-01-09")])))[1]
+    assert (one.visited, one.n_visited) == ("Oslo,Paris, FR", 2)
+    single = lookup_one(daily, "13800000001", "2024-01-01", "2024-01-09").first()
+    assert (single.visited, single.n_visited) == ("Oslo,Paris, FR", 2)
+    text = by_id(lookup_batch(daily, req(spark, [(1, "13800000001", "2024-01-01", "2024-01-09")]), level="day_text"))[1]
+    assert (text.visited, text.n_visited) == ("Oslo,Paris, FR", 1)
+
+
+def test_text_request_ids_stay_apart(spark, daily):
+    r = spark.createDataFrame([("A1", "13800000001", "2024-01-05", "2024-01-05"), ("A2", "13800000001", "2024-01-05", "2024-01-05")],
+                              "request_id string, phone string, start string, end string")
+    assert sorted(x.request_id for x in lookup_batch(daily, r).collect()) == ["A1", "A2"]
 
 
 def test_lookup_one_matches_batch(spark, daily):

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, no_broadcast
 from tracelake.operators import itineraries, lookup_batch, lookup_one
 from tracelake.plans import fixtures as fx
 from tracelake.plans.catalog import MODEL_QUERIES, QUERIES
@@ -20,19 +20,13 @@ def plan(df, mode=None):
     return buf.getvalue()
 
 
-@pytest.fixture()
-def no_auto_broadcast(spark):
-    # Only explicit, size-checked broadcasts remain.
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_tower_join_is_broadcast_after_check(spark, no_auto_broadcast):
+def test_small_directory_is_broadcast_once_its_size_is_known(spark):
     df = itineraries(fx.trace_logs(spark, SF_SMALL), fx.towers(spark, SF_SMALL))
-    p = plan(df)
-    assert p.count("BroadcastHashJoin") == 1
+    df.collect()
+    p = plan(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in p
+    assert "BroadcastHashJoin [lac" in p and "SortMergeJoin [lac" not in p
+    p = plan(itineraries(fx.trace_logs(spark, SF_SMALL), fx.towers(spark, SF_SMALL)))
     # Distinct (phone, city) with a partial aggregate before the exchange,
     # then the gather on phone.
     assert re.search(r"HashAggregate\(keys=\[phone#\d+, city#\d+\], functions=\[\]\)\s*\n.*"
@@ -42,9 +36,9 @@ def test_tower_join_is_broadcast_after_check(spark, no_auto_broadcast):
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in p
 
 
-def test_shuffled_path_dedupes_logs_before_the_join(spark, no_auto_broadcast):
-    df = itineraries(fx.trace_logs(spark, SF_SMALL), fx.towers(spark, SF_SMALL), broadcast_rows=0)
-    p = plan(df)
+def test_logs_are_deduplicated_before_the_join(spark):
+    with no_broadcast(spark):
+        p = plan(itineraries(fx.trace_logs(spark, SF_SMALL), fx.towers(spark, SF_SMALL)))
     assert "BroadcastHashJoin" not in p
     assert "SortMergeJoin" in p
     assert re.search(r"HashAggregate\(keys=\[phone#\d+, lac#\d+, cell#\d+\], functions=\[\]\)", p)
@@ -65,10 +59,41 @@ def test_lookup_joins_on_phone_with_range_residual(spark):
     req = spark.createDataFrame([(1, "13800000001", "2024-01-01", "2024-01-09")],
                                 "request_id long, phone string, start string, end string")
     p = plan(lookup_batch(daily, req))
-    assert re.search(r"BroadcastHashJoin \[_day_phone#\d+\], \[phone#\d+\], Inner, BuildRight, "
+    assert re.search(r"Join \[_day_phone#\d+\], \[phone#\d+\], Inner, (BuildRight, )?"
                      r"\(\(day#\d+ >= start#\d+\) AND \(day#\d+ <= end#\d+\)\)", p)
     # Requests without a hit come from the same aggregate: no join back.
-    assert "SortMergeJoin" not in p and p.count("Join") == 1
+    assert p.count("Join") == 1
+
+
+def test_lookup_plan_does_not_depend_on_the_number_of_requests(spark, tmp_path):
+    daily = spark.createDataFrame([("13800000001", "2024-01-05", "A")],
+                                  "phone string, day string, itinerary string")
+    shapes = []
+    for n in (10, 1000):
+        path = str(tmp_path / f"requests{n}")
+        spark.range(n).selectExpr("id request_id", "'13800000001' phone", "'2024-01-01' start", "'2024-01-09' end").write.parquet(path)
+        p = plan(lookup_batch(daily, spark.read.parquet(path)))
+        shapes.append(re.sub(r"requests\d+|#\d+L?|plan_id=\d+|\d+", "", p))
+    assert shapes[0] == shapes[1]
+
+
+def test_building_a_query_starts_no_job(spark):
+    sc = spark.sparkContext
+    for name, fn in QUERIES.items():
+        if name in MODEL_QUERIES:
+            continue
+        sc.setJobGroup(f"build {name}", name)
+        fn(spark, SF_SMALL)
+        # Reading a Parquet file's schema is Spark's own one-task job.
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(f"build {name}")]
+        stages = [sc.statusTracker().getStageInfo(s) for j in jobs if j for s in j.stageIds]
+        assert all(s.numTasks == 1 and "parquet" in s.name for s in stages if s), (name, stages)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_each_line_is_split_once(spark):
+    p = plan(QUERIES["parse_logs"](spark, SF_SMALL), "extended").split("== Physical Plan ==")[1]
+    assert p.count("split(") == 1 and "regexp_replace" not in p
 
 
 def test_single_lookup_pushes_key_range_to_scan(spark, tmp_path):
@@ -83,7 +108,9 @@ def test_single_lookup_pushes_key_range_to_scan(spark, tmp_path):
         assert f in pushed
 
 
-def test_hot_tower_is_split_by_adaptive_skew_join(spark):
+@pytest.mark.parametrize("cells_mode", ["all", "one"])
+@pytest.mark.parametrize("unmatched", ["drop", "null_text"])
+def test_hot_tower_is_split_by_adaptive_skew_join(spark, cells_mode, unmatched):
     from pyspark.sql import functions as F
 
     from conftest import rows
@@ -108,7 +135,7 @@ def test_hot_tower_is_split_by_adaptive_skew_join(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        df = itineraries(logs, cells, broadcast_rows=0)
+        df = itineraries(logs, cells, cells_mode=cells_mode, unmatched=unmatched)
         got = rows(df)
         final = plan(df)
     finally:
@@ -119,23 +146,5 @@ def test_hot_tower_is_split_by_adaptive_skew_join(spark):
                 spark.conf.set(k, v)
     assert "isFinalPlan=true" in final
     assert "SortMergeJoin(skew=true)" in final
-    assert got == rows(itineraries(logs, cells))
+    assert got == rows(itineraries(logs, cells, cells_mode=cells_mode, unmatched=unmatched))
 
-
-def test_small_batch_filters_daily_by_phone(spark, tmp_path):
-    from conftest import rows
-
-    daily = spark.createDataFrame(
-        [(f"1380000000{i}", "2024-01-05", f"C{i}") for i in range(10)],
-        "phone string, day string, itinerary string")
-    path = str(tmp_path / "daily")
-    write_table(daily, path, ["phone", "day"])
-    req = spark.createDataFrame([(1, "13800000003", "2024-01-01", "2024-01-09"),
-                                 (2, "13800000007", "2024-01-01", "2024-01-09")],
-                                "request_id long, phone string, start string, end string")
-    table = read_table(spark, path)
-    pruned = lookup_batch(table, req)
-    p = plan(pruned, "formatted")
-    pushed = re.search(r"PushedFilters: \[(.*?)\]\n", p).group(1)
-    assert "In(phone" in pushed or "phone IN" in pushed or "Or(EqualTo(phone" in pushed
-    assert rows(pruned) == rows(lookup_batch(table, req, prune_phones=0))

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from conftest import SF_MID, SF_SMALL, rows
 from tracelake.operators import (
     accuracy,
+    accuracy_of_counts,
     assemble_coordinate,
+    confusion_counts,
     confusion_matrix,
     encode_regions,
     prepare_places,
@@ -109,6 +111,36 @@ def test_confusion_matrix_zero_cells(spark):
     assert accuracy(pairs.where(F.lit(False))).collect()[0].n == 0
 
 
+def test_split_fractions_and_null_keys(spark):
+    df = spark.range(0, 20000).selectExpr("case when id % 1000 = 7 then null else id end k")
+    for fraction in (0.0, 0.04, 0.75, 0.85, 0.95, 1.0):
+        train, test = split_by_key(df, "k", fraction)
+        n = train.count()
+        assert n + test.count() == 20000
+        assert test.where("k is null").count() == 0
+        assert abs(n - 20 - fraction * 19980) < 250
+
+
+def test_confusion_matrix_drops_pairs_without_a_truth(spark):
+    pairs = spark.createDataFrame([(0.0, 0.0), (None, 0.0), (1.0, None)], "label double, prediction double")
+    assert rows(confusion_matrix(pairs)) == [(0.0, 0.0, 1), (0.0, 1.0, 0), (1.0, 0.0, 0), (1.0, 1.0, 0)]
+    counts = confusion_counts(pairs)
+    assert counts.agg(F.sum("n")).first()[0] == 3
+    a, b = accuracy(pairs).first(), accuracy_of_counts(counts).first()
+    assert (a.n, a.accuracy) == (b.n, pytest.approx(b.accuracy))
+
+
+def test_forest_does_not_depend_on_how_the_rows_arrive(spark):
+    from tracelake.operators import predict, train_region_model
+
+    df = assemble_coordinate(encode_regions(
+        prepare_places(fx.places_text(spark, SF_SMALL), "home"), fx.region_labels(spark, SF_SMALL)))
+    first = train_region_model(df.repartition(2), 25, {"numTrees": 5})
+    second = train_region_model(df.repartition(7), 25, {"numTrees": 5})
+    assert first.toDebugString.split("\n", 1)[1] == second.toDebugString.split("\n", 1)[1]
+    assert rows(predict(first, df, ["c_custkey"])) == rows(predict(second, df, ["c_custkey"]))
+
+
 def test_random_split_option(spark):
     df = spark.range(0, 1000).withColumnRenamed("id", "k")
     train, test = split_by_key(df, "k", method="random", seed=42)

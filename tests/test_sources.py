@@ -48,9 +48,34 @@ def test_header_per_file(spark, cell_dir):
     ])
 
 
+def test_header_per_file_is_the_line_at_offset_zero(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("\nr1\nr2\n")
+    (tmp_path / "b.txt").write_text("h\n\nr3\n")
+    (tmp_path / "c.txt").write_text("")
+    got = rows(read_lines(spark, str(tmp_path), header="per_file"))
+    assert got == [("",), ("r1",), ("r2",), ("r3",)]
+    # Splits of one file: only the first one has the line at offset 0.
+    (tmp_path / "d.txt").write_text("h\n" + "".join(f"row {i}\n" for i in range(2000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        df = read_lines(spark, str(tmp_path / "d.txt"), header="per_file")
+        assert df.rdd.getNumPartitions() > 3
+        assert df.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_first_value_is_of_the_first_path_whatever_the_sizes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("HEAD_A\nx\nHEAD_B\n")
+    (tmp_path / "b.csv").write_text("HEAD_B\n" + "y\n" * 500)
+    got = {r.value for r in read_lines(spark, str(tmp_path), header="first_value").collect()}
+    assert got == {"x", "y", "HEAD_B"}
+
+
 def test_header_by_first_value(spark, cell_dir):
-    # The first line of the input (from the larger file) is dropped wherever
-    # it occurs; the other file's header stays in as data.
+    # The first line of the first file is dropped wherever it occurs; the
+    # other file's header stays in as data.
     got = rows(read_cells(spark, cell_dir, header="first_value"))
     assert got == sorted([
         ("1", "17", "CityA"), ("11", "7", "CityB"), ("2", "3", ""), ("2", "6", "i"),
@@ -65,6 +90,10 @@ def test_header_none_keeps_everything(spark, cell_dir):
 def test_quote_aware_cells(spark, cell_dir):
     got = dict(((r.lac, r.cell), r.city) for r in read_cells_csv(spark, f"{cell_dir}/a.csv").collect())
     assert got[("2", "6")] == "CityC"
+    with pytest.raises(Exception):
+        read_cells_csv(spark, f"{cell_dir}/a.csv", mode="fail").collect()
+    kept = rows(read_cells_csv(spark, f"{cell_dir}/b.csv", header="none"))
+    assert ("lac", "cell", "city") in kept
 
 
 def test_cell_field_counts(spark):

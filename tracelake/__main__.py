@@ -40,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--requests", help="CSV of request_id,phone,start,end")
     p.add_argument("--out")
     p.add_argument("--level", default="city", choices=["city", "day_text"])
-    p.add_argument("--strict", action="store_true")
+    p.add_argument("--strict", action="store_true", help="dates must be real calendar dates")
 
     p = sub.add_parser("regions")
     p.add_argument("--places", required=True)
@@ -48,9 +48,15 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--key", default=None)
     p.add_argument("--out", default=None)
     p.add_argument("--show", action="store_true",
-                   help="print a preview of the training rows, the predictions and the matrix")
+                   help="print a preview of the prepared rows and the predictions, and the matrix's counts")
+    p.add_argument("--variant", default="default", choices=["default", "original"])
 
     args = ap.parse_args(argv)
+    if args.job == "lookup":
+        if args.requests and not args.out:
+            ap.error("lookup --requests needs --out, the table to write the answers to")
+        if not args.requests and not (args.phone and args.start and args.end):
+            ap.error("lookup needs --phone, --start and --end, or --requests and --out")
 
     from tracelake.plans import jobs
     from tracelake.session import get_session
@@ -76,9 +82,10 @@ def main(argv: list[str] | None = None) -> int:
             req = spark.createDataFrame([(0, args.phone, args.start, args.end)],
                                         "request_id long, phone string, start string, end string")
             checked = validate_requests(req).first()
-            if not checked.valid:
-                print(json.dumps({"valid": False, "phone_ok": checked.phone_ok,
-                                  "start_ok": checked.start_ok, "end_ok": checked.end_ok}))
+            if not checked.valid or (args.strict and not checked.calendar_ok):
+                print(json.dumps({"valid": checked.valid, "phone_ok": checked.phone_ok,
+                                  "start_ok": checked.start_ok, "end_ok": checked.end_ok,
+                                  "calendar_ok": checked.calendar_ok}))
                 return 2
             row = jobs.lookup(spark, args.daily, checked.phone, checked.start, checked.end,
                               args.level).first()
@@ -87,10 +94,12 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from tracelake import schemas
         res = jobs.train_regions(spark, args.places, country=args.country or schemas.DEFAULT_COUNTRY,
-                                 key=args.key, out_dir=args.out)
+                                 key=args.key, out_dir=args.out, variant=args.variant)
         if args.show:
+            res.prepared.select("region", "lng", "lat").show()
             res.predictions.show()
-            res.confusion.orderBy("label", "prediction").show(1000)
+            for row in res.counts.orderBy("label", "prediction").toLocalIterator():
+                print(json.dumps(row.asDict()))
         acc = res.accuracy.first()
         print(json.dumps({"accuracy": acc.accuracy, "n": acc.n}))
     return 0

@@ -6,7 +6,7 @@ it stays inside whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The field separator of both inputs and the separator of the
@@ -26,10 +26,28 @@ def java_split(line: Column | str, sep: str = FIELD_SEP) -> Column:
     """Split like ``String.split(sep)`` in Java: trailing empty fields go.
 
     Spark's ``split`` keeps trailing empties, so the run of separators at the
-    end of the line is removed first. ``sep`` is a literal single character.
+    end of the line is trimmed first. ``sep`` is a literal single character.
     """
     quoted = "\\" + sep if sep in ".$^|?*+()[]{}\\" else sep
-    return F.split(F.regexp_replace(_col(line), quoted + r"+\z", ""), quoted)
+    return F.split(F.rtrim(_col(line), F.lit(sep)), quoted)
+
+
+def split_lines(lines: DataFrame, value_col: str, min_fields: int, mode: str, what: str) -> DataFrame:
+    """Lines as rows with one array column ``parts``, each line split once.
+
+    Lines with fewer than ``min_fields`` fields are dropped, or fail the job
+    with ``mode="fail"``. The check sits inside a generator over the split
+    line: a filter above the split would be pushed below it by the optimizer
+    and split every line again.
+    """
+    split = F.array(java_split(value_col))
+    if mode == "fail":
+        # No filter placed before it can skip the check: the fields come from it.
+        text = F.concat(F.lit(f"{what} line with too few fields: "), F.col(value_col))
+        kept = F.transform(split, lambda p: F.when(F.size(p) >= min_fields, p).otherwise(F.raise_error(text)))
+    else:
+        kept = F.filter(split, lambda p: F.size(p) >= min_fields)
+    return lines.select(F.explode(kept).alias("parts"))
 
 
 def field(parts: Column | str, index: int) -> Column:

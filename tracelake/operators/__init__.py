@@ -7,7 +7,6 @@ from tracelake.operators.itineraries import (  # noqa: F401
     distinct_pairs,
     itineraries,
 )
-from tracelake.operators.joins import bounded_broadcast  # noqa: F401
 from tracelake.operators.lookup import (  # noqa: F401
     answer_requests,
     lookup_batch,
@@ -16,7 +15,13 @@ from tracelake.operators.lookup import (  # noqa: F401
     rejected_requests,
     validate_requests,
 )
-from tracelake.operators.metrics import accuracy, confusion_counts, confusion_matrix  # noqa: F401
+from tracelake.operators.metrics import (  # noqa: F401
+    accuracy,
+    accuracy_of_counts,
+    confusion_counts,
+    confusion_matrix,
+    matrix_of_counts,
+)
 from tracelake.operators.regions import (  # noqa: F401
     assemble_coordinate,
     coordinate_array,

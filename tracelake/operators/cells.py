@@ -34,8 +34,12 @@ def tower_cities(cells: DataFrame, cells_mode: str = "all", strip: str = "quotes
     if cells_mode not in CELLS_MODES:
         raise ValueError(f"cells_mode must be one of {CELLS_MODES}, got {cells_mode!r}")
     if cells_mode == "one":
-        # Already one row per tower.
-        dim = cell_dimension(cells)
+        # Already one row per tower. Grouped by the pair as one value: its
+        # partitioning is of no use to the join, which then gets an exchange
+        # of its own that adaptive execution can split at a hot tower.
+        dim = (cells.where(F.col("city").isNotNull())
+               .groupBy(F.struct("lac", "cell").alias("tower")).agg(F.max("city").alias("city"))
+               .select("tower.lac", "tower.cell", "city"))
         return dim.withColumn("city", clean_city("city", strip)) if clean else dim
     dim = cells.where(F.col("city").isNotNull()).select("lac", "cell", "city")
     if clean:

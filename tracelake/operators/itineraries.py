@@ -1,17 +1,16 @@
 """Itineraries: the set of cities each phone (or phone and day) was seen in.
 
-Plan shape, chosen for very large logs and a comparatively small directory:
-
-* the tower → city side is deduplicated and, when its row count is within
-  the broadcast limit, broadcast: the join then runs inside the scan tasks
-  and the logs are never shuffled for it;
-* duplicates are removed by a distinct on (keys, city) whose partial
-  aggregate runs before the shuffle; only then are the cities of a key
-  gathered, so a phone seen a billion times gathers one row per distinct
-  city, wherever its logs were;
-* when the directory is too large to broadcast, the logs are first reduced
-  to distinct (keys, tower) rows — again with a map-side partial aggregate —
-  before the shuffled join, and adaptive execution splits a hot tower.
+Plan shape, the same at every size:
+
+* the logs are reduced to distinct (keys, tower) rows first, by a map-side
+  partial aggregate; the tower side is deduplicated;
+* the join is left to Spark: a small tower side is broadcast, by its file
+  size when planned or by its real size once it is computed (the logs' own
+  reduction takes longer, so that is known before they move); a larger one
+  is shuffled, and adaptive execution splits a hot tower;
+* duplicates are removed by a distinct on (keys, city) and only then are the
+  cities of a key gathered, so a phone seen a billion times gathers one row
+  per distinct city, wherever its logs were.
 """
 
 from __future__ import annotations
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 
 from tracelake.functions.text import ITINERARY_SEP, NULL_CITY, clean_city, sorted_join
 from tracelake.operators.cells import tower_cities
-from tracelake.operators.joins import bounded_broadcast
 from tracelake.sources.logs import with_day
 
 KEYS = ("columns", "concat")
@@ -38,8 +36,7 @@ def _check(name: str, value: str, allowed: Sequence[str]) -> None:
 
 def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = ("phone",),
                 key: str = "columns", unmatched: str = "drop", cells_mode: str = "all",
-                strip: str = "quotes", clean: bool = True,
-                broadcast_rows: int | None = None) -> DataFrame:
+                strip: str = "quotes", clean: bool = True) -> DataFrame:
     """Logs joined to the tower directory → ``(*group_keys, city)`` rows.
 
     ``key``: ``"columns"`` matches towers on (lac, cell); ``"concat"``
@@ -62,14 +59,8 @@ def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = (
     else:
         facts = logs.select(*group_keys, "lac", "cell")
         on = ["lac", "cell"]
-    # The directory's row count bounds the deduplicated side's.
-    dim, broadcast = bounded_broadcast(dim, broadcast_rows, bound=cells)
-    if not broadcast:
-        # Shuffled join: shrink the logs to distinct (keys, tower) rows first;
-        # the partial aggregate removes repeats before any data moves.
-        facts = facts.distinct()
     how = "inner" if unmatched == "drop" else "left"
-    joined = facts.join(dim, on, how)
+    joined = facts.distinct().join(dim, on, how)
     city = F.col("city")
     if unmatched == "null_text" and clean:
         city = F.coalesce(city, F.lit(NULL_CITY))
@@ -98,8 +89,7 @@ def _itineraries(visits: DataFrame, group_keys: list[str], unmatched: str, strip
 
 def itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
                 unmatched: str = "drop", cells_mode: str = "all", strip: str = "quotes",
-                dedupe: str = "cleaned", broadcast_rows: int | None = None,
-                with_cities: bool = False) -> DataFrame:
+                dedupe: str = "cleaned", with_cities: bool = False) -> DataFrame:
     """``(phone, itinerary)``: the distinct cities of each phone, sorted and
     joined with commas; with ``with_cities`` also the sorted ``cities`` array.
 
@@ -108,15 +98,14 @@ def itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
     """
     _check("dedupe", dedupe, DEDUPE)
     visits = city_visits(logs, cells, ["phone"], key, unmatched, cells_mode, strip,
-                         clean=dedupe == "cleaned", broadcast_rows=broadcast_rows)
+                         clean=dedupe == "cleaned")
     return _itineraries(visits, ["phone"], unmatched, strip, dedupe, with_cities)
 
 
 def daily_itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
                       unmatched: str = "null_text", cells_mode: str = "one",
                       strip: str = "quotes", dedupe: str = "cleaned",
-                      day_mode: str = "drop", broadcast_rows: int | None = None,
-                      with_cities: bool = False) -> DataFrame:
+                      day_mode: str = "drop", with_cities: bool = False) -> DataFrame:
     """``(phone, day, itinerary)``: cities per phone and calendar day.
 
     The day is the first ten characters of the timestamp text. Defaults
@@ -127,13 +116,12 @@ def daily_itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
     dated = with_day(logs, mode=day_mode)
     keys = ["phone", "day"]
     visits = city_visits(dated, cells, keys, key, unmatched, cells_mode, strip,
-                         clean=dedupe == "cleaned", broadcast_rows=broadcast_rows)
+                         clean=dedupe == "cleaned")
     return _itineraries(visits, keys, unmatched, strip, dedupe, with_cities)
 
 
 def distinct_pairs(logs: DataFrame, cells: DataFrame, key: str = "columns",
                    unmatched: str = "drop", cells_mode: str = "all",
-                   strip: str = "quotes", broadcast_rows: int | None = None) -> DataFrame:
+                   strip: str = "quotes") -> DataFrame:
     """Distinct ``(phone, city)`` rows: the itinerary before concatenation."""
-    return city_visits(logs, cells, ["phone"], key, unmatched, cells_mode, strip,
-                       broadcast_rows=broadcast_rows).distinct()
+    return city_visits(logs, cells, ["phone"], key, unmatched, cells_mode, strip).distinct()

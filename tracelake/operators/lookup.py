@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions.text import ITINERARY_SEP, full_match, java_trim, sorted_join
-from tracelake.operators.joins import bounded_broadcast
 from tracelake.sources.tables import key_range
 
 # The input patterns of the query form (phone of 11 digits,
@@ -23,10 +22,6 @@ DATE_PATTERN = r"\d{4}-\d{2}-\d{2}"
 DATE_FORMAT = "yyyy-MM-dd"
 
 LEVELS = ("city", "day_text")
-# A batch of at most this many requests also filters the daily side by their
-# phones, so a table sorted by phone skips row groups and a daily
-# table computed in the same plan is filtered before its aggregation.
-PRUNE_PHONES_MAX = 256
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
@@ -62,49 +57,41 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     )
 
 
-def _elements(level: str) -> Column:
-    if level == "city":
-        return F.explode(F.split("itinerary", ITINERARY_SEP))
-    return F.col("itinerary")
+def _elements(daily: DataFrame, level: str) -> Column:
+    """The elements of a daily row: its cities, or its whole text.
+
+    A table stored with its ``cities`` array gives them as they are; one
+    without has only the text, whose commas separate them.
+    """
+    if level not in LEVELS:
+        raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
+    if level == "day_text":
+        return F.array("itinerary")
+    return F.col("cities") if "cities" in daily.columns else F.split("itinerary", ITINERARY_SEP)
 
 
 def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
-                    accepted: str | None = None, level: str = "city",
-                    broadcast_rows: int | None = None,
-                    prune_phones: int = PRUNE_PHONES_MAX) -> DataFrame:
+                    accepted: str | None = None, level: str = "city") -> DataFrame:
     """One row per request: ``(*cols, visited, n_visited, found)``.
 
     ``requests`` must have ``request_id, phone, start, end`` among ``cols``
     and one row per ``request_id`` (two identical rows are answered once);
     only rows where the boolean column ``accepted`` is true (all rows when it
-    is None) are looked up. The requests side is broadcast when its size
-    allows; otherwise both sides shuffle on the phone and adaptive execution
-    splits a hot phone.
+    is None) are looked up. One plan at every size: Spark broadcasts the
+    requests when they are small; otherwise both sides shuffle on the phone
+    and adaptive execution splits a hot phone.
 
     Instead of joining the per-request sets back to the requests, every
     request contributes one row with a null element and every hit one row
     with its element; a single distinct + gather then yields all requests,
     including those without a hit, with one shuffle fewer.
-
-    When at most ``prune_phones`` requests are looked up, their phones (a
-    list bounded by that count) are collected and the daily side is filtered
-    by them before the join.
     """
-    if level not in LEVELS:
-        raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     req = requests.select(*cols)
-    looked = req.where(F.col(accepted)) if accepted else req
-    n_looked = looked.count()
-    side, _ = bounded_broadcast(looked, broadcast_rows, rows=n_looked)
-    days = daily.select(F.col("phone").alias("_day_phone"), "day", "itinerary")
-    if 0 < n_looked <= prune_phones:
-        # At most n_looked distinct phones: a bounded list.
-        phones = [r[0] for r in looked.where(F.col("phone").isNotNull())
-                  .select("phone").distinct().collect()]
-        days = days.where(F.col("_day_phone").isin(phones))
+    side = req.where(F.col(accepted)) if accepted else req
+    days = daily.select(F.col("phone").alias("_day_phone"), "day", _elements(daily, level).alias("_elements"))
     hits = days.join(side, (days["_day_phone"] == side["phone"])
                      & days["day"].between(side["start"], side["end"]))
-    hit_rows = hits.select(*[side[c] for c in cols], _elements(level).alias("element"))
+    hit_rows = hits.select(*[side[c] for c in cols], F.explode("_elements").alias("element"))
     base = req.select(*cols, F.lit(None).cast("string").alias("element"))
     # Distinct first (map-side partial aggregate), then gather: a request's
     # list is bounded by its distinct elements, however many days matched.
@@ -115,27 +102,24 @@ def answer_requests(daily: DataFrame, requests: DataFrame, cols: list[str],
                        n.alias("n_visited"), (n > 0).alias("found"))
 
 
-def lookup_itineraries(daily: DataFrame, requests: DataFrame, level: str = "city",
-                       broadcast_rows: int | None = None,
-                       prune_phones: int = PRUNE_PHONES_MAX) -> DataFrame:
+def lookup_itineraries(daily: DataFrame, requests: DataFrame, level: str = "city") -> DataFrame:
     """Answer every request: ``(request_id, phone, start, end, visited,
     n_visited, found)``.
 
-    ``daily``: ``(phone, day, itinerary)``. ``requests``: ``(request_id,
+    ``daily``: ``(phone, day, itinerary)`` and, where stored, the ``cities``
+    array (without it a city that holds a comma would count as two).
+    ``requests``: ``(request_id,
     phone, start, end)``, already valid, one row per ``request_id``. Both
     ends of the range are inclusive and compared as text. ``level="city"``
     gives the set of cities over the range; ``"day_text"`` the set of whole
     daily itinerary texts, as the original form printed. A request with no
     match gets ``visited = ''`` and ``found = false``.
     """
-    return answer_requests(daily, requests, ["request_id", "phone", "start", "end"],
-                           level=level, broadcast_rows=broadcast_rows,
-                           prune_phones=prune_phones)
+    return answer_requests(daily, requests, ["request_id", "phone", "start", "end"], level=level)
 
 
 def lookup_batch(daily: DataFrame, requests: DataFrame, level: str = "city",
-                 strict: bool = False, broadcast_rows: int | None = None,
-                 prune_phones: int = PRUNE_PHONES_MAX) -> DataFrame:
+                 strict: bool = False) -> DataFrame:
     """Validate, look up the accepted requests, and return one row per request.
 
     Requests that fail the shape checks are not looked up (``valid =
@@ -147,8 +131,7 @@ def lookup_batch(daily: DataFrame, requests: DataFrame, level: str = "city",
     checked = checked.select("request_id", "phone", "start", "end", "valid", ok.alias("_accepted"))
     out = answer_requests(daily, checked,
                           ["request_id", "phone", "start", "end", "valid", "_accepted"],
-                          accepted="_accepted", level=level, broadcast_rows=broadcast_rows,
-                          prune_phones=prune_phones)
+                          accepted="_accepted", level=level)
     return out.drop("_accepted")
 
 
@@ -162,10 +145,8 @@ def rejected_requests(requests: DataFrame, strict: bool = False) -> DataFrame:
 def lookup_one(daily: DataFrame, phone: str, start: str, end: str,
                level: str = "city") -> DataFrame:
     """One request: ``(visited, n_visited, found)`` for a phone and range."""
-    if level not in LEVELS:
-        raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     rows = key_range(daily, phone, start, end)
-    agg = rows.select(_elements(level).alias("element")).distinct().agg(
+    agg = rows.select(F.explode(_elements(daily, level)).alias("element")).distinct().agg(
         F.collect_list("element").alias("elements"))
     n = F.size("elements").cast("bigint")
     return agg.select(sorted_join(F.col("elements")).alias("visited"),

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest number of classes a dense matrix is built for. The class list is
-# the only thing that reaches the driver, so it must stay bounded.
-MAX_CLASSES = 10_000
-
 
 def accuracy(pairs: DataFrame, label_col: str = "label",
              prediction_col: str = "prediction") -> DataFrame:
@@ -28,20 +24,33 @@ def confusion_counts(pairs: DataFrame, label_col: str = "label",
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def confusion_matrix(pairs: DataFrame, label_col: str = "label",
-                     prediction_col: str = "prediction",
-                     max_classes: int = MAX_CLASSES) -> DataFrame:
-    """Dense matrix in long form: ``(label, prediction, n)``.
+def accuracy_of_counts(counts: DataFrame) -> DataFrame:
+    """``accuracy`` and ``n`` from a sparse matrix."""
+    hit = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(F.lit(0)))
+    n = F.coalesce(F.sum("n"), F.lit(0))
+    return counts.agg((hit / F.sum("n")).cast("double").alias("accuracy"), n.cast("bigint").alias("n"))
+
+
+def matrix_of_counts(counts: DataFrame) -> DataFrame:
+    """Dense matrix ``(label, prediction, n)`` from a sparse one.
 
     Rows and columns are the classes seen as truth, zero cells included; a
-    predicted class that never occurs as truth has no column (its pairs
-    still lower the accuracy).
+    predicted class that never occurs as truth has no column, and a pair
+    without a truth has no row (both still lower the accuracy). The output has a
+    cell for every two classes: that is what a dense matrix is. For very many
+    classes use ``confusion_counts``, whose size is that of the pairs that
+    occur.
     """
-    counts = confusion_counts(pairs, label_col, prediction_col)
-    truth = counts.select("label").distinct()
-    classes = [r["label"] for r in truth.orderBy("label").limit(max_classes + 1).collect()]
-    if len(classes) > max_classes:
-        raise ValueError(f"more than {max_classes} classes; a dense matrix is not sensible")
-    grid = truth.select("label", F.explode(F.array(*[F.lit(c) for c in classes])).alias("prediction"))
-    return (grid.join(counts, ["label", "prediction"], "left")
-            .select("label", "prediction", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")))
+    rows = (counts.where(F.col("label").isNotNull())
+            .groupBy("label").agg(F.collect_list(F.struct("prediction", "n")).alias("cells")))
+    # One row per class: the list of classes is as long as the table.
+    classes = (rows.withColumn("classes", F.collect_list("label").over(Window.partitionBy()))
+               .withColumn("prediction", F.explode("classes")))
+    hit = F.filter("cells", lambda c: c["prediction"] == F.col("prediction"))
+    return classes.select("label", "prediction", F.coalesce(F.get(hit, F.lit(0))["n"], F.lit(0).cast("bigint")).alias("n"))
+
+
+def confusion_matrix(pairs: DataFrame, label_col: str = "label",
+                     prediction_col: str = "prediction") -> DataFrame:
+    """Dense matrix in long form: see ``matrix_of_counts``."""
+    return matrix_of_counts(confusion_counts(pairs, label_col, prediction_col))

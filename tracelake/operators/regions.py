@@ -8,6 +8,7 @@ and scoring use ``pyspark.ml``'s distributed random forest.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -17,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake import schemas
-from tracelake.operators.joins import bounded_broadcast
 
 UNKNOWN_MODES = ("drop", "fail")
 
@@ -43,8 +43,7 @@ def prepare_places(places: DataFrame, country: str = schemas.DEFAULT_COUNTRY) ->
     return typed.where(F.col("lng").isNotNull() & F.col("lat").isNotNull())
 
 
-def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop",
-                   label_rows: int | None = None) -> DataFrame:
+def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop") -> DataFrame:
     """Attach the class number of each region from a fixed dictionary.
 
     Not ``StringIndexer``: that numbers by frequency, while the classes here
@@ -56,7 +55,7 @@ def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop",
     """
     if unknown not in UNKNOWN_MODES:
         raise ValueError(f"unknown must be one of {UNKNOWN_MODES}, got {unknown!r}")
-    lab, _ = bounded_broadcast(labels.select("region", "label"), rows=label_rows)
+    lab = labels.select("region", "label")
     if unknown == "drop":
         return places.join(lab, "region", "inner")
     joined = places.join(lab, "region", "left")
@@ -67,23 +66,23 @@ def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop",
          .cast("double"))
 
 
-def split_flag(key: str | Column, train_fraction: float = 0.8, buckets: int = 10) -> Column:
+def split_flag(key: str | Column, train_fraction: float = 0.8) -> Column:
     """True for the training part: a stable hash of the key, not a sample.
 
-    The first 32 bits of the key's MD5 modulo ``buckets``; reproducible in
-    any engine and unchanged by repartitioning or retries.
+    The first 32 bits of the key's MD5, below ``train_fraction`` of their
+    range; reproducible in any engine and unchanged by repartitioning or
+    retries. A row without a key belongs to the training part.
     """
     k = F.col(key) if isinstance(key, str) else key
     h = F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint")
-    return (h % buckets) < int(round(train_fraction * buckets))
+    return F.coalesce(h < math.floor(train_fraction * 2**32), F.lit(True))
 
 
 SPLIT_METHODS = ("hash", "random")
 
 
 def split_by_key(df: DataFrame, key: str | None, train_fraction: float = 0.8,
-                 buckets: int = 10, method: str = "hash",
-                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
+                 method: str = "hash", seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Train and test parts.
 
     ``method="hash"`` (default) uses ``split_flag`` on ``key``: the same rows
@@ -96,7 +95,7 @@ def split_by_key(df: DataFrame, key: str | None, train_fraction: float = 0.8,
     if method == "random":
         train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed)
         return train, test
-    flag = split_flag(key, train_fraction, buckets)
+    flag = split_flag(key, train_fraction)
     return df.where(flag), df.where(~flag)
 
 
@@ -118,27 +117,22 @@ def _label_with_classes(df: DataFrame, num_classes: int) -> DataFrame:
     return df.withColumn("label", F.col("label").alias("label", metadata=meta))
 
 
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # e.g. a Spark Connect session has no SparkContext
-        conf = spark.conf.get("spark.default.parallelism", None)
-        return int(conf or spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def train_region_model(train: DataFrame, num_classes: int, params: dict | None = None,
-                       partitions: int | None = None) -> RandomForestClassificationModel:
+                       partitions: int = schemas.FOREST_PARTITIONS) -> RandomForestClassificationModel:
     """Fit the forest on ``(label, coordinate)`` rows.
 
-    Every tree level scans the training rows, so they are spread evenly over
-    ``partitions`` (default: the cluster's default parallelism) — one
-    shuffle of the training part — then cached for the fit and released
-    afterwards. A lost executor recomputes its cached blocks from the plan.
+    The trees' samples follow the partitions, so the rows are dealt by hash
+    into ``partitions`` parts (a setting, not a property of the cluster) and
+    sorted within them: the same rows give the same forest on any number of
+    cores. Every tree level scans them, so they are cached for the fit; a
+    lost executor recomputes its blocks from the plan. Raise ``partitions``
+    with the training set (about a million rows each).
     """
     p = dict(schemas.FOREST_PARAMS)
     p.update(params or {})
-    n = partitions or _parallelism(train.sparkSession)
-    rows_ = train.select("label", "coordinate").repartition(n)
+    place = train.select("label", "coordinate", vector_to_array("coordinate").alias("at"))
+    rows_ = (place.repartition(partitions, "label", "at").sortWithinPartitions("label", "at")
+             .select("label", "coordinate"))
     data = _label_with_classes(rows_, num_classes).cache()
     try:
         forest = RandomForestClassifier(labelCol="label", featuresCol="coordinate", **p)
@@ -158,20 +152,18 @@ def predict(model: RandomForestClassificationModel, df: DataFrame,
 def fit_regions(places_text: DataFrame, labels: DataFrame, key: str,
                     country: str = schemas.DEFAULT_COUNTRY, train_fraction: float = 0.8,
                     params: dict | None = None, num_classes: int | None = None,
-                    split_method: str = "hash"
+                    split_method: str = "hash", unknown: str = "drop"
                     ) -> tuple[RandomForestClassificationModel, DataFrame]:
     """Prepare, encode, split, train and score: returns the model and the
     test predictions ``(key, label, prediction)``.
 
     ``num_classes`` defaults to the dictionary's highest class number + 1.
+    ``unknown`` as in ``encode_regions``, ``split_method`` as in
+    ``split_by_key``.
     """
-    # One pass over the dictionary: its size (for the broadcast check) and
-    # its highest class number.
-    stats = labels.agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("m")).first()
     if num_classes is None:
-        num_classes = int(stats["m"]) + 1
-    prepared = prepare_places(places_text, country)
-    encoded = assemble_coordinate(encode_regions(prepared, labels, label_rows=stats["n"]))
+        num_classes = int(labels.agg(F.max("label")).first()[0]) + 1
+    encoded = assemble_coordinate(encode_regions(prepare_places(places_text, country), labels, unknown))
     train, test = split_by_key(encoded, key, train_fraction, method=split_method)
     model = train_region_model(train, num_classes, params)
     return model, predict(model, test, keep=[key])

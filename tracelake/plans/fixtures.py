@@ -168,6 +168,8 @@ def places_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: the phone of the single lookup (user 7 of the event logs).
+ONE_PHONE = "10000000007"
 # Fixed value: the country the places fixture keeps.
 FIXTURE_COUNTRY = "home"
 

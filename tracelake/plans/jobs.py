@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 
 from tracelake import schemas
 from tracelake.operators import (
-    accuracy,
+    accuracy_of_counts,
     cell_dimension,
-    confusion_matrix,
+    confusion_counts,
     daily_itineraries,
+    fit_regions,
     itineraries,
     lookup_batch,
     lookup_one,
+    matrix_of_counts,
+    prepare_places,
     province_labels,
-    fit_regions,
 )
 from tracelake.sources.places import PLACE_COLUMNS
 from tracelake.sources import (
@@ -78,7 +80,7 @@ def load_inputs(spark: SparkSession, cells_path: str | None, logs_path: str,
     if cells_table:
         cells = read_table(spark, cells_table).select("lac", "cell", "city")
     elif opts.get("quote_aware"):
-        cells = read_cells_csv(spark, cells_path)
+        cells = read_cells_csv(spark, cells_path, header=opts["header"], mode=opts["mode"])
     else:
         cells = parse_cells(read_lines(spark, cells_path, header=opts["header"]),
                             mode=opts["mode"])
@@ -121,12 +123,14 @@ def build_daily_itineraries(spark: SparkSession, cells_path: str | None, logs_pa
                             out_path: str | None = None, variant: str = "mapreduce",
                             cells_table: str | None = None, **overrides) -> DataFrame:
     """(phone, day) → itinerary from the raw texts (the daily job's
-    behaviour by default); written ordered by (phone, day)."""
+    behaviour by default); written ordered by (phone, day). The ``cities``
+    array is kept beside the text: lookups read it, so a city that holds a
+    comma stays one city."""
     opts = _preset(variant, overrides)
     cells, logs = load_inputs(spark, cells_path, logs_path, opts, cells_table)
     result = daily_itineraries(logs, cells, key=opts["key"], unmatched=opts["unmatched"],
                                cells_mode=opts["cells_mode"], strip=opts["strip"],
-                               dedupe=opts["dedupe"], day_mode=opts["mode"])
+                               dedupe=opts["dedupe"], day_mode=opts["mode"], with_cities=True)
     if out_path:
         write_table(result, out_path, ["phone", "day"])
         return read_table(spark, out_path)
@@ -134,11 +138,9 @@ def build_daily_itineraries(spark: SparkSession, cells_path: str | None, logs_pa
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Requests CSV with a header ``request_id,phone,start,end`` (all text
-    except the id, which is a whole number)."""
-    raw = spark.read.option("header", True).csv(path)
-    return raw.select(F.col("request_id").try_cast("bigint").alias("request_id"),
-                      "phone", "start", "end")
+    """Requests CSV with a header ``request_id,phone,start,end``, all text
+    as read."""
+    return spark.read.option("header", True).csv(path).select("request_id", "phone", "start", "end")
 
 
 def answer_lookups(spark: SparkSession, daily_path: str, requests: DataFrame | str,
@@ -160,10 +162,20 @@ def lookup(spark: SparkSession, daily_path: str, phone: str, start: str, end: st
     return lookup_one(read_table(spark, daily_path), phone, start, end, level)
 
 
+# Option sets of the classifier: this library's choice, and the original's
+# (a region outside the dictionary fails the job; the split is a seeded sample).
+REGION_PRESETS: dict[str, dict] = {
+    "default": {"unknown": "drop", "split_method": "hash"},
+    "original": {"unknown": "fail", "split_method": "random"},
+}
+
+
 @dataclass
 class RegionResult:
     model: RandomForestClassificationModel
+    prepared: DataFrame
     predictions: DataFrame
+    counts: DataFrame
     confusion: DataFrame
     accuracy: DataFrame
 
@@ -171,9 +183,13 @@ class RegionResult:
 def train_regions(spark: SparkSession, places_path: str,
                   country: str = schemas.DEFAULT_COUNTRY, key: str | None = None,
                   labels: DataFrame | None = None, out_dir: str | None = None,
-                  params: dict | None = None) -> RegionResult:
+                  params: dict | None = None, variant: str = "default") -> RegionResult:
     """Read places, train the forest on 80 %, score the other 20 %.
 
+    With ``out_dir`` the predictions are written first and read back, so rows
+    are scored once; matrix and accuracy both come from one count of the
+    (truth, prediction) pairs. ``variant`` names one of ``REGION_PRESETS``.
+
     ``key`` names a column that identifies a row for the split; without one
     the split hashes the coordinates and region text together.
     """
@@ -188,13 +204,19 @@ def train_regions(spark: SparkSession, places_path: str,
     if labels is None:
         labels = province_labels(spark)
         num_classes = len(schemas.PROVINCE_LABELS)
+    if variant not in REGION_PRESETS:
+        raise ValueError(f"variant must be one of {sorted(REGION_PRESETS)}, got {variant!r}")
     model, pred = fit_regions(places, labels, key=key, country=country, params=params,
-                                  num_classes=num_classes)
-    result = RegionResult(model, pred, confusion_matrix(pred), accuracy(pred))
+                              num_classes=num_classes, **REGION_PRESETS[variant])
+    counts = confusion_counts(pred)
     if out_dir:
         base = out_dir.rstrip("/")
         model.write().overwrite().save(f"{base}/model")
         pred.write.mode("overwrite").parquet(f"{base}/predictions")
-        result.confusion.write.mode("overwrite").parquet(f"{base}/confusion")
-        result.accuracy.write.mode("overwrite").parquet(f"{base}/accuracy")
-    return result
+        pred = spark.read.parquet(f"{base}/predictions")
+        confusion_counts(pred).write.mode("overwrite").parquet(f"{base}/confusion_counts")
+        counts = spark.read.parquet(f"{base}/confusion_counts")
+        matrix_of_counts(counts).write.mode("overwrite").parquet(f"{base}/confusion")
+        accuracy_of_counts(counts).write.mode("overwrite").parquet(f"{base}/accuracy")
+    return RegionResult(model, prepare_places(places, country), pred, counts, matrix_of_counts(counts),
+                        accuracy_of_counts(counts))

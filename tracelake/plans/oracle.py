@@ -292,9 +292,33 @@ from prepared p join nation n on n.n_name = p.region""",
 
     "split_by_key": _with(_PLACES) + """
 select c_custkey,
-       cast('0x' || substr(md5(cast(c_custkey as string)), 1, 8) as bigint) % 10 < 8 train
+       cast('0x' || substr(md5(cast(c_custkey as string)), 1, 8) as bigint) < floor(0.8::double * 4294967296.0::double) train
 from prepared""",
 
+    "lookup_one": _with(_SUP, _EVENTS, _dim_one(), _DAILY, """
+elements as (
+  select distinct unnest(string_split(itinerary, ',')) element
+  from daily where phone = '10000000007' and day between '2024-01-01' and '2024-12-31')""") + """
+select coalesce(string_agg(element, ',' order by element), '') visited, count(*) n_visited, count(*) > 0 found
+from elements""",
+
+    "rejected_requests": _with(_REQUESTS) + """
+select request_id, phone, start, "end", phone_ok, start_ok, end_ok, valid, calendar_ok, ordered
+from checked where not (valid and calendar_ok)""",
+
+    "predict_region": _with(_PLACES) + """
+select p.c_custkey, cast(n.n_nationkey as double) as label, true in_dictionary
+from prepared p join nation n on n.n_name = p.region
+where cast('0x' || substr(md5(cast(c_custkey as string)), 1, 8) as bigint) >= floor(0.8::double * 4294967296.0::double)""",
+
+    "region_accuracy": _with(_PLACES) + """
+select count(*) n, true accurate
+from prepared p join nation n on n.n_name = p.region
+where cast('0x' || substr(md5(cast(c_custkey as string)), 1, 8) as bigint) >= floor(0.8::double * 4294967296.0::double)""",
+
+    "confusion_counts": _with(_PAIRS) + """
+select label, prediction, count(*) n from pairs group by label, prediction""",
+
     "assemble_coordinate": _with(_PLACES) + """
 select c_custkey, lng coord_lng, lat coord_lat from prepared""",
 

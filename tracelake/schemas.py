@@ -108,3 +108,6 @@ FOREST_PARAMS = {
     "featureSubsetStrategy": "auto",
     "seed": 42,
 }
+
+# Parts that the training rows are dealt into; the forest depends on it.
+FOREST_PARTITIONS = 16

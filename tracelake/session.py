@@ -7,15 +7,14 @@ settings this library relies on where the cluster has not set them.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 # Settings the operators are designed around: adaptive execution re-plans
 # joins and partition counts from real shuffle sizes and splits skewed join
 # partitions; the time zone is fixed so timestamp texts do not depend on the
-# machine. Applied only where the cluster (spark-defaults, submit options or
-# the builder) has not set them.
+# machine. Applied only where neither the cluster (spark-defaults, submit
+# options, the builder) nor the caller's session has set them.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -43,35 +42,13 @@ def get_session(master: str | None = None, app_name: str = "tracelake",
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    explicit = spark.sparkContext.getConf()
+    given = spark.conf.getAll
     for k, v in DEFAULTS.items():
-        if not explicit.contains(k):
+        if k not in given:
             spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local-mode session without one (tests) gets a scratch folder; a
-    cluster session without one is left as it is, because a machine-local
-    folder would not survive the loss of an executor.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            return None
-        configured = tempfile.mkdtemp(prefix="tracelake-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   min_partition_bytes: str = "64k") -> SparkSession:
     """Session for tests and the bench.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake import schemas
-from tracelake.functions.text import field, field_count, java_split
+from tracelake.functions.text import field, split_lines
 from tracelake.sources.lines import read_lines
 
 MODES = ("drop", "fail")
@@ -24,14 +24,7 @@ def parse_cells(lines: DataFrame, min_fields: int = schemas.CELL_MIN_FIELDS,
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    parts = java_split(value_col)
-    if mode == "fail":
-        # Part of the expression the fields come from (see parse_logs).
-        parts = F.when(field_count(parts) >= min_fields, parts).otherwise(
-            F.raise_error(F.concat(F.lit("cell line with too few fields: "), F.col(value_col))))
-    df = lines.select(parts.alias("parts"))
-    if mode == "drop":
-        df = df.where(field_count("parts") >= min_fields)
+    df = split_lines(lines, value_col, min_fields, mode, "cell")
     return df.select(*[field("parts", i).alias(name) for name, i in schemas.CELL_FIELDS.items()])
 
 
@@ -41,11 +34,23 @@ def read_cells(spark: SparkSession, path: str | list[str], header: str = "per_fi
     return parse_cells(read_lines(spark, path, header=header), **kwargs)
 
 
-def read_cells_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Quote-aware read of the same directory: fields 2, 3 and 12 by position."""
-    raw = spark.read.option("header", True).csv(path)
-    cols = raw.columns
-    if len(cols) < schemas.CELL_MIN_FIELDS:
-        raise ValueError(f"cell directory has {len(cols)} columns, need {schemas.CELL_MIN_FIELDS}")
-    return raw.select(*[F.col(f"`{cols[i]}`").alias(name)
-                        for name, i in schemas.CELL_FIELDS.items()]).where(F.col("city").isNotNull())
+def read_cells_csv(spark: SparkSession, path: str | list[str], header: str = "per_file",
+                   mode: str = "drop") -> DataFrame:
+    """Quote-aware read of the same directory: fields 2, 3 and 12 by position.
+
+    ``header`` as in ``read_lines``; a line without a city is dropped or,
+    with ``mode="fail"``, fails the job.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
+    width = max(schemas.CELL_FIELDS.values()) + 1
+    row = F.from_csv("value", ", ".join(f"f{i} string" for i in range(width)), {"mode": "PERMISSIVE"})
+    city = schemas.CELL_FIELDS["city"]
+    if mode == "fail":
+        short = F.raise_error(F.concat(F.lit("cell line without a city: "), F.col("value")))
+        kept = F.transform(F.array(row), lambda r: F.when(r[f"f{city}"].isNotNull(), r).otherwise(short))
+    else:
+        kept = F.filter(F.array(row), lambda r: r[f"f{city}"].isNotNull())
+    lines = read_lines(spark, path, header=header)
+    return (lines.select(F.explode(kept).alias("r"))
+            .select(*[F.col(f"r.f{i}").alias(name) for name, i in schemas.CELL_FIELDS.items()]))

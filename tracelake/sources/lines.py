@@ -2,19 +2,18 @@
 
 A path may be a file, a directory or a glob; Spark splits large files across
 tasks, so nothing here passes through the driver except, for
-``header="first_value"``, the single first line.
+``header="first_value"``, the first line of one file.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake import schemas
-
 HEADER_MODES = ("none", "per_file", "first_value")
-# A field separator that never occurs in text lines (see read_lines).
-LINE_SEP = "\u0001\u0002\u0003\u0004"
 
 
 def read_lines(spark: SparkSession, path: str | list[str], header: str = "none") -> DataFrame:
@@ -22,35 +21,40 @@ def read_lines(spark: SparkSession, path: str | list[str], header: str = "none")
 
     ``header``:
       * ``"none"``: every line is data (log files).
-      * ``"per_file"``: the first line of *each* file is dropped, whatever it
-        says (the offset-0 rule of the MapReduce cell job). Blank lines are
-        dropped as well; they could never pass the field-count rule.
+      * ``"per_file"``: the line at offset 0 of *each* file is dropped,
+        whatever it says, blank or not (the rule of the MapReduce cell job).
       * ``"first_value"``: every line, in any file, equal to the first line
-        of the input is dropped (the rule of the RDD cell job).
+        of the first file that has one, in order of path, is dropped (the
+        rule of the RDD cell job).
     """
     if header == "none":
         return spark.read.text(path)
     if header == "per_file":
-        # The CSV reader with quoting off and a separator that does not occur
-        # in text returns each line whole, and with header=True it skips the
-        # first line of every file it reads from offset 0. The separator is a
-        # run of four control characters: a single one occurring in a line
-        # would cut the line short.
-        return (spark.read.schema(schemas.LINES)
-                .option("header", True)
-                .option("sep", LINE_SEP)
-                .option("quote", "")
-                .option("escape", "")
-                .option("comment", "")
-                .option("ignoreLeadingWhiteSpace", False)
-                .option("ignoreTrailingWhiteSpace", False)
-                .option("nullValue", "\u0000")
-                .option("enforceSchema", True)
-                .csv(path))
+        placed = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+        return placed.mapInArrow(_drop_offset_zero, "value string")
     if header == "first_value":
         lines = spark.read.text(path)
-        first = lines.first()
-        if first is None:
-            return lines
-        return lines.where(F.col("value") != F.lit(first["value"]))
+        for name in sorted(lines.inputFiles()):
+            first = spark.read.text(name).first()
+            if first is not None:
+                return lines.where(F.col("value") != F.lit(first["value"]))
+        return lines
     raise ValueError(f"header must be one of {HEADER_MODES}, got {header!r}")
+
+
+def _drop_offset_zero(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop the first row of every split that starts at offset 0.
+
+    A task reads its splits one after the other and the lines of a split in
+    order, so a row whose (file, split) differs from the row before is the
+    first of its split. No built-in function sees that order without a
+    shuffle of the whole directory.
+    """
+    before = None
+    for batch in batches:
+        files, starts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        keep = []
+        for split in zip(files, starts):
+            keep.append(split == before or split[1] != 0)
+            before = split
+        yield batch.select([0]).filter(pa.array(keep, pa.bool_()))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake import schemas
-from tracelake.functions.text import day_of, field, field_count, java_split
+from tracelake.functions.text import day_of, field, split_lines
 from tracelake.sources.lines import read_lines
 
 MODES = ("drop", "fail")
@@ -23,15 +23,7 @@ def parse_logs(lines: DataFrame, min_fields: int = schemas.LOG_MIN_FIELDS,
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    parts = java_split(value_col)
-    if mode == "fail":
-        # The check is part of the expression the fields come from, so no
-        # filter placed before it by the optimizer can skip it.
-        parts = F.when(field_count(parts) >= min_fields, parts).otherwise(
-            F.raise_error(F.concat(F.lit("log line with too few fields: "), F.col(value_col))))
-    df = lines.select(parts.alias("parts"))
-    if mode == "drop":
-        df = df.where(field_count("parts") >= min_fields)
+    df = split_lines(lines, value_col, min_fields, mode, "log")
     out = df.select(*[field("parts", i).alias(name) for name, i in schemas.LOG_FIELDS.items()])
     return out.where(F.col("phone").isNotNull() & (F.col("phone") != ""))
 
