@@ -1,0 +1,81 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tracelake.llm import binpack
+from tracelake.llm.common import new_table
+from tests.llm.conftest import AWKWARD
+
+TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+
+
+@pytest.mark.parametrize("bits", [1, 2, 7, 15, 16, 17, 31, 32])
+def test_packing_round_trip_and_random_access(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 63, 64, 65, 1000):
+        ids = rng.integers(0, 1 << bits, n, dtype=np.uint64)
+        payload = binpack.pack(ids, bits)
+        assert len(payload) == -(-n // 64) * bits * 8
+        assert (binpack.unpack(payload, bits, 0, n) == ids).all()
+        for _ in range(10):
+            a, b = sorted(rng.integers(0, n + 1, 2))
+            assert (binpack.unpack(payload, bits, int(a), int(b)) == ids[a:b]).all()
+
+
+def test_word_encoder_equals_the_library_on_whole_texts():
+    rng = random.Random(4)
+    library = Tokenizer.from_file(TOKENIZER)
+    alphabet = ["a", "THE", "ing", " ", "\t", "\n", "'s", "'S", "’s", "é", "é", "É", "İ", "ǆ", "Σ", "ς", "中", "🙂", ".", ",", "!!", "7",
+                "<|endoftext|>", "<|", "|>", "\x00", "\x1f", "\x85", "\xa0", " ", "_", "don't", "x" * 70, "</w>"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(25))) for _ in range(1500)]
+    texts += [a[1] for a in AWKWARD if a[1]]
+    ids, ends = binpack.WordEncoder(TOKENIZER, 2).encode([t.encode() for t in texts])
+    start = 0
+    for text, end in zip(texts, ends):
+        assert ids[start:end].tolist() == library.encode(text, add_special_tokens=False).ids + [2], repr(text)
+        start = end
+
+
+def expected(rows):
+    """(doc_id, start, n_tokens, crc) in file order, from the library."""
+    library = Tokenizer.from_file(TOKENIZER)
+    start, out = 0, []
+    for doc_id, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_files_hold_documents_in_order(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    path = binpack.write_ids(docs.repartition(7), new_table(spark, "ids"), TOKENIZER, 2)
+    got = [tuple(r) for r in binpack.read_index(spark, path).orderBy("start").collect()]
+    want = expected((r["doc_id"], r["text"]) for r in docs.orderBy("doc_id").collect())
+    assert got == want
+    library = Tokenizer.from_file(TOKENIZER)
+    for r in docs.orderBy("n_chars").limit(3).collect():
+        found = binpack.read_document(spark, path, r["doc_id"])
+        assert [f.tolist() for f in found] == [library.encode(r["text"], add_special_tokens=False).ids + [2]]
+    blocks = spark.read.parquet(path)
+    assert {r["bits"] for r in blocks.select("bits").collect()} == {16}
+
+
+def test_many_short_documents(spark):
+    rows = [(i, "word " * (i % 37)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in binpack.write_and_index(docs, TOKENIZER, 2).orderBy("start").collect()]
+    assert got == expected(rows)
+
+
+def test_awkward_documents(awkward, empty):
+    rows = [tuple(r) for r in binpack.write_and_index(awkward, TOKENIZER, 2).orderBy("start").collect()]
+    ids = [r[0] for r in rows]
+    assert ids[:2] == [None, None] and ids[2:] == sorted(a[0] for a in AWKWARD if a[0] is not None)
+    sizes = sorted((str(d), n, c) for d, _, n, c in rows)
+    assert sizes == sorted((str(d), n, c) for d, _, n, c in expected((a[0], a[1]) for a in AWKWARD))
+    assert [r[1] for r in rows] == [sum(x[2] for x in rows[:i]) for i in range(len(rows))]
+    assert binpack.write_and_index(empty, TOKENIZER, 2).count() == 0
