@@ -44,6 +44,8 @@ def _n_chars(word: bytes) -> int:
 
 def _repeats(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of ``places``, those whose key occurs twice or more, and those whose key occurred before."""
+    if not len(keys):
+        return places, places
     order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
     later = np.r_[False, same]
