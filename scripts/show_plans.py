@@ -50,9 +50,9 @@ def main() -> None:
         print(f"### {name}\n\n```")
         print(plan_text(QUERIES[name](spark, args.sf)))
         print("```\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     print("### itineraries, directory above the broadcast limit\n\n```")
-    print(plan_text(itineraries(fx.trace_logs(spark, args.sf), fx.towers(spark, args.sf),
-                                broadcast_rows=0)))
+    print(plan_text(itineraries(fx.trace_logs(spark, args.sf), fx.towers(spark, args.sf))))
     print("```")
     spark.stop()
 
