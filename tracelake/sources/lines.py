@@ -31,7 +31,21 @@ def read_lines(spark: SparkSession, path: str | list[str], header: str = "none")
         return spark.read.text(path)
     if header == "per_file":
         placed = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-        return placed.mapInArrow(_drop_offset_zero, "value string")
+
+        def drop_offset_zero(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # A task reads its splits one after the other and the lines of a
+            # split in order, so a row whose (file, split) differs from the
+            # row before is the first of its split. No built-in function sees
+            # that order without a shuffle of the whole directory.
+            before = None
+            for batch in batches:
+                keep = []
+                for split in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    keep.append(split == before or split[1] != 0)
+                    before = split
+                yield batch.select([0]).filter(pa.array(keep, pa.bool_()))
+
+        return placed.mapInArrow(drop_offset_zero, "value string")
     if header == "first_value":
         lines = spark.read.text(path)
         for name in sorted(lines.inputFiles()):
@@ -41,20 +55,3 @@ def read_lines(spark: SparkSession, path: str | list[str], header: str = "none")
         return lines
     raise ValueError(f"header must be one of {HEADER_MODES}, got {header!r}")
 
-
-def _drop_offset_zero(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop the first row of every split that starts at offset 0.
-
-    A task reads its splits one after the other and the lines of a split in
-    order, so a row whose (file, split) differs from the row before is the
-    first of its split. No built-in function sees that order without a
-    shuffle of the whole directory.
-    """
-    before = None
-    for batch in batches:
-        files, starts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        keep = []
-        for split in zip(files, starts):
-            keep.append(split == before or split[1] != 0)
-            before = split
-        yield batch.select([0]).filter(pa.array(keep, pa.bool_()))
