@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut, running_total
+from tracelake.llm.common import cut, running_total, ship
 
 ROLES = ("system", "user", "assistant")
 #: States: 0 nothing yet, 1..3 the last turn was ROLES[state - 1].
@@ -174,6 +174,7 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
 
     ``inserted`` and ``closing`` list the empty turns put in front of the turn and behind the last one.
     """
+    ship(turns.sparkSession)
     clean = F.lower(F.trim(F.col(role)))
     number = F.lit(0)
     for i, name in enumerate(ROLES, 1):

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from collections.abc import Iterator
 from functools import reduce
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +21,23 @@ SLICE_BYTES = 8 << 20
 SLICE_ROWS = 4096
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, if it lies in a folder of the driver's.
+
+    Functions of a module are sent by name, and a worker can only import what
+    it has. Spark serves the archive itself; nothing is shared by path.
+    """
+    sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if getattr(sc, "_tracelake_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tracelake-")) / "tracelake.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._tracelake_shipped = True
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import crc32_of_id, cut, slices
+from tracelake.llm.common import crc32_of_id, cut, ship, slices
 from tracelake.llm.words import Numbering, mix64, sums
 
 ORDER = 5
@@ -264,6 +264,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         sample_docs: int = SAMPLE_DOCS) -> Model:
     """Train on the rows of ``docs`` that ``learn`` allows."""
+    ship(docs.sparkSession)
     known = docs.where(learn).where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & F.col(text).isNotNull())
     sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
     if not sizes:
@@ -311,6 +312,7 @@ def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "tex
 
 def with_language(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
     """``docs`` with a struct (lang, score, rejected) in column ``out``; lang is the best one even where rejected."""
+    ship(docs.sparkSession)
     key, shared = uuid4().hex, docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
     kind = [pa.field("lang", pa.string()), pa.field("score", pa.float64()), pa.field("rejected", pa.bool_())]
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import as_bytes, slices
+from tracelake.llm.common import as_bytes, ship, slices
 from tracelake.llm.words import BASE, Numbering, mix64, number_words, sums
 
 MIN_WORDS = 50
@@ -99,6 +99,7 @@ def measure(texts: list[bytes]) -> dict[str, np.ndarray]:
 
 def with_quality(docs: DataFrame, text: str = "text", out: str = "quality") -> DataFrame:
     """``docs`` with a struct of the measured counts in column ``out``."""
+    ship(docs.sparkSession)
     kind = pa.struct([(f, pa.int64()) for f in _FIELDS])
 
     @F.arrow_udf(", ".join(f"{f} long" for f in _FIELDS))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import LOWER, as_bytes, components, cut, slices
+from tracelake.llm.common import LOWER, as_bytes, components, cut, ship, slices
 
 SEED = 42
 BLOCKS = 5
@@ -78,6 +78,8 @@ def fingerprints(texts: list[bytes], shingle: int = 3) -> np.ndarray:
 
 def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = 3) -> DataFrame:
     """``docs`` with the fingerprint as a long (its 64 bits) in column ``out``."""
+    ship(docs.sparkSession)
+
     @F.arrow_udf("long")
     def fp(values: pa.Array) -> pa.Array:
         parts = [fingerprints(run, shingle).view(np.int64) for _, _, run in slices(values)]
@@ -176,6 +178,7 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int, block: int) -> Iterat
 
 def fingerprint_links(fps: DataFrame, radius: int = 2, blocks: int = BLOCKS, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between the distinct fingerprints in ``fps`` (column fp) that connect all within ``radius``."""
+    ship(fps.sparkSession)
     width = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
     start = [sum(width[:i]) for i in range(blocks)]
     masks = [sum((1 << width[i]) - 1 << start[i] for i in fields) for fields in combinations(range(blocks), blocks - radius)]

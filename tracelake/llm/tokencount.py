@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import as_bytes, slices
+from tracelake.llm.common import as_bytes, ship, slices
 from tracelake.llm.words import Numbering, number_words, sums
 
 MARK = "▁"
@@ -128,6 +128,7 @@ _COUNTERS: dict[tuple[int, bool], Counter] = {}
 def with_token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]], text: str = "text", out: str = "n_tokens",
                       byte_fallback: bool = True) -> DataFrame:
     """``docs`` with the number of tokens of each whole text in column ``out``."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary file
     key = hash((tuple(vocabulary), byte_fallback)), byte_fallback
 
