@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracelake.llm.binpack import pack, unpack
-from tracelake.llm.common import LOWER, as_bytes, crc32_of_id, shared_dir
+from tracelake.llm.common import LOWER, as_bytes, crc32_of_id, shared_dir, ship
 from tracelake.llm.words import Numbering, mix64, number_words, sums
 
 ALPHA = 0.1
@@ -53,7 +53,7 @@ CONTEXT_SHARE, CONTEXT_COUNT = 2e-4, 20
 NEXT_SHARE, NEXT_COUNT = 1e-5, 3
 #: ... and does so from this share and count of the pair (or triple) on.
 PAIR_SHARE, PAIR_COUNT = 1e-6, 3
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 10 << 20
 END = b""  # no word is empty
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, bits int, n int, "
@@ -170,6 +170,7 @@ def _bucketed(df: DataFrame, stem: str, buckets: int) -> DataFrame:
 def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Chunks of word numbers joined with the corpus counts of their words."""
     spark = docs.sparkSession
+    ship(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"),
                        as_bytes(text).alias("text"))
