@@ -9,7 +9,8 @@ out of the dictionaries, of its windows' weights.
 
 The toxic dictionary is the ordinary one with the toxic texts' own vocabulary
 behind it, so ordinary language costs the same under both and only toxic
-matter tells them apart. That vocabulary is contrastive: words, and beginnings
+matter tells them apart; ordinary windows that it shortens all the same are
+added to the ordinary part, in a few rounds. That vocabulary is contrastive: words, and beginnings
 of words, that follow significantly more different words in toxic texts than
 in ordinary ones (different predecessors, so that a text copied a thousand
 times counts once).
@@ -33,6 +34,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import LOWER, as_bytes, crc32_of_id, cut, slices
+from tracelake.llm.common import LOWER, as_bytes, crc32_of_id, cut, ship, slices
 
 TOXIC_SAMPLE = 2000
 ORDINARY_SAMPLE = 4000
@@ -54,7 +56,10 @@ TRAINING_WINDOWS = 30_000
 TOXIC_WORDS = 400
 MIN_SUPPORT = 5
 MIN_LIFT = 6.0
-MIN_Z = 6.0
+MIN_Z = 5.0
+#: Ordinary windows that the toxic dictionary shortens by HARD_GAIN bytes or more
+#: join the ordinary part of both: HARD_WINDOWS a round.
+HARD_GAIN, HARD_WINDOWS, HARD_ROUNDS = 3, 400, 2
 #: Lengths of word beginnings that are looked at beside whole words (bytes).
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
@@ -140,6 +145,15 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(text_windows(text), pa.binary())], names=["w"])
 
 
+def _hard_windows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            gains, windows = differences(text, model), text_windows(text)
+            at = np.flatnonzero(gains >= HARD_GAIN)
+            yield pa.RecordBatch.from_arrays([pa.array([windows[i] for i in at], pa.binary()), pa.array(gains[at], pa.int64())],
+                                             names=["w", "gain"])
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, learn: Column, toxic: int = TOXIC_SAMPLE,
                     ordinary: int = ORDINARY_SAMPLE) -> tuple[DataFrame, dict[int, int]]:
     """(text bytes, toxic, build) of the sampled documents, checkpointed, and the labelled rows of each class.
@@ -165,6 +179,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, learn: Column, toxic: in
 def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, toxic: int = TOXIC_SAMPLE,
         ordinary: int = ORDINARY_SAMPLE) -> Model:
     """Train on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
+    ship(docs.sparkSession)
     sample, totals = training_sample(docs, labels, F.lit(True) if learn is None else learn, toxic, ordinary)
     total = sum(totals.values())
     prior = round(totals.get(1, 0) / total, 6) if total else 0.0
@@ -194,8 +209,17 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, toxic:
         plain = zstandard.train_dictionary(DICTIONARY_BYTES, windows).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few samples for the trainer
         plain = b" ".join(windows)[-DICTIONARY_BYTES:] or b" " * 8
-    # The strongest words come last: nearest to the window, and cheapest to refer to.
-    model = Model(plain, plain + b"".join(reversed(vocabulary)), prior=prior, words=vocabulary)
+    def pair(ordinary: bytes) -> Model:
+        # The strongest words come last: nearest to the window, and cheapest to refer to.
+        return Model(ordinary, ordinary + b" " + b"".join(reversed(vocabulary)), prior=prior, words=vocabulary)
+
+    model = pair(plain)
+    for _ in range(HARD_ROUNDS):
+        hard = (build.where("toxic = 0").select("text").mapInArrow(partial(_hard_windows, model=model), "w binary, gain long")
+                .groupBy("w").agg(F.max("gain").alias("gain")).orderBy(F.desc("gain"), "w").limit(HARD_WINDOWS).collect())
+        if not hard:
+            break
+        model = pair(b" ".join(bytes(r["w"]) for r in reversed(hard)) + b" " + model.ordinary)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,6 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, toxic:
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
     """``docs`` with the score of each whole text (0 to 1) in column ``out``."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
 
     @F.arrow_udf("double")
