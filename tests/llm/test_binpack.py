@@ -39,6 +39,18 @@ def test_word_encoder_equals_the_library_on_whole_texts():
         start = end
 
 
+def test_forgetting_keeps_ids_right(monkeypatch):
+    monkeypatch.setattr(binpack, "REMEMBERED_WORDS", 40)
+    rng = random.Random(8)
+    encoder, library = binpack.WordEncoder(TOKENIZER, 2), Tokenizer.from_file(TOKENIZER)
+    for _ in range(30):
+        texts = [" ".join(rng.choice(["the", "Of", "and,"]) + f" w{rng.randrange(300)}" for _ in range(20)) for _ in range(3)]
+        ids, ends = encoder.encode([t.encode() for t in texts])
+        whole = [i for t in texts for i in [*library.encode(t, add_special_tokens=False).ids, 2]]
+        assert ids.tolist() == whole and ends[-1] == len(whole)
+    assert len(encoder.index) < 120
+
+
 def expected(rows):
     """(doc_id, start, n_tokens, crc) in file order, from the library."""
     library = Tokenizer.from_file(TOKENIZER)

@@ -29,7 +29,7 @@ and then the text; an empty table gives an empty file and no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracelake.llm.common import as_bytes, new_table, slices
+from tracelake.llm.common import as_bytes, new_table, ship, slices
 
 #: A block is closed when it holds this many ids (one document at least).
 BLOCK_IDS = 1 << 17
@@ -77,35 +77,69 @@ def unpack(payload: bytes, bits: int, start: int, stop: int) -> np.ndarray:
     return grid.ravel()[start - first * 64:stop - first * 64].astype(np.uint32)
 
 
+def _byte_letters() -> list[str]:
+    """The byte-level pre-tokenizer's character for every byte: itself where it prints, else one from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+
 class WordEncoder:
     """Ids of texts, word by word, with a memory of the words met."""
 
     def __init__(self, path: str, end_id: int):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
-        self.end_id = end_id
-        self.forget()
-
-    def forget(self) -> None:
+        self.letters = _byte_letters()
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids[0] for m in ".,"}
+        self.small: dict[str, tuple[int, ...]] = {}  # lower-case letters without a mark: shared by many words
+        self.direct = True
+        probes = ("Word", "\u00c9t\u00e9.", "a,", "I")
+        self.direct = all(list(self._word(w.encode())) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
         self.index: dict[bytes, int] = {}
-        self.cores: dict[str, list[int]] = {}
-        self.flat = np.array([self.end_id], np.uint32)  # entry 0 is the end of a document
-        self.starts = np.array([0], np.int64)
-        self.lengths = np.array([1], np.int64)
+        # Ids of word n: flat[starts[n]:][:lengths[n]]. Number 0 is the end of a document.
+        self.flat = np.array([end_id], np.uint32)
+        self.starts, self.lengths, self.uses = np.array([0], np.int64), np.array([1], np.int64), np.array([0], np.int64)
 
-    def _core(self, word: str) -> list[int]:
-        ids = self.cores.get(word)
+    def forget(self) -> None:
+        """Keep the words used more than once."""
+        self.small.clear()
+        keep = self.uses > 1
+        keep[0] = True
+        number = np.cumsum(keep) - 1
+        self.index = {w: int(number[n]) for w, n in self.index.items() if keep[n]}
+        lengths = self.lengths[keep]
+        starts = np.cumsum(lengths) - lengths
+        self.flat = self.flat[np.repeat(self.starts[keep] - starts, lengths) + np.arange(int(lengths.sum()))]
+        self.starts, self.lengths, self.uses = starts, lengths, np.zeros(len(lengths), np.int64)
+
+    def _letters(self, word: str) -> tuple[int, ...] | None:
+        """Ids of a word of Latin letters alone; None for any other.
+
+        Such a word is one piece for a tokenizer that lower-cases and splits
+        marks from letters (nothing to compose or to split), so the model is
+        asked directly. A tokenizer of another kind, as a few probes tell,
+        is always asked whole.
+        """
+        if not self.direct or not word.isalpha() or max(word) > "\u024f":
+            return None
+        small = word.lower() if word.isascii() else "".join(map(str.lower, word))  # letter by letter, as the tokenizer does
+        ids = self.small.get(small)
         if ids is None:
-            ids = self.cores[word] = self.tokenizer.encode(word, add_special_tokens=False).ids
+            if not small.isalpha():
+                return None
+            letters = small if small.isascii() else "".join(map(self.letters.__getitem__, small.encode()))
+            ids = self.small[small] = tuple([t.id for t in self.tokenizer.model.tokenize(letters)])
         return ids
 
-    def _word(self, word: bytes) -> list[int]:
-        # A run of ASCII letters with or without one mark behind it is split
-        # there by the tokenizer as well, so many words share their core.
+    def _word(self, word: bytes) -> Sequence[int]:
         text = word.decode()
-        if text.isascii() and len(text) > 1 and text[-1] in ".," and text[:-1].isalpha():
-            return self._core(text[:-1]) + self._core(text[-1])
-        return self._core(text) if text.isascii() and text.isalpha() else self.tokenizer.encode(text, add_special_tokens=False).ids
+        if len(text) > 1 and text[-1] in ".,":  # a mark behind letters is a piece of its own
+            ids = self._letters(text[:-1])
+            if ids is not None:
+                return (*ids, self.marks[text[-1]])
+        ids = self._letters(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids if ids is None else ids
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end ids included, and where each text ends."""
@@ -132,7 +166,9 @@ class WordEncoder:
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.flat = np.concatenate([self.flat, flat])
+            self.uses = np.concatenate([self.uses, np.zeros(len(ids), np.int64)])
         words = np.concatenate(rows) if rows else np.empty(0, np.int64)
+        self.uses += np.bincount(words, minlength=len(self.uses))
         lengths = self.lengths[words]
         stops = np.cumsum(lengths)
         total = int(stops[-1]) if len(stops) else 0
@@ -175,6 +211,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> str:
     """Encode ``docs`` and write the blocks to ``path``."""
+    ship(docs.sparkSession)
     order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
     rows = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), as_bytes(text).alias("text"))
             .withColumn("h", F.xxhash64("text"))
@@ -198,6 +235,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """One row per document, from the files: doc_id, start, n_tokens, ids_crc32."""
+    ship(spark)
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     # One row per part, however many blocks: as many as the writing job had tasks.
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
