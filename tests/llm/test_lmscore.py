@@ -131,3 +131,13 @@ def test_chunks_are_cut_by_size(spark, monkeypatch):
     flat, sizes = lmscore.number_words(texts, words, tail=99)
     assert sizes.tolist() == [4, 1, 3] and flat.tolist() == [0, 1, 0, 99, 99, 2, 3, 99]
     assert np.array_equal(lmscore.sums(flat, sizes), [100, 99, 104])
+
+
+def test_the_tree_grows_with_the_corpus(spark):
+    n = []
+    for sf in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+        _, _, states = lmscore.train(lmscore.encode(docs, lmscore.learned(), ~lmscore.learned()))
+        n.append([s.count() for s in states])
+    print(n)
+    assert n[1][0] > 2 * n[0][0] and n[1][1] > n[0][1]

@@ -2,8 +2,8 @@
 
 Symbols are words (A-Z lower-cased) and the end of a text. The root of the
 tree predicts with additively smoothed counts of all training text. Contexts
-of one and two words become states if they are frequent (``CONTEXT_SHARE`` of
-the training tokens) and pass a divergence test: the log-likelihood that their
+of one and two words become states if they occur ``CONTEXT_COUNT`` times and
+pass a divergence test: the log-likelihood that their
 own next-word distribution gains over that of their longest retained suffix
 must exceed half the logarithm of their count for each word they tell apart.
 A state's distribution is discounted and interpolated with its suffix's, so
@@ -14,12 +14,16 @@ end of the text before.
 Scale: a worker turns its documents into chunks of word numbers, written once
 to a bucketed table. Each chunk's distinct words go out by hash to be counted
 over all chunks, and the counts come back to the chunk, again bucketed, so
-that counting contexts and scoring read both without a shuffle. Only what is
-frequent relative to the corpus is gathered in one place: at most
-``1 / PAIR_SHARE`` continuations of each order (fewer in practice), whatever
-the size of the corpus. Words are known by a 64-bit hash. The two tables lie
-in the shared folder and are named tracelake_lm_*; they can be dropped when
-the result has been read.
+that counting contexts and scoring read both without a shuffle. The tree grows
+with the corpus and stays distributed: for each length of context in turn, a
+chunk's distinct continuations of contexts that occur often enough go out by
+hash of the context (a context of many occurrences to several parts, by hash
+of the next word), are counted there, the test of a context is an aggregate
+over its parts, and counts and retained states come back to the chunks in a
+bucketed table. The driver holds two numbers, the training tokens and their
+types. Words and contexts are known by a 64-bit hash. The tables lie in the
+shared folder and are named tracelake_lm_*; they can be dropped when the
+result has been read.
 
 Defined results: a null or empty text is the end alone; repeated rows count
 and score each on its own; rows of a null id are scored but not learned from;
@@ -29,9 +33,12 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import islice
+from operator import itemgetter
 from uuid import uuid4
 
 import numpy as np
@@ -47,43 +54,56 @@ from tracelake.llm.words import Numbering, mix64, number_words, sums
 
 ALPHA = 0.1
 DISCOUNT = 0.5
-#: A context is a candidate from this share of the training tokens on, and from this count.
-CONTEXT_SHARE, CONTEXT_COUNT = 2e-4, 20
-#: A word can follow a context from this share and count on ...
-NEXT_SHARE, NEXT_COUNT = 1e-5, 3
-#: ... and does so from this share and count of the pair (or triple) on.
-PAIR_SHARE, PAIR_COUNT = 1e-6, 3
+#: A context is a candidate from this count on, a word can follow it from this count on ...
+CONTEXT_COUNT, NEXT_COUNT = 20, 3
+#: ... and does so from this count of the pair (or triple) on.
+PAIR_COUNT = 3
+#: No threshold is a share of the corpus, else the tree would stop growing with it.
+CONTEXT_SHARE = NEXT_SHARE = PAIR_SHARE = 0.0
+#: Words of the longest contexts.
+DEPTH = 2
+#: Parts that continuations are dealt to, for each shuffle partition.
+PARTS = 4
+#: Blocks of continuations that leave a worker at once.
+BLOCKS = 64
 CHUNK_BYTES = 10 << 20
 END = b""  # no word is empty
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, bits int, n int, "
                 "tokens binary, hashes binary, learned binary")
+BLOCK_SCHEMA = "chunk long, part int, contexts binary, totals binary, sizes binary, next binary, n binary, lower binary"
+#: Answers to a block (chunk to asked), or a part's share of a context's sums (context to total).
+COUNTED_SCHEMA = ("chunk long, part int, data binary, asked array<bigint>, "
+                  "context long, gain double, seen long, expected double, size long, total long")
 
 
 @dataclass(frozen=True)
 class Model:
-    """Contexts (hash, weight of the suffix's distribution) and continuations (hash, own probability), sorted by hash."""
+    """Training tokens and types, and the number of parts that continuations are dealt to."""
 
     tokens: int
     types: int
-    contexts: np.ndarray
-    weights: np.ndarray
-    pairs: np.ndarray
-    own: np.ndarray
+    parts: int
 
 
 def one_word(h: np.ndarray) -> np.ndarray:
     return mix64(h ^ _ONE)
 
 
-def two_words(before: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return mix64(mix64(before ^ _TWO) + h)
+def longer(before: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Hash of a context with one more word before it."""
+    return mix64(mix64(before ^ _TWO) + context)
 
 
 def followed(context: np.ndarray, h: np.ndarray) -> np.ndarray:
     return mix64(context ^ mix64(h))
 
 
+def _pieces(total: np.ndarray, model: Model) -> np.ndarray:
+    """Parts that a context's continuations are spread over: more than one from a quarter of a part's tokens on."""
+    return total * (4 * model.parts) // max(1, model.tokens) + 1
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, held_out, learn, text) as chunks; the first word of every chunk's list is the end."""
     part, number = TaskContext.get().partitionId(), 0
@@ -159,11 +179,11 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(now, parts, types)
 
 
-def _bucketed(df: DataFrame, stem: str, buckets: int) -> DataFrame:
+def _table(df: DataFrame, stem: str, buckets: int = 0) -> DataFrame:
     spark = df.sparkSession
     name = f"tracelake_lm_{stem}_{uuid4().hex}"
-    (df.write.bucketBy(buckets, "chunk").option("path", f"{shared_dir(spark).rstrip('/')}/{name}")
-     .format("parquet").saveAsTable(name))
+    writer = df.write.bucketBy(buckets, "chunk") if buckets else df.write
+    writer.option("path", f"{shared_dir(spark).rstrip('/')}/{name}").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
@@ -174,14 +194,14 @@ def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"),
                        as_bytes(text).alias("text"))
-    chunks = _bucketed(rows.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks", buckets)
+    chunks = _table(rows.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks", buckets)
     words = chunks.select("chunk", "hashes", "learned").mapInArrow(_vocabulary, "chunk long, i int, h long, n long")
     word = Window.partitionBy("h")
     counted = (words.withColumn("c", F.sum("n").over(word))
                .withColumn("first", (F.row_number().over(word.orderBy("chunk")) == 1) & (F.col("c") > 0))
                .select("chunk", "i", "c", F.col("first").cast("int").alias("first"))
                .repartition(buckets, "chunk").sortWithinPartitions("chunk", "i"))
-    counts = _bucketed(counted.mapInArrow(_gather, "chunk long, counts binary, types long"), "counts", buckets)
+    counts = _table(counted.mapInArrow(_gather, "chunk long, counts binary, types long"), "counts", buckets)
     return chunks.drop("learned").join(counts.withColumnRenamed("chunk", "_chunk"), F.col("chunk") == F.col("_chunk")).drop("_chunk")
 
 
@@ -189,49 +209,16 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Decoded chunks."""
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-            words = unpack(row["tokens"], row["bits"], 0, row["n"]).astype(np.int64)
+            row = {}
+            for j, name in enumerate(batch.schema.names):
+                cell = batch.column(j)[i]
+                listed = name.startswith(("context_", "weight_")) and cell.is_valid
+                row[name] = cell.values.to_numpy() if listed else cell.as_py()
+            words = unpack(row["tokens"], row["bits"], 0, row["n"]).astype(np.int32)
             sizes = np.array(row["sizes"], np.int64)
             starts = np.cumsum(sizes) - sizes
-            one = np.r_[0, words[:-1]]  # the word before; the end (number 0) before the first
-            two = np.r_[0, one[:-1]]
-            one[starts] = 0
-            two[starts] = -1  # nothing two words before the first
-            second = starts[sizes > 1] + 1
-            two[second] = 0
-            yield row | {"words": words, "one": one, "two": two, "sizes": sizes, "h": np.frombuffer(row["hashes"], np.uint64),
-                         "c": np.frombuffer(row["counts"], np.int64)}
-
-
-def _count(batches: Iterator[pa.RecordBatch], context: int, follow: int, learned_only: bool) -> Iterator[pa.RecordBatch]:
-    """Counts of (order, context, next) in training text between frequent words of a chunk."""
-    for row in _rows(batches):
-        words, one, two, h, c = row["words"], row["one"], row["two"], row["h"], row["c"]
-        learn = np.repeat(~np.array(row["skip"], bool), row["sizes"]) if learned_only else np.ones(len(words), bool)
-        at = np.flatnonzero(learn & (c[words] >= follow) & (c[one] >= context))
-        size = np.int64(len(h))
-        pair, n = np.unique(one[at] * size + words[at], return_counts=True)
-        yield _counted(1, one_word(h[pair // size]), h[pair % size], n)
-        at = at[two[at] >= 0]
-        at = at[c[two[at]] >= context]
-        pairs, which = np.unique(two[at] * size + one[at], return_inverse=True)
-        triple, n = np.unique(which * size + words[at], return_counts=True)
-        p = pairs[triple // size] if len(pairs) else np.empty(0, np.int64)
-        yield _counted(2, two_words(h[p // size], h[p % size]), h[triple % size], n)
-
-
-def _counted(order: int, context: np.ndarray, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), order, np.int32)), pa.array(context.view(np.int64)),
-                                       pa.array(np.ascontiguousarray(h).view(np.int64)), pa.array(n.astype(np.int64))],
-                                      names=["k", "context", "h", "n"])
-
-
-def _frequent(batches: Iterator[pa.RecordBatch], follow: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            h, c = np.frombuffer(batch.column(0)[i].as_py(), np.int64), np.frombuffer(batch.column(1)[i].as_py(), np.int64)
-            at = np.flatnonzero(c >= follow)
-            yield pa.RecordBatch.from_arrays([pa.array(h[at]), pa.array(c[at])], names=["h", "c"])
+            yield row | {"words": words, "sizes": sizes, "starts": starts, "place": np.arange(len(words), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes),
+                         "h": np.frombuffer(row["hashes"], np.uint64), "c": np.frombuffer(row["counts"], np.int64)}
 
 
 def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -242,128 +229,192 @@ def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == wanted
 
 
-def grow(tokens: int, types: int, words: tuple[np.ndarray, np.ndarray], counted: dict[int, tuple], least: int = CONTEXT_COUNT) -> Model:
-    """The tree from frequent words (hash, count) and, by order, continuations (context, next, count).
+@dataclass
+class Order:
+    """Continuations of contexts of one length in a chunk: places of the tokens and the distinct (context, next) pairs by part."""
+
+    at: np.ndarray  # tokens that are frequent enough, behind a context that occurs often enough
+    total: np.ndarray  # of every token: how often its context occurs
+    contexts: np.ndarray  # hash of each context
+    context: np.ndarray  # of every pair: number of its context
+    next: np.ndarray  # of every pair: number of the next word
+    pair: np.ndarray  # of every token in ``at``: its pair
+    first: np.ndarray  # of every pair: a token that has it
+    part: np.ndarray  # of every pair, ascending
 
-    A context occurs ``least`` times or more; one of two words as often as its
-    words follow each other.
+
+def _dealt(row: dict, model: Model, at: np.ndarray, name: np.ndarray, hashes: np.ndarray, total: np.ndarray) -> Order:
+    h = row["h"]
+    key, first, pair = np.unique(name[at] * np.int64(len(h)) + row["words"][at], return_index=True, return_inverse=True)
+    context, following = (key // len(h)).astype(np.int32), (key % len(h)).astype(np.int32)
+    salt = mix64(h[following]) % _pieces(total[at[first]], model).astype(np.uint64)
+    part = (mix64(hashes[context] + salt) % np.uint64(model.parts)).astype(np.int32)
+    by = np.argsort(part, kind="stable")
+    back = np.empty(len(by), np.int32)
+    back[by] = np.arange(len(by))
+    return Order(at, total, hashes, context[by], following[by], back[pair], at[first][by], part[by])
+
+
+def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.ndarray]]:
+    """Orders 1 to ``depth`` of a chunk, each with the tokens' probabilities in the tree of shorter contexts; then None and the last.
+
+    An order is passed once its counts (parts_k) and states (context_k, weight_k) have come back to the chunk.
+    """
+    words, place, h, c = row["words"], row["place"], row["h"], row["c"]
+    p = (c[words] + ALPHA) / (model.tokens + ALPHA * (model.types + 1))
+    name = np.r_[np.int32(0), words[:-1]]  # of every token: number of its context; the end (number 0) before the first
+    name[row["starts"]] = 0
+    hashes, total = one_word(h), c[name]
+    for k in range(1, depth + 1):
+        behind = np.flatnonzero(total >= CONTEXT_COUNT)
+        if k > 1:
+            before = np.where(place[behind] == k - 1, 0, words[behind - k])
+            met, number = np.unique(name[behind] * np.int64(len(h)) + before, return_inverse=True)
+            hashes = longer(h[met % len(h)], hashes[met // len(h)])
+            name = np.full(len(words), -1, np.int32)
+            name[behind] = number
+            del before, met, number
+        order = _dealt(row, model, behind[c[words[behind]] >= NEXT_COUNT], name, hashes, total)
+        yield order, p
+        data = [np.frombuffer(zlib.decompress(x["data"]), np.int64) for x in row.pop(f"parts_{k}") or []]
+        n = np.concatenate([np.empty(0, np.int64), *data])
+        known, weight = (x if x is not None else np.empty(0, t) for x, t in ((row[f"context_{k}"], np.int64), (row[f"weight_{k}"], float)))
+        sort = np.argsort(known.view(np.uint64), kind="stable")
+        go, state = _at(known.view(np.uint64)[sort], hashes)
+        here = np.zeros(len(words), np.int64)
+        here[order.at] = n[order.pair]
+        tokens = behind[state[name[behind]]]
+        own = np.where(here[tokens] > 0, (here[tokens] - DISCOUNT) / total[tokens], 0.0)
+        p = p.copy()
+        p[tokens] = own + weight[sort][go[name[tokens]]] * p[tokens]
+        # The next longer context of a token occurs as often as this order's pair of the token before.
+        del order, n, data, own, tokens, behind
+        total = np.r_[0, here[:-1]]
+        total[row["starts"]] = 0
+    yield None, p
+
+
+def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa.RecordBatch]:
+    """The distinct continuations of order ``k``, one block for each part: contexts with their totals, next words with counts."""
+    for row in _rows(batches):
+        learn = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
+        order, p = next(islice(_orders(row, model, k), k - 1, None))
+        n = np.bincount(order.pair, weights=learn[order.at], minlength=len(order.part)).astype(np.int64)
+        lower, total = p[order.first].astype(np.float32), order.total[order.first]
+        following = row["h"][order.next]
+        cuts = np.r_[0, np.flatnonzero(order.part[1:] != order.part[:-1]) + 1, len(order.part)] if len(order.part) else [0]
+        kinds, blocks = (pa.int64(), pa.int32(), *[pa.binary()] * 6), []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            context = order.context[a:b]
+            new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+            blocks.append((row["chunk"], int(order.part[a]), order.contexts[context[new]].tobytes(), total[a:b][new].tobytes(),
+                           np.diff(np.r_[new, b - a]).tobytes(), following[a:b].tobytes(), n[a:b].tobytes(), lower[a:b].tobytes()))
+            if len(blocks) == BLOCKS or b == len(order.part):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
+                                                 names=["chunk", "part", "contexts", "totals", "sizes", "next", "n", "lower"])
+                blocks = []
+
+
+def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Blocks in order of their part: the corpus counts of every block's pairs, and the sums of the part's contexts."""
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.float64(), pa.int64(), pa.float64(),
+             pa.int64(), pa.int64())
+    names = ["chunk", "part", "data", "asked", "context", "gain", "seen", "expected", "size", "total"]
+
+    def count(blocks: list[tuple]) -> Iterator[pa.RecordBatch]:
+        contexts, totals, sizes, following, n, lower = (
+            [np.frombuffer(x, t) for x in column]
+            for column, t in zip(list(zip(*blocks))[2:], (np.uint64, np.int64, np.int64, np.uint64, np.int64, np.float32)))
+        size, each = np.concatenate(sizes), np.concatenate(contexts)
+        context, total = np.repeat(each, size), np.repeat(np.concatenate(totals), size)
+        _, first, pair = np.unique(followed(context, np.concatenate(following)), return_index=True, return_inverse=True)
+        sums_ = np.bincount(pair, weights=np.concatenate(n)).astype(np.int64)
+        sums_[sums_ < PAIR_COUNT] = 0
+        some = sums_ > 0
+        met, place, which = np.unique(context[first[some]], return_index=True, return_inverse=True)
+        few, expect = sums_[some], np.concatenate(lower)[first[some]].astype(float)
+        if len(met):
+            columns = (met.view(np.int64), np.bincount(which, few * np.log(few / expect)), np.bincount(which, few).astype(np.int64),
+                       np.bincount(which, expect), np.bincount(which), total[first[some]][place])
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(met), t) for t in kinds[:4]],
+                                              *[pa.array(x, t) for x, t in zip(columns, kinds[4:])]], names=names)
+        # A context of one part without a frequent continuation here has none.
+        asked = _at(met, each)[1] | (_pieces(np.concatenate(totals), model) > 1)
+        answers, a, e = sums_[pair], 0, 0
+        for block, rows, heads in zip(blocks, following, contexts):
+            row = (block[0], block[1], zlib.compress(answers[a:a + len(rows)].tobytes(), 1),
+                   heads[asked[e:e + len(heads)]].view(np.int64))
+            a, e = a + len(rows), e + len(heads)
+            yield pa.RecordBatch.from_arrays([*[pa.array([x], t) for x, t in zip(row, kinds)],
+                                              *[pa.nulls(1, t) for t in kinds[4:]]], names=names)
+
+    blocks: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            if blocks and blocks[-1][1] != row[1]:
+                yield from count(blocks)
+                blocks = []
+            blocks.append(row)
+    if blocks:
+        yield from count(blocks)
+
+
+def retained(counted: DataFrame) -> DataFrame:
+    """The contexts of one order that pass the divergence test, and the weight of their suffix's distribution."""
+    sums_ = (counted.where("context is not null").groupBy("context")
+             .agg(*[F.sum(x).alias(x) for x in ("gain", "seen", "expected", "size")], F.max("total").alias("total")))
+    rest, known = F.col("total") - F.col("seen"), F.least("expected", F.lit(1 - 1e-9))
+    gain = (F.col("gain") - F.col("seen") * F.log("total")
+            + F.when(rest > 0, rest * F.log(rest / F.col("total") / (1 - known))).otherwise(0.0))
+    return (sums_.where(gain > 0.5 * (F.col("size") + 1) * F.log("total"))
+            .select("context", (1 - (F.col("seen") - DISCOUNT * F.col("size")) / F.col("total")).alias("weight")))
+
+
+def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, list[DataFrame]]:
+    """Fit the tree on encoded chunks; documents marked held out are not learned from.
+
+    The chunks with the counts and states of every order, the sizes, and the retained contexts of every order.
     """
-    h, c = words
-    order = np.argsort(h, kind="stable")
-    h, c = h[order], c[order]
-    scale = tokens + ALPHA * (types + 1)
-    contexts, weights, pairs, own = (np.empty(0, t) for t in (np.uint64, float, np.uint64, float))
-    totals = {1: dict(zip(one_word(h).tolist(), c.tolist())), 2: {}}
-    suffix: dict[int, int] = {}
-    if 1 in counted:
-        parents = dict(zip(one_word(h).tolist(), h.tolist()))
-        first, nxt, n = counted[1]
-        before = np.array([parents[x] for x in first.tolist()], np.uint64)
-        for pair, tail, total in zip(two_words(before, nxt).tolist(), one_word(nxt).tolist(), n.tolist()):
-            totals[2][pair], suffix[pair] = total, tail
-    for k in (1, 2):
-        if k not in counted or not len(counted[k][0]):
-            continue
-        context, nxt, n = counted[k]
-        order = np.argsort(context, kind="stable")
-        context, nxt, n = context[order], nxt[order], n[order].astype(float)
-        ids, start, size = np.unique(context, return_index=True, return_counts=True)
-        total = np.array([totals[k].get(x, 0) for x in ids.tolist()], float)
-        place, known = _at(h, nxt)
-        lower = np.where(known, (c[place] + ALPHA) / scale, ALPHA / scale)
-        if k == 2:
-            tail = np.array([suffix.get(x, 0) for x in ids.tolist()], np.uint64)
-            at, state = _at(contexts, np.repeat(tail, size))
-            go, there = _at(pairs, followed(np.repeat(tail, size), nxt))
-            lower = np.where(state, np.where(there, own[go], 0.0) + weights[at] * lower if len(pairs) else lower, lower)
-        share = n / np.repeat(total, size).clip(1)
-        gain = np.add.reduceat(n * np.log(share / lower), start)
-        seen, expected = np.add.reduceat(n, start), np.add.reduceat(lower, start).clip(max=1 - 1e-9)
-        rest = (total - seen).clip(0)
-        gain += np.where(rest > 0, rest * np.log(np.where(rest > 0, rest, 1) / total.clip(1) / (1 - expected)), 0)
-        keep = (total >= least) & (gain > 0.5 * (size + 1) * np.log(total.clip(2)))
-        mine = np.repeat(keep, size)
-        p = (n - DISCOUNT) / np.repeat(total, size).clip(1)
-        weight = 1 - np.add.reduceat(np.where(mine, p, 0), start)
-        contexts, weights = np.concatenate([contexts, ids[keep]]), np.concatenate([weights, weight[keep]])
-        pairs, own = np.concatenate([pairs, followed(context, nxt)[mine]]), np.concatenate([own, p[mine]])
-        order = np.argsort(contexts, kind="stable")
-        contexts, weights = contexts[order], weights[order]
-        order = np.argsort(pairs, kind="stable")
-        pairs, own = pairs[order], own[order]
-    return Model(tokens, types, contexts, weights, pairs, own)
-
-
-def probabilities(model: Model, h: np.ndarray, c: np.ndarray, words: np.ndarray, one: np.ndarray,
-                  two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Root and suffix-tree probability of every token."""
-    base = (c[words] + ALPHA) / (model.tokens + ALPHA * (model.types + 1))
-    p = base.copy()
-    for k in (1, 2):
-        own = one_word(h)
-        if k == 1:
-            at, state = _at(model.contexts, own)
-            places = np.flatnonzero(state[one])
-            context, at = own[one[places]], at[one[places]]
-        else:
-            # A pair can be a context only if both words are frequent, and so are few.
-            some = c >= min(CONTEXT_COUNT, model.tokens)
-            places = np.flatnonzero((two >= 0) & some[one] & some[two])
-            context = two_words(h[two[places]], h[one[places]])
-            at, state = _at(model.contexts, context)
-            places, context, at = places[state], context[state], at[state]
-        go, there = _at(model.pairs, followed(context, h[words[places]]))
-        extra = np.where(there, model.own[go], 0.0) if len(model.own) else 0.0
-        p[places] = extra + model.weights[at] * p[places]
-    return base, p
-
-
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    buckets = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    types = encoded.agg(F.sum("types")).first()[0] or 0
+    ends = encoded.select("held_out", "sizes").select(F.explode(F.arrays_zip("held_out", "sizes")).alias("d"))
+    tokens = ends.where(F.col("d.held_out") == F.lit(False)).agg(F.sum("d.sizes")).first()[0] or 0
+    model, states = Model(int(tokens), int(types), PARTS * buckets), []
+    encoded = encoded.drop("types")
+    for k in range(1, depth + 1):
+        blocks = (encoded.drop("doc_ids").mapInArrow(partial(_ask, model=model, k=k), BLOCK_SCHEMA)
+                  .repartition(buckets, "part").sortWithinPartitions("part"))
+        counted = _table(blocks.mapInArrow(partial(_counted, model=model), COUNTED_SCHEMA), f"counted{k}")
+        answers = counted.where("chunk is not null")
+        states.append(retained(counted))
+        back = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("part", "data"))).alias(f"parts_{k}"))
+        kept = (answers.select("chunk", F.explode("asked").alias("asked")).join(states[-1], F.col("asked") == F.col("context"))
+                .groupBy("chunk").agg(F.collect_list(F.struct("context", "weight")).alias("s"))
+                .select("chunk", F.col("s.context").alias(f"context_{k}"), F.col("s.weight").alias(f"weight_{k}")))
+        level = _table(back.join(kept, "chunk", "left"), f"order{k}", buckets).withColumnRenamed("chunk", "_chunk")
+        encoded = encoded.join(level, F.col("chunk") == F.col("_chunk"), "left").drop("_chunk")
+    return encoded, model, states
+
+
+def _score(batches: Iterator[pa.RecordBatch], model: Model, depth: int) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
-        base, p = probabilities(model, row["h"], row["c"], row["words"], row["one"], row["two"])
-        sizes = row["sizes"]
+        sizes, starts, base = row["sizes"], row["starts"], None
+        for p in map(itemgetter(1), _orders(row, model, depth)):  # an order is not held on to
+            base = np.add.reduceat(np.log10(p), starts) if base is None else base
         yield pa.RecordBatch.from_arrays(
             [pa.array(row["doc_ids"], pa.int64()), pa.array(row["held_out"], pa.bool_()), pa.array(sizes),
              pa.array(sums((row["c"][row["words"]] > 0).astype(np.int64), sizes)),
              pa.array(np.full(len(sizes), model.tokens, np.int64)),
-             pa.array(np.add.reduceat(np.log10(base), np.cumsum(sizes) - sizes)),
-             pa.array(np.add.reduceat(np.log10(p), np.cumsum(sizes) - sizes))],
+             pa.array(base), pa.array(np.add.reduceat(np.log10(p), starts))],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-def train(encoded: DataFrame) -> Model:
-    """Fit the tree on encoded chunks; documents marked held out are not learned from."""
-    spark = encoded.sparkSession
-    types = encoded.agg(F.sum("types")).first()[0] or 0
-    ends = encoded.select("held_out", "sizes").select(F.explode(F.arrays_zip("held_out", "sizes")).alias("d"))
-    tokens = ends.where(F.col("d.held_out") == F.lit(False)).agg(F.sum("d.sizes")).first()[0] or 0
-    context = max(CONTEXT_COUNT, int(np.ceil(CONTEXT_SHARE * tokens)))
-    follow = max(NEXT_COUNT, int(np.ceil(NEXT_SHARE * tokens)))
-    least = max(PAIR_COUNT, int(np.ceil(PAIR_SHARE * tokens)))
-    # Everything gathered here is frequent: at most 1 / NEXT_SHARE words and 1 / PAIR_SHARE continuations of an order.
-    frequent = (encoded.select("hashes", "counts").mapInArrow(lambda it: _frequent(it, follow), "h long, c long")
-                .distinct().toPandas())
-    counted = (encoded.withColumn("skip", F.col("held_out"))
-               .select("bits", "n", "tokens", "hashes", "counts", "sizes", "skip")
-               .mapInArrow(lambda it: _count(it, context, follow, True), "k int, context long, h long, n long")
-               .groupBy("k", "context", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas())
-    by_order = {}
-    for k in (1, 2):
-        rows = counted[counted["k"] == k]
-        by_order[k] = tuple(np.ascontiguousarray(rows[x].to_numpy()) for x in ("context", "h", "n"))
-        by_order[k] = by_order[k][0].view(np.uint64), by_order[k][1].view(np.uint64), by_order[k][2]
-    words = (np.ascontiguousarray(frequent["h"].to_numpy(np.int64)).view(np.uint64), frequent["c"].to_numpy(np.int64))
-    del spark
-    return grow(int(tokens), int(types), words, by_order, context)
-
-
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out (not ``learn``), n_tokens, n_known, train_tokens, base_score, score."""
-    encoded = encode(docs, learn, ~learn, doc_id, text)
-    shared = docs.sparkSession.sparkContext.broadcast(train(encoded))
-    return (encoded.select("doc_ids", "held_out", "bits", "n", "tokens", "hashes", "counts", "sizes")
-            .mapInArrow(lambda it: _score(it, shared.value),
-                        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    encoded, model, _ = train(encode(docs, learn, ~learn, doc_id, text))
+    return encoded.mapInArrow(partial(_score, model=model, depth=DEPTH),
+                              "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                              "base_score double, score double")
 
 
 def learned(doc_id: str = "doc_id") -> Column:
