@@ -1,14 +1,14 @@
 """Operator 4: toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic
-text. A text is cut into word-aligned windows; a window that the toxic
+A zstandard dictionary is trained on ordinary text; the toxic dictionary is
+that one and a list of at most ``TOXIC_WORDS`` words. None is trained on toxic
+text, because that did worse on held-out texts (README). A text is cut into word-aligned windows; a window that the toxic
 dictionary shortens more than the ordinary one speaks for toxicity. The
 difference in compressed bytes is weighed by its log-odds in the two classes
 and a text's score is a logistic function, calibrated on labelled texts kept
 out of the dictionaries, of its windows' weights.
 
-The toxic dictionary is the ordinary one with the toxic texts' own vocabulary
-behind it, so ordinary language costs the same under both and only toxic
+The toxic texts' own vocabulary stands behind the ordinary dictionary, so ordinary language costs the same under both and only toxic
 matter tells them apart; ordinary windows that it shortens all the same are
 added to the ordinary part, in a few rounds. That vocabulary is contrastive: words, and beginnings
 of words, that follow significantly more different words in toxic texts than
