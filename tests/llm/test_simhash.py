@@ -117,3 +117,10 @@ def test_copies_and_near_copies(spark):
     rows += [(300, BASE, None, None, 0)] * 3
     got = as_rows(simhash.near_duplicates(spark.createDataFrame(rows, DOC_SCHEMA)))
     assert got == groups_by_hand(rows)
+
+
+def test_one_id_in_several_groups_stays_in_each(spark):
+    other = " ".join(f"word{i} stands{i % 7} here{i % 11}" for i in range(60))
+    rows = [(1, BASE, "en", "a", 1), (1, other, "en", "a", 1), (2, other, "en", "a", 1), (3, BASE, "en", "a", 1)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, DOC_SCHEMA)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, BASE), (1, other)])

@@ -201,14 +201,14 @@ def fingerprint_links(fps: DataFrame, radius: int = 2, blocks: int = BLOCKS, blo
 
 
 def _groups(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) per row, and (label_fp, root, component_id) per distinct fingerprint; both checkpointed."""
+    """(doc_id, fp) per row, and (label_fp, first, root, component_id) per distinct fingerprint; both checkpointed."""
     prints = cut(with_fingerprint(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
                                   "text", "fp", shingle).select("doc_id", "fp"))
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     groups = components(fingerprint_links(nodes.select("fp"), radius))
     rooted = nodes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints, cut(rooted.join(ids, "root").select(F.col("fp").alias("label_fp"), "root", "component_id"))
+    return prints, cut(rooted.join(ids, "root").select(F.col("fp").alias("label_fp"), "first", "root", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
@@ -222,12 +222,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """One document of each group stays: the one of smallest doc_id.
 
-    Of repeated rows with that doc_id one stays; in a group that has no
-    doc_id at all, one of its rows stays.
+    Of several rows of the group with that doc_id one of the smallest
+    fingerprint stays; in a group that has no doc_id at all, one of its rows
+    stays. A doc_id that lies in several groups can stay in each.
     """
     _, labels = _groups(docs, "doc_id", "text", shingle, radius)
-    keep = cut(labels.where("component_id is not null").select(F.col("component_id").alias("_keep")).distinct())
-    named = docs.join(keep, F.col("doc_id") == F.col("_keep")).select(docs.columns).dropDuplicates(["doc_id"])
+    keep = cut(labels.where("first = component_id").groupBy("root")
+               .agg(F.min("component_id").alias("_keep"), F.min("label_fp").alias("_keep_fp")).drop("root"))
+    ids = keep.select("_keep").distinct()
+    named = (with_fingerprint(docs.join(ids, F.col("doc_id") == F.col("_keep")).select(docs.columns), "text", "_fp", shingle)
+             .join(keep, (F.col("doc_id") == F.col("_keep")) & (F.col("_fp") == F.col("_keep_fp")))
+             .dropDuplicates(["doc_id", "_fp"]).select(docs.columns))
     free = labels.where("component_id is null").select("label_fp", "root")
     unnamed = (with_fingerprint(docs.where("doc_id is null"), "text", "_fp", shingle)
                .join(free, F.col("_fp") == F.col("label_fp")).dropDuplicates(["root"]).select(docs.columns))
