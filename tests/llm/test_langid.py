@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracelake.llm import langid
-from tests.llm.conftest import AWKWARD
+from tests.llm.conftest import AWKWARD, DOC_SCHEMA
 
 
 def counts(text):
@@ -99,3 +99,10 @@ def test_awkward_documents(awkward, empty, spark):
     assert langid.with_language(empty, model).count() == 0
     nothing = langid.fit(empty, F.lit(True))
     assert {r["lang"] for r in langid.with_language(awkward, nothing).select("language.lang").collect()} == {"und"}
+
+
+def test_a_language_of_one_document_is_learned(spark):
+    rows = [(i, "the quick brown fox jumps over the lazy dog", "en", "a", 1) for i in range(100, 130)]
+    rows += [(i, f"{chr(98 + i) * 3}oru {chr(98 + i) * 2}ami", f"x{i}", "a", 1) for i in range(16)]
+    model = langid.fit(spark.createDataFrame(rows, DOC_SCHEMA), F.lit(True))
+    assert set(model.languages) == {r[2] for r in rows}

@@ -44,6 +44,8 @@ ORDER = 5
 SAMPLE_DOCS = 400
 #: Sixteenths of the sample that are counted; the rest calibrates.
 COUNT_SHARE = 12
+#: A language of fewer counted documents than this calibrates nothing: all of its documents are counted.
+FEW_COUNTED = 3
 #: Probability floor of a character: uniform over this many.
 ALPHABET = 1 << 16
 REJECT_SD = 6.0
@@ -276,6 +278,10 @@ def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "tex
     sample = cut(known.where(place < share).select(
         F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"),
         (F.pmod(F.xxhash64(F.lit(3), doc_id), F.lit(16)) < COUNT_SHARE).alias("counted")))
+    # A language with few counted rows has all of its sample counted, and none left for calibration.
+    counted = {r["lang"]: r["n"] for r in sample.groupBy("lang").agg(F.sum(F.col("counted").cast("int")).alias("n")).collect()}
+    rare = [name for name, n in counted.items() if n < FEW_COUNTED]
+    sample = sample.withColumn("counted", F.col("counted") | F.col("lang").isin(rare))
     # Word counts of the sample, summed by Spark; their number is bounded by the sample's.
     counts: dict[str, dict[str, int]] = {}
     for row in (sample.where("counted").select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
