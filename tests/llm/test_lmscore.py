@@ -141,3 +141,12 @@ def test_the_tree_grows_with_the_corpus(spark):
         n.append([s.count() for s in states])
     print(n)
     assert n[1][0] > 2 * n[0][0] and n[1][1] > n[0][1]
+
+
+def test_longer_contexts_are_a_parameter(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"x{k} a b y{k}" for k in (rng.randrange(3) for _ in range(20))) for _ in range(40)]
+    df = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], DOC_SCHEMA)
+    total = [lmscore.score(df, F.lit(True), depth=d).agg(F.sum("score")).first()[0] for d in (2, 3)]
+    # Two words leave one of three next words open: log10(3) for each of the 800 passages.
+    assert total[1] - total[0] > 300

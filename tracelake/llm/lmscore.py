@@ -2,7 +2,8 @@
 
 Symbols are words (A-Z lower-cased) and the end of a text. The root of the
 tree predicts with additively smoothed counts of all training text. Contexts
-of one and two words become states if they occur ``CONTEXT_COUNT`` times and
+of one word to ``depth`` words (two unless told otherwise; a longer one is only
+looked at where it occurs often enough) become states if they occur ``CONTEXT_COUNT`` times and
 pass a divergence test: the log-likelihood that their
 own next-word distribution gains over that of their longest retained suffix
 must exceed half the logarithm of their count for each word they tell apart.
@@ -409,10 +410,10 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, depth: int) -> Itera
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
     """One row per document: doc_id, held_out (not ``learn``), n_tokens, n_known, train_tokens, base_score, score."""
-    encoded, model, _ = train(encode(docs, learn, ~learn, doc_id, text))
-    return encoded.mapInArrow(partial(_score, model=model, depth=DEPTH),
+    encoded, model, _ = train(encode(docs, learn, ~learn, doc_id, text), depth)
+    return encoded.mapInArrow(partial(_score, model=model, depth=depth),
                               "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                               "base_score double, score double")
 
