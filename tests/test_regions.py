@@ -159,3 +159,15 @@ def test_predict_unlabeled_rows(spark):
     out = predict(model, df.drop("label"), keep=["c_custkey"])
     assert out.columns == ["c_custkey", "prediction"]
     assert out.count() == df.count()
+
+
+def test_confusion_matrix_cells_are_made_by_label(spark):
+    pairs = spark.createDataFrame([(float(i), float(i)) for i in range(40)], "label double, prediction double")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cells = confusion_matrix(pairs).select("n", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert (len(cells), sum(r["n"] for r in cells)) == (1600, 40)
+    assert len({r["task"] for r in cells}) > 1

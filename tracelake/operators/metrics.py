@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,9 +43,9 @@ def matrix_of_counts(counts: DataFrame) -> DataFrame:
     """
     rows = (counts.where(F.col("label").isNotNull())
             .groupBy("label").agg(F.collect_list(F.struct("prediction", "n")).alias("cells")))
-    # One row per class: the list of classes is as long as the table.
-    classes = (rows.withColumn("classes", F.collect_list("label").over(Window.partitionBy()))
-               .withColumn("prediction", F.explode("classes")))
+    # The list of classes alone is shared; every task makes the cells of its own labels.
+    names = counts.where(F.col("label").isNotNull()).select("label").distinct().agg(F.collect_list("label").alias("classes"))
+    classes = rows.crossJoin(F.broadcast(names)).withColumn("prediction", F.explode("classes"))
     hit = F.filter("cells", lambda c: c["prediction"] == F.col("prediction"))
     return classes.select("label", "prediction", F.coalesce(F.get(hit, F.lit(0))["n"], F.lit(0).cast("bigint")).alias("n"))
 
