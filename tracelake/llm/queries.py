@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import (binpack, chat, decontaminate, langid, lmscore, mixing, quality, simhash, tokencount,
-                           toxicity)
+from tracelake.llm import (binpack, chat, decontaminate, infill, langid, lmscore, merkle, mixing, quality, simhash,
+                           tokencount, topk, toxicity)
 from tracelake.llm.common import read
 
 TOKENIZERS = "/opt/tokenizers"
@@ -74,6 +74,25 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    leaves = merkle.leaves(docs, merkle.tampered_third(), {"text": merkle.lowered(F.col("text"))})
+    return merkle.manifest(leaves).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", "").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = infill.fill_in_middle(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(infill.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(topk.whole_vectors(read(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_language_id, op3_token_counts, op4_toxicity, op5_decontamination, op6_simhash, op7_chat_format,
-    op8_token_ids, op9_lm_score, op10_quality)}
+    op8_token_ids, op9_lm_score, op10_quality, op11_merkle_manifest, op12_fill_in_middle, op13_exact_top_k)}

@@ -81,3 +81,87 @@ FROM b
 """
 
 ORACLE["op10_quality"] = OP10
+
+# The hash draws and the cut by regular expression; a marked text stays plain.
+_UNIT = "[A-Za-z]+|[^A-Za-z]"
+
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_UNIT}') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+n AS (SELECT *, len(u) AS n, {", ".join(f"('0x' || substr(h, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))} FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN len(pre)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN len(mid)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM k WHERE rank <= 5
+"""
+
+# crc32 of the decimal id, bit by bit over its bytes.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, zero: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT)"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+# g: group (null first); the subroots make one more tree, whose group is t.
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('s' || lang, 'n') AS g, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents),
+e AS MATERIALIZED (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM d),
+low AS (
+  SELECT g, 0 AS level, pos, n, leaf AS node FROM e
+  UNION ALL
+  SELECT g, any_value(level) + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY g, pos // 8),
+tops AS (SELECT g, node, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+  SELECT 't' AS g, 0 AS level, pos, n, node FROM tops
+  UNION ALL
+  SELECT 't', any_value(level) + 1, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(node, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY pos // 8),
+-- A leaf's way up its group, then up the tree of subroots.
+up AS (
+  SELECT r, g, 0 AS level, pos, n, coalesce(tampered, leaf) AS node, '' AS proof FROM e
+  UNION ALL
+  SELECT r, any_value(up.g), any_value(up.level) + 1, any_value(up.pos) // 8, (any_value(up.n) + 7) // 8,
+         sha256(string_agg(CASE WHEN l.pos = up.pos THEN up.node ELSE l.node END, '' ORDER BY l.pos)),
+         any_value(up.proof) || coalesce(string_agg(l.node, '' ORDER BY l.pos) FILTER (l.pos <> up.pos), '')
+  FROM up JOIN low l ON l.g = up.g AND l.level = up.level AND l.pos // 8 = up.pos // 8 WHERE up.n > 1 GROUP BY r),
+over_groups AS (
+  SELECT r, 0 AS level, t.pos, t.n, up.node, proof FROM up JOIN tops t ON t.g = up.g WHERE up.n = 1
+  UNION ALL
+  SELECT r, any_value(o.level) + 1, any_value(o.pos) // 8, (any_value(o.n) + 7) // 8,
+         sha256(string_agg(CASE WHEN h.pos = o.pos THEN o.node ELSE h.node END, '' ORDER BY h.pos)),
+         any_value(o.proof) || coalesce(string_agg(h.node, '' ORDER BY h.pos) FILTER (h.pos <> o.pos), '')
+  FROM over_groups o JOIN high h ON h.level = o.level AND h.pos // 8 = o.pos // 8 WHERE o.n > 1 GROUP BY r)
+SELECT doc_id, leaf, t.node AS subroot, (SELECT node FROM high WHERE n = 1) AS root, sha256(o.proof) AS proof_sha256,
+       o.node AS folded_root, o.node = (SELECT node FROM high WHERE n = 1) AS verified
+FROM e JOIN tops t ON t.g = e.g JOIN over_groups o ON o.r = e.r AND o.n = 1
+"""
+
+ORACLE |= {"op11_merkle_manifest": OP11, "op12_fill_in_middle": OP12, "op13_exact_top_k": OP13}
