@@ -41,13 +41,13 @@ def matrix_of_counts(counts: DataFrame) -> DataFrame:
     classes use ``confusion_counts``, whose size is that of the pairs that
     occur.
     """
-    rows = (counts.where(F.col("label").isNotNull())
-            .groupBy("label").agg(F.collect_list(F.struct("prediction", "n")).alias("cells")))
-    # The list of classes alone is shared; every task makes the cells of its own labels.
-    names = counts.where(F.col("label").isNotNull()).select("label").distinct().agg(F.collect_list("label").alias("classes"))
-    classes = rows.crossJoin(F.broadcast(names)).withColumn("prediction", F.explode("classes"))
-    hit = F.filter("cells", lambda c: c["prediction"] == F.col("prediction"))
-    return classes.select("label", "prediction", F.coalesce(F.get(hit, F.lit(0))["n"], F.lit(0).cast("bigint")).alias("n"))
+    seen = counts.where(F.col("label").isNotNull())
+    cells = F.collect_list(F.when(F.col("prediction").isNotNull(), F.struct("prediction", "n")))
+    rows = seen.groupBy("label").agg(F.map_from_entries(cells).alias("cells"))
+    # The list of classes is a scalar of the plan; every task makes the cells of its own labels.
+    classes = seen.select("label").distinct().agg(F.collect_list("label").alias("classes"))
+    named = rows.withColumn("prediction", F.explode(classes.scalar()))
+    return named.select("label", "prediction", F.coalesce(F.try_element_at("cells", F.col("prediction")), F.lit(0).cast("bigint")).alias("n"))
 
 
 def confusion_matrix(pairs: DataFrame, label_col: str = "label",
