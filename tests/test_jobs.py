@@ -11,7 +11,7 @@ from tracelake.__main__ import main as cli
 from tracelake.operators import daily_itineraries, itineraries, lookup_batch
 from tracelake.plans import fixtures as fx
 from tracelake.plans import jobs
-from tracelake.sources import parse_cells, parse_logs
+from tracelake.sources import parse_cells, parse_logs, read_table
 
 CELL_HEADER = "id,t,LAC,CELL,f4,f5,f6,f7,f8,f9,f10,f11,CITY,extra"
 
@@ -90,7 +90,7 @@ def test_cli(spark, files, tmp_path, capsys):
     out = str(tmp_path / "cli_daily")
     assert cli(["daily", "--cells", str(d / "cells"), "--logs", str(d / "logs"), "--out", out]) == 0
     capsys.readouterr()
-    first = spark.read.parquet(out).orderBy("phone", "day").first()
+    first = read_table(spark, out).orderBy("phone", "day").first()
     assert cli(["lookup", "--daily", out, "--phone", f" {first.phone} ",
                 "--start", first.day, "--end", first.day]) == 0
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
@@ -127,7 +127,7 @@ def test_cell_dimension_job(spark, files, tmp_path):
     assert cli(["cells", "--cells", str(d / "cells"), "--out", out]) == 0
     from tracelake.operators import cell_dimension
     cells = parse_cells(spark.createDataFrame([(v,) for v in cell_lines], "value string"))
-    assert rows(spark.read.parquet(out)) == rows(cell_dimension(cells))
+    assert rows(read_table(spark, out)) == rows(cell_dimension(cells))
     assert rows(jobs.build_cell_dimension(spark, str(d / "cells"))) == rows(cell_dimension(cells))
 
 
@@ -141,7 +141,7 @@ def test_two_step_flow_with_stored_dimension(spark, files, tmp_path):
     assert rows(two_step) == rows(one_plan)
     out = str(tmp_path / "daily2")
     assert cli(["daily", "--cells-table", dim, "--logs", str(d / "logs"), "--out", out]) == 0
-    assert rows(spark.read.parquet(out), "phone", "day", "itinerary") == rows(
+    assert rows(read_table(spark, out), "phone", "day", "itinerary") == rows(
         jobs.build_daily_itineraries(spark, str(d / "cells"), str(d / "logs")), "phone", "day", "itinerary")
 
 

@@ -171,3 +171,27 @@ def test_confusion_matrix_cells_are_made_by_label(spark):
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert (len(cells), sum(r["n"] for r in cells)) == (1600, 40)
     assert len({r["task"] for r in cells}) > 1
+
+
+def test_parts_of_the_forest_grow_with_the_rows():
+    from tracelake.operators import forest_partitions
+
+    assert [forest_partitions(n) for n in (0, 1000, 1 << 24, (1 << 24) + 1, 1 << 30)] == [16, 16, 16, 32, 1024]
+
+
+def test_equal_places_are_dealt_by_key(spark, monkeypatch):
+    """Rows of one place do not all go to one part, and the forest does not depend on how they arrive."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from tracelake.operators import train_region_model
+
+    sizes, fit = [], RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, data: sizes.append(
+        [r[0] for r in data.groupBy(F.spark_partition_id()).count().select("count").collect()]) or fit(self, data))
+    df = spark.range(4000).selectExpr("id k", "cast(id % 4 = 0 as double) label",
+                                      "if(id % 4 = 0, cast(id as double), 1.0d) lng", "2.0d lat")
+    places = assemble_coordinate(df)
+    first = train_region_model(places.repartition(3), 2, {"numTrees": 3}, key="k")
+    second = train_region_model(places.repartition(9), 2, {"numTrees": 3}, key="k")
+    assert max(sizes[0]) < 500 and sorted(sizes[0]) == sorted(sizes[1])
+    assert first.toDebugString.split("\n", 1)[1] == second.toDebugString.split("\n", 1)[1]

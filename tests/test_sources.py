@@ -3,11 +3,15 @@
 import pytest
 
 from conftest import lines_df, rows
+from tracelake.operators import cell_dimension, itineraries
 from tracelake.sources import (
+    first_line,
+    marked_lines,
     parse_cells,
     parse_logs,
     read_cells,
     read_cells_csv,
+    read_headed_csv,
     read_lines,
     read_logs,
     read_places,
@@ -180,3 +184,91 @@ def test_fail_mode_is_not_skipped_by_later_filters(spark):
         parse_logs(df, mode="fail").where("phone = '13800000001'").select("lac").collect()
     with pytest.raises(Exception):
         parse_cells(lines_df(spark, ["0,1,2,3"]), mode="fail").where("city = 'x'").collect()
+
+
+def test_placed_lines_are_in_order_of_path_split_and_line(spark, tmp_path):
+    for name, n in (("b", 300), ("a", 500), ("c", 0), ("d", 1)):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i:04d}\n" for i in range(n)))
+    want = [f"{name}{i:04d}" for name, n in (("a", 500), ("b", 300), ("d", 1)) for i in range(n)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        for header, skip in (("none", 0), ("per_file", 1)):
+            df = read_lines(spark, str(tmp_path), header=header, place=True)
+            got = [r.value for r in df.repartition(5).orderBy("place").collect()]
+            assert got == [x for x in want if not skip or not x.endswith("0000")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_the_first_line_is_found_by_the_plan(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("")
+    (tmp_path / "b.txt").write_text("HEAD\nx\n")
+    (tmp_path / "c.txt").write_text("OTHER\nHEAD\ny\n")
+    df = read_lines(spark, str(tmp_path), header="first_value")
+    assert rows(df) == [("OTHER",), ("x",), ("y",)]
+    (tmp_path / "b.txt").write_text("")
+    (tmp_path / "c.txt").write_text("")
+    assert read_lines(spark, str(tmp_path), header="first_value").count() == 0
+    assert [tuple(r) for r in first_line(spark, str(tmp_path)).collect()] == [(None,)]
+
+
+def test_marks_across_batches(spark, tmp_path):
+    """One task, many batches and files: every file's first line is marked, and the first filled one."""
+    for i in range(7):
+        (tmp_path / f"{i}.txt").write_text("\n" * (i % 3) + "".join(f"{i}-{j}\n" for j in range(25)))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        lines = marked_lines(spark, str(tmp_path)).coalesce(1)
+        assert sorted(r.value for r in lines.where("first").collect()) == ["", "", "", "", "0-0", "3-0", "6-0"]
+        lines = marked_lines(spark, str(tmp_path), skip_blank=True, file_names=False).coalesce(1)
+        assert sorted(r.value for r in lines.where("first").collect()) == [f"{i}-0" for i in range(7)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_the_last_line_of_a_tower_wins(spark, tmp_path):
+    line = "1,t,{},1,a,b,c,d,e,f,g,h,{}".format
+    (tmp_path / "b.csv").write_text("\n".join(["head", line(1, "Aba"), line(2, "Zed"), line(2, "Mid")]) + "\n")
+    (tmp_path / "a.csv").write_text("\n".join(["head", line(1, "Zulu"), line(3, "Only"), line(2, "Yak")]) + "\n")
+    cells = read_cells(spark, str(tmp_path), place=True)
+    assert rows(cell_dimension(cells.repartition(3), keep="last")) == [("1", "1", "Aba"), ("2", "1", "Mid"), ("3", "1", "Only")]
+    assert rows(cell_dimension(cells)) == [("1", "1", "Zulu"), ("2", "1", "Zed"), ("3", "1", "Only")]
+    logs = spark.createDataFrame([("1", "1", "p"), ("2", "1", "p"), ("9", "9", "p")], "lac string, cell string, phone string")
+    got = itineraries(logs, cells, cells_mode="last", unmatched="null_text")
+    assert rows(got) == [("p", "Aba,Mid,null")]
+    with pytest.raises(ValueError):
+        cell_dimension(cells, keep="first")
+
+
+def test_every_headed_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ID,LNG,LAT,REGION,COUNTRY,NOTE\n1,116.4,39.9,北京市,中国,"a, b"\n2,1,,"x ""y",中国,\n\n3,7\n')
+    (tmp_path / "b.csv").write_text('\n  \n"NOTE, long",COUNTRY,REGION,LAT,ID,LNG,MORE\n"c, d",中国,上海市,31.2,4,121.5,z\nID,LNG,LAT,REGION,COUNTRY,NOTE,z\n')
+    (tmp_path / "c.csv").write_text("")
+    got = rows(read_headed_csv(spark, str(tmp_path), ["ID", "LNG", "LAT", "REGION", "COUNTRY"]).na.fill("-"))
+    spark_a = spark.read.option("header", True).csv(str(tmp_path / "a.csv")).select("ID", "LNG", "LAT", "REGION", "COUNTRY")
+    # A line that repeats another file's header is data, placed as this file's header says.
+    want = rows(spark_a.na.fill("-")) + [("4", "121.5", "31.2", "上海市", "中国"), ("COUNTRY", "NOTE", "REGION", "LAT", "LNG")]
+    assert got == sorted(want)
+    places = read_places(spark, str(tmp_path / "b.csv"), header="per_file").collect()
+    assert tuple(places[0]) == ("121.5", "31.2", "上海市", "中国")
+    with pytest.raises(Exception, match="no column AGE"):
+        read_headed_csv(spark, str(tmp_path), ["ID", "AGE"]).collect()
+    with pytest.raises(ValueError):
+        read_places(spark, str(tmp_path), header="none")
+    (tmp_path / "a.csv").write_text("")
+    (tmp_path / "b.csv").write_text("")
+    assert read_headed_csv(spark, str(tmp_path), ["ID"]).count() == 0
+
+
+def test_a_large_file_of_several_splits_keeps_its_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("B,A\n" + "".join(f"{i},x{i}\n" for i in range(3000)))
+    (tmp_path / "b.csv").write_text("A,B\n" + "".join(f"x{i},{i}\n" for i in range(3000, 3500)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = rows(read_headed_csv(spark, str(tmp_path), ["A", "B"]))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted((f"x{i}", str(i)) for i in range(3500))

@@ -1,0 +1,231 @@
+"""Stored tables: replaced in one step, pruned by key, joined in their buckets."""
+
+import contextlib
+import io
+import os
+import signal
+import subprocess
+import sys
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import ROOT, SF_SMALL, no_broadcast, rows
+from tracelake.__main__ import main as cli
+from tracelake.operators import lookup_batch, lookup_by_range, lookup_one
+from tracelake.plans import fixtures as fx
+from tracelake.plans import jobs
+from tracelake.plans.catalog import _daily
+from tracelake.sources import drop_old_versions, key_range, published, read_table, replace_table, table_folder, write_table
+
+
+def plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def numbers(spark, n, start=0):
+    return spark.range(start, start + n).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
+
+
+def test_replace_and_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert published(spark, path) is None
+    replace_table(numbers(spark, 10), path, ["k"])
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 10))
+    before = read_table(spark, path)
+    replace_table(numbers(spark, 5, 100), path, ["k"])
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 5, 100))
+    # A reader that began with the old version goes on with it.
+    assert rows(before) == rows(numbers(spark, 10))
+    # A job may replace the table it reads.
+    replace_table(read_table(spark, path).where("k > 102"), path, ["k"])
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 2, 103))
+    assert rows(spark.read.parquet(table_folder(path, published(spark, path)))) == rows(numbers(spark, 2, 103))
+    replace_table(numbers(spark, 0), path, ["k"])
+    assert read_table(spark, path).count() == 0 and read_table(spark, path).columns == ["k", "v"]
+
+
+def test_plain_tables_are_read_as_they_are(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    write_table(numbers(spark, 10), path, ["k"])
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 10))
+    # A plain table can be replaced by a published one.
+    replace_table(numbers(spark, 3), path, ["k"])
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 3))
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 1000), path, ["k"])
+    bad = numbers(spark, 1000).withColumn("v", F.when(F.col("k") == 990, F.raise_error(F.lit("broken row")).cast("string")).otherwise("new"))
+    for buckets in (None, 4):
+        with pytest.raises(Exception, match="broken row"):
+            replace_table(bad, path, ["k"], buckets)
+        assert rows(read_table(spark, path)) == rows(numbers(spark, 1000))
+
+
+KILLED = """
+import sys
+sys.path.insert(0, {root!r})
+from tracelake.session import local_session
+from tracelake.sources import replace_table
+from pyspark.sql import functions as F
+spark = local_session(2)
+rows = spark.range(4_000_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("v"))
+replace_table(rows, {path!r}, ["k"], num_partitions=2)
+"""
+
+
+def test_a_killed_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 1000), path, ["k"])
+    kept = published(spark, path).version
+    # A table that a job is writing when its whole process group is killed.
+    job = subprocess.Popen([sys.executable, "-c", KILLED.format(root=ROOT, path=path)], start_new_session=True,
+                           stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+    try:
+        for _ in range(600):
+            if len(os.listdir(f"{path}/versions")) > 1 or job.poll() is not None:
+                break
+            time.sleep(0.05)
+        assert job.poll() is None
+    finally:
+        os.killpg(job.pid, signal.SIGKILL)
+        job.wait()
+    assert published(spark, path).version == kept
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 1000))
+    left = set(os.listdir(f"{path}/versions")) - {kept}
+    assert left and set(drop_old_versions(spark, path)) == left
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 1000))
+
+
+def test_old_versions_are_dropped_on_demand(spark, tmp_path, capsys):
+    path = str(tmp_path / "t")
+    names = [replace_table(numbers(spark, i + 1), path, ["k"], buckets) for i, buckets in enumerate((None, 2, None, 2))]
+    assert drop_old_versions(spark, path, keep=2) == sorted(names[:2])
+    assert read_table(spark, path).count() == 4
+    capsys.readouterr()
+    assert cli(["clean", "--table", path]) == 0
+    assert names[2] in capsys.readouterr().out
+    assert sorted(os.listdir(f"{path}/versions")) == [names[3]]
+    assert read_table(spark, path).count() == 4
+    with pytest.raises(ValueError):
+        drop_old_versions(spark, path, keep=0)
+
+
+def scanned(df):
+    """Rows that the scan of a collected frame gave out."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+
+
+def test_a_lookup_reads_few_row_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "daily")
+    daily = spark.range(200_000).select(F.format_string("1%010d", F.col("id") % 5000).alias("phone"),
+                                        F.format_string("2024-01-%02d", (F.col("id") / 5000).cast("int") + 1).alias("day"),
+                                        F.sha2(F.col("id").cast("string"), 256).alias("itinerary"))
+    replace_table(daily, path, ["phone", "day"], num_partitions=4, row_group_bytes=1 << 18)
+    folder = table_folder(path, published(spark, path))
+    groups = []
+    for f in spark.read.parquet(folder).inputFiles():
+        meta = pq.ParquetFile(f.removeprefix("file://")).metadata
+        groups += [(g.column(0).statistics.min, g.column(0).statistics.max, g.num_rows) for g in map(meta.row_group, range(meta.num_row_groups))]
+    phone = "10000002345"
+    holding = [n for low, high, n in groups if low <= phone <= high]
+    assert len(groups) >= 16 and len(holding) <= 2
+    got = key_range(read_table(spark, path), phone, "2024-01-05", "2024-01-08")
+    assert len(got.collect()) == 4
+    assert 4 <= sum(scanned(got)) <= sum(holding) < 200_000 / 8
+    assert lookup_one(read_table(spark, path), phone, "2024-01-05", "2024-01-08", level="day_text").first().n_visited == 4
+
+
+def above_scan(text, scan):
+    """Operators between a scan and the join above it."""
+    lines = text.splitlines()
+    at = next(i for i, x in enumerate(lines) if scan in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*|"))
+    out, now = [], depth(lines[at])
+    for x in reversed(lines[:at]):
+        if depth(x) < now:
+            now = depth(x)
+            if "Join" in x:
+                return out
+            out.append(x)
+    raise AssertionError("no join above the scan")
+
+
+def test_batches_join_a_bucketed_table_where_it_lies(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    daily = _daily(spark, SF_SMALL)
+    replace_table(daily, path, ["phone", "day"], buckets=16)
+    requests = fx.requests(spark, SF_SMALL)
+    for level in ("city", "day_text"):
+        for strict in (False, True):
+            want = rows(lookup_batch(daily, requests, level, strict))
+            assert rows(lookup_by_range(read_table(spark, path), requests, level, strict)) == want
+    with no_broadcast(spark):
+        df = lookup_by_range(read_table(spark, path), requests)
+        assert rows(df) == rows(lookup_batch(daily, requests))
+        final = plan(lookup_by_range(read_table(spark, path), requests))
+    assert "Bucketed: true" in final and "SelectedBucketsCount: 16 out of 16" in final
+    assert not [x for x in above_scan(final, "Bucketed: true") if "Exchange" in x]
+    # The same table without buckets is moved.
+    replace_table(daily, path, ["phone", "day"])
+    with no_broadcast(spark):
+        assert [x for x in above_scan(plan(lookup_by_range(read_table(spark, path), requests)), "ReadSchema: struct<phone:string,day:string,cities") if "Exchange" in x]
+
+
+def test_buckets_are_used_by_a_session_that_did_not_write_them(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    version = replace_table(_daily(spark, SF_SMALL), path, ["phone", "day"], buckets=8)
+    want = rows(read_table(spark, path), "phone", "day", "itinerary")
+    name = f"tracelake_{version}"
+    # What another session has: the files alone.
+    spark.sql(f"DROP TABLE {name}")
+    assert not spark.catalog.tableExists(name)
+    assert rows(read_table(spark, path), "phone", "day", "itinerary") == want
+    with no_broadcast(spark):
+        final = plan(lookup_by_range(read_table(spark, path), fx.requests(spark, SF_SMALL)))
+    assert not [x for x in above_scan(final, "Bucketed: true") if "Exchange" in x]
+
+
+def test_hot_and_repeated_requests(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    daily = spark.createDataFrame([("13800000001", "2024-01-05", "A,B", ["A", "B"]), ("13800000001", "2024-01-06", "B,C", ["B", "C"]),
+                                   ("13800000002", "2024-01-05", "D", ["D"])], "phone string, day string, itinerary string, cities array<string>")
+    replace_table(daily, path, ["phone", "day"], buckets=4)
+    asked = [(i, "13800000001", "2024-01-05", "2024-01-06") for i in range(500)] + [(7, "13800000001", "2024-01-05", "2024-01-06")]
+    asked += [(1000, " 13800000002 ", "2024-01-01", "2024-01-31"), (1001, "1", "x", "y"), (1002, "13800000009", "2024-01-01", "2024-01-31"),
+              (1003, None, None, None), (1004, "13800000002", "2024-01-31", "2024-01-01")]
+    requests = spark.createDataFrame(asked, "request_id long, phone string, start string, end string")
+    for level in ("city", "day_text"):
+        assert rows(lookup_by_range(read_table(spark, path), requests, level)) == rows(lookup_batch(daily, requests, level))
+
+
+def test_jobs_store_buckets_and_answer_from_them(spark, tmp_path):
+    cells, logs, out = tmp_path / "cells.csv", tmp_path / "logs.txt", str(tmp_path / "daily")
+    cells.write_text("h\n1,t,1,1,a,b,c,d,e,f,g,h,Alpha\n")
+    logs.write_text("0,1,1,13800000001,2024-01-05 10:00:00\n0,9,9,13800000001,2024-01-06 10:00:00\n")
+    assert cli(["daily", "--cells", str(cells), "--logs", str(logs), "--out", out, "--buckets", "4"]) == 0
+    assert published(spark, out).buckets == 4
+    requests = spark.createDataFrame([(1, "13800000001", "2024-01-01", "2024-01-31")], "request_id long, phone string, start string, end string")
+    got = jobs.answer_lookups(spark, out, requests, str(tmp_path / "answers")).first()
+    assert (got.visited, got.n_visited, got.found) == ("Alpha,null", 2, True)
+
+
+def test_two_writers_at_once_agree_on_the_last(spark, tmp_path):
+    """Two writers that saw the same table: both versions are published, the later name of one number wins for all readers."""
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 1), path, ["k"])
+    row = published(spark, path)
+    for version, n in (("a" * 32, 2), ("b" * 32, 3)):
+        numbers(spark, n).write.parquet(f"{path}/versions/{version}")
+        spark.createDataFrame([(row.seq + 1, version, ["k"], None, row.schema)],
+                              "seq long, version string, keys array<string>, buckets int, schema string").coalesce(1).write.mode("append").json(f"{path}/published")
+    assert read_table(spark, path).count() == 3

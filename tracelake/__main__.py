@@ -23,6 +23,9 @@ def main(argv: list[str] | None = None) -> int:
                        choices=["default", "mapreduce", "rdd"])
         for opt in ("key", "unmatched", "cells_mode", "strip", "dedupe", "header", "mode"):
             p.add_argument("--" + opt.replace("_", "-"), dest=opt, default=None)
+        if name == "daily":
+            p.add_argument("--buckets", type=int, default=None,
+                           help="store the table in buckets of the phone, for large batches of requests")
         p.add_argument("--quote-aware", dest="quote_aware", action="store_true", default=None,
                        help="read the directory as quoted CSV instead of by raw position")
 
@@ -31,6 +34,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True)
     p.add_argument("--header", default="per_file", choices=["per_file", "first_value", "none"])
     p.add_argument("--mode", default="drop", choices=["drop", "fail"])
+    p.add_argument("--keep", default="largest", choices=["largest", "last"], help="the city of a tower with several")
+
+    p = sub.add_parser("clean", help="remove old and failed versions of a stored table")
+    p.add_argument("--table", required=True)
+    p.add_argument("--keep", type=int, default=1, help="published versions to keep")
 
     p = sub.add_parser("lookup")
     p.add_argument("--daily", required=True)
@@ -50,6 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--show", action="store_true",
                    help="print a preview of the prepared rows and the predictions, and the matrix's counts")
     p.add_argument("--variant", default="default", choices=["default", "original"])
+    p.add_argument("--header", default="first_file", choices=["first_file", "per_file"],
+                   help="whose header names the columns, where there are several files")
 
     args = ap.parse_args(argv)
     if args.job == "lookup":
@@ -66,13 +76,18 @@ def main(argv: list[str] | None = None) -> int:
         overrides = {k: getattr(args, k) for k in
                      ("key", "unmatched", "cells_mode", "strip", "dedupe", "header", "mode",
                       "quote_aware")}
+        if args.job == "daily":
+            overrides["buckets"] = args.buckets
         fn = jobs.build_itineraries if args.job == "itineraries" else jobs.build_daily_itineraries
         fn(spark, args.cells, args.logs, args.out, variant=args.variant,
            cells_table=args.cells_table, **overrides)
         print(json.dumps({"job": args.job, "out": args.out}))
     elif args.job == "cells":
-        jobs.build_cell_dimension(spark, args.cells, args.out, args.header, args.mode)
+        jobs.build_cell_dimension(spark, args.cells, args.out, args.header, args.mode, args.keep)
         print(json.dumps({"job": "cells", "out": args.out}))
+    elif args.job == "clean":
+        from tracelake.sources import drop_old_versions
+        print(json.dumps({"job": "clean", "removed": drop_old_versions(spark, args.table, args.keep)}))
     elif args.job == "lookup":
         if args.requests:
             jobs.answer_lookups(spark, args.daily, args.requests, args.out, args.level, args.strict)
@@ -94,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from tracelake import schemas
         res = jobs.train_regions(spark, args.places, country=args.country or schemas.DEFAULT_COUNTRY,
-                                 key=args.key, out_dir=args.out, variant=args.variant)
+                                 key=args.key, out_dir=args.out, variant=args.variant, header=args.header)
         if args.show:
             res.prepared.select("region", "lng", "lat").show()
             res.predictions.show()

@@ -6,6 +6,8 @@ it stays inside whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,9 @@ def java_split(line: Column | str, sep: str = FIELD_SEP) -> Column:
     return F.split(F.rtrim(_col(line), F.lit(sep)), quoted)
 
 
-def split_lines(lines: DataFrame, value_col: str, min_fields: int, mode: str, what: str) -> DataFrame:
-    """Lines as rows with one array column ``parts``, each line split once.
+def split_lines(lines: DataFrame, value_col: str, min_fields: int, mode: str, what: str,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """Lines as rows with the columns ``keep`` and an array ``parts``, each line split once.
 
     Lines with fewer than ``min_fields`` fields are dropped, or fail the job
     with ``mode="fail"``. The check sits inside a generator over the split
@@ -47,7 +50,7 @@ def split_lines(lines: DataFrame, value_col: str, min_fields: int, mode: str, wh
         kept = F.transform(split, lambda p: F.when(F.size(p) >= min_fields, p).otherwise(F.raise_error(text)))
     else:
         kept = F.filter(split, lambda p: F.size(p) >= min_fields)
-    return lines.select(F.explode(kept).alias("parts"))
+    return lines.select(*keep, F.explode(kept).alias("parts"))
 
 
 def field(parts: Column | str, index: int) -> Column:

@@ -10,6 +10,7 @@ from tracelake.operators.itineraries import (  # noqa: F401
 from tracelake.operators.lookup import (  # noqa: F401
     answer_requests,
     lookup_batch,
+    lookup_by_range,
     lookup_itineraries,
     lookup_one,
     rejected_requests,
@@ -26,6 +27,7 @@ from tracelake.operators.regions import (  # noqa: F401
     assemble_coordinate,
     coordinate_array,
     encode_regions,
+    forest_partitions,
     predict,
     prepare_places,
     province_labels,

@@ -135,6 +135,35 @@ def lookup_batch(daily: DataFrame, requests: DataFrame, level: str = "city",
     return out.drop("_accepted")
 
 
+def lookup_by_range(daily: DataFrame, requests: DataFrame, level: str = "city",
+                    strict: bool = False) -> DataFrame:
+    """``lookup_batch`` for a daily table stored in buckets of the phone: the same rows, and the table is not moved.
+
+    The distinct (phone, start, end) of the accepted requests go to the
+    buckets; the join and the set of each range happen there, because the
+    table's rows of a phone lie in one bucket (one per day, so a hot phone has
+    no more rows than there are days). Only the answers, one row per distinct
+    range, then go back to the requests that asked for them, by a join that
+    adaptive execution splits where a range was asked very often.
+    """
+    checked = validate_requests(requests)
+    ok = F.col("valid") & (F.col("calendar_ok") if strict else F.lit(True))
+    cols = ["request_id", "phone", "start", "end", "valid"]
+    asked = checked.select(*cols, ok.alias("_accepted")).distinct()
+    ranges = checked.where(ok).select(F.col("phone").alias("_phone"), F.col("start").alias("_start"),
+                                      F.col("end").alias("_end")).distinct()
+    days = daily.select(F.col("phone").alias("_day_phone"), "day", _elements(daily, level).alias("_elements"))
+    hits = days.join(ranges, (F.col("_day_phone") == F.col("_phone")) & F.col("day").between(F.col("_start"), F.col("_end")))
+    answers = (hits.select("_day_phone", "_start", "_end", F.explode("_elements").alias("element"))
+               .groupBy("_day_phone", "_start", "_end").agg(F.collect_set("element").alias("elements")))
+    found = F.coalesce("elements", F.array().cast("array<string>"))
+    n = F.size(found).cast("bigint")
+    same = (F.col("_accepted") & (F.col("phone") == F.col("_day_phone")) & (F.col("start") == F.col("_start"))
+            & (F.col("end") == F.col("_end")))
+    return asked.join(answers, same, "left").select(*cols, sorted_join(found).alias("visited"),
+                                                    n.alias("n_visited"), (n > 0).alias("found"))
+
+
 def rejected_requests(requests: DataFrame, strict: bool = False) -> DataFrame:
     """The requests that fail a check, with their flags."""
     checked = validate_requests(requests)

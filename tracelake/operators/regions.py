@@ -47,11 +47,10 @@ def encode_regions(places: DataFrame, labels: DataFrame, unknown: str = "drop")
     """Attach the class number of each region from a fixed dictionary.
 
     Not ``StringIndexer``: that numbers by frequency, while the classes here
-    are fixed. The dictionary is small (one row per class) and is broadcast
-    after its size is checked.
+    are fixed. The dictionary has one row per class; the join to it is left to
+    Spark, which broadcasts it if it is as small as it should be.
     ``unknown="drop"`` removes regions missing from the dictionary,
-    ``"fail"`` fails the job on the first one. ``label_rows``: the
-    dictionary's row count, when the caller already has it.
+    ``"fail"`` fails the job on the first one.
     """
     if unknown not in UNKNOWN_MODES:
         raise ValueError(f"unknown must be one of {UNKNOWN_MODES}, got {unknown!r}")
@@ -117,22 +116,33 @@ def _label_with_classes(df: DataFrame, num_classes: int) -> DataFrame:
     return df.withColumn("label", F.col("label").alias("label", metadata=meta))
 
 
+def forest_partitions(rows: int) -> int:
+    """Parts for so many training rows: a power of two, so it changes seldom and with the data alone."""
+    parts = schemas.FOREST_PARTITIONS
+    while parts * schemas.FOREST_ROWS_PER_PARTITION < rows:
+        parts *= 2
+    return parts
+
+
 def train_region_model(train: DataFrame, num_classes: int, params: dict | None = None,
-                       partitions: int = schemas.FOREST_PARTITIONS) -> RandomForestClassificationModel:
+                       partitions: int | None = None, key: str | None = None) -> RandomForestClassificationModel:
     """Fit the forest on ``(label, coordinate)`` rows.
 
     The trees' samples follow the partitions, so the rows are dealt by hash
-    into ``partitions`` parts (a setting, not a property of the cluster) and
-    sorted within them: the same rows give the same forest on any number of
-    cores. Every tree level scans them, so they are cached for the fit; a
-    lost executor recomputes its blocks from the plan. Raise ``partitions``
-    with the training set (about a million rows each).
+    into parts whose number comes from the counted rows (``forest_partitions``,
+    not a property of the cluster) and sorted within them: the same rows give
+    the same forest on any number of cores. The deal is by label, place and
+    ``key``, a column that tells rows apart: without one, rows of one place all
+    go to one part. Every tree level scans the rows, so they are cached for the
+    fit; a lost executor recomputes its blocks from the plan.
     """
     p = dict(schemas.FOREST_PARAMS)
     p.update(params or {})
-    place = train.select("label", "coordinate", vector_to_array("coordinate").alias("at"))
-    rows_ = (place.repartition(partitions, "label", "at").sortWithinPartitions("label", "at")
-             .select("label", "coordinate"))
+    by = ["label", "at", *([key] if key else [])]
+    place = train.select(*by[2:], "label", "coordinate", vector_to_array("coordinate").alias("at"))
+    parts = partitions or forest_partitions(train.count())
+    # Rows of one label and place are the same to the forest, whatever their key.
+    rows_ = place.repartition(parts, *by).sortWithinPartitions("label", "at").select("label", "coordinate")
     data = _label_with_classes(rows_, num_classes).cache()
     try:
         forest = RandomForestClassifier(labelCol="label", featuresCol="coordinate", **p)
@@ -165,5 +175,5 @@ def fit_regions(places_text: DataFrame, labels: DataFrame, key: str,
         num_classes = int(labels.agg(F.max("label")).first()[0]) + 1
     encoded = assemble_coordinate(encode_regions(prepare_places(places_text, country), labels, unknown))
     train, test = split_by_key(encoded, key, train_fraction, method=split_method)
-    model = train_region_model(train, num_classes, params)
+    model = train_region_model(train, num_classes, params, key=key)
     return model, predict(model, test, keep=[key])

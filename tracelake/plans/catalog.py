@@ -23,6 +23,7 @@ from tracelake.operators import (
     encode_regions,
     itineraries,
     lookup_batch,
+    lookup_by_range,
     lookup_itineraries,
     lookup_one,
     prepare_places,
@@ -32,7 +33,16 @@ from tracelake.operators import (
     validate_requests,
 )
 from tracelake.plans import fixtures as fx
-from tracelake.sources import parse_cells, parse_logs
+from tracelake.plans import jobs
+from tracelake.sources import (
+    fresh_path,
+    parse_cells,
+    parse_logs,
+    read_cells,
+    read_headed_csv,
+    read_table,
+    replace_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -187,6 +197,13 @@ def q_predict_region(spark: SparkSession, sf: str) -> DataFrame:
             .select("c_custkey", "label", F.coalesce("known", F.lit(False)).alias("in_dictionary")))
 
 
+def q_predict_band(spark: SparkSession, sf: str) -> DataFrame:
+    # Classes that the forest can tell apart without error: every row's
+    # prediction is compared.
+    _, pred = fit_regions(fx.places_text(spark, sf), fx.band_labels(spark, sf), key="c_custkey", country=fx.FIXTURE_COUNTRY)
+    return pred.select("c_custkey", "label", "prediction", (F.col("prediction") == F.col("label")).alias("agrees"))
+
+
 def q_region_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return accuracy(_predictions(spark, sf)).select("n", (F.col("accuracy") >= 0.9).alias("accurate"))
 
@@ -203,6 +220,74 @@ def q_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return accuracy(fx.pairs(spark, sf))
 
 
+# From files and stored tables, as the original programs ran: these queries
+# write text files or tables of the test tables' rows to the shared folder
+# first and work on those.
+
+def q_cells_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    return read_cells(spark, fx.write_cell_files(spark, sf), header="per_file")
+
+
+def q_cell_dimension_last(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.build_cell_dimension(spark, fx.write_cell_files(spark, sf), fresh_path(spark, "dimension"), keep="last")
+
+
+def q_itineraries_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.build_itineraries(spark, fx.write_cell_files(spark, sf), fx.write_log_files(spark, sf),
+                                  fresh_path(spark, "itineraries"), variant="mapreduce")
+
+
+def q_itineraries_last_city(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.build_itineraries(spark, fx.write_cell_files(spark, sf), fx.write_log_files(spark, sf),
+                                  fresh_path(spark, "itineraries"), variant="mapreduce", cells_mode="last")
+
+
+def q_itineraries_rdd_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    # A short line fails this job, so the files hold none.
+    return jobs.build_itineraries(spark, fx.write_cell_files(spark, sf, whole_only=True),
+                                  fx.write_log_files(spark, sf, whole_only=True),
+                                  fresh_path(spark, "itineraries"), variant="rdd")
+
+
+def q_itineraries_two_step(spark: SparkSession, sf: str) -> DataFrame:
+    # The first job stores the dimension, the second joins what is stored.
+    path = fresh_path(spark, "dimension")
+    replace_table(cell_dimension(fx.towers(spark, sf)), path, ["lac", "cell"])
+    return itineraries(fx.trace_logs(spark, sf), read_table(spark, path), unmatched="null_text")
+
+
+def q_daily_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    # A table replaced by a job that reads it: the inner-join rows first, then all.
+    path, keys = fresh_path(spark, "daily"), ["phone", "day"]
+    replace_table(q_daily_itineraries_inner(spark, sf), path, keys)
+    old = read_table(spark, path)
+    replace_table(_daily(spark, sf).join(old.select(*keys), keys, "left").select(*keys, "itinerary"), path, keys)
+    return read_table(spark, path)
+
+
+def q_lookup_stored(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_path(spark, "daily")
+    replace_table(_daily(spark, sf), path, ["phone", "day"])
+    return jobs.lookup(spark, path, fx.ONE_PHONE, "2024-01-01", "2024-12-31")
+
+
+# Buckets of the stored table that batches are answered from.
+BUCKETS = 16
+
+
+def q_lookup_stored_batch(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_path(spark, "daily")
+    replace_table(_daily(spark, sf), path, ["phone", "day"], BUCKETS)
+    return jobs.answer_lookups(spark, path, fx.requests(spark, sf))
+
+
+def q_prepare_places_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    raw = read_headed_csv(spark, fx.write_place_files(spark, sf), ["ID", "LNG", "LAT", "REGION", "COUNTRY"])
+    places = raw.select(F.col("ID").cast("bigint").alias("c_custkey"), F.col("LNG").alias("lng"), F.col("LAT").alias("lat"),
+                        F.col("REGION").alias("region"), F.col("COUNTRY").alias("country"))
+    return prepare_places(places, country=fx.FIXTURE_COUNTRY)
+
+
 QUERIES: dict[str, Query] = {
     "parse_logs": q_parse_logs,
     "parse_cells": q_parse_cells,
@@ -230,18 +315,33 @@ QUERIES: dict[str, Query] = {
     "split_by_key": q_split_by_key,
     "assemble_coordinate": q_assemble_coordinate,
     "predict_region": q_predict_region,
+    "predict_band": q_predict_band,
     "region_accuracy": q_region_accuracy,
     "confusion_counts": q_confusion_counts,
     "confusion_matrix": q_confusion_matrix,
     "accuracy": q_accuracy,
+    "cells_from_files": q_cells_from_files,
+    "cell_dimension_last": q_cell_dimension_last,
+    "itineraries_from_files": q_itineraries_from_files,
+    "itineraries_last_city": q_itineraries_last_city,
+    "itineraries_rdd_from_files": q_itineraries_rdd_from_files,
+    "itineraries_two_step": q_itineraries_two_step,
+    "daily_replaced": q_daily_replaced,
+    "lookup_stored": q_lookup_stored,
+    "lookup_stored_batch": q_lookup_stored_batch,
+    "prepare_places_from_files": q_prepare_places_from_files,
 }
 
+# Queries that write files or tables while they are built.
+STORED_QUERIES = ("cells_from_files", "cell_dimension_last", "itineraries_from_files", "itineraries_last_city",
+                  "itineraries_rdd_from_files", "itineraries_two_step", "daily_replaced", "lookup_stored",
+                  "lookup_stored_batch", "prepare_places_from_files")
 # Queries that train a model while they are built.
-MODEL_QUERIES = ("predict_region", "region_accuracy")
+MODEL_QUERIES = ("predict_region", "predict_band", "region_accuracy")
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     return q_itineraries(spark, sf)
 
 
-__all__ = ["QUERIES", "MODEL_QUERIES", "flagship"]
+__all__ = ["QUERIES", "MODEL_QUERIES", "STORED_QUERIES", "flagship"]

@@ -14,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake import schemas
+from tracelake.functions.text import java_split
+from tracelake.sources.shared import fresh_path
 
 # The columns of the test tables that the fixtures read, with their types.
 # An explicit schema means no inference job per read, and only these
@@ -126,7 +129,12 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cell_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw tower directory text (no header line), 14 fields when whole.
+    """Raw tower directory text (no header line): see ``cell_lines_keyed``."""
+    return cell_lines_keyed(spark, sf_dir).select("value")
+
+
+def cell_lines_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(k, second, value)``: raw tower directory lines, 14 fields when whole.
 
     k % 7 == 0: city empty and last (trailing empties: 12 fields, dropped);
     k % 11 == 0: a quoted comma in field 5 shifts the city position;
@@ -142,7 +150,56 @@ def cell_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(k % 7 == 0, F.concat_ws(",", ks, F.lit("t"), "lac", "cell", *fill, F.lit("")))
              .when(k % 11 == 0, F.concat_ws(",", ks, F.lit("t"), "lac", "cell", *fill_quoted, city, tail))
              .otherwise(F.concat_ws(",", ks, F.lit("t"), "lac", "cell", *fill, city, tail)))
-    return t.select(value.alias("value"))
+    return t.select("k", "second", value.alias("value"))
+
+
+# Fixed value: the header line of the tower directory files.
+CELL_HEADER = "id,t,LAC,CELL,f4,f5,f6,f7,f8,f9,f10,f11,CITY,extra"
+# Files that a fixture directory has at most.
+FILES = 4
+
+
+def _in_files(df: DataFrame, *order: str) -> DataFrame:
+    """Rows in ``order``, over several files whose names ascend with it."""
+    return df.repartitionByRange(FILES, *order).sortWithinPartitions(*order)
+
+
+def write_cell_files(spark: SparkSession, sf_dir: str, whole_only: bool = False) -> str:
+    """A directory of tower files, each with its header line, lines in order of (k, second).
+
+    ``whole_only``: without the lines that have too few fields.
+    """
+    path = fresh_path(spark, "cell-files")
+    lines = cell_lines_keyed(spark, sf_dir)
+    if whole_only:
+        lines = lines.where(F.size(java_split("value")) > max(schemas.CELL_FIELDS.values()))
+    # A CSV of one column, never quoted, whose name is the header line.
+    (_in_files(lines, "k", "second").select(F.col("value").alias(CELL_HEADER))
+     .write.option("header", True).option("sep", "\x01").option("quote", "").option("emptyValue", "").csv(path))
+    return path
+
+
+def write_log_files(spark: SparkSession, sf_dir: str, whole_only: bool = False) -> str:
+    """A directory of log files; ``whole_only``: without the lines of three fields."""
+    path = fresh_path(spark, "log-files")
+    lines = log_lines(spark, sf_dir)
+    if whole_only:
+        lines = lines.where(F.size(java_split("value")) > schemas.LOG_FIELDS["phone"])
+    lines.repartition(FILES).write.text(path)
+    return path
+
+
+def write_place_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Two directories of places CSV files whose columns stand in different orders; a note holds commas and quotes."""
+    note = F.concat(F.lit('see "'), "c_custkey", F.lit('", west, 2nd floor'))
+    rows = places_text(spark, sf_dir).select(F.col("c_custkey").alias("ID"), F.col("lng").alias("LNG"), F.col("lat").alias("LAT"),
+                                             F.col("region").alias("REGION"), F.col("country").alias("COUNTRY"), note.alias("NOTE"))
+    orders = [["ID", "LNG", "LAT", "REGION", "COUNTRY", "NOTE"], ["NOTE", "COUNTRY", "REGION", "LAT", "ID", "LNG"]]
+    paths = []
+    for i, columns in enumerate(orders):
+        paths.append(fresh_path(spark, f"place-files-{i}"))
+        rows.where(F.col("ID") % len(orders) == i).select(*columns).repartition(FILES // 2).write.option("header", True).csv(paths[-1])
+    return paths
 
 
 def places_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +237,12 @@ def region_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  F.col("n_nationkey").cast("double").alias("label"))
 
 
+def band_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary whose classes are bands of latitude that do not overlap, so a forest can learn them without error."""
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("region"),
+                                                 F.floor(F.col("n_nationkey") / 5).cast("double").alias("label"))
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One lookup request per event phone, some of them spoilt.
 

@@ -24,6 +24,7 @@ from tracelake.operators import (
     fit_regions,
     itineraries,
     lookup_batch,
+    lookup_by_range,
     lookup_one,
     matrix_of_counts,
     prepare_places,
@@ -33,11 +34,13 @@ from tracelake.sources.places import PLACE_COLUMNS
 from tracelake.sources import (
     parse_cells,
     parse_logs,
+    published,
     read_cells_csv,
+    read_headed_csv,
     read_lines,
     read_places,
     read_table,
-    write_table,
+    replace_table,
 )
 
 # Named option sets. "default" is this library's choice; "mapreduce" and
@@ -77,12 +80,15 @@ def load_inputs(spark: SparkSession, cells_path: str | None, logs_path: str,
     a stored dimension (``build_cell_dimension``'s output) instead of text;
     with the option ``quote_aware`` it is read as quoted CSV (a quoted comma
     does not shift the city) instead of by raw position."""
+    place = opts["cells_mode"] == "last"
     if cells_table:
+        if place:
+            raise ValueError('a stored dimension holds one city per tower: cells_mode="last" belongs to the job that stores it')
         cells = read_table(spark, cells_table).select("lac", "cell", "city")
     elif opts.get("quote_aware"):
-        cells = read_cells_csv(spark, cells_path, header=opts["header"], mode=opts["mode"])
+        cells = read_cells_csv(spark, cells_path, header=opts["header"], mode=opts["mode"], place=place)
     else:
-        cells = parse_cells(read_lines(spark, cells_path, header=opts["header"]),
+        cells = parse_cells(read_lines(spark, cells_path, header=opts["header"], place=place),
                             mode=opts["mode"])
     logs = parse_logs(read_lines(spark, logs_path), min_fields=opts["log_min_fields"],
                       mode=opts["mode"])
@@ -90,12 +96,15 @@ def load_inputs(spark: SparkSession, cells_path: str | None, logs_path: str,
 
 
 def build_cell_dimension(spark: SparkSession, cells_path: str, out_path: str | None = None,
-                         header: str = "per_file", mode: str = "drop") -> DataFrame:
-    """Tower → one city, from the directory text; written ordered by tower."""
-    cells = parse_cells(read_lines(spark, cells_path, header=header), mode=mode)
-    result = cell_dimension(cells)
+                         header: str = "per_file", mode: str = "drop", keep: str = "largest") -> DataFrame:
+    """Tower → one city, from the directory text; written ordered by tower.
+
+    ``keep``: the largest name of a tower's lines, or the ``"last"`` line's.
+    """
+    cells = parse_cells(read_lines(spark, cells_path, header=header, place=keep == "last"), mode=mode)
+    result = cell_dimension(cells, keep)
     if out_path:
-        write_table(result, out_path, ["lac", "cell"])
+        replace_table(result, out_path, ["lac", "cell"])
         return read_table(spark, out_path)
     return result
 
@@ -114,25 +123,27 @@ def build_itineraries(spark: SparkSession, cells_path: str | None, logs_path: st
                          cells_mode=opts["cells_mode"], strip=opts["strip"],
                          dedupe=opts["dedupe"])
     if out_path:
-        write_table(result, out_path, ["phone"])
+        replace_table(result, out_path, ["phone"])
         return read_table(spark, out_path)
     return result
 
 
 def build_daily_itineraries(spark: SparkSession, cells_path: str | None, logs_path: str,
                             out_path: str | None = None, variant: str = "mapreduce",
-                            cells_table: str | None = None, **overrides) -> DataFrame:
+                            cells_table: str | None = None, buckets: int | None = None,
+                            **overrides) -> DataFrame:
     """(phone, day) → itinerary from the raw texts (the daily job's
-    behaviour by default); written ordered by (phone, day). The ``cities``
-    array is kept beside the text: lookups read it, so a city that holds a
-    comma stays one city."""
+    behaviour by default); written ordered by (phone, day), or in ``buckets``
+    of the phone, which large batches of requests join without moving the
+    table. The ``cities`` array is kept beside the text: lookups read it, so
+    a city that holds a comma stays one city."""
     opts = _preset(variant, overrides)
     cells, logs = load_inputs(spark, cells_path, logs_path, opts, cells_table)
     result = daily_itineraries(logs, cells, key=opts["key"], unmatched=opts["unmatched"],
                                cells_mode=opts["cells_mode"], strip=opts["strip"],
                                dedupe=opts["dedupe"], day_mode=opts["mode"], with_cities=True)
     if out_path:
-        write_table(result, out_path, ["phone", "day"])
+        replace_table(result, out_path, ["phone", "day"], buckets)
         return read_table(spark, out_path)
     return result
 
@@ -146,12 +157,17 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
 def answer_lookups(spark: SparkSession, daily_path: str, requests: DataFrame | str,
                    out_path: str | None = None, level: str = "city",
                    strict: bool = False) -> DataFrame:
-    """Answer a table of requests against a stored daily itinerary table."""
+    """Answer a table of requests against a stored daily itinerary table.
+
+    A table stored in buckets of the phone is joined where it lies.
+    """
     if isinstance(requests, str):
         requests = read_requests(spark, requests)
-    result = lookup_batch(read_table(spark, daily_path), requests, level=level, strict=strict)
+    stored = published(spark, daily_path)
+    answer = lookup_by_range if stored is not None and stored.buckets else lookup_batch
+    result = answer(read_table(spark, daily_path), requests, level=level, strict=strict)
     if out_path:
-        write_table(result, out_path, ["request_id"])
+        replace_table(result, out_path, ["request_id"])
         return read_table(spark, out_path)
     return result
 
@@ -183,7 +199,7 @@ class RegionResult:
 def train_regions(spark: SparkSession, places_path: str,
                   country: str = schemas.DEFAULT_COUNTRY, key: str | None = None,
                   labels: DataFrame | None = None, out_dir: str | None = None,
-                  params: dict | None = None, variant: str = "default") -> RegionResult:
+                  params: dict | None = None, variant: str = "default", header: str = "first_file") -> RegionResult:
     """Read places, train the forest on 80 %, score the other 20 %.
 
     With ``out_dir`` the predictions are written first and read back, so rows
@@ -191,14 +207,16 @@ def train_regions(spark: SparkSession, places_path: str,
     (truth, prediction) pairs. ``variant`` names one of ``REGION_PRESETS``.
 
     ``key`` names a column that identifies a row for the split; without one
-    the split hashes the coordinates and region text together.
+    the split hashes the coordinates and region text together. ``header`` as
+    in ``read_places``.
     """
     if key is None:
         key = "_row_key"
-        places = read_places(spark, places_path)
+        places = read_places(spark, places_path, header=header)
         places = places.withColumn(key, F.concat_ws("|", "lng", "lat", "region", "country"))
     else:
-        raw = spark.read.option("header", True).csv(places_path)
+        raw = (read_headed_csv(spark, places_path, [key, *PLACE_COLUMNS]) if header == "per_file"
+               else spark.read.option("header", True).csv(places_path))
         places = raw.select(F.col(key), *[F.col(src).alias(dst) for src, dst in PLACE_COLUMNS.items()])
     num_classes = None
     if labels is None:

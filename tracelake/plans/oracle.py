@@ -66,6 +66,24 @@ cell_lines as (
 cell_parts as (select string_split(regexp_replace(value, ',+$', ''), ',') p from cell_lines),
 parsed_cells as (select p[3] lac, p[4] cell, p[13] city from cell_parts where len(p) >= 13)"""
 
+_CELL_LINES_ORDERED = """
+ordered_src as (
+  select k, second, lac, cell, case when k % 5 = 0 then '"' || city || '"' else city end c,
+         case when second then '' else 'z' end tail
+  from towers_k),
+ordered_lines as (
+  select k * 2 + cast(second as int) line_no, case
+    when k % 7 = 0 then concat_ws(',', cast(k as string), 't', lac, cell,
+                                  'f4', 'f5', 'f6', 'f7', 'f8', 'f9', 'f10', 'f11', '')
+    when k % 11 = 0 then concat_ws(',', cast(k as string), 't', lac, cell,
+                                   'f4', '"x,y"', 'f6', 'f7', 'f8', 'f9', 'f10', 'f11', c, tail)
+    else concat_ws(',', cast(k as string), 't', lac, cell,
+                   'f4', 'f5', 'f6', 'f7', 'f8', 'f9', 'f10', 'f11', c, tail) end as value
+  from ordered_src),
+ordered_cells as (
+  select line_no, p[3] lac, p[4] cell, p[13] city
+  from (select line_no, string_split(regexp_replace(value, ',+$', ''), ',') p from ordered_lines) where len(p) >= 13)"""
+
 _REQUESTS = """
 users as (select distinct user_id from events),
 requests as (
@@ -309,6 +327,11 @@ from checked where not (valid and calendar_ok)""",
     "predict_region": _with(_PLACES) + """
 select p.c_custkey, cast(n.n_nationkey as double) as label, true in_dictionary
 from prepared p join nation n on n.n_name = p.region
+where cast('0x' || substr(md5(cast(c_custkey as string)), 1, 8) as bigint) >= floor(0.8::double * 4294967296.0::double)""",
+
+    "predict_band": _with(_PLACES) + """
+select p.c_custkey, floor(n.n_nationkey / 5) as label, floor(n.n_nationkey / 5) as prediction, true agrees
+from prepared p join nation n on n.n_name = p.region
 where cast('0x' || substr(md5(cast(c_custkey as string)), 1, 8) as bigint) >= floor(0.8::double * 4294967296.0::double)""",
 
     "region_accuracy": _with(_PLACES) + """
@@ -329,8 +352,41 @@ select t1.label, t2.label prediction, coalesce(c.n, 0) n
 from truth t1 cross join truth t2
 left join counts c on c.label = t1.label and c.prediction = t2.label""",
 
+    # The directory's lines stand in the files in order of (k, second).
+    "cell_dimension_last": _with(_SUP, _CELL_LINES_ORDERED) + """
+select lac, cell, arg_max(city, line_no) city from ordered_cells where city is not null group by lac, cell""",
+
+    "itineraries_last_city": _with(_SUP, _EVENTS, _LOG_LINES, _CELL_LINES, _CELL_LINES_ORDERED, _TEXT, """
+last_dim as (select lac, cell, arg_max(city, line_no) city from ordered_cells where city is not null group by lac, cell)""") + """
+select phone, string_agg(city, ',' order by city) itinerary
+from (select distinct l.phone, coalesce(d.city, 'null') city from text_logs l
+      left join last_dim d on l.lac = d.lac and l.cell = d.cell) v
+group by phone""",
+
+    # The glued key, inner join, duplicates removed on the raw text, ends stripped; logs of four fields count.
+    "itineraries_rdd_from_files": _with(_SUP, _EVENTS, _LOG_LINES, _CELL_LINES, """
+rdd_logs as (
+  select p[2] || p[3] tower, p[4] phone from (select string_split(regexp_replace(value, ',+$', ''), ',') p from log_lines)
+  where len(p) >= 4 and p[4] <> ''),
+rdd_dim as (select distinct lac || cell tower, city from parsed_cells where city is not null),
+raw_pairs as (select distinct l.phone, d.city from rdd_logs l join rdd_dim d on l.tower = d.tower)""") + f"""
+select phone, string_agg(c, ',' order by c) itinerary
+from (select phone, {_ends('city')} c from raw_pairs) v
+group by phone""",
+
     "accuracy": _with(_PAIRS) + """
 select avg(case when label = prediction then 1.0::double else 0.0::double end) accuracy,
        count(*) n
 from pairs""",
 }
+
+# The same rows as the queries that read no files.
+ORACLE |= {
+    "cells_from_files": ORACLE["parse_cells"],
+    "itineraries_from_files": ORACLE["itineraries_from_text"],
+    "itineraries_two_step": ORACLE["itineraries_left"],
+    "daily_replaced": ORACLE["daily_itineraries"],
+    "lookup_stored": ORACLE["lookup_one"],
+    "lookup_stored_batch": ORACLE["lookup_batch"],
+    "prepare_places_from_files": ORACLE["prepare_places"],
+}

@@ -109,5 +109,7 @@ FOREST_PARAMS = {
     "seed": 42,
 }
 
-# Parts that the training rows are dealt into; the forest depends on it.
+# Parts that the training rows are dealt into, at least, and the rows of a part
+# beyond which their number doubles; the forest depends on the number of parts.
 FOREST_PARTITIONS = 16
+FOREST_ROWS_PER_PARTITION = 1 << 20
