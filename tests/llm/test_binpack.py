@@ -40,7 +40,7 @@ def test_word_encoder_equals_the_library_on_whole_texts():
 
 
 def test_forgetting_keeps_ids_right(monkeypatch):
-    monkeypatch.setattr(binpack, "REMEMBERED_WORDS", 40)
+    monkeypatch.setattr(binpack, "REMEMBERED_PIECES", 40)
     rng = random.Random(8)
     encoder, library = binpack.WordEncoder(TOKENIZER, 2), Tokenizer.from_file(TOKENIZER)
     for _ in range(30):

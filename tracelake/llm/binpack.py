@@ -17,9 +17,11 @@ A reader that wants one document reads the row groups whose doc_id range
 holds it and unpacks only the words its ids lie in; whole blocks are unpacked
 with one vectorised numpy pass per id of a group of 64.
 
-Words are encoded once per Python worker and looked up afterwards: the
-tokenizer must split text at ASCII white space, so that a text's ids are the
-ids of its words (checked by the tests against the library on whole texts).
+Only distinct words are encoded: the tokenizer must split text at ASCII white
+space, so that a text's ids are the ids of its words (checked by the tests
+against the library on whole texts). A worker remembers a bounded number of
+pieces of words. The driver reads the tokenizer's file and sends its text to the
+tasks, so executors need no copy.
 
 Defined results: a null or empty text is the end id alone; rows without a
 doc_id come first; rows with one doc_id are ordered by a hash of their text
@@ -29,21 +31,27 @@ and then the text; an empty table gives an empty file and no rows.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from functools import partial
+from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracelake.llm.common import as_bytes, new_table, ship, slices
+from tracelake.llm.common import held, new_table, ship
 
 #: A block is closed when it holds this many ids (one document at least).
 BLOCK_IDS = 1 << 17
-#: Words a worker remembers before it starts afresh.
-REMEMBERED_WORDS = 600_000
+#: Pieces of words a worker remembers before it starts afresh (about 200 bytes each).
+REMEMBERED_PIECES = 300_000
+#: Text encoded at once (bytes).
+RUN_BYTES = 4 << 20
 BLOCK_SCHEMA = ("part int, block int, start long, n_ids int, bits int, first_id long, last_id long, "
                 "doc_ids array<bigint>, ends array<int>, payload binary")
 
@@ -84,119 +92,136 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
-class WordEncoder:
-    """Ids of texts, word by word, with a memory of the words met."""
+#: Latin letters that the normalizer leaves whole and lower-cases one to one; what follows them may be any ASCII but a letter.
+_LETTERS_THEN = r"^(?P<letters>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+)(?P<rest>[!-@\[-`{-~][!-~]*)?$"
+
 
-    def __init__(self, path: str, end_id: int):
-        self.tokenizer = Tokenizer.from_file(path)
+class WordEncoder:
+    """Ids of texts, from the ids of their distinct words.
+
+    Arrow splits a run of texts into words and numbers the distinct ones. A
+    word of Latin letters, with or without other ASCII characters behind them,
+    is two pieces: no token spans the border, so each is encoded by itself and
+    remembered, the letters by the model directly. All other words go to the
+    tokenizer whole. Python sees distinct pieces alone; the ids are laid out by
+    numpy.
+    """
+
+    def __init__(self, tokenizer: str, end_id: int):
+        """``tokenizer``: the file's path, or its text."""
+        self.tokenizer = Tokenizer.from_str(tokenizer) if tokenizer.lstrip()[:1] == "{" else Tokenizer.from_file(tokenizer)
         self.size = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
-        self.letters = _byte_letters()
-        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids[0] for m in ".,"}
-        self.small: dict[str, tuple[int, ...]] = {}  # lower-case letters without a mark: shared by many words
-        self.direct = True
-        probes = ("Word", "\u00c9t\u00e9.", "a,", "I")
-        self.direct = all(list(self._word(w.encode())) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in probes)
-        self.index: dict[bytes, int] = {}
-        # Ids of word n: flat[starts[n]:][:lengths[n]]. Number 0 is the end of a document.
-        self.flat = np.array([end_id], np.uint32)
-        self.starts, self.lengths, self.uses = np.array([0], np.int64), np.array([1], np.int64), np.array([0], np.int64)
+        self.byte_letters = _byte_letters()
+        self.end_id = end_id
+        self.forget()
+        # A tokenizer that does not lower-case and split like this one is always asked whole, as a few probes tell.
+        probes = ("Word", "\u00c9t\u00e9", "a", "I")
+        self.direct = all(list(self._letters(w.lower())) == self._whole(w) for w in probes) and all(
+            self._whole(w + r) == self._whole(w) + self._whole(r) for w in probes for r in (".", "'s", "&&a", "12"))
 
     def forget(self) -> None:
-        """Keep the words used more than once."""
-        self.small.clear()
-        keep = self.uses > 1
-        keep[0] = True
-        number = np.cumsum(keep) - 1
-        self.index = {w: int(number[n]) for w, n in self.index.items() if keep[n]}
-        lengths = self.lengths[keep]
-        starts = np.cumsum(lengths) - lengths
-        self.flat = self.flat[np.repeat(self.starts[keep] - starts, lengths) + np.arange(int(lengths.sum()))]
-        self.starts, self.lengths, self.uses = starts, lengths, np.zeros(len(lengths), np.int64)
-
-    def _letters(self, word: str) -> tuple[int, ...] | None:
-        """Ids of a word of Latin letters alone; None for any other.
-
-        Such a word is one piece for a tokenizer that lower-cases and splits
-        marks from letters (nothing to compose or to split), so the model is
-        asked directly. A tokenizer of another kind, as a few probes tell,
-        is always asked whole.
-        """
-        if not self.direct or not word.isalpha() or max(word) > "\u024f":
-            return None
-        small = word.lower() if word.isascii() else "".join(map(str.lower, word))  # letter by letter, as the tokenizer does
-        ids = self.small.get(small)
-        if ids is None:
-            if not small.isalpha():
-                return None
-            letters = small if small.isascii() else "".join(map(self.letters.__getitem__, small.encode()))
-            ids = self.small[small] = tuple([t.id for t in self.tokenizer.model.tokenize(letters)])
-        return ids
-
-    def _word(self, word: bytes) -> Sequence[int]:
-        text = word.decode()
-        if len(text) > 1 and text[-1] in ".,":  # a mark behind letters is a piece of its own
-            ids = self._letters(text[:-1])
-            if ids is not None:
-                return (*ids, self.marks[text[-1]])
-        ids = self._letters(text)
-        return self.tokenizer.encode(text, add_special_tokens=False).ids if ids is None else ids
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, end ids included, and where each text ends."""
-        if len(self.index) > REMEMBERED_WORDS:
-            self.forget()
-        index, fresh, rows = self.index, [], []
-        for text in texts:
-            words = text.split()
-            row = list(map(index.get, words))
-            if None in row:
-                for i, n in enumerate(row):
-                    if n is None:
-                        n = index.get(words[i])
-                        if n is None:
-                            n = index[words[i]] = len(index) + 1
-                            fresh.append(words[i])
-                        row[i] = n
-            row.append(0)
-            rows.append(np.array(row, np.int64))
+        # Ids of piece n: flat[starts[n]:][:lengths[n]]. Number 0 is no piece, number 1 the end of a document.
+        self.index: dict[tuple[bool, str] | str, int] = {}
+        self.flat = np.array([self.end_id], np.uint32)
+        self.starts, self.lengths = np.array([0, 0], np.int64), np.array([0, 1], np.int64)
+
+    def _letters(self, small: str) -> list[int]:
+        spelled = small if small.isascii() else "".join(map(self.byte_letters.__getitem__, small.encode()))
+        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _pieces(self, texts: pa.Array, letters: bool) -> np.ndarray:
+        """Numbers of the pieces of an array, null as 0."""
+        coded = texts.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        keys = names if letters else [(False, n) for n in names]
+        numbers = list(map(self.index.get, keys))
+        fresh = [i for i, n in enumerate(numbers) if n is None]
         if fresh:
-            ids = list(map(self._word, fresh))
+            ids = list(map(self._letters if letters else self._whole, [names[i] for i in fresh]))
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
+            first = len(self.lengths)
+            for n, i in enumerate(fresh, first):
+                numbers[i] = self.index[keys[i]] = n
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.flat = np.concatenate([self.flat, flat])
-            self.uses = np.concatenate([self.uses, np.zeros(len(ids), np.int64)])
-        words = np.concatenate(rows) if rows else np.empty(0, np.int64)
-        self.uses += np.bincount(words, minlength=len(self.uses))
-        lengths = self.lengths[words]
-        stops = np.cumsum(lengths)
-        total = int(stops[-1]) if len(stops) else 0
-        ids = self.flat[np.repeat(self.starts[words] - stops + lengths, lengths) + np.arange(total)]
-        return ids, stops[np.cumsum([len(r) for r in rows], dtype=np.int64) - 1] if rows else stops
-
-
-_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
-
-
-def encoder(path: str, end_id: int) -> WordEncoder:
-    """This worker's encoder."""
-    if (path, end_id) not in _ENCODERS:
-        _ENCODERS[path, end_id] = WordEncoder(path, end_id)
-    return _ENCODERS[path, end_id]
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))])
+        table = np.append(np.array(numbers, np.int64), 0)  # the last one for null
+        return table[coded.indices.fill_null(len(names)).to_numpy()]
+
+    def _laid_out(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a row of pieces, and how many each has."""
+        lengths = self.lengths[pieces]
+        return _gather(self.flat, self.starts[pieces], lengths), lengths
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, and how many each has."""
+        pieces = np.zeros((len(words), 2), np.int64)
+        if self.direct:
+            parts = pc.extract_regex(words, _LETTERS_THEN)
+            cut = parts.is_valid().to_numpy(zero_copy_only=False)
+            letters, rest = (parts.field(i).filter(pa.array(cut)) for i in (0, 1))
+            rest = pc.if_else(pc.equal(rest, ""), None, rest)
+            pieces[cut, 0] = self._pieces(pc.utf8_lower(letters), letters=True)
+            pieces[cut, 1] = self._pieces(rest, letters=False)
+        else:
+            cut = np.zeros(len(words), bool)
+        pieces[~cut, 0] = self._pieces(words.filter(pa.array(~cut)), letters=False)
+        ids, lengths = self._laid_out(pieces.ravel())
+        return ids, lengths.reshape(-1, 2).sum(axis=1)
+
+    def encode(self, texts: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, end ids included, and where each text ends."""
+        if len(self.index) > REMEMBERED_PIECES:
+            self.forget()
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([t.decode() for t in texts], pa.string())
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        ids, lengths = self._words(coded.dictionary)
+        # One more word, the end of a document, behind the words of every text.
+        ids, lengths = np.append(ids, np.uint32(self.end_id)), np.append(lengths, 1)
+        starts = np.cumsum(lengths) - lengths
+        stops = np.diff(words.offsets.to_numpy()).cumsum() + np.arange(1, len(texts) + 1) if len(texts) else np.empty(0, np.int64)
+        row = np.full(len(coded) + len(texts), len(lengths) - 1, np.int32)
+        inner = np.ones(len(row), bool)
+        inner[stops - 1] = False
+        row[inner] = coded.indices.to_numpy()
+        sizes = lengths[row]
+        return _gather(ids, starts[row], sizes), np.cumsum(sizes)[stops - 1]
+
+
+def _gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """flat[start:start + length] of every row, one behind the other."""
+    stops = np.cumsum(lengths)
+    total = int(stops[-1]) if len(stops) else 0
+    at = np.repeat(starts - stops + lengths, lengths)
+    at += np.arange(total)
+    return flat[at]
+
+
+def _runs(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive texts of about ``limit`` bytes (one at least)."""
+    stops, a = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while a < len(stops):
+        b = max(a + 1, int(np.searchsorted(stops, (stops[a - 1] if a else 0) + limit, "right")))
+        yield a, b
+        a = b
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> Iterator[pa.RecordBatch]:
     part, block, before = TaskContext.get().partitionId(), 0, 0
-    enc = encoder(path, end_id)
+    enc = held(("encoder", zlib.crc32(tokenizer.encode()), end_id), lambda: WordEncoder(tokenizer, end_id))
     bits = max(1, (enc.size - 1).bit_length())
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int32()),
                         ("bits", pa.int32()), ("first_id", pa.int64()), ("last_id", pa.int64()),
                         ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32())), ("payload", pa.binary())])
     for batch in batches:
         doc_ids = batch.column(0).to_pylist()
-        for a, b, texts in slices(batch.column(1), 2 << 20):
-            ids, ends = enc.encode(texts)
+        for a, b in _runs(batch.column(1), RUN_BYTES):
+            ids, ends = enc.encode(batch.column(1)[a:b])
             first = 0
             while first < b - a:
                 base = int(ends[first - 1]) if first else 0
@@ -210,13 +235,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> str:
-    """Encode ``docs`` and write the blocks to ``path``."""
+    """Encode ``docs`` with the tokenizer of the file ``tokenizer`` and write the blocks to ``path``.
+
+    The driver reads the file; its text goes to the tasks.
+    """
     ship(docs.sparkSession)
+    model = Path(tokenizer).read_text(encoding="utf-8")
     order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
-    rows = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), as_bytes(text).alias("text"))
+    rows = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
             .withColumn("h", F.xxhash64("text"))
             .repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text"))
-    rows.mapInArrow(lambda it: _blocks(it, tokenizer, end_id), BLOCK_SCHEMA).write.mode("error").parquet(path)
+    rows.mapInArrow(partial(_blocks, tokenizer=model, end_id=end_id), BLOCK_SCHEMA).write.mode("error").parquet(path)
     return path
 
 
@@ -248,7 +277,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
-    """Random access: the ids of every document of that id (the scan skips blocks by their id range)."""
+    """Random access: the ids of every document of that id (the scan skips blocks by their id range).
+
+    All rows of that one id come to the caller; ``read_index`` is the way to read many.
+    """
     rows = (spark.read.schema(BLOCK_SCHEMA).parquet(path).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
             .orderBy("part", "block").collect())
     out = []

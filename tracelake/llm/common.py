@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from pathlib import Path
 
@@ -17,16 +17,20 @@ from pyspark.sql import functions as F
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Text handled at once inside a task (bytes).
 SLICE_BYTES = 8 << 20
+#: Setting of the session, made where nobody has: bytes of whole texts that go to a Python worker at once.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20)
 #: Documents scanned in one slice.
 SLICE_ROWS = 4096
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, if it lies in a folder of the driver's.
+    """Send this package to the executors, once per application, if it lies in a folder of the driver's, and bound Arrow batches.
 
     Functions of a module are sent by name, and a worker can only import what
     it has. Spark serves the archive itself; nothing is shared by path.
     """
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(*BATCH_BYTES)
     sc, root = spark.sparkContext, Path(__file__).resolve().parents[1]
     if getattr(sc, "_tracelake_shipped", False) or not root.is_dir():
         return
@@ -38,6 +42,24 @@ def ship(spark: SparkSession) -> None:
     sc._tracelake_shipped = True
 
 
+_HELD: dict = {}
+#: Objects that a worker keeps from one task to the next.
+HELD = 2
+
+
+def held(key, make: Callable):
+    """This worker's object of that key, made once; the one made longest ago goes when there are too many.
+
+    Workers outlive the stage they were started for, so what they keep is
+    bounded: an operator's tables do not stay while another operator works.
+    """
+    if key not in _HELD:
+        while len(_HELD) >= HELD:
+            del _HELD[next(iter(_HELD))]
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +10,10 @@ from tracelake.llm import (binpack, chat, decontaminate, infill, langid, lmscore
                            tokencount, topk, toxicity)
 from tracelake.llm.common import read
 
-TOKENIZERS = "/opt/tokenizers"
-
 
 def tokenizer_path(name: str) -> str:
-    """A vocabulary file of the public tokenizers; the folder is the setting tracelake.tokenizers or TOKENIZERS."""
-    spark = SparkSession.getActiveSession()
-    folder = spark.conf.get("tracelake.tokenizers", TOKENIZERS) if spark else TOKENIZERS
-    return os.path.join(folder, name)
+    """A vocabulary file of the public tokenizers, as the driver sees it."""
+    return public_tokenizers.path(name)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
