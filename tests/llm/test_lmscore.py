@@ -150,3 +150,26 @@ def test_longer_contexts_are_a_parameter(spark):
     total = [lmscore.score(df, F.lit(True), depth=d).agg(F.sum("score")).first()[0] for d in (2, 3)]
     # Two words leave one of three next words open: log10(3) for each of the 800 passages.
     assert total[1] - total[0] > 300
+
+
+def test_small_chunks_give_the_same_scores(spark):
+    """Many chunks, many blocks of a part, and a text longer than a chunk."""
+    rows = corpus(3) + [(1000, "a b " * 2000, None, None, 0), (1001, "a b " * 2000, None, None, 0)]
+    df = spark.createDataFrame(rows, DOC_SCHEMA).repartition(3)
+    want = sorted(map(tuple, lmscore.score(df, F.lit(True)).collect()), key=str)
+    encoded = lmscore.encode(df, F.lit(True), F.lit(False), chunk_bytes=400)
+    assert encoded.count() > 50
+    got = sorted(map(tuple, lmscore.score(df, F.lit(True), chunk_bytes=400).collect()), key=str)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert [x for g in got for x in g[5:]] == pytest.approx([x for w in want for x in w[5:]], abs=1e-6)
+
+
+def test_tables_are_dropped_on_demand(spark, tmp_path):
+    import os
+
+    df = spark.createDataFrame(corpus(4, 10), DOC_SCHEMA)
+    assert lmscore.score(df, F.lit(True)).count() == 10
+    folder = lmscore.shared_dir(spark).removeprefix("file://")
+    dropped = lmscore.drop_tables(spark)
+    assert len(dropped) >= 5 and not [x for x in os.listdir(folder) if x.startswith(lmscore.TABLES) and x in dropped]
+    assert lmscore.drop_tables(spark) == []

@@ -13,9 +13,11 @@ retained suffix of what precedes it. The text before the first word is the
 end of the text before.
 
 Scale: a worker turns its documents into chunks of word numbers, written once
-to a bucketed table. Each chunk's distinct words go out by hash to be counted
-over all chunks, and the counts come back to the chunk, again bucketed, so
-that counting contexts and scoring read both without a shuffle. The tree grows
+to a bucketed table. Each chunk's distinct words go out in blocks, one for each
+part of the hashes, to be counted over all chunks, and the counts come back to
+the chunk, again bucketed, so that counting contexts and scoring read both
+without a shuffle. A word that is in every chunk is one entry of a block of
+each, so no part is much larger than the others. The tree grows
 with the corpus and stays distributed: for each length of context in turn, a
 chunk's distinct continuations of contexts that occur often enough go out by
 hash of the context (a context of many occurrences to several parts, by hash
@@ -23,11 +25,15 @@ of the next word), are counted there, the test of a context is an aggregate
 over its parts, and counts and retained states come back to the chunks in a
 bucketed table. The driver holds two numbers, the training tokens and their
 types. Words and contexts are known by a 64-bit hash. The tables lie in the
-shared folder and are named tracelake_lm_*; they can be dropped when the
-result has been read.
-
-Defined results: a null or empty text is the end alone; repeated rows count
-and score each on its own; rows of a null id are scored but not learned from;
+shared folder and are named tracelake_lm_*; ``drop_tables`` removes those of
+this session when the result has been read. A chunk makes at most one block for
+each part in a round: chunks and parts both grow with the corpus, so a larger
+corpus wants larger chunks (``chunk_bytes``), as far as a worker's memory goes.
+
+Defined results: a null or empty text is the end alone; texts of any length are
+scored whole (a chunk holds one text at least); repeated rows count and score
+each on its own; rows of a null id are scored but not learned from; other columns
+of the input are not looked at;
 with nothing to learn from every token has probability one (0.1 / 0.1); an
 empty table gives an empty result.
 """
@@ -46,7 +52,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake.llm.binpack import pack, unpack
@@ -63,11 +69,14 @@ PAIR_COUNT = 3
 CONTEXT_SHARE = NEXT_SHARE = PAIR_SHARE = 0.0
 #: Words of the longest contexts.
 DEPTH = 2
+#: Names of the tables in the shared folder begin so.
+TABLES = "tracelake_lm_"
 #: Parts that continuations are dealt to, for each shuffle partition.
 PARTS = 4
 #: Blocks of continuations that leave a worker at once.
 BLOCKS = 64
-CHUNK_BYTES = 10 << 20
+#: Text of a chunk: what a worker holds in arrays at once is about twenty times that.
+CHUNK_BYTES = 4 << 20
 END = b""  # no word is empty
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, bits int, n int, "
@@ -105,7 +114,7 @@ def _pieces(total: np.ndarray, model: Model) -> np.ndarray:
     return total * (4 * model.parts) // max(1, model.tokens) + 1
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, held_out, learn, text) as chunks; the first word of every chunk's list is the end."""
     part, number = TaskContext.get().partitionId(), 0
     ids, held, learn, rows, sizes, words, size = [], [], [], [], [], Numbering(), 0
@@ -118,7 +127,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=0), words), np.uint64, len(words))
         row = {"chunk": part << 24 | number, "doc_ids": ids, "held_out": held, "sizes": counts.tolist(), "bits": bits,
                "n": len(flat), "tokens": pack(flat, bits), "hashes": hashes.tobytes(),
-               "learned": np.bincount(flat[weights], minlength=len(words)).astype(np.int64).tobytes()}
+               "learned": np.bincount(flat[weights], minlength=len(words)).astype(np.int32).tobytes()}
         return pa.RecordBatch.from_pylist([row], schema=pa.schema([
             ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
             ("sizes", pa.list_(pa.int32())), ("bits", pa.int32()), ("n", pa.int32()), ("tokens", pa.binary()),
@@ -135,7 +144,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append(row)
             sizes.append(n)
             size += len(text)
-            if size >= CHUNK_BYTES:
+            if size >= chunk_bytes:
                 yield flush()
                 number += 1
                 ids, held, learn, rows, sizes, words, size = [], [], [], [], [], Numbering(), 0
@@ -144,69 +153,110 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return (mix64(hashes) % np.uint64(parts)).astype(np.int32)
+
+
+def _vocabulary(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """A chunk's distinct words, one block for each part: hashes and how often the chunk's learned texts have them."""
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
     for batch in batches:
         for i in range(batch.num_rows):
-            hashes = np.frombuffer(batch.column(1)[i].as_py(), np.int64)
-            learned = np.frombuffer(batch.column(2)[i].as_py(), np.int64)
-            for a in range(0, len(hashes), 50_000):
-                h = hashes[a:a + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(h), batch.column(0)[i].as_py())), pa.array(np.arange(a, a + len(h), dtype=np.int32)),
-                     pa.array(h), pa.array(learned[a:a + 50_000])], names=["chunk", "i", "h", "n"])
-
-
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk, i, c, first) in order as one row per chunk: its counts, and how many learned words it is the first to have."""
-    def row(chunk: int, parts: list[np.ndarray], first: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([np.concatenate(parts).tobytes()], pa.binary()),
-                                           pa.array([first], pa.int64())], names=["chunk", "counts", "types"])
-
-    now, parts, types = None, [], 0
+            hashes = np.frombuffer(batch.column(1)[i].as_py(), np.uint64)
+            learned = np.frombuffer(batch.column(2)[i].as_py(), np.int32)
+            part = _part_of(hashes, parts)
+            by = np.argsort(part, kind="stable")
+            part, hashes, learned = part[by], hashes[by], learned[by]
+            cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)]
+            chunk, blocks = batch.column(0)[i].as_py(), []
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                blocks.append((chunk, int(part[a]), hashes[a:b].tobytes(), learned[a:b].tobytes()))
+                if len(blocks) == BLOCKS or b == len(part):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
+                                                     names=["chunk", "part", "hashes", "learned"])
+                    blocks = []
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows (chunk, part, ...) in order of part as one list per part."""
+    blocks: list[tuple] = []
     for batch in batches:
-        chunk = batch.column(0).to_numpy()
-        c, first = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-        cuts = np.r_[0, np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, len(chunk)]
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                continue
-            if now is not None and chunk[a] != now:
-                yield row(now, parts, types)
-                parts, types = [], 0
-            now = int(chunk[a])
-            parts.append(c[a:b].astype(np.int64))
-            types += int(first[a:b].sum())
-    if parts:
-        yield row(now, parts, types)
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            if blocks and blocks[-1][1] != row[1]:
+                yield blocks
+                blocks = []
+            blocks.append(row)
+    if blocks:
+        yield blocks
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The corpus counts of every block's words, and, in a row without a chunk, how many learned words the part has."""
+    kinds, names = (pa.int64(), pa.int32(), pa.binary(), pa.int64()), ["chunk", "part", "data", "types"]
+    for blocks in _by_part(batches):
+        hashes = np.concatenate([np.frombuffer(x[2], np.uint64) for x in blocks])
+        learned = np.concatenate([np.frombuffer(x[3], np.int32) for x in blocks])
+        words, which = np.unique(hashes, return_inverse=True)
+        total = np.bincount(which, weights=learned, minlength=len(words)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, blocks[0][1], None, int((total > 0).sum())), kinds)], names=names)
+        counts, a = total[which], 0
+        del hashes, learned, which
+        for block in blocks:
+            n = len(block[2]) // 8
+            row = (block[0], block[1], zlib.compress(counts[a:a + n].tobytes(), 1), None)
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
+            a += n
+
+
+def _answers(parts: list[dict] | None) -> np.ndarray:
+    """Counts that have come back to a chunk, in order of part."""
+    return np.concatenate([np.empty(0, np.int64), *[np.frombuffer(zlib.decompress(x["data"]), np.int64) for x in parts or []]])
+
+
+def _back(counted: DataFrame, k: int) -> DataFrame:
+    """Answers by chunk: parts_k, one entry for each block of the chunk."""
+    return (counted.where("chunk is not null").groupBy("chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("part", "data"))).alias(f"parts_{k}")))
 
 
 def _table(df: DataFrame, stem: str, buckets: int = 0) -> DataFrame:
     spark = df.sparkSession
-    name = f"tracelake_lm_{stem}_{uuid4().hex}"
+    name = f"{TABLES}{stem}_{uuid4().hex}"
     writer = df.write.bucketBy(buckets, "chunk") if buckets else df.write
     writer.option("path", f"{shared_dir(spark).rstrip('/')}/{name}").format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
-def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_tables(spark: SparkSession) -> list[str]:
+    """Drop the tables that scores of this session were computed from, files included."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(TABLES)]
+    for name in names:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return names
+
+
+def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_id", text: str = "text",
+           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Chunks of word numbers joined with the corpus counts of their words."""
     spark = docs.sparkSession
     ship(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"),
                        as_bytes(text).alias("text"))
-    chunks = _table(rows.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks", buckets)
-    words = chunks.select("chunk", "hashes", "learned").mapInArrow(_vocabulary, "chunk long, i int, h long, n long")
-    word = Window.partitionBy("h")
-    counted = (words.withColumn("c", F.sum("n").over(word))
-               .withColumn("first", (F.row_number().over(word.orderBy("chunk")) == 1) & (F.col("c") > 0))
-               .select("chunk", "i", "c", F.col("first").cast("int").alias("first"))
-               .repartition(buckets, "chunk").sortWithinPartitions("chunk", "i"))
-    counts = _table(counted.mapInArrow(_gather, "chunk long, counts binary, types long"), "counts", buckets)
-    return chunks.drop("learned").join(counts.withColumnRenamed("chunk", "_chunk"), F.col("chunk") == F.col("_chunk")).drop("_chunk")
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    chunks = _table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNK_SCHEMA), "chunks", buckets)
+    words = chunks.select("chunk", "hashes", "learned").mapInArrow(
+        partial(_vocabulary, parts=PARTS * buckets), "chunk long, part int, hashes binary, learned binary")
+    dealt = words.repartition(buckets, "part").sortWithinPartitions("part")
+    counted = _table(dealt.mapInArrow(_word_counts, "chunk long, part int, data binary, types long"), "words")
+    types = counted.agg(F.sum("types")).first()[0] or 0
+    counts = _table(_back(counted, 0), "order0", buckets)
+    return (chunks.drop("learned").join(counts.withColumnRenamed("chunk", "_chunk"), F.col("chunk") == F.col("_chunk"))
+            .drop("_chunk").withColumn("types", F.lit(int(types))))
+
+
+def _rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[dict]:
     """Decoded chunks."""
     for batch in batches:
         for i in range(batch.num_rows):
@@ -216,10 +266,13 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
                 listed = name.startswith(("context_", "weight_")) and cell.is_valid
                 row[name] = cell.values.to_numpy() if listed else cell.as_py()
             words = unpack(row["tokens"], row["bits"], 0, row["n"]).astype(np.int32)
+            h = np.frombuffer(row["hashes"], np.uint64)
+            c = np.empty(len(h), np.int64)
+            c[np.argsort(_part_of(h, parts), kind="stable")] = _answers(row.pop("parts_0"))
             sizes = np.array(row["sizes"], np.int64)
             starts = np.cumsum(sizes) - sizes
             yield row | {"words": words, "sizes": sizes, "starts": starts, "place": np.arange(len(words), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes),
-                         "h": np.frombuffer(row["hashes"], np.uint64), "c": np.frombuffer(row["counts"], np.int64)}
+                         "h": h, "c": c}
 
 
 def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,8 +330,7 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
             del before, met, number
         order = _dealt(row, model, behind[c[words[behind]] >= NEXT_COUNT], name, hashes, total)
         yield order, p
-        data = [np.frombuffer(zlib.decompress(x["data"]), np.int64) for x in row.pop(f"parts_{k}") or []]
-        n = np.concatenate([np.empty(0, np.int64), *data])
+        n = _answers(row.pop(f"parts_{k}"))
         known, weight = (x if x is not None else np.empty(0, t) for x, t in ((row[f"context_{k}"], np.int64), (row[f"weight_{k}"], float)))
         sort = np.argsort(known.view(np.uint64), kind="stable")
         go, state = _at(known.view(np.uint64)[sort], hashes)
@@ -289,7 +341,7 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
         p = p.copy()
         p[tokens] = own + weight[sort][go[name[tokens]]] * p[tokens]
         # The next longer context of a token occurs as often as this order's pair of the token before.
-        del order, n, data, own, tokens, behind
+        del order, n, own, tokens, behind
         total = np.r_[0, here[:-1]]
         total[row["starts"]] = 0
     yield None, p
@@ -297,7 +349,7 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
 
 def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa.RecordBatch]:
     """The distinct continuations of order ``k``, one block for each part: contexts with their totals, next words with counts."""
-    for row in _rows(batches):
+    for row in _rows(batches, model.parts):
         learn = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
         order, p = next(islice(_orders(row, model, k), k - 1, None))
         n = np.bincount(order.pair, weights=learn[order.at], minlength=len(order.part)).astype(np.int64)
@@ -349,14 +401,7 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([*[pa.array([x], t) for x, t in zip(row, kinds)],
                                               *[pa.nulls(1, t) for t in kinds[4:]]], names=names)
 
-    blocks: list[tuple] = []
-    for batch in batches:
-        for row in zip(*(column.to_pylist() for column in batch.columns)):
-            if blocks and blocks[-1][1] != row[1]:
-                yield from count(blocks)
-                blocks = []
-            blocks.append(row)
-    if blocks:
+    for blocks in _by_part(batches):
         yield from count(blocks)
 
 
@@ -377,7 +422,7 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
     The chunks with the counts and states of every order, the sizes, and the retained contexts of every order.
     """
     buckets = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    types = encoded.agg(F.sum("types")).first()[0] or 0
+    types = encoded.agg(F.max("types")).first()[0] or 0
     ends = encoded.select("held_out", "sizes").select(F.explode(F.arrays_zip("held_out", "sizes")).alias("d"))
     tokens = ends.where(F.col("d.held_out") == F.lit(False)).agg(F.sum("d.sizes")).first()[0] or 0
     model, states = Model(int(tokens), int(types), PARTS * buckets), []
@@ -388,7 +433,7 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
         counted = _table(blocks.mapInArrow(partial(_counted, model=model), COUNTED_SCHEMA), f"counted{k}")
         answers = counted.where("chunk is not null")
         states.append(retained(counted))
-        back = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("part", "data"))).alias(f"parts_{k}"))
+        back = _back(counted, k)
         kept = (answers.select("chunk", F.explode("asked").alias("asked")).join(states[-1], F.col("asked") == F.col("context"))
                 .groupBy("chunk").agg(F.collect_list(F.struct("context", "weight")).alias("s"))
                 .select("chunk", F.col("s.context").alias(f"context_{k}"), F.col("s.weight").alias(f"weight_{k}")))
@@ -398,7 +443,7 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model, depth: int) -> Iterator[pa.RecordBatch]:
-    for row in _rows(batches):
+    for row in _rows(batches, model.parts):
         sizes, starts, base = row["sizes"], row["starts"], None
         for p in map(itemgetter(1), _orders(row, model, depth)):  # an order is not held on to
             base = np.add.reduceat(np.log10(p), starts) if base is None else base
@@ -410,9 +455,10 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, depth: int) -> Itera
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
-def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
+def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH,
+          chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per document: doc_id, held_out (not ``learn``), n_tokens, n_known, train_tokens, base_score, score."""
-    encoded, model, _ = train(encode(docs, learn, ~learn, doc_id, text), depth)
+    encoded, model, _ = train(encode(docs, learn, ~learn, doc_id, text, chunk_bytes), depth)
     return encoded.mapInArrow(partial(_score, model=model, depth=depth),
                               "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                               "base_score double, score double")
