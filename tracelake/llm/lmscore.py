@@ -81,6 +81,8 @@ END = b""  # no word is empty
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, bits int, n int, "
                 "tokens binary, hashes binary, learned binary")
+#: Steps of the logarithm (base 2) that a probability is sent in: it only weighs in the divergence test.
+LOG_STEPS = 1024
 BLOCK_SCHEMA = "chunk long, part int, contexts binary, totals binary, sizes binary, next binary, n binary, lower binary"
 #: Answers to a block (chunk to asked), or a part's share of a context's sums (context to total).
 COUNTED_SCHEMA = ("chunk long, part int, data binary, asked array<bigint>, "
@@ -153,6 +155,20 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.
         yield flush()
 
 
+def narrow(values: np.ndarray) -> bytes:
+    """Non-negative integers in as few bytes each as the largest needs, that number before them."""
+    values = np.ascontiguousarray(values, "<i8")
+    size = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return bytes([size]) + values.view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def widen(data: bytes) -> np.ndarray:
+    size = data[0]
+    out = np.zeros(((len(data) - 1) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, size)
+    return out.view("<i8").ravel()
+
+
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (mix64(hashes) % np.uint64(parts)).astype(np.int32)
 
@@ -190,27 +206,40 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield blocks
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The corpus counts of every block's words, and, in a row without a chunk, how many learned words the part has."""
+def _word_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """The corpus counts and numbers of every block's words, and, in a row without a chunk, how many learned words the part has."""
     kinds, names = (pa.int64(), pa.int32(), pa.binary(), pa.int64()), ["chunk", "part", "data", "types"]
     for blocks in _by_part(batches):
         hashes = np.concatenate([np.frombuffer(x[2], np.uint64) for x in blocks])
         learned = np.concatenate([np.frombuffer(x[3], np.int32) for x in blocks])
         words, which = np.unique(hashes, return_inverse=True)
         total = np.bincount(which, weights=learned, minlength=len(words)).astype(np.int64)
+        # A word's number: frequent words have small ones, and no two parts the same.
+        number = np.empty(len(words), np.int64)
+        number[np.argsort(-total, kind="stable")] = np.arange(len(words)) * parts + blocks[0][1]
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, blocks[0][1], None, int((total > 0).sum())), kinds)], names=names)
-        counts, a = total[which], 0
+        counts, numbers, a = total[which], number[which], 0
         del hashes, learned, which
         for block in blocks:
             n = len(block[2]) // 8
-            row = (block[0], block[1], zlib.compress(counts[a:a + n].tobytes(), 1), None)
+            row = (block[0], block[1], _pair(counts[a:a + n], numbers[a:a + n]), None)
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
             a += n
 
 
+def _pair(counts: np.ndarray, numbers: np.ndarray) -> bytes:
+    first = zlib.compress(narrow(counts), 1)
+    return len(first).to_bytes(4, "little") + first + narrow(numbers)
+
+
+def _unpair(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    stop = 4 + int.from_bytes(data[:4], "little")
+    return widen(zlib.decompress(data[4:stop])), widen(data[stop:])
+
+
 def _answers(parts: list[dict] | None) -> np.ndarray:
     """Counts that have come back to a chunk, in order of part."""
-    return np.concatenate([np.empty(0, np.int64), *[np.frombuffer(zlib.decompress(x["data"]), np.int64) for x in parts or []]])
+    return np.concatenate([np.empty(0, np.int64), *[widen(zlib.decompress(x["data"])) for x in parts or []]])
 
 
 def _back(counted: DataFrame, k: int) -> DataFrame:
@@ -249,7 +278,7 @@ def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_
     words = chunks.select("chunk", "hashes", "learned").mapInArrow(
         partial(_vocabulary, parts=PARTS * buckets), "chunk long, part int, hashes binary, learned binary")
     dealt = words.repartition(buckets, "part").sortWithinPartitions("part")
-    counted = _table(dealt.mapInArrow(_word_counts, "chunk long, part int, data binary, types long"), "words")
+    counted = _table(dealt.mapInArrow(partial(_word_counts, parts=PARTS * buckets), "chunk long, part int, data binary, types long"), "words")
     types = counted.agg(F.sum("types")).first()[0] or 0
     counts = _table(_back(counted, 0), "order0", buckets)
     return (chunks.drop("learned").join(counts.withColumnRenamed("chunk", "_chunk"), F.col("chunk") == F.col("_chunk"))
@@ -266,9 +295,10 @@ def _rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[dict]:
                 listed = name.startswith(("context_", "weight_")) and cell.is_valid
                 row[name] = cell.values.to_numpy() if listed else cell.as_py()
             words = unpack(row["tokens"], row["bits"], 0, row["n"]).astype(np.int32)
-            h = np.frombuffer(row["hashes"], np.uint64)
-            c = np.empty(len(h), np.int64)
-            c[np.argsort(_part_of(h, parts), kind="stable")] = _answers(row.pop("parts_0"))
+            by = np.argsort(_part_of(np.frombuffer(row.pop("hashes"), np.uint64), parts), kind="stable")
+            c, h = np.empty(len(by), np.int64), np.empty(len(by), np.uint64)
+            c[by], h[by] = (np.concatenate(x) for x in zip(*[_unpair(x["data"]) for x in row.pop("parts_0")]))
+            del by
             sizes = np.array(row["sizes"], np.int64)
             starts = np.cumsum(sizes) - sizes
             yield row | {"words": words, "sizes": sizes, "starts": starts, "place": np.arange(len(words), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes),
@@ -295,10 +325,17 @@ class Order:
     pair: np.ndarray  # of every token in ``at``: its pair
     first: np.ndarray  # of every pair: a token that has it
     part: np.ndarray  # of every pair, ascending
+    lone: np.ndarray  # numbers of the contexts that have no pair here: the chunk asks for their state all the same
+    lone_total: np.ndarray
 
 
-def _dealt(row: dict, model: Model, at: np.ndarray, name: np.ndarray, hashes: np.ndarray, total: np.ndarray) -> Order:
+def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, hashes: np.ndarray, total: np.ndarray) -> Order:
     h = row["h"]
+    at = behind[row["c"][row["words"][behind]] >= NEXT_COUNT]
+    present, seen = np.unique(name[behind], return_index=True)
+    alone = ~np.isin(present, name[at])
+    lone, lone_total = present[alone], total[behind[seen[alone]]]
+    del present, seen, alone
     key, first, pair = np.unique(name[at] * np.int64(len(h)) + row["words"][at], return_index=True, return_inverse=True)
     context, following = (key // len(h)).astype(np.int32), (key % len(h)).astype(np.int32)
     salt = mix64(h[following]) % _pieces(total[at[first]], model).astype(np.uint64)
@@ -306,7 +343,7 @@ def _dealt(row: dict, model: Model, at: np.ndarray, name: np.ndarray, hashes: np
     by = np.argsort(part, kind="stable")
     back = np.empty(len(by), np.int32)
     back[by] = np.arange(len(by))
-    return Order(at, total, hashes, context[by], following[by], back[pair], at[first][by], part[by])
+    return Order(at, total, hashes, context[by], following[by], back[pair], at[first][by], part[by], lone, lone_total)
 
 
 def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.ndarray]]:
@@ -328,7 +365,7 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
             name = np.full(len(words), -1, np.int32)
             name[behind] = number
             del before, met, number
-        order = _dealt(row, model, behind[c[words[behind]] >= NEXT_COUNT], name, hashes, total)
+        order = _dealt(row, model, behind, name, hashes, total)
         yield order, p
         n = _answers(row.pop(f"parts_{k}"))
         known, weight = (x if x is not None else np.empty(0, t) for x, t in ((row[f"context_{k}"], np.int64), (row[f"weight_{k}"], float)))
@@ -348,21 +385,32 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
 
 
 def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa.RecordBatch]:
-    """The distinct continuations of order ``k``, one block for each part: contexts with their totals, next words with counts."""
+    """The distinct continuations of order ``k``, one block for each part: contexts with their totals, next words with counts.
+
+    Numbers and logarithms of probabilities go in as few bytes as they need.
+    """
     for row in _rows(batches, model.parts):
         learn = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
         order, p = next(islice(_orders(row, model, k), k - 1, None))
         n = np.bincount(order.pair, weights=learn[order.at], minlength=len(order.part)).astype(np.int64)
-        lower, total = p[order.first].astype(np.float32), order.total[order.first]
-        following = row["h"][order.next]
-        cuts = np.r_[0, np.flatnonzero(order.part[1:] != order.part[:-1]) + 1, len(order.part)] if len(order.part) else [0]
-        kinds, blocks = (pa.int64(), pa.int32(), *[pa.binary()] * 6), []
+        lower, total = np.round(-LOG_STEPS * np.log2(p[order.first])).astype(np.int64), order.total[order.first]
+        following = row["h"].view(np.int64)[order.next]
+        # One entry per part and context, then those without a pair: they ask the part that a context's first piece goes to.
+        new = np.flatnonzero(np.r_[True, (order.context[1:] != order.context[:-1]) | (order.part[1:] != order.part[:-1])][:len(order.part)])
+        lone = order.contexts[order.lone]
+        part = np.concatenate([order.part[new], (mix64(lone) % np.uint64(model.parts)).astype(np.int32)])
+        by = np.argsort(part, kind="stable")
+        part = part[by]
+        contexts = np.concatenate([order.contexts[order.context[new]], lone])[by]
+        totals = np.concatenate([total[new], order.lone_total])[by]
+        sizes = np.concatenate([np.diff(np.r_[new, len(order.part)]), np.zeros(len(lone), np.int64)]).astype(np.int64)[by]
+        cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)] if len(part) else [0]
+        kinds, blocks, stop = (pa.int64(), pa.int32(), *[pa.binary()] * 6), [], 0
         for a, b in zip(cuts[:-1], cuts[1:]):
-            context = order.context[a:b]
-            new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-            blocks.append((row["chunk"], int(order.part[a]), order.contexts[context[new]].tobytes(), total[a:b][new].tobytes(),
-                           np.diff(np.r_[new, b - a]).tobytes(), following[a:b].tobytes(), n[a:b].tobytes(), lower[a:b].tobytes()))
-            if len(blocks) == BLOCKS or b == len(order.part):
+            start, stop = stop, stop + int(sizes[a:b].sum())
+            blocks.append((row["chunk"], int(part[a]), contexts[a:b].tobytes(), narrow(totals[a:b]), narrow(sizes[a:b]),
+                           narrow(following[start:stop]), narrow(n[start:stop]), narrow(lower[start:stop])))
+            if len(blocks) == BLOCKS or b == len(part):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
                                                  names=["chunk", "part", "contexts", "totals", "sizes", "next", "n", "lower"])
                 blocks = []
@@ -375,17 +423,17 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
     names = ["chunk", "part", "data", "asked", "context", "gain", "seen", "expected", "size", "total"]
 
     def count(blocks: list[tuple]) -> Iterator[pa.RecordBatch]:
-        contexts, totals, sizes, following, n, lower = (
-            [np.frombuffer(x, t) for x in column]
-            for column, t in zip(list(zip(*blocks))[2:], (np.uint64, np.int64, np.int64, np.uint64, np.int64, np.float32)))
+        columns = list(zip(*blocks))[2:]
+        contexts = [np.frombuffer(x, np.uint64) for x in columns[0]]
+        totals, sizes, following, n, lower = ([widen(x) for x in column] for column in columns[1:])
         size, each = np.concatenate(sizes), np.concatenate(contexts)
         context, total = np.repeat(each, size), np.repeat(np.concatenate(totals), size)
-        _, first, pair = np.unique(followed(context, np.concatenate(following)), return_index=True, return_inverse=True)
+        _, first, pair = np.unique(followed(context, np.concatenate(following).view(np.uint64)), return_index=True, return_inverse=True)
         sums_ = np.bincount(pair, weights=np.concatenate(n)).astype(np.int64)
         sums_[sums_ < PAIR_COUNT] = 0
         some = sums_ > 0
         met, place, which = np.unique(context[first[some]], return_index=True, return_inverse=True)
-        few, expect = sums_[some], np.concatenate(lower)[first[some]].astype(float)
+        few, expect = sums_[some], np.exp2(np.concatenate(lower)[first[some]] / -LOG_STEPS)
         if len(met):
             columns = (met.view(np.int64), np.bincount(which, few * np.log(few / expect)), np.bincount(which, few).astype(np.int64),
                        np.bincount(which, expect), np.bincount(which), total[first[some]][place])
@@ -395,7 +443,7 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
         asked = _at(met, each)[1] | (_pieces(np.concatenate(totals), model) > 1)
         answers, a, e = sums_[pair], 0, 0
         for block, rows, heads in zip(blocks, following, contexts):
-            row = (block[0], block[1], zlib.compress(answers[a:a + len(rows)].tobytes(), 1),
+            row = (block[0], block[1], zlib.compress(narrow(answers[a:a + len(rows)]), 1),
                    heads[asked[e:e + len(heads)]].view(np.int64))
             a, e = a + len(rows), e + len(heads)
             yield pa.RecordBatch.from_arrays([*[pa.array([x], t) for x, t in zip(row, kinds)],
