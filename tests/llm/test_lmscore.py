@@ -171,7 +171,7 @@ def test_tables_are_dropped_on_demand(spark, tmp_path):
     assert lmscore.score(df, F.lit(True)).count() == 10
     folder = lmscore.shared_dir(spark).removeprefix("file://")
     dropped = lmscore.drop_tables(spark)
-    assert len(dropped) >= 5 and not [x for x in os.listdir(folder) if x.startswith(lmscore.TABLES) and x in dropped]
+    assert len(dropped) >= 4 and not [x for x in os.listdir(folder) if x.startswith(lmscore.TABLES) and x in dropped]
     assert lmscore.drop_tables(spark) == []
 
 

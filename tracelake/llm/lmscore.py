@@ -248,21 +248,28 @@ def _back(counted: DataFrame, k: int) -> DataFrame:
             .agg(F.sort_array(F.collect_list(F.struct("part", "data"))).alias(f"parts_{k}")))
 
 
-def _table(df: DataFrame, stem: str, buckets: int = 0) -> DataFrame:
+def _table(df: DataFrame, stem: str, buckets: int = 0) -> str:
+    """Name of a table of the shared folder that ``df`` was written to, in buckets of the chunk if asked."""
     spark = df.sparkSession
     name = f"{TABLES}{stem}_{uuid4().hex}"
     writer = df.write.bucketBy(buckets, "chunk") if buckets else df.write
     writer.option("path", f"{shared_dir(spark).rstrip('/')}/{name}").format("parquet").saveAsTable(name)
-    return spark.table(name)
+    # What was shuffled for the table is not needed again; Spark removes such files when the driver collects garbage.
+    spark._jvm.System.gc()
+    return name
 
 
-def drop_tables(spark: SparkSession) -> list[str]:
-    """Drop the tables that scores of this session were computed from, files included."""
-    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(TABLES)]
+def _drop(spark: SparkSession, names: list[str]) -> None:
     for name in names:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{name}")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_tables(spark: SparkSession) -> list[str]:
+    """Drop the tables that scores of this session were computed from, files included."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(TABLES)]
+    _drop(spark, names)
     return names
 
 
@@ -274,13 +281,15 @@ def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"),
                        as_bytes(text).alias("text"))
-    chunks = _table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNK_SCHEMA), "chunks", buckets)
+    chunks = spark.table(_table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNK_SCHEMA), "chunks", buckets))
     words = chunks.select("chunk", "hashes", "learned").mapInArrow(
         partial(_vocabulary, parts=PARTS * buckets), "chunk long, part int, hashes binary, learned binary")
     dealt = words.repartition(buckets, "part").sortWithinPartitions("part")
-    counted = _table(dealt.mapInArrow(partial(_word_counts, parts=PARTS * buckets), "chunk long, part int, data binary, types long"), "words")
+    name = _table(dealt.mapInArrow(partial(_word_counts, parts=PARTS * buckets), "chunk long, part int, data binary, types long"), "words")
+    counted = spark.table(name)
     types = counted.agg(F.sum("types")).first()[0] or 0
-    counts = _table(_back(counted, 0), "order0", buckets)
+    counts = spark.table(_table(_back(counted, 0), "order0", buckets))
+    _drop(spark, [name])
     return (chunks.drop("learned").join(counts.withColumnRenamed("chunk", "_chunk"), F.col("chunk") == F.col("_chunk"))
             .drop("_chunk").withColumn("types", F.lit(int(types))))
 
@@ -469,7 +478,8 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
 
     The chunks with the counts and states of every order, the sizes, and the retained contexts of every order.
     """
-    buckets = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = encoded.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     types = encoded.agg(F.max("types")).first()[0] or 0
     ends = encoded.select("held_out", "sizes").select(F.explode(F.arrays_zip("held_out", "sizes")).alias("d"))
     tokens = ends.where(F.col("d.held_out") == F.lit(False)).agg(F.sum("d.sizes")).first()[0] or 0
@@ -478,14 +488,16 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
     for k in range(1, depth + 1):
         blocks = (encoded.drop("doc_ids").mapInArrow(partial(_ask, model=model, k=k), BLOCK_SCHEMA)
                   .repartition(buckets, "part").sortWithinPartitions("part"))
-        counted = _table(blocks.mapInArrow(partial(_counted, model=model), COUNTED_SCHEMA), f"counted{k}")
+        name = _table(blocks.mapInArrow(partial(_counted, model=model), COUNTED_SCHEMA), f"counted{k}")
+        counted = spark.table(name)
         answers = counted.where("chunk is not null")
-        states.append(retained(counted))
+        states.append(spark.table(_table(retained(counted), f"states{k}")))
         back = _back(counted, k)
         kept = (answers.select("chunk", F.explode("asked").alias("asked")).join(states[-1], F.col("asked") == F.col("context"))
                 .groupBy("chunk").agg(F.collect_list(F.struct("context", "weight")).alias("s"))
                 .select("chunk", F.col("s.context").alias(f"context_{k}"), F.col("s.weight").alias(f"weight_{k}")))
-        level = _table(back.join(kept, "chunk", "left"), f"order{k}", buckets).withColumnRenamed("chunk", "_chunk")
+        level = spark.table(_table(back.join(kept, "chunk", "left"), f"order{k}", buckets)).withColumnRenamed("chunk", "_chunk")
+        _drop(spark, [name])
         encoded = encoded.join(level, F.col("chunk") == F.col("_chunk"), "left").drop("_chunk")
     return encoded, model, states
 
