@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import __spark_entry__
+from pyspark.sql import functions as F
 from tracelake.llm import queries, toxicity
 from tests.llm.conftest import AWKWARD
 from tests.llm.test_binpack import expected
@@ -16,7 +17,7 @@ def test_stages_and_queries_are_registered():
         "toxicity", "simhash_near_dedup", "benchmark_decontamination", "mixing", "token_ids"]
     names = __spark_entry__.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)] == [1] * 13
     assert set(queries.QUERIES) <= set(names) and set(__spark_entry__.oracle_sql()) <= set(names)
 
 
@@ -61,3 +62,25 @@ def test_awkward_and_empty_tables_pass_every_stage(spark, awkward, empty):
             if name != "token_ids":
                 assert docs.columns == plain.columns
         assert 0 <= docs.count() <= 2 * len(AWKWARD)
+
+
+#: Every name that an operator of the first four stages gives a column of its own, now or in earlier versions.
+HELPERS = ["row", "root", "label_fp", "_keep", "_keep_fp", "keep", "keep_fp", "_fp", "fp", "id", "key", "_key", "_copies", "copies", "_n", "_one", "_k",
+           "_s", "_rate", "size", "source_size", "target", "hit", "_hit", "k1", "k2", "t", "w", "_toxicity", "toxicity", "toxic", "col", "node", "n"]
+
+
+def test_clashing_columns_come_back_from_every_stage(spark, awkward):
+    plain = awkward.select("doc_id", "text", "lang", "source", "n_chars").where("doc_id is not null").dropDuplicates(["doc_id"])
+    clashing = plain
+    for i, name in enumerate(HELPERS):
+        clashing = clashing.withColumn(name, F.concat(F.lit(f"{i}:"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "token_ids":
+            assert sorted(map(tuple, stage(spark, clashing, SF).collect())) == sorted(map(tuple, stage(spark, plain, SF).collect()))
+            continue
+        got, want = stage(spark, clashing, SF), stage(spark, plain, SF)
+        assert got.columns == clashing.columns
+        rows = got.collect()
+        assert rows and sorted((r["doc_id"], r["text"]) for r in rows if r["text"]) == sorted(
+            (r["doc_id"], r["text"]) for r in want.collect() if r["text"])
+        assert all(r[helper] == f"{i}:{r['doc_id']}" for r in rows for i, helper in enumerate(HELPERS))

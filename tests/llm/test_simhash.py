@@ -124,3 +124,37 @@ def test_one_id_in_several_groups_stays_in_each(spark):
     rows = [(1, BASE, "en", "a", 1), (1, other, "en", "a", 1), (2, other, "en", "a", 1), (3, BASE, "en", "a", 1)]
     kept = simhash.keep_first(spark.createDataFrame(rows, DOC_SCHEMA)).select("doc_id", "text").collect()
     assert sorted(map(tuple, kept)) == sorted([(1, BASE), (1, other)])
+
+
+def test_a_star_is_split_in_the_joins(spark):
+    """One fingerprint linked to very many others: its join partition is split, and the components are right."""
+    import contextlib
+    import io
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    plans, checkpoint = [], type(spark.range(0)).checkpoint
+
+    def seen(df, *args, **kwargs):
+        out = checkpoint(df, *args, **kwargs)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        plans.append(buf.getvalue())
+        return out
+
+    links = spark.range(1, 60_000).selectExpr("0L a", "id b").repartition(8)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    type(links).checkpoint = seen
+    try:
+        got = components(links)
+        n, roots = got.count(), [r[0] for r in got.select("root").distinct().collect()]
+    finally:
+        type(links).checkpoint = checkpoint
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert (n, roots) == (59_999, [0])
+    assert any("skew=true" in p for p in plans)

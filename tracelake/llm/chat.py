@@ -186,7 +186,8 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     placed = cut(running_total(rows, ["conv"], ["turn", "role_in", "text"], "_one", "position").drop("_one"))
     # The place within the conversation names a turn from here on.
     states = _states(placed.select("conv", (F.col("position") - 1).alias("node"), "r"))
-    lengths = placed.groupBy("conv").agg(F.max("position").alias("length")).select(F.col("conv").alias("_l"), "length")
+    # Cut, so that adaptive execution can split the join at a conversation of very many turns.
+    lengths = cut(placed.groupBy("conv").agg(F.max("position").alias("length")).select(F.col("conv").alias("_l"), "length"))
     merged = F.col("entry") == F.col("exit")  # merging is cheaper than any insertion, and nothing leads back to START
     between = F.array().cast("array<string>")
     for (s, t), roles in _BETWEEN.items():

@@ -96,6 +96,11 @@ def new_table(spark: SparkSession, stem: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{stem}-{run}"
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as one struct column ``row``, so that no column of the caller's meets one of an operator's."""
+    return docs.select(F.struct("*").alias("row"))
+
+
 def crc32_of_id(doc_id: str = "doc_id") -> Column:
     """crc32 of the id written as text (null for a null id)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
@@ -159,10 +164,11 @@ def components(links: DataFrame) -> DataFrame:
     while (now := mark(edges)) != seen:
         seen = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m"))
+        # Cut, so that both sides of the join arrive by an exchange that adaptive execution can split at the centre of a star.
+        low = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("a", "m").alias("m")))
         large = cut(both.where("b > a").join(low, F.col("a") == F.col("k"))
                     .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k")
+        low = cut(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "k"))
         small = large.join(low, F.col("a") == F.col("k")).select(
             F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
                               F.struct(F.col("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")

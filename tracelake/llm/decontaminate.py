@@ -9,15 +9,18 @@ are candidates, and only their windows of ``SPAN`` words are compared with the
 windows of the benchmark items, by a 128-bit hash. The words inside matching
 windows, which overlap and so extend each other, are the hits.
 
-Results depend on a text alone: candidates are found and extended once per
-distinct text (identified by a 128-bit hash), so thousands of copies cost one.
+Results depend on a text alone: every row's text is winnowed, but candidates are
+extended once per distinct text (identified by a 128-bit hash), so thousands of
+copies of a hit cost one.
 
 Defined results: null and empty texts have no words and no hits; an item of
 fewer than ``SPAN`` words, but not none, is one window of its own length (such
 short windows cannot be winnowed; their lengths are looked up at every
 position); items that share a window all count; repeated item rows count once;
 an item of null id makes hits but is not counted or listed; empty tables give
-no hits. ``items_sha256`` of no items is the digest of the empty text.
+no hits. ``items_sha256`` of no items is the digest of the empty text. Very long
+texts are compared whole. Other columns, whatever their names, come back from
+``remove_contaminated`` as they were; ``contamination`` does not look at them.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut
+from tracelake.llm.common import cut, whole_rows
 
 SPAN = 10
 GRAM = 5
@@ -157,5 +160,6 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text
                         broadcast_bytes: int = BROADCAST_BYTES, **options) -> DataFrame:
     """The documents without a hit, with their own columns."""
     found = hits(docs, benchmark, text, broadcast_bytes=broadcast_bytes, **options).select(
-        F.struct("k1", "k2").alias("_hit"))
-    return docs.join(_small(found, 48, broadcast_bytes), text_key(F.col(text)) == F.col("_hit"), "left_anti")
+        F.struct("k1", "k2").alias("hit"))
+    rows = whole_rows(docs).join(_small(found, 48, broadcast_bytes), text_key(F.col(f"row.{text}")) == F.col("hit"), "left_anti")
+    return rows.select("row.*")

@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import crc32_of_id, cut, ship, slices
+from tracelake.llm.common import crc32_of_id, cut, held, ship, slices
 from tracelake.llm.words import Numbering, mix64, sums
 
 ORDER = 5
@@ -237,15 +237,9 @@ class Classifier:
         return ([model.languages[b] if t else "und" for b, t in zip(best, total)], score, (total > 0) & (low > limits[best]))
 
 
-_CLASSIFIERS: dict[str, Classifier] = {}
-
-
 def _classifier(key: str, shared: Broadcast) -> Classifier:
     """This worker's classifier of a broadcast model."""
-    if key not in _CLASSIFIERS:
-        _CLASSIFIERS.clear()
-        _CLASSIFIERS[key] = Classifier(shared.value)
-    return _CLASSIFIERS[key]
+    return held(("classifier", key), lambda: Classifier(shared.value))
 
 
 def _texts(run: list[bytes]) -> list[str]:

@@ -16,7 +16,9 @@ Defined results: null and empty texts have size 0 and take no words (they
 are emitted like others); the null source is one of its own; a source without
 words has target 0 and emits nothing; an empty table gives an empty result.
 The offset is a hash of seed and source, so reruns agree. Rows that are equal
-in id, source and text share their copies in any order.
+in id, source and text share their copies in any order. Very long texts are
+sized whole. Other columns, whatever their names, come back from ``mix`` as they
+were; ``mix_counts`` does not look at them.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import cut, running_total
+from tracelake.llm.common import cut, running_total, whole_rows
 
 UNIT_BITS = 24
 WORD = r"[^\x20\x09-\x0D]+"
@@ -82,18 +84,18 @@ def mix_counts(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def _key(name: str) -> Column:
-    """128-bit identity of id, source and text, nulls told apart."""
-    parts = [F.col("doc_id"), F.isnull("doc_id"), F.col("source"), F.isnull("source"), F.col("text"), F.isnull("text")]
-    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(7), *parts).alias("b")).alias(name)
+def _key() -> Column:
+    """128-bit identity of a row's id, source and text, nulls told apart."""
+    parts = [x for c in ("doc_id", "source", "text") for x in (F.col(f"row.{c}"), F.isnull(f"row.{c}"))]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(7), *parts).alias("b")).alias("key")
 
 
 def mix(docs: DataFrame, seed: int = 0, **options) -> DataFrame:
     """The mixture itself: each document as many times as it is taken, with its own columns."""
-    slim = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _key("_key")))
-    copies = (with_copies(slim, source_targets(slim, **options), seed).groupBy("_key")
-              .agg(F.sum("copies").alias("_copies")).where("_copies > 0"))
-    once = docs.withColumn("_key", _key("_key")).dropDuplicates(["_key"])
-    columns = docs.columns
-    return (once.join(copies, "_key").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(columns))
+    rows = whole_rows(docs)
+    slim = cut(rows.select("row.doc_id", "row.source", n_words(F.col("row.text")).alias("size"), _key()))
+    copies = (with_copies(slim, source_targets(slim, **options), seed).groupBy("key")
+              .agg(F.sum("copies").alias("copies")).where("copies > 0"))
+    once = rows.withColumn("key", _key()).dropDuplicates(["key"])
+    return (once.join(copies, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select("row.*"))

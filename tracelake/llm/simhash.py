@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import LOWER, as_bytes, components, cut, ship, slices
+from tracelake.llm.common import LOWER, as_bytes, components, cut, ship, slices, whole_rows
 
 SEED = 42
 BLOCKS = 5
@@ -207,7 +207,9 @@ def _groups(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int)
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     groups = components(fingerprint_links(nodes.select("fp"), radius))
     rooted = nodes.join(groups, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Both sides cut: a group may hold most fingerprints, and is split in the join.
+    rooted = cut(rooted)
+    ids = cut(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     return prints, cut(rooted.join(ids, "root").select(F.col("fp").alias("label_fp"), "first", "root", "component_id"))
 
 
@@ -224,16 +226,19 @@ def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
 
     Of several rows of the group with that doc_id one of the smallest
     fingerprint stays; in a group that has no doc_id at all, one of its rows
-    stays. A doc_id that lies in several groups can stay in each.
+    stays. A doc_id that lies in several groups can stay in each. All columns
+    of ``docs`` come back as they were, whatever their names.
     """
     _, labels = _groups(docs, "doc_id", "text", shingle, radius)
     keep = cut(labels.where("first = component_id").groupBy("root")
-               .agg(F.min("component_id").alias("_keep"), F.min("label_fp").alias("_keep_fp")).drop("root"))
-    ids = keep.select("_keep").distinct()
-    named = (with_fingerprint(docs.join(ids, F.col("doc_id") == F.col("_keep")).select(docs.columns), "text", "_fp", shingle)
-             .join(keep, (F.col("doc_id") == F.col("_keep")) & (F.col("_fp") == F.col("_keep_fp")))
-             .dropDuplicates(["doc_id", "_fp"]).select(docs.columns))
+               .agg(F.min("component_id").alias("keep"), F.min("label_fp").alias("keep_fp")).drop("root"))
+    ids = keep.select("keep").distinct()
+    rows = whole_rows(docs)
+    kept = rows.join(ids, F.col("row.doc_id") == F.col("keep")).select("row", F.col("row.doc_id").alias("id"))
+    named = (with_fingerprint(kept, "row.text", "fp", shingle)
+             .join(keep, (F.col("id") == F.col("keep")) & (F.col("fp") == F.col("keep_fp")))
+             .dropDuplicates(["id", "fp"]).select("row"))
     free = labels.where("component_id is null").select("label_fp", "root")
-    unnamed = (with_fingerprint(docs.where("doc_id is null"), "text", "_fp", shingle)
-               .join(free, F.col("_fp") == F.col("label_fp")).dropDuplicates(["root"]).select(docs.columns))
-    return named.unionByName(unnamed)
+    unnamed = (with_fingerprint(rows.where("row.doc_id is null"), "row.text", "fp", shingle)
+               .join(free, F.col("fp") == F.col("label_fp")).dropDuplicates(["root"]).select("row"))
+    return named.unionByName(unnamed).select("row.*")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import as_bytes, ship, slices
+from tracelake.llm.common import as_bytes, held, ship, slices
 from tracelake.llm.words import Numbering, number_words, sums
 
 MARK = "▁"
@@ -122,22 +122,17 @@ class Counter:
         return sums(self.counts[words], sizes), sizes
 
 
-_COUNTERS: dict[tuple[int, bool], Counter] = {}
-
-
 def with_token_counts(docs: DataFrame, vocabulary: list[tuple[str, float]], text: str = "text", out: str = "n_tokens",
                       byte_fallback: bool = True) -> DataFrame:
     """``docs`` with the number of tokens of each whole text in column ``out``."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary file
-    key = hash((tuple(vocabulary), byte_fallback)), byte_fallback
+    key = "counter", hash(tuple(vocabulary)), byte_fallback
 
     @F.arrow_udf("long")
     def count(values: pa.Array) -> pa.Array:
-        if key not in _COUNTERS:
-            _COUNTERS.clear()
-            _COUNTERS[key] = Counter(shared.value, byte_fallback)
-        parts = [_COUNTERS[key].texts(run)[0] for _, _, run in slices(values)]
+        counter = held(key, lambda: Counter(shared.value, byte_fallback))
+        parts = [counter.texts(run)[0] for _, _, run in slices(values)]
         return pa.array(np.concatenate([np.empty(0, np.int64), *parts]))
 
     return docs.withColumn(out, count.asNondeterministic()(as_bytes(text)))

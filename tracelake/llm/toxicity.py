@@ -23,8 +23,9 @@ Defined results: a null or empty text has no window and gets the score of
 an empty text; repeated documents and label rows count once in the sample (a
 document labelled both ways is toxic); null labels and ids teach nothing;
 without labels of both classes every text gets the share of toxic labels (0
-without labels); an empty table gives an empty result. Columns of the input
-that are named like an output are replaced.
+without labels); an empty table gives an empty result; very long texts are scored
+whole. ``with_score`` replaces a column that is named like its output;
+``reject_toxic`` gives all columns back as they were, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelake.llm.common import LOWER, as_bytes, crc32_of_id, cut, ship, slices
+from tracelake.llm.common import LOWER, as_bytes, crc32_of_id, cut, held, ship, slices, whole_rows
 
 TOXIC_SAMPLE = 2000
 ORDINARY_SAMPLE = 4000
@@ -87,18 +88,13 @@ def text_windows(text: bytes) -> list[bytes]:
     return _WINDOW.findall(text.translate(LOWER))
 
 
-_COMPRESSORS: dict[bytes, zstandard.ZstdCompressor] = {}
-
-
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    if dictionary not in _COMPRESSORS:
-        if len(_COMPRESSORS) > 8:
-            _COMPRESSORS.clear()
+    def make() -> zstandard.ZstdCompressor:
         d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(level=LEVEL)
-        _COMPRESSORS[dictionary] = zstandard.ZstdCompressor(
-            level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
-    return _COMPRESSORS[dictionary]
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    return held(("compressor", dictionary), make)
 
 
 def differences(text: bytes, model: Model) -> np.ndarray:
@@ -131,7 +127,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ws = _WORD.findall(text.translate(LOWER))
             for before, w in set(zip([b"", *ws], ws)):
                 p = zlib.crc32(before)
-                seen.add((b" " + w[:64] + b" ", p, toxic))
+                seen.add((b" " + w + b" ", p, toxic))
                 seen.update((b" " + w[:n], p, toxic) for n in STEMS if len(w) > n)
         rows = list(seen)
         yield pa.RecordBatch.from_arrays(
@@ -269,8 +265,8 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "to
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, learn: Column | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below ``threshold``, with their own columns."""
-    columns = docs.columns
-    return with_score(docs, fit(docs, labels, learn), out="_toxicity").where(F.col("_toxicity") < threshold).select(columns)
+    scored = with_score(whole_rows(docs), fit(docs, labels, learn), text="row.text", out="toxicity")
+    return scored.where(F.col("toxicity") < threshold).select("row.*")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
