@@ -49,9 +49,9 @@ from tracelake.llm.common import held, new_table, ship
 #: A block is closed when it holds this many ids (one document at least).
 BLOCK_IDS = 1 << 17
 #: Pieces of words a worker remembers before it starts afresh (about 200 bytes each).
-REMEMBERED_PIECES = 300_000
+REMEMBERED_PIECES = 120_000
 #: Text encoded at once (bytes).
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 BLOCK_SCHEMA = ("part int, block int, start long, n_ids int, bits int, first_id long, last_id long, "
                 "doc_ids array<bigint>, ends array<int>, payload binary")
 
@@ -232,6 +232,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> I
                        "ends": (ends[first:last] - base).tolist(), "payload": pack(ids[base:stop], bits)}
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
                 block, before, first = block + 1, before + stop - base, last
+            del ids, ends
+        # A batch's memory goes back before the next one comes.
+        del batch, doc_ids
+        pa.default_memory_pool().release_unused()
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> str:

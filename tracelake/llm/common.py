@@ -18,7 +18,7 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Text handled at once inside a task (bytes).
 SLICE_BYTES = 8 << 20
 #: Setting of the session, made where nobody has: bytes of whole texts that go to a Python worker at once.
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20)
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20)
 #: Documents scanned in one slice.
 SLICE_ROWS = 4096
 
