@@ -21,10 +21,10 @@ each, so no part is much larger than the others. The tree grows
 with the corpus and stays distributed: for each length of context in turn, a
 chunk's distinct continuations of contexts that occur often enough go out by
 hash of the context (a context of many occurrences to several parts, by hash
-of the next word), are counted there, the test of a context is an aggregate
-over its parts, and counts and retained states come back to the chunks in a
-bucketed table. The driver holds two numbers, the training tokens and their
-types. Words and contexts are known by a 64-bit hash. The tables lie in the
+of the next word), are counted and tested there, and counts and the weights of
+retained states come back to the chunks in a bucketed table. The driver holds the
+numbers of training tokens and types and, for each length, the few contexts of
+several parts, whose test is an aggregate over them (at most 4 for each part). Words and contexts are known by a 64-bit hash. The tables lie in the
 shared folder and are named tracelake_lm_*; ``drop_tables`` removes those of
 this session when the result has been read. A chunk makes at most one block for
 each part in a round: chunks and parts both grow with the corpus, so a larger
@@ -42,7 +42,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 from itertools import islice
 from operator import itemgetter
@@ -79,23 +79,28 @@ BLOCKS = 64
 CHUNK_BYTES = 4 << 20
 END = b""  # no word is empty
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, bits int, n int, "
+CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, bits int, n int, end int, "
                 "tokens binary, hashes binary, learned binary")
 #: Steps of the logarithm (base 2) that a probability is sent in: it only weighs in the divergence test.
 LOG_STEPS = 1024
 BLOCK_SCHEMA = "chunk long, part int, contexts binary, totals binary, sizes binary, next binary, n binary, lower binary"
-#: Answers to a block (chunk to asked), or a part's share of a context's sums (context to total).
-COUNTED_SCHEMA = ("chunk long, part int, data binary, asked array<bigint>, "
-                  "context long, gain double, seen long, expected double, size long, total long")
+#: Answers to a block (chunk to data), a retained context with its weight, or a part's share of the sums of a context of several parts.
+COUNTED_SCHEMA = ("chunk long, part int, data binary, context long, weight double, "
+                  "gain double, seen long, expected double, size long, total long")
 
 
 @dataclass(frozen=True)
 class Model:
-    """Training tokens and types, and the number of parts that continuations are dealt to."""
+    """Training tokens and types, and the number of parts that continuations are dealt to.
+
+    ``wide``: for every order so far, hashes (sorted) and weights of the retained contexts that are spread over several
+    parts. Such a context has at least the 4 * parts-th share of all tokens, so there are at most 4 * parts of an order.
+    """
 
     tokens: int
     types: int
     parts: int
+    wide: tuple[tuple[np.ndarray, np.ndarray], ...] = ()
 
 
 def one_word(h: np.ndarray) -> np.ndarray:
@@ -116,8 +121,8 @@ def _pieces(total: np.ndarray, model: Model) -> np.ndarray:
     return total * (4 * model.parts) // max(1, model.tokens) + 1
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, held_out, learn, text) as chunks; the first word of every chunk's list is the end."""
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, held_out, learn, text) as chunks; a chunk's words are numbered in order of the part their hash belongs to."""
     part, number = TaskContext.get().partitionId(), 0
     ids, held, learn, rows, sizes, words, size = [], [], [], [], [], Numbering(), 0
     words[END]
@@ -127,12 +132,16 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.
         weights = np.repeat(np.array(learn, bool), counts)
         bits = max(1, (len(words) - 1).bit_length())
         hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=0), words), np.uint64, len(words))
+        by = np.argsort(_part_of(hashes, parts), kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        flat = place[flat]
         row = {"chunk": part << 24 | number, "doc_ids": ids, "held_out": held, "sizes": counts.tolist(), "bits": bits,
-               "n": len(flat), "tokens": pack(flat, bits), "hashes": hashes.tobytes(),
+               "n": len(flat), "end": int(place[0]), "tokens": pack(flat, bits), "hashes": hashes[by].tobytes(),
                "learned": np.bincount(flat[weights], minlength=len(words)).astype(np.int32).tobytes()}
         return pa.RecordBatch.from_pylist([row], schema=pa.schema([
             ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
-            ("sizes", pa.list_(pa.int32())), ("bits", pa.int32()), ("n", pa.int32()), ("tokens", pa.binary()),
+            ("sizes", pa.list_(pa.int32())), ("bits", pa.int32()), ("n", pa.int32()), ("end", pa.int32()), ("tokens", pa.binary()),
             ("hashes", pa.binary()), ("learned", pa.binary())]))
 
     for batch in batches:
@@ -180,9 +189,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
         for i in range(batch.num_rows):
             hashes = np.frombuffer(batch.column(1)[i].as_py(), np.uint64)
             learned = np.frombuffer(batch.column(2)[i].as_py(), np.int32)
-            part = _part_of(hashes, parts)
-            by = np.argsort(part, kind="stable")
-            part, hashes, learned = part[by], hashes[by], learned[by]
+            part = _part_of(hashes, parts)  # ascending
             cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)]
             chunk, blocks = batch.column(0)[i].as_py(), []
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -227,19 +234,21 @@ def _word_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
             a += n
 
 
-def _pair(counts: np.ndarray, numbers: np.ndarray) -> bytes:
+def _pair(counts: np.ndarray, others: np.ndarray) -> bytes:
+    """Two arrays of a block's answer: counts, and whole numbers or weights."""
     first = zlib.compress(narrow(counts), 1)
-    return len(first).to_bytes(4, "little") + first + narrow(numbers)
-
-
-def _unpair(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    stop = 4 + int.from_bytes(data[:4], "little")
-    return widen(zlib.decompress(data[4:stop])), widen(data[stop:])
+    rest = zlib.compress(others.tobytes(), 1) if others.dtype == np.float64 else narrow(others)
+    return len(first).to_bytes(4, "little") + first + rest
 
 
-def _answers(parts: list[dict] | None) -> np.ndarray:
-    """Counts that have come back to a chunk, in order of part."""
-    return np.concatenate([np.empty(0, np.int64), *[widen(zlib.decompress(x["data"])) for x in parts or []]])
+def _answers(parts: list[dict] | None, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Both arrays of the answers that have come back to a chunk, in order of part."""
+    counts, others = [np.empty(0, np.int64)], [np.empty(0, kind)]
+    for data in (x["data"] for x in parts or []):
+        stop = 4 + int.from_bytes(data[:4], "little")
+        counts.append(widen(zlib.decompress(data[4:stop])))
+        others.append(np.frombuffer(zlib.decompress(data[stop:]), np.float64) if kind is np.float64 else widen(data[stop:]))
+    return np.concatenate(counts), np.concatenate(others)
 
 
 def _back(counted: DataFrame, k: int) -> DataFrame:
@@ -281,37 +290,34 @@ def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"),
                        as_bytes(text).alias("text"))
-    chunks = spark.table(_table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNK_SCHEMA), "chunks", buckets))
+    parts = PARTS * buckets
+    raw = _table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes, parts=parts), CHUNK_SCHEMA), "words", buckets)
+    chunks = spark.table(raw)
     words = chunks.select("chunk", "hashes", "learned").mapInArrow(
-        partial(_vocabulary, parts=PARTS * buckets), "chunk long, part int, hashes binary, learned binary")
+        partial(_vocabulary, parts=parts), "chunk long, part int, hashes binary, learned binary")
     dealt = words.repartition(buckets, "part").sortWithinPartitions("part")
-    name = _table(dealt.mapInArrow(partial(_word_counts, parts=PARTS * buckets), "chunk long, part int, data binary, types long"), "words")
+    name = _table(dealt.mapInArrow(partial(_word_counts, parts=parts), "chunk long, part int, data binary, types long"), "counted0")
     counted = spark.table(name)
     types = counted.agg(F.sum("types")).first()[0] or 0
-    counts = spark.table(_table(_back(counted, 0), "order0", buckets))
-    _drop(spark, [name])
-    return (chunks.drop("learned").join(counts.withColumnRenamed("chunk", "_chunk"), F.col("chunk") == F.col("_chunk"))
-            .drop("_chunk").withColumn("types", F.lit(int(types))))
+    counts = _back(counted, 0).withColumnRenamed("chunk", "_chunk")
+    # From here on a word is known by its number; the hashes go.
+    whole = chunks.drop("hashes", "learned").join(counts, F.col("chunk") == F.col("_chunk")).drop("_chunk")
+    out = spark.table(_table(whole, "chunks", buckets))
+    _drop(spark, [raw, name])
+    return out.withColumn("types", F.lit(int(types)))
 
 
-def _rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[dict]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Decoded chunks."""
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {}
-            for j, name in enumerate(batch.schema.names):
-                cell = batch.column(j)[i]
-                listed = name.startswith(("context_", "weight_")) and cell.is_valid
-                row[name] = cell.values.to_numpy() if listed else cell.as_py()
+            row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
             words = unpack(row["tokens"], row["bits"], 0, row["n"]).astype(np.int32)
-            by = np.argsort(_part_of(np.frombuffer(row.pop("hashes"), np.uint64), parts), kind="stable")
-            c, h = np.empty(len(by), np.int64), np.empty(len(by), np.uint64)
-            c[by], h[by] = (np.concatenate(x) for x in zip(*[_unpair(x["data"]) for x in row.pop("parts_0")]))
-            del by
+            c, h = _answers(row.pop("parts_0"), np.int64)
             sizes = np.array(row["sizes"], np.int64)
             starts = np.cumsum(sizes) - sizes
             yield row | {"words": words, "sizes": sizes, "starts": starts, "place": np.arange(len(words), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes),
-                         "h": h, "c": c}
+                         "h": h.view(np.uint64), "c": c}
 
 
 def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -334,8 +340,10 @@ class Order:
     pair: np.ndarray  # of every token in ``at``: its pair
     first: np.ndarray  # of every pair: a token that has it
     part: np.ndarray  # of every pair, ascending
-    lone: np.ndarray  # numbers of the contexts that have no pair here: the chunk asks for their state all the same
-    lone_total: np.ndarray
+    entry: np.ndarray  # of every part and context in it, in order of part: number of the context ...
+    entry_part: np.ndarray
+    entry_size: np.ndarray  # ... and its pairs there; none if only rare words follow it here
+    entry_total: np.ndarray
 
 
 def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, hashes: np.ndarray, total: np.ndarray) -> Order:
@@ -352,23 +360,33 @@ def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, hashes
     by = np.argsort(part, kind="stable")
     back = np.empty(len(by), np.int32)
     back[by] = np.arange(len(by))
-    return Order(at, total, hashes, context[by], following[by], back[pair], at[first][by], part[by], lone, lone_total)
+    context, following, part, first = context[by], following[by], part[by], at[first][by]
+    # One entry per part and context, then the contexts without a pair: they ask the part that a context's first piece goes to.
+    new = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (part[1:] != part[:-1])][:len(part)])
+    entry = np.concatenate([context[new], lone])
+    entry_part = np.concatenate([part[new], (mix64(hashes[lone]) % np.uint64(model.parts)).astype(np.int32)])
+    entry_size = np.concatenate([np.diff(np.r_[new, len(part)]), np.zeros(len(lone), np.int64)]).astype(np.int64)
+    entry_total = np.concatenate([total[first[new]], lone_total])
+    by = np.argsort(entry_part, kind="stable")
+    return Order(at, total, hashes, context, following, back[pair], first, part,
+                 entry[by], entry_part[by], entry_size[by], entry_total[by])
 
 
 def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.ndarray]]:
     """Orders 1 to ``depth`` of a chunk, each with the tokens' probabilities in the tree of shorter contexts; then None and the last.
 
-    An order is passed once its counts (parts_k) and states (context_k, weight_k) have come back to the chunk.
+    An order is passed once its counts and the weights of its states (parts_k) have come back to the chunk.
     """
     words, place, h, c = row["words"], row["place"], row["h"], row["c"]
     p = (c[words] + ALPHA) / (model.tokens + ALPHA * (model.types + 1))
-    name = np.r_[np.int32(0), words[:-1]]  # of every token: number of its context; the end (number 0) before the first
-    name[row["starts"]] = 0
+    end = np.int32(row["end"])
+    name = np.r_[end, words[:-1]]  # of every token: number of its context; the end before the first
+    name[row["starts"]] = end
     hashes, total = one_word(h), c[name]
     for k in range(1, depth + 1):
         behind = np.flatnonzero(total >= CONTEXT_COUNT)
         if k > 1:
-            before = np.where(place[behind] == k - 1, 0, words[behind - k])
+            before = np.where(place[behind] == k - 1, end, words[behind - k])
             met, number = np.unique(name[behind] * np.int64(len(h)) + before, return_inverse=True)
             hashes = longer(h[met % len(h)], hashes[met // len(h)])
             name = np.full(len(words), -1, np.int32)
@@ -376,18 +394,19 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
             del before, met, number
         order = _dealt(row, model, behind, name, hashes, total)
         yield order, p
-        n = _answers(row.pop(f"parts_{k}"))
-        known, weight = (x if x is not None else np.empty(0, t) for x, t in ((row[f"context_{k}"], np.int64), (row[f"weight_{k}"], float)))
-        sort = np.argsort(known.view(np.uint64), kind="stable")
-        go, state = _at(known.view(np.uint64)[sort], hashes)
+        n, weights = _answers(row.pop(f"parts_{k}"), np.float64)
+        weight = np.zeros(len(hashes))  # of every context; 0 where it is no state
+        weight[order.entry] = weights
+        go, spread = _at(model.wide[k - 1][0], hashes)
+        weight[spread] = model.wide[k - 1][1][go[spread]]
         here = np.zeros(len(words), np.int64)
         here[order.at] = n[order.pair]
-        tokens = behind[state[name[behind]]]
+        tokens = behind[weight[name[behind]] > 0]
         own = np.where(here[tokens] > 0, (here[tokens] - DISCOUNT) / total[tokens], 0.0)
         p = p.copy()
-        p[tokens] = own + weight[sort][go[name[tokens]]] * p[tokens]
+        p[tokens] = own + weight[name[tokens]] * p[tokens]
         # The next longer context of a token occurs as often as this order's pair of the token before.
-        del order, n, own, tokens, behind
+        del order, n, weights, weight, own, tokens, behind
         total = np.r_[0, here[:-1]]
         total[row["starts"]] = 0
     yield None, p
@@ -398,26 +417,19 @@ def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa
 
     Numbers and logarithms of probabilities go in as few bytes as they need.
     """
-    for row in _rows(batches, model.parts):
+    for row in _rows(batches):
         learn = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
         order, p = next(islice(_orders(row, model, k), k - 1, None))
         n = np.bincount(order.pair, weights=learn[order.at], minlength=len(order.part)).astype(np.int64)
-        lower, total = np.round(-LOG_STEPS * np.log2(p[order.first])).astype(np.int64), order.total[order.first]
+        lower = np.round(-LOG_STEPS * np.log2(p[order.first])).astype(np.int64)
         following = row["h"].view(np.int64)[order.next]
-        # One entry per part and context, then those without a pair: they ask the part that a context's first piece goes to.
-        new = np.flatnonzero(np.r_[True, (order.context[1:] != order.context[:-1]) | (order.part[1:] != order.part[:-1])][:len(order.part)])
-        lone = order.contexts[order.lone]
-        part = np.concatenate([order.part[new], (mix64(lone) % np.uint64(model.parts)).astype(np.int32)])
-        by = np.argsort(part, kind="stable")
-        part = part[by]
-        contexts = np.concatenate([order.contexts[order.context[new]], lone])[by]
-        totals = np.concatenate([total[new], order.lone_total])[by]
-        sizes = np.concatenate([np.diff(np.r_[new, len(order.part)]), np.zeros(len(lone), np.int64)]).astype(np.int64)[by]
+        part, contexts = order.entry_part, order.contexts[order.entry]
         cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)] if len(part) else [0]
         kinds, blocks, stop = (pa.int64(), pa.int32(), *[pa.binary()] * 6), [], 0
         for a, b in zip(cuts[:-1], cuts[1:]):
-            start, stop = stop, stop + int(sizes[a:b].sum())
-            blocks.append((row["chunk"], int(part[a]), contexts[a:b].tobytes(), narrow(totals[a:b]), narrow(sizes[a:b]),
+            sizes = order.entry_size[a:b]
+            start, stop = stop, stop + int(sizes.sum())
+            blocks.append((row["chunk"], int(part[a]), contexts[a:b].tobytes(), narrow(order.entry_total[a:b]), narrow(sizes),
                            narrow(following[start:stop]), narrow(n[start:stop]), narrow(lower[start:stop])))
             if len(blocks) == BLOCKS or b == len(part):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
@@ -425,52 +437,72 @@ def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa
                 blocks = []
 
 
+def weights_of(gain: np.ndarray, seen: np.ndarray, expected: np.ndarray, size: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """The weight of the suffix's distribution in every context that passes the divergence test, 0 in the others.
+
+    ``gain``: sum of n log(n / lower) over a context's frequent next words; ``seen``: sum of n; ``expected``: sum of
+    lower; ``size``: their number; ``total``: how often the context occurs.
+    """
+    rest = total - seen
+    with np.errstate(divide="ignore", invalid="ignore"):
+        other = np.where(rest > 0, rest * np.log(rest / total / (1 - np.minimum(expected, 1 - 1e-9))), 0.0)
+    passed = gain - seen * np.log(total) + other > 0.5 * (size + 1) * np.log(total)
+    return np.where(passed, 1 - (seen - DISCOUNT * size) / total, 0.0)
+
+
 def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Blocks in order of their part: the corpus counts of every block's pairs, and the sums of the part's contexts."""
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.float64(), pa.int64(), pa.float64(),
-             pa.int64(), pa.int64())
-    names = ["chunk", "part", "data", "asked", "context", "gain", "seen", "expected", "size", "total"]
+    """Blocks in order of their part: the corpus counts of every block's pairs, and which of its contexts are states.
 
-    def count(blocks: list[tuple]) -> Iterator[pa.RecordBatch]:
+    A context of one part is tested here; for one of several parts this part's share of its sums goes on.
+    """
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64(),
+             pa.int64(), pa.int64())
+    names = ["chunk", "part", "data", "context", "weight", "gain", "seen", "expected", "size", "total"]
+    for blocks in _by_part(batches):
         columns = list(zip(*blocks))[2:]
         contexts = [np.frombuffer(x, np.uint64) for x in columns[0]]
         totals, sizes, following, n, lower = ([widen(x) for x in column] for column in columns[1:])
-        size, each = np.concatenate(sizes), np.concatenate(contexts)
-        context, total = np.repeat(each, size), np.repeat(np.concatenate(totals), size)
+        del columns
+        size, each, totals = np.concatenate(sizes), np.concatenate(contexts), np.concatenate(totals)
+        context, total = np.repeat(each, size), np.repeat(totals, size)
+        lengths = [len(x) for x in following]
         _, first, pair = np.unique(followed(context, np.concatenate(following).view(np.uint64)), return_index=True, return_inverse=True)
         sums_ = np.bincount(pair, weights=np.concatenate(n)).astype(np.int64)
         sums_[sums_ < PAIR_COUNT] = 0
         some = sums_ > 0
         met, place, which = np.unique(context[first[some]], return_index=True, return_inverse=True)
-        few, expect = sums_[some], np.exp2(np.concatenate(lower)[first[some]] / -LOG_STEPS)
+        weights = np.zeros(len(each))
         if len(met):
-            columns = (met.view(np.int64), np.bincount(which, few * np.log(few / expect)), np.bincount(which, few).astype(np.int64),
-                       np.bincount(which, expect), np.bincount(which), total[first[some]][place])
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(len(met), t) for t in kinds[:4]],
-                                              *[pa.array(x, t) for x, t in zip(columns, kinds[4:])]], names=names)
-        # A context of one part without a frequent continuation here has none.
-        asked = _at(met, each)[1] | (_pieces(np.concatenate(totals), model) > 1)
+            few, expect = sums_[some], np.exp2(np.concatenate(lower)[first[some]] / -LOG_STEPS)
+            shares = (np.bincount(which, few * np.log(few / expect)), np.bincount(which, few).astype(np.int64),
+                      np.bincount(which, expect), np.bincount(which), total[first[some]][place])
+            spread = _pieces(shares[-1], model) > 1
+            weight = np.where(spread, 0.0, weights_of(*shares))
+            go, known = _at(met, each)
+            weights = np.where(known, weight[go], 0.0)
+            for chosen, values in ((weight > 0, (weight, *[None] * 5)), (spread, (None, *shares))):
+                if chosen.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.nulls(int(chosen.sum()), t) for t in kinds[:3]], pa.array(met[chosen].view(np.int64)),
+                         *[pa.nulls(int(chosen.sum()), t) if x is None else pa.array(x[chosen], t) for x, t in zip(values, kinds[4:])]], names=names)
         answers, a, e = sums_[pair], 0, 0
-        for block, rows, heads in zip(blocks, following, contexts):
-            row = (block[0], block[1], zlib.compress(narrow(answers[a:a + len(rows)]), 1),
-                   heads[asked[e:e + len(heads)]].view(np.int64))
-            a, e = a + len(rows), e + len(heads)
+        for block, rows, heads in zip(blocks, lengths, map(len, contexts)):
+            row = (block[0], block[1], _pair(answers[a:a + rows], weights[e:e + heads]))
+            a, e = a + rows, e + heads
             yield pa.RecordBatch.from_arrays([*[pa.array([x], t) for x, t in zip(row, kinds)],
-                                              *[pa.nulls(1, t) for t in kinds[4:]]], names=names)
-
-    for blocks in _by_part(batches):
-        yield from count(blocks)
+                                              *[pa.nulls(1, t) for t in kinds[3:]]], names=names)
 
 
-def retained(counted: DataFrame) -> DataFrame:
-    """The contexts of one order that pass the divergence test, and the weight of their suffix's distribution."""
-    sums_ = (counted.where("context is not null").groupBy("context")
-             .agg(*[F.sum(x).alias(x) for x in ("gain", "seen", "expected", "size")], F.max("total").alias("total")))
-    rest, known = F.col("total") - F.col("seen"), F.least("expected", F.lit(1 - 1e-9))
-    gain = (F.col("gain") - F.col("seen") * F.log("total")
-            + F.when(rest > 0, rest * F.log(rest / F.col("total") / (1 - known))).otherwise(0.0))
-    return (sums_.where(gain > 0.5 * (F.col("size") + 1) * F.log("total"))
-            .select("context", (1 - (F.col("seen") - DISCOUNT * F.col("size")) / F.col("total")).alias("weight")))
+def _wide(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Retained contexts of several parts, sorted, and their weights; at most 4 * parts rows come to the driver."""
+    rows = (counted.where("total is not null").groupBy("context")
+            .agg(*[F.sum(x).alias(x) for x in ("gain", "seen", "expected", "size")], F.max("total").alias("total"))
+            .orderBy("context").toPandas())
+    context = rows["context"].to_numpy(np.int64).view(np.uint64)
+    weight = weights_of(*[rows[x].to_numpy(np.float64) for x in ("gain", "seen", "expected", "size", "total")])
+    kept = weight > 0
+    by = np.argsort(context[kept])
+    return context[kept][by], weight[kept][by]
 
 
 def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, list[DataFrame]]:
@@ -490,20 +522,18 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
                   .repartition(buckets, "part").sortWithinPartitions("part"))
         name = _table(blocks.mapInArrow(partial(_counted, model=model), COUNTED_SCHEMA), f"counted{k}")
         counted = spark.table(name)
-        answers = counted.where("chunk is not null")
-        states.append(spark.table(_table(retained(counted), f"states{k}")))
-        back = _back(counted, k)
-        kept = (answers.select("chunk", F.explode("asked").alias("asked")).join(states[-1], F.col("asked") == F.col("context"))
-                .groupBy("chunk").agg(F.collect_list(F.struct("context", "weight")).alias("s"))
-                .select("chunk", F.col("s.context").alias(f"context_{k}"), F.col("s.weight").alias(f"weight_{k}")))
-        level = spark.table(_table(back.join(kept, "chunk", "left"), f"order{k}", buckets)).withColumnRenamed("chunk", "_chunk")
+        wide = _wide(counted)
+        model = replace(model, wide=(*model.wide, wide))
+        several = spark.createDataFrame([(int(c), float(w)) for c, w in zip(wide[0].view(np.int64), wide[1])], "context long, weight double")
+        states.append(spark.table(_table(counted.where("weight is not null").select("context", "weight").unionByName(several), f"states{k}")))
+        level = spark.table(_table(_back(counted, k), f"order{k}", buckets)).withColumnRenamed("chunk", "_chunk")
         _drop(spark, [name])
         encoded = encoded.join(level, F.col("chunk") == F.col("_chunk"), "left").drop("_chunk")
     return encoded, model, states
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model, depth: int) -> Iterator[pa.RecordBatch]:
-    for row in _rows(batches, model.parts):
+    for row in _rows(batches):
         sizes, starts, base = row["sizes"], row["starts"], None
         for p in map(itemgetter(1), _orders(row, model, depth)):  # an order is not held on to
             base = np.add.reduceat(np.log10(p), starts) if base is None else base
