@@ -185,6 +185,7 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
     rows = rows.withColumn("_one", F.lit(1))
     placed = cut(running_total(rows, ["conv"], ["turn", "role_in", "text"], "_one", "position").drop("_one"))
     # The place within the conversation names a turn from here on.
+    # The text is left out of all joins that find its turn's role.
     states = _states(placed.select("conv", (F.col("position") - 1).alias("node"), "r"))
     # Cut, so that adaptive execution can split the join at a conversation of very many turns.
     lengths = cut(placed.groupBy("conv").agg(F.max("position").alias("length")).select(F.col("conv").alias("_l"), "length"))
@@ -211,10 +212,11 @@ def repair(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role:
         F.concat(F.when(F.col("position") > 1, F.lit(CLOSE)).otherwise(F.lit("")), empties(F.col("inserted")),
                  F.lit("<|im_start|>"), F.col("role"), F.lit("\n")))
     tail = F.when(last, F.concat(F.lit(CLOSE), empties(F.col("closing")))).otherwise(F.lit(""))
+    # All that is known of a turn comes together without its text, which moves once, to meet it.
+    known = (states.select(F.col("conv").alias("_c"), "node", "entry", "exit")
+             .join(lengths, F.col("_c") == F.col("_l")).drop("_l"))
     joined = (placed.withColumn("_node", F.col("position") - 1)
-              .join(states.select(F.col("conv").alias("_c"), "node", "entry", "exit"),
-                    (F.col("conv") == F.col("_c")) & (F.col("_node") == F.col("node")))
-              .join(lengths, F.col("conv") == F.col("_l")))
+              .join(known, (F.col("conv") == F.col("_c")) & (F.col("_node") == F.col("node"))))
     return (joined.select("conv_id", "turn", "position", "length", "role_in", new_role.alias("role"), action.alias("action"),
                           between.alias("inserted"), closing.alias("closing"), "text")
             .withColumn("rendered", F.concat(head, safe, tail))

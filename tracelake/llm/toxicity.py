@@ -1,15 +1,18 @@
 """Operator 4: toxicity by compression distance.
 
-A zstandard dictionary is trained on ordinary text; the toxic dictionary is
-that one and a list of at most ``TOXIC_WORDS`` words. None is trained on toxic
-text, because that did worse on held-out texts (README). A text is cut into word-aligned windows; a window that the toxic
-dictionary shortens more than the ordinary one speaks for toxicity. The
-difference in compressed bytes is weighed by its log-odds in the two classes
-and a text's score is a logistic function, calibrated on labelled texts kept
-out of the dictionaries, of its windows' weights.
-
-The toxic texts' own vocabulary stands behind the ordinary dictionary, so ordinary language costs the same under both and only toxic
-matter tells them apart; ordinary windows that it shortens all the same are
+Separate zstandard dictionaries are trained on windows of ordinary and of toxic
+text. A text is cut into word-aligned windows; a window that a toxic dictionary
+shortens more than the ordinary one speaks for toxicity. The difference in
+compressed bytes is weighed by its log-odds in the two classes and a text's
+score is a logistic function, calibrated on labelled texts kept out of the
+dictionaries, of its windows' weights.
+
+A trained dictionary spends most of its bytes on the ordinary language that
+toxic text is made of too, and alone finds few toxic documents (README). A second
+toxic dictionary therefore is the ordinary one with a list of at most
+``TOXIC_WORDS`` words behind it: ordinary language costs the same under both and
+only toxic matter tells them apart. Both differences are features of the score.
+Ordinary windows that the list shortens all the same are
 added to the ordinary part, in a few rounds. That vocabulary is contrastive: words, and beginnings
 of words, that follow significantly more different words in toxic texts than
 in ordinary ones (different predecessors, so that a text copied a thousand
@@ -77,7 +80,8 @@ class Model:
 
     ordinary: bytes = b""
     toxic: bytes = b""
-    weights: tuple[float, ...] = ()
+    trained: bytes = b""
+    weights: tuple[tuple[float, ...], ...] = ()
     coefficients: tuple[float, ...] = ()
     prior: float = 0.0
     words: tuple[bytes, ...] = field(default=(), compare=False)
@@ -88,27 +92,37 @@ def text_windows(text: bytes) -> list[bytes]:
     return _WINDOW.findall(text.translate(LOWER))
 
 
-def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    def make() -> zstandard.ZstdCompressor:
+def _compressors(model: Model) -> tuple:
+    """``compress`` with the ordinary dictionary, the word list behind it, and the one trained on toxic text."""
+    def make(dictionary: bytes):
         d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(level=LEVEL)
-        return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress
 
-    return held(("compressor", dictionary), make)
+    dictionaries = model.ordinary, model.toxic, model.trained
+    return held(("compressors", dictionaries), lambda: tuple(make(d or b" " * 8) for d in dictionaries))
 
 
 def differences(text: bytes, model: Model) -> np.ndarray:
-    """Per window: compressed bytes with the ordinary dictionary less those with the toxic one, within LOW..HIGH."""
+    """Two rows, per window: compressed bytes with the ordinary dictionary less those with the word list behind it,
+    and less those with the dictionary trained on toxic text, within LOW..HIGH."""
+    plain, listed, trained = _compressors(model)
     ws = text_windows(text)
-    plain, toxic = _compressor(model.ordinary).compress, _compressor(model.toxic).compress
-    return np.fromiter((max(LOW, min(HIGH, len(plain(w)) - len(toxic(w)))) for w in ws), np.int64, len(ws))
+    out = np.empty((2, len(ws)), np.int64)
+    for i, w in enumerate(ws):
+        n = len(plain(w))
+        out[0, i], out[1, i] = n - len(listed(w)), n - len(trained(w))
+    return np.clip(out, LOW, HIGH)
 
 
 def _features(diffs: np.ndarray, weights: np.ndarray) -> tuple[float, ...]:
-    w = weights[diffs - LOW]
-    up = w[w > 0]
-    total, n = float(up.sum()), len(w)
-    return 1.0, min(total, 60.0), float(up.max(initial=0.0)), math.log1p(n), min(total / math.sqrt(n), 10.0) if n else 0.0
+    """Of the word list's differences: sum, maximum, number of windows and sum by its root; of the trained dictionary's
+    weights by its own row: sum by the root of the number, and maximum."""
+    w, v = weights[0][diffs[0] - LOW], weights[1][diffs[1] - LOW]
+    total, other, n = float(w.sum()), float(v.sum()), len(w)
+    root = math.sqrt(n) if n else 1.0
+    return (1.0, min(total, 60.0), float(w.max(initial=0.0)), math.log1p(n), min(total / root, 10.0),
+            min(other / root, 10.0), float(v.max(initial=0.0)))
 
 
 def score_texts(texts: list[bytes], model: Model) -> np.ndarray:
@@ -144,7 +158,7 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _hard_windows(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            gains, windows = differences(text, model), text_windows(text)
+            gains, windows = differences(text, model)[0], text_windows(text)
             at = np.flatnonzero(gains >= HARD_GAIN)
             yield pa.RecordBatch.from_arrays([pa.array([windows[i] for i in at], pa.binary()), pa.array(gains[at], pa.int64())],
                                              names=["w", "gain"])
@@ -199,15 +213,19 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, toxic:
     chosen = (marked.select("unit", "z").unionByName(carried).groupBy("unit").agg(F.max("z").alias("z"))
               .orderBy(F.desc("z"), "unit").limit(TOXIC_WORDS).collect())
     vocabulary = tuple(bytes(r["unit"]) for r in chosen)
-    windows = [bytes(r["w"]) for r in build.where("toxic = 0").select("text").mapInArrow(_sample_windows, "w binary")
-               .orderBy(F.xxhash64("w"), "w").limit(TRAINING_WINDOWS).collect()]
-    try:
-        plain = zstandard.train_dictionary(DICTIONARY_BYTES, windows).as_bytes()
-    except (zstandard.ZstdError, ValueError):  # too few samples for the trainer
-        plain = b" ".join(windows)[-DICTIONARY_BYTES:] or b" " * 8
+    def trained(label: int) -> bytes:
+        windows = [bytes(r["w"]) for r in build.where(F.col("toxic") == label).select("text").mapInArrow(_sample_windows, "w binary")
+                   .orderBy(F.xxhash64("w"), "w").limit(TRAINING_WINDOWS).collect()]
+        try:
+            return zstandard.train_dictionary(DICTIONARY_BYTES, windows).as_bytes()
+        except (zstandard.ZstdError, ValueError):  # too few samples for the trainer
+            return b" ".join(windows)[-DICTIONARY_BYTES:] or b" " * 8
+
+    plain, harmful = trained(0), trained(1)
+
     def pair(ordinary: bytes) -> Model:
         # The strongest words come last: nearest to the window, and cheapest to refer to.
-        return Model(ordinary, ordinary + b" " + b"".join(reversed(vocabulary)), prior=prior, words=vocabulary)
+        return Model(ordinary, ordinary + b" " + b"".join(reversed(vocabulary)), harmful, prior=prior, words=vocabulary)
 
     model = pair(plain)
     for _ in range(HARD_ROUNDS):
@@ -219,7 +237,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, toxic:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [np.bincount(differences(t, model) - LOW, minlength=HIGH - LOW + 1) for t in batch.column(0).to_pylist()]
+            wide = HIGH - LOW + 1
+            counts = [np.concatenate([np.bincount(d - LOW, minlength=wide) for d in differences(t, model)]) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([c.tolist() for c in counts], pa.list_(pa.int64())), batch.column(1)],
                                              names=["counts", "toxic"])
 
@@ -228,26 +247,37 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, toxic:
     y = np.array([r["toxic"] for r in rows])
     if not len(rows) or y.all() or not y.any():
         return Model(prior=prior)
-    counts = np.array([r["counts"] for r in rows], float)
+    counts = np.array([r["counts"] for r in rows], float).reshape(len(rows), 2, -1)
+    weights = [gain_weights(counts[:, i], y) for i in range(2)]
+    span = np.arange(LOW, HIGH + 1)
+    x = np.array([_features(np.stack([np.repeat(span, row.astype(int)) for row in c]), weights) for c in counts])
+    # Classes are sampled to different shares; rows weigh what they stand for.
+    weight = np.where(y == 1, totals[1] / total / (y == 1).sum(), totals[0] / total / (y == 0).sum()) * len(y)
+    beta = logistic_fit(x, y, weight)
+    return Model(model.ordinary, model.toxic, harmful, tuple(map(tuple, weights)), tuple(beta), prior, vocabulary)
+
+
+def gain_weights(counts: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log-odds of a difference of at least so many bytes in toxic documents; only gains are evidence, and more is never less."""
     one, zero = counts[y == 1].sum(axis=0), counts[y == 0].sum(axis=0)
-    # Log-odds of a difference of at least so many bytes; only gains are evidence.
     tail1, tail0 = one[::-1].cumsum()[::-1] + 1, zero[::-1].cumsum()[::-1] + 1 + one.sum() / max(1.0, zero.sum())
-    weights = np.log(tail1 / one.sum()) - np.log(tail0 / zero.sum())
+    weights = np.log(tail1 / max(1.0, one.sum())) - np.log(tail0 / max(1.0, zero.sum()))
     weights[:1 - LOW] = 0
-    weights = np.maximum.accumulate(np.maximum(weights, 0))
-    x = np.array([_features(np.repeat(np.arange(LOW, HIGH + 1), c.astype(int)), weights) for c in counts])
-    # Classes are sampled to different shares; rows weigh what they stand for.
-    weight = np.where(y == 1, totals[1] / total / (y == 1).sum(), totals[0] / total / (y == 0).sum()) * len(y)
+    return np.maximum.accumulate(np.maximum(weights, 0))
+
+
+def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Coefficients by Newton's method, with a small ridge on all but the first."""
     beta = np.zeros(x.shape[1])
+    ridge = 0.1 * np.r_[0, np.ones(x.shape[1] - 1)]
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        ridge = 0.1 * np.r_[0, np.ones(x.shape[1] - 1)]
         step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-6),
                                x.T @ (weight * (y - p)) - ridge * beta)
         beta += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-8:
             break
-    return Model(model.ordinary, model.toxic, tuple(weights), tuple(beta), prior, vocabulary)
+    return beta
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "toxicity") -> DataFrame:
