@@ -35,10 +35,11 @@ def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.1")
     args = ap.parse_args()
-    from tracelake.operators import itineraries
+    from tracelake.operators import daily_itineraries, itineraries, lookup_by_range
     from tracelake.plans import fixtures as fx
     from tracelake.plans.catalog import QUERIES
     from tracelake.session import local_session
+    from tracelake.sources import fresh_path, read_table, replace_table
 
     spark = local_session(8, 16)
     # Mimic a large cluster input: the tiny fixture tables (nation,
@@ -53,6 +54,14 @@ def main() -> None:
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     print("### itineraries, directory above the broadcast limit\n\n```")
     print(plan_text(itineraries(fx.trace_logs(spark, args.sf), fx.towers(spark, args.sf))))
+    print("```\n")
+    path = fresh_path(spark, "daily")
+    daily = daily_itineraries(fx.event_logs(spark, args.sf), fx.towers(spark, args.sf), with_cities=True)
+    replace_table(daily, path, ["phone", "day"], buckets=16)
+    print("### lookup_stored_batch, requests above the broadcast limit\n\n```")
+    print(plan_text(lookup_by_range(read_table(spark, path), fx.requests(spark, args.sf))))
+    print("```\n\n### confusion_matrix\n\n```")
+    print(plan_text(QUERIES["confusion_matrix"](spark, args.sf)))
     print("```")
     spark.stop()
 
