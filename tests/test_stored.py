@@ -88,7 +88,7 @@ def test_a_killed_write_leaves_the_old_rows(spark, tmp_path):
     job = subprocess.Popen([sys.executable, "-c", KILLED.format(root=ROOT, path=path)], start_new_session=True,
                            stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
     try:
-        for _ in range(600):
+        for _ in range(3000):
             if len(os.listdir(f"{path}/versions")) > 1 or job.poll() is not None:
                 break
             time.sleep(0.05)
@@ -181,6 +181,13 @@ def test_batches_join_a_bucketed_table_where_it_lies(spark, tmp_path):
         assert [x for x in above_scan(plan(lookup_by_range(read_table(spark, path), requests)), "ReadSchema: struct<phone:string,day:string,cities") if "Exchange" in x]
 
 
+def test_a_folder_with_a_quote_in_its_name(spark, tmp_path):
+    path = str(tmp_path / "user's tables" / "daily")
+    version = replace_table(numbers(spark, 20), path, ["k"], buckets=2)
+    spark.sql(f"DROP TABLE tracelake_{version}")
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 20))
+
+
 def test_buckets_are_used_by_a_session_that_did_not_write_them(spark, tmp_path):
     path = str(tmp_path / "daily")
     version = replace_table(_daily(spark, SF_SMALL), path, ["phone", "day"], buckets=8)

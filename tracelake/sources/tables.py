@@ -113,8 +113,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if not spark.catalog.tableExists(name):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         order = ", ".join(f"`{k}`" for k in now["keys"])
+        quoted = folder.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{now['keys'][0]}`) "
-                  f"SORTED BY ({order}) INTO {now.buckets} BUCKETS LOCATION '{folder}'")
+                  f"SORTED BY ({order}) INTO {now.buckets} BUCKETS LOCATION '{quoted}'")
     return spark.table(name)
 
 
