@@ -21,7 +21,7 @@ each, so no part is much larger than the others. The tree grows
 with the corpus and stays distributed: for each length of context in turn, a
 chunk's distinct continuations of contexts that occur often enough go out by
 hash of the context (a context of many occurrences to several parts, by hash
-of the next word), are counted and tested there, and counts and the weights of
+of the next word), are counted and tested there, and counts and what makes the weights of
 retained states come back to the chunks in a bucketed table. The driver holds the
 numbers of training tokens and types and, for each length, the few contexts of
 several parts, whose test is an aggregate over them (at most 4 for each part). Words and contexts are known by a 64-bit hash. The tables lie in the
@@ -40,7 +40,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import partial
@@ -51,6 +50,7 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,7 +84,7 @@ CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, siz
 #: Steps of the logarithm (base 2) that a probability is sent in: it only weighs in the divergence test.
 LOG_STEPS = 1024
 BLOCK_SCHEMA = "chunk long, part int, contexts binary, totals binary, sizes binary, next binary, n binary, lower binary"
-#: Answers to a block (chunk to data), a retained context with its weight, or a part's share of the sums of a context of several parts.
+#: Answers to a block (chunk to data: columns of integers), a retained context with its weight, or a part's share of the sums of a context of several parts.
 COUNTED_SCHEMA = ("chunk long, part int, data binary, context long, weight double, "
                   "gain double, seen long, expected double, size long, total long")
 
@@ -112,6 +112,14 @@ def longer(before: np.ndarray, context: np.ndarray) -> np.ndarray:
     return mix64(mix64(before ^ _TWO) + context)
 
 
+def context_hash(words: np.ndarray) -> np.ndarray:
+    """Hashes of contexts from the numbers of their words (a row for each place, the first word's first)."""
+    out = one_word(words[-1])
+    for before in words[-2::-1]:
+        out = longer(before, out)
+    return out
+
+
 def followed(context: np.ndarray, h: np.ndarray) -> np.ndarray:
     return mix64(context ^ mix64(h))
 
@@ -164,20 +172,34 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int, parts: int) ->
         yield flush()
 
 
+_PRESS, _UNPRESS = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def narrow(values: np.ndarray) -> bytes:
-    """Non-negative integers in as few bytes each as the largest needs, that number before them."""
+    """Non-negative integers in as few bytes each as the largest needs, compressed: first all lowest bytes, then all second ones, ..."""
     values = np.ascontiguousarray(values, "<i8")
     size = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
-    return bytes([size]) + values.view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+    return bytes([size]) + _PRESS.compress(values.view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes())
 
 
 def widen(data: bytes) -> np.ndarray:
     size = data[0]
-    out = np.zeros(((len(data) - 1) // size, 8), np.uint8)
-    out[:, :size] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, size)
+    planes = np.frombuffer(_UNPRESS.decompress(data[1:]), np.uint8).reshape(size, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :size] = planes.T
     return out.view("<i8").ravel()
 
 
+def near(values: np.ndarray) -> np.ndarray:
+    """Whole numbers as non-negative steps from one to the next (up: even, down: odd), small where the numbers mostly ascend slowly."""
+    step = np.diff(values.astype(np.int64, copy=False), prepend=0)
+    return (step << 1) ^ (step >> 63)
+
+
+def from_near(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum((steps >> 1) ^ -(steps & 1))
+
+
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     return (mix64(hashes) % np.uint64(parts)).astype(np.int32)
 
@@ -193,7 +215,7 @@ def _vocabulary(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
             cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)]
             chunk, blocks = batch.column(0)[i].as_py(), []
             for a, b in zip(cuts[:-1], cuts[1:]):
-                blocks.append((chunk, int(part[a]), hashes[a:b].tobytes(), learned[a:b].tobytes()))
+                blocks.append((chunk, int(part[a]), hashes[a:b].tobytes(), narrow(learned[a:b])))
                 if len(blocks) == BLOCKS or b == len(part):
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
                                                      names=["chunk", "part", "hashes", "learned"])
@@ -218,7 +240,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
     kinds, names = (pa.int64(), pa.int32(), pa.binary(), pa.int64()), ["chunk", "part", "data", "types"]
     for blocks in _by_part(batches):
         hashes = np.concatenate([np.frombuffer(x[2], np.uint64) for x in blocks])
-        learned = np.concatenate([np.frombuffer(x[3], np.int32) for x in blocks])
+        learned = np.concatenate([widen(x[3]) for x in blocks])
         words, which = np.unique(hashes, return_inverse=True)
         total = np.bincount(which, weights=learned, minlength=len(words)).astype(np.int64)
         # A word's number: frequent words have small ones, and no two parts the same.
@@ -229,26 +251,26 @@ def _word_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
         del hashes, learned, which
         for block in blocks:
             n = len(block[2]) // 8
-            row = (block[0], block[1], _pair(counts[a:a + n], numbers[a:a + n]), None)
+            row = (block[0], block[1], _answer(counts[a:a + n], numbers[a:a + n]), None)
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
             a += n
 
 
-def _pair(counts: np.ndarray, others: np.ndarray) -> bytes:
-    """Two arrays of a block's answer: counts, and whole numbers or weights."""
-    first = zlib.compress(narrow(counts), 1)
-    rest = zlib.compress(others.tobytes(), 1) if others.dtype == np.float64 else narrow(others)
-    return len(first).to_bytes(4, "little") + first + rest
+def _answer(*columns: np.ndarray) -> bytes:
+    """A block's answer: columns of non-negative integers, each behind its length in bytes."""
+    return b"".join(len(x).to_bytes(4, "little") + x for x in map(narrow, columns))
 
 
-def _answers(parts: list[dict] | None, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """Both arrays of the answers that have come back to a chunk, in order of part."""
-    counts, others = [np.empty(0, np.int64)], [np.empty(0, kind)]
+def _answers(parts: list[dict] | None, columns: int) -> list[np.ndarray]:
+    """The columns of the answers that have come back to a chunk, in order of part."""
+    out = [[np.empty(0, np.int64)] for _ in range(columns)]
     for data in (x["data"] for x in parts or []):
-        stop = 4 + int.from_bytes(data[:4], "little")
-        counts.append(widen(zlib.decompress(data[4:stop])))
-        others.append(np.frombuffer(zlib.decompress(data[stop:]), np.float64) if kind is np.float64 else widen(data[stop:]))
-    return np.concatenate(counts), np.concatenate(others)
+        start = 0
+        for column in out:
+            stop = start + 4 + int.from_bytes(data[start:start + 4], "little")
+            column.append(widen(data[start + 4:stop]))
+            start = stop
+    return [np.concatenate(column) for column in out]
 
 
 def _back(counted: DataFrame, k: int) -> DataFrame:
@@ -312,8 +334,13 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-            words = unpack(row["tokens"], row["bits"], 0, row["n"]).astype(np.int32)
-            c, h = _answers(row.pop("parts_0"), np.int64)
+            c, h = _answers(row.pop("parts_0"), 2)
+            # Words in order of their number, so that frequent ones come first.
+            by = np.argsort(h)
+            new = np.empty(len(by), np.int32)
+            new[by] = np.arange(len(by))
+            words, c, h = new[unpack(row["tokens"], row["bits"], 0, row["n"])], c[by], h[by]
+            row["end"] = int(new[row["end"]])
             sizes = np.array(row["sizes"], np.int64)
             starts = np.cumsum(sizes) - sizes
             yield row | {"words": words, "sizes": sizes, "starts": starts, "place": np.arange(len(words), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes),
@@ -334,7 +361,7 @@ class Order:
 
     at: np.ndarray  # tokens that are frequent enough, behind a context that occurs often enough
     total: np.ndarray  # of every token: how often its context occurs
-    contexts: np.ndarray  # hash of each context
+    contexts: tuple[np.ndarray, ...]  # numbers of each context's words, the first word's first
     context: np.ndarray  # of every pair: number of its context
     next: np.ndarray  # of every pair: number of the next word
     pair: np.ndarray  # of every token in ``at``: its pair
@@ -346,7 +373,8 @@ class Order:
     entry_total: np.ndarray
 
 
-def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, hashes: np.ndarray, total: np.ndarray) -> Order:
+def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, contexts: tuple[np.ndarray, ...], hashes: np.ndarray,
+           total: np.ndarray) -> Order:
     h = row["h"]
     at = behind[row["c"][row["words"][behind]] >= NEXT_COUNT]
     present, seen = np.unique(name[behind], return_index=True)
@@ -368,7 +396,7 @@ def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, hashes
     entry_size = np.concatenate([np.diff(np.r_[new, len(part)]), np.zeros(len(lone), np.int64)]).astype(np.int64)
     entry_total = np.concatenate([total[first[new]], lone_total])
     by = np.argsort(entry_part, kind="stable")
-    return Order(at, total, hashes, context, following, back[pair], first, part,
+    return Order(at, total, contexts, context, following, back[pair], first, part,
                  entry[by], entry_part[by], entry_size[by], entry_total[by])
 
 
@@ -382,21 +410,22 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
     end = np.int32(row["end"])
     name = np.r_[end, words[:-1]]  # of every token: number of its context; the end before the first
     name[row["starts"]] = end
-    hashes, total = one_word(h), c[name]
+    contexts, hashes, total = (h,), one_word(h), c[name]
     for k in range(1, depth + 1):
         behind = np.flatnonzero(total >= CONTEXT_COUNT)
         if k > 1:
             before = np.where(place[behind] == k - 1, end, words[behind - k])
             met, number = np.unique(name[behind] * np.int64(len(h)) + before, return_inverse=True)
             hashes = longer(h[met % len(h)], hashes[met // len(h)])
+            contexts = (h[met % len(h)], *[x[met // len(h)] for x in contexts])
             name = np.full(len(words), -1, np.int32)
             name[behind] = number
             del before, met, number
-        order = _dealt(row, model, behind, name, hashes, total)
+        order = _dealt(row, model, behind, name, contexts, hashes, total)
         yield order, p
-        n, weights = _answers(row.pop(f"parts_{k}"), np.float64)
+        n, rest, size = _answers(row.pop(f"parts_{k}"), 3)
         weight = np.zeros(len(hashes))  # of every context; 0 where it is no state
-        weight[order.entry] = weights
+        weight[order.entry] = np.where(size > 0, (rest + DISCOUNT * size) / order.entry_total, 0.0)
         go, spread = _at(model.wide[k - 1][0], hashes)
         weight[spread] = model.wide[k - 1][1][go[spread]]
         here = np.zeros(len(words), np.int64)
@@ -406,7 +435,7 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
         p = p.copy()
         p[tokens] = own + weight[name[tokens]] * p[tokens]
         # The next longer context of a token occurs as often as this order's pair of the token before.
-        del order, n, weights, weight, own, tokens, behind
+        del order, n, rest, size, weight, own, tokens, behind
         total = np.r_[0, here[:-1]]
         total[row["starts"]] = 0
     yield None, p
@@ -415,7 +444,8 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
 def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa.RecordBatch]:
     """The distinct continuations of order ``k``, one block for each part: contexts with their totals, next words with counts.
 
-    Numbers and logarithms of probabilities go in as few bytes as they need.
+    Numbers and logarithms of probabilities go in as few bytes as they need: contexts, and the words behind each, ascend by
+    number, and so, on the whole, do the logarithms, so that steps between neighbours are small.
     """
     for row in _rows(batches):
         learn = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
@@ -423,14 +453,14 @@ def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa
         n = np.bincount(order.pair, weights=learn[order.at], minlength=len(order.part)).astype(np.int64)
         lower = np.round(-LOG_STEPS * np.log2(p[order.first])).astype(np.int64)
         following = row["h"].view(np.int64)[order.next]
-        part, contexts = order.entry_part, order.contexts[order.entry]
+        part, contexts = order.entry_part, np.stack([x[order.entry] for x in order.contexts])
         cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)] if len(part) else [0]
         kinds, blocks, stop = (pa.int64(), pa.int32(), *[pa.binary()] * 6), [], 0
         for a, b in zip(cuts[:-1], cuts[1:]):
             sizes = order.entry_size[a:b]
             start, stop = stop, stop + int(sizes.sum())
-            blocks.append((row["chunk"], int(part[a]), contexts[a:b].tobytes(), narrow(order.entry_total[a:b]), narrow(sizes),
-                           narrow(following[start:stop]), narrow(n[start:stop]), narrow(lower[start:stop])))
+            blocks.append((row["chunk"], int(part[a]), narrow(near(contexts[:, a:b].ravel())), narrow(order.entry_total[a:b]), narrow(sizes),
+                           narrow(near(following[start:stop])), narrow(n[start:stop]), narrow(near(lower[start:stop]))))
             if len(blocks) == BLOCKS or b == len(part):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
                                                  names=["chunk", "part", "contexts", "totals", "sizes", "next", "n", "lower"])
@@ -450,8 +480,9 @@ def weights_of(gain: np.ndarray, seen: np.ndarray, expected: np.ndarray, size: n
     return np.where(passed, 1 - (seen - DISCOUNT * size) / total, 0.0)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Blocks in order of their part: the corpus counts of every block's pairs, and which of its contexts are states.
+def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa.RecordBatch]:
+    """Blocks in order of their part: the corpus counts of every block's pairs, and of each of its contexts that is a state
+    how often a rare word follows it and how many frequent ones do (0 where it is none).
 
     A context of one part is tested here; for one of several parts this part's share of its sums goes on.
     """
@@ -460,8 +491,10 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
     names = ["chunk", "part", "data", "context", "weight", "gain", "seen", "expected", "size", "total"]
     for blocks in _by_part(batches):
         columns = list(zip(*blocks))[2:]
-        contexts = [np.frombuffer(x, np.uint64) for x in columns[0]]
-        totals, sizes, following, n, lower = ([widen(x) for x in column] for column in columns[1:])
+        words, totals, sizes, following, n, lower = ([widen(x) for x in column] for column in columns)
+        words, following, lower = ([from_near(x) for x in column] for column in (words, following, lower))
+        contexts = [context_hash(x.view(np.uint64).reshape(k, -1)) for x in words]
+        del words
         del columns
         size, each, totals = np.concatenate(sizes), np.concatenate(contexts), np.concatenate(totals)
         context, total = np.repeat(each, size), np.repeat(totals, size)
@@ -471,7 +504,7 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
         sums_[sums_ < PAIR_COUNT] = 0
         some = sums_ > 0
         met, place, which = np.unique(context[first[some]], return_index=True, return_inverse=True)
-        weights = np.zeros(len(each))
+        left, told = np.zeros((2, len(each)), np.int64)
         if len(met):
             few, expect = sums_[some], np.exp2(np.concatenate(lower)[first[some]] / -LOG_STEPS)
             shares = (np.bincount(which, few * np.log(few / expect)), np.bincount(which, few).astype(np.int64),
@@ -479,7 +512,9 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
             spread = _pieces(shares[-1], model) > 1
             weight = np.where(spread, 0.0, weights_of(*shares))
             go, known = _at(met, each)
-            weights = np.where(known, weight[go], 0.0)
+            known &= weight[go] > 0
+            left = np.where(known, (shares[-1] - shares[1])[go], 0)
+            told = np.where(known, shares[3][go], 0)
             for chosen, values in ((weight > 0, (weight, *[None] * 5)), (spread, (None, *shares))):
                 if chosen.any():
                     yield pa.RecordBatch.from_arrays(
@@ -487,7 +522,7 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
                          *[pa.nulls(int(chosen.sum()), t) if x is None else pa.array(x[chosen], t) for x, t in zip(values, kinds[4:])]], names=names)
         answers, a, e = sums_[pair], 0, 0
         for block, rows, heads in zip(blocks, lengths, map(len, contexts)):
-            row = (block[0], block[1], _pair(answers[a:a + rows], weights[e:e + heads]))
+            row = (block[0], block[1], _answer(answers[a:a + rows], left[e:e + heads], told[e:e + heads]))
             a, e = a + rows, e + heads
             yield pa.RecordBatch.from_arrays([*[pa.array([x], t) for x, t in zip(row, kinds)],
                                               *[pa.nulls(1, t) for t in kinds[3:]]], names=names)
@@ -520,7 +555,7 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
     for k in range(1, depth + 1):
         blocks = (encoded.drop("doc_ids").mapInArrow(partial(_ask, model=model, k=k), BLOCK_SCHEMA)
                   .repartition(buckets, "part").sortWithinPartitions("part"))
-        name = _table(blocks.mapInArrow(partial(_counted, model=model), COUNTED_SCHEMA), f"counted{k}")
+        name = _table(blocks.mapInArrow(partial(_counted, model=model, k=k), COUNTED_SCHEMA), f"counted{k}")
         counted = spark.table(name)
         wide = _wide(counted)
         model = replace(model, wide=(*model.wide, wide))
