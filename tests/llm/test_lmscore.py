@@ -178,3 +178,20 @@ def test_tables_are_dropped_on_demand(spark, tmp_path):
 def test_narrow_integers():
     for values in ([], [0], [255, 0, 3], [256, 1], [2**40, 7], [2**62]):
         assert lmscore.widen(lmscore.narrow(np.array(values, np.int64))).tolist() == values
+
+
+def test_steps_between_numbers():
+    for values in ([], [5], [3, 3, 900, 2, 7], [2**40, 0, 2**40]):
+        steps = lmscore.near(np.array(values, np.int64))
+        assert (steps >= 0).all()
+        assert lmscore.from_near(lmscore.widen(lmscore.narrow(steps))).tolist() == values
+    hashes = np.sort(np.array([1, 2**63 + 5, 2**64 - 1, 2**63], np.uint64))
+    packed = lmscore.narrow(np.diff(hashes, prepend=np.uint64(0)))
+    assert np.cumsum(lmscore.widen(packed).view(np.uint64)).tolist() == hashes.tolist()
+    assert (np.diff(lmscore._part_of(hashes, 844)) >= 0).all() and lmscore._part_of(hashes, 844).max() < 844
+
+
+def test_context_hashes_follow_the_order_of_words():
+    a, b, c = (np.array([x], np.uint64) for x in (7, 11, 13))
+    assert lmscore.context_hash(np.stack([c]))[0] == lmscore.one_word(c)[0]
+    assert lmscore.context_hash(np.stack([a, b, c]))[0] == lmscore.longer(a, lmscore.longer(b, lmscore.one_word(c)))[0]

@@ -55,7 +55,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm.binpack import pack, unpack
 from tracelake.llm.common import LOWER, as_bytes, crc32_of_id, shared_dir, ship
 from tracelake.llm.words import Numbering, mix64, number_words, sums
 
@@ -79,7 +78,7 @@ BLOCKS = 64
 CHUNK_BYTES = 4 << 20
 END = b""  # no word is empty
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, bits int, n int, end int, "
+CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, end int, "
                 "tokens binary, hashes binary, learned binary")
 #: Steps of the logarithm (base 2) that a probability is sent in: it only weighs in the divergence test.
 LOG_STEPS = 1024
@@ -129,8 +128,8 @@ def _pieces(total: np.ndarray, model: Model) -> np.ndarray:
     return total * (4 * model.parts) // max(1, model.tokens) + 1
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, held_out, learn, text) as chunks; a chunk's words are numbered in order of the part their hash belongs to."""
+def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, held_out, learn, text) as chunks: words in order of hash, and so of part, tokens as places of words by frequency."""
     part, number = TaskContext.get().partitionId(), 0
     ids, held, learn, rows, sizes, words, size = [], [], [], [], [], Numbering(), 0
     words[END]
@@ -138,19 +137,17 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int, parts: int) ->
     def flush() -> pa.RecordBatch:
         flat, counts = np.concatenate(rows), np.concatenate(sizes)
         weights = np.repeat(np.array(learn, bool), counts)
-        bits = max(1, (len(words) - 1).bit_length())
         hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=0), words), np.uint64, len(words))
-        by = np.argsort(_part_of(hashes, parts), kind="stable")
-        place = np.empty(len(by), np.int64)
-        place[by] = np.arange(len(by))
-        flat = place[flat]
-        row = {"chunk": part << 24 | number, "doc_ids": ids, "held_out": held, "sizes": counts.tolist(), "bits": bits,
-               "n": len(flat), "end": int(place[0]), "tokens": pack(flat, bits), "hashes": hashes[by].tobytes(),
-               "learned": np.bincount(flat[weights], minlength=len(words)).astype(np.int32).tobytes()}
+        by = np.argsort(hashes)
+        learned = np.bincount(flat[weights], minlength=len(words))[by]
+        rank = np.empty(len(by), np.int64)
+        rank[by[_ranked(learned)]] = np.arange(len(by))
+        row = {"chunk": part << 24 | number, "doc_ids": ids, "held_out": held, "sizes": counts.tolist(),
+               "end": int(np.flatnonzero(by == 0)[0]), "tokens": narrow(rank[flat]),
+               "hashes": narrow(np.diff(hashes[by], prepend=np.uint64(0))), "learned": narrow(learned)}
         return pa.RecordBatch.from_pylist([row], schema=pa.schema([
             ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
-            ("sizes", pa.list_(pa.int32())), ("bits", pa.int32()), ("n", pa.int32()), ("end", pa.int32()), ("tokens", pa.binary()),
-            ("hashes", pa.binary()), ("learned", pa.binary())]))
+            ("sizes", pa.list_(pa.int32())), ("end", pa.int32()), ("tokens", pa.binary()), ("hashes", pa.binary()), ("learned", pa.binary())]))
 
     for batch in batches:
         names, out, train = (batch.column(i).to_pylist() for i in range(3))
@@ -178,7 +175,7 @@ _PRESS, _UNPRESS = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor
 def narrow(values: np.ndarray) -> bytes:
     """Non-negative integers in as few bytes each as the largest needs, compressed: first all lowest bytes, then all second ones, ..."""
     values = np.ascontiguousarray(values, "<i8")
-    size = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    size = max(1, -(-int(values.view("<u8").max(initial=0)).bit_length() // 8))
     return bytes([size]) + _PRESS.compress(values.view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes())
 
 
@@ -201,7 +198,13 @@ def from_near(steps: np.ndarray) -> np.ndarray:
 
 
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return (mix64(hashes) % np.uint64(parts)).astype(np.int32)
+    """The part of each word; ascends with the hash."""
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+
+
+def _ranked(learned: np.ndarray) -> np.ndarray:
+    """Places of a chunk's words, the most frequent first."""
+    return np.argsort(-learned, kind="stable")
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -209,13 +212,13 @@ def _vocabulary(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
     for batch in batches:
         for i in range(batch.num_rows):
-            hashes = np.frombuffer(batch.column(1)[i].as_py(), np.uint64)
-            learned = np.frombuffer(batch.column(2)[i].as_py(), np.int32)
+            hashes = np.cumsum(widen(batch.column(1)[i].as_py()).view(np.uint64))
+            learned = widen(batch.column(2)[i].as_py())
             part = _part_of(hashes, parts)  # ascending
             cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)]
             chunk, blocks = batch.column(0)[i].as_py(), []
             for a, b in zip(cuts[:-1], cuts[1:]):
-                blocks.append((chunk, int(part[a]), hashes[a:b].tobytes(), narrow(learned[a:b])))
+                blocks.append((chunk, int(part[a]), narrow(np.diff(hashes[a:b], prepend=np.uint64(0))), narrow(learned[a:b])))
                 if len(blocks) == BLOCKS or b == len(part):
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
                                                      names=["chunk", "part", "hashes", "learned"])
@@ -239,8 +242,9 @@ def _word_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
     """The corpus counts and numbers of every block's words, and, in a row without a chunk, how many learned words the part has."""
     kinds, names = (pa.int64(), pa.int32(), pa.binary(), pa.int64()), ["chunk", "part", "data", "types"]
     for blocks in _by_part(batches):
-        hashes = np.concatenate([np.frombuffer(x[2], np.uint64) for x in blocks])
-        learned = np.concatenate([widen(x[3]) for x in blocks])
+        hashes = np.concatenate([np.cumsum(widen(x[2]).view(np.uint64)) for x in blocks])
+        sizes = [widen(x[3]) for x in blocks]
+        learned, sizes = np.concatenate(sizes), [len(x) for x in sizes]
         words, which = np.unique(hashes, return_inverse=True)
         total = np.bincount(which, weights=learned, minlength=len(words)).astype(np.int64)
         # A word's number: frequent words have small ones, and no two parts the same.
@@ -249,8 +253,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, blocks[0][1], None, int((total > 0).sum())), kinds)], names=names)
         counts, numbers, a = total[which], number[which], 0
         del hashes, learned, which
-        for block in blocks:
-            n = len(block[2]) // 8
+        for block, n in zip(blocks, sizes):
             row = (block[0], block[1], _answer(counts[a:a + n], numbers[a:a + n]), None)
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
             a += n
@@ -313,20 +316,18 @@ def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"),
                        as_bytes(text).alias("text"))
     parts = PARTS * buckets
-    raw = _table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes, parts=parts), CHUNK_SCHEMA), "words", buckets)
-    chunks = spark.table(raw)
-    words = chunks.select("chunk", "hashes", "learned").mapInArrow(
+    raw = _table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNK_SCHEMA), "words")
+    words = spark.table(raw).select("chunk", "hashes", "learned").mapInArrow(
         partial(_vocabulary, parts=parts), "chunk long, part int, hashes binary, learned binary")
     dealt = words.repartition(buckets, "part").sortWithinPartitions("part")
     name = _table(dealt.mapInArrow(partial(_word_counts, parts=parts), "chunk long, part int, data binary, types long"), "counted0")
-    counted = spark.table(name)
-    types = counted.agg(F.sum("types")).first()[0] or 0
-    counts = _back(counted, 0).withColumnRenamed("chunk", "_chunk")
+    types = spark.table(name).agg(F.sum("types")).first()[0] or 0
+    level = spark.table(_table(_back(spark.table(name), 0), "order0", buckets)).withColumnRenamed("chunk", "_chunk")
+    _drop(spark, [name])
     # From here on a word is known by its number; the hashes go.
-    whole = chunks.drop("hashes", "learned").join(counts, F.col("chunk") == F.col("_chunk")).drop("_chunk")
-    out = spark.table(_table(whole, "chunks", buckets))
-    _drop(spark, [raw, name])
-    return out.withColumn("types", F.lit(int(types)))
+    chunks = spark.table(_table(spark.table(raw).drop("hashes"), "chunks", buckets))
+    _drop(spark, [raw])
+    return chunks.join(level, F.col("chunk") == F.col("_chunk")).drop("_chunk").withColumn("types", F.lit(int(types)))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -339,7 +340,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             by = np.argsort(h)
             new = np.empty(len(by), np.int32)
             new[by] = np.arange(len(by))
-            words, c, h = new[unpack(row["tokens"], row["bits"], 0, row["n"])], c[by], h[by]
+            words, c, h = new[_ranked(widen(row.pop("learned")))][widen(row.pop("tokens"))], c[by], h[by]
             row["end"] = int(new[row["end"]])
             sizes = np.array(row["sizes"], np.int64)
             starts = np.cumsum(sizes) - sizes
