@@ -195,3 +195,23 @@ def test_context_hashes_follow_the_order_of_words():
     a, b, c = (np.array([x], np.uint64) for x in (7, 11, 13))
     assert lmscore.context_hash(np.stack([c]))[0] == lmscore.one_word(c)[0]
     assert lmscore.context_hash(np.stack([a, b, c]))[0] == lmscore.longer(a, lmscore.longer(b, lmscore.one_word(c)))[0]
+
+
+def test_blocks_give_back_what_was_sent():
+    values, sizes = np.array([4, 9, 9, 1, 2, 300]), np.array([0, 3, 0, 2, 1, 0])
+    assert lmscore.climbs(values, sizes).tolist() == [4, 5, 0, 1, 1, 300]
+    assert lmscore.from_climbs(lmscore.climbs(values, sizes), sizes).tolist() == values.tolist()
+    nothing = np.empty(0, np.int64)
+    assert lmscore.from_climbs(lmscore.climbs(nothing, nothing), nothing).tolist() == []
+    by = np.array([7, 2, 2, 5])
+    sent = np.array([10, 20, 30, 40])[np.argsort(by, kind="stable")]
+    assert lmscore.in_order(sent, by).tolist() == [10, 20, 30, 40]
+
+
+def test_counts_as_levels():
+    counts = np.r_[np.arange(3000), 10**6, 10**12]
+    levels = lmscore.level(counts)
+    assert (np.diff(levels) >= 0).all()
+    small = counts <= lmscore.EXACT
+    assert np.array_equal(lmscore.count_of(levels)[small], counts[small])
+    assert lmscore.count_of(levels)[~small] == pytest.approx(counts[~small], rel=1 / lmscore.LOG_STEPS)

@@ -82,6 +82,8 @@ CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, siz
                 "tokens binary, hashes binary, learned binary")
 #: Steps of the logarithm (base 2) that a probability is sent in: it only weighs in the divergence test.
 LOG_STEPS = 1024
+#: Counts up to this one are sent as they are, larger ones in steps of their logarithm, which are no longer than one here.
+EXACT = round(LOG_STEPS / np.log(2))
 BLOCK_SCHEMA = "chunk long, part int, contexts binary, totals binary, sizes binary, next binary, n binary, lower binary"
 #: Answers to a block (chunk to data: columns of integers), a retained context with its weight, or a part's share of the sums of a context of several parts.
 COUNTED_SCHEMA = ("chunk long, part int, data binary, context long, weight double, "
@@ -197,6 +199,35 @@ def from_near(steps: np.ndarray) -> np.ndarray:
     return np.cumsum((steps >> 1) ^ -(steps & 1))
 
 
+def climbs(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of ascending numbers as steps, each run from 0."""
+    steps, starts = np.diff(values, prepend=0), (np.cumsum(sizes) - sizes)[sizes > 0]
+    steps[starts] = values[starts]
+    return steps
+
+
+def from_climbs(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    out, sizes = np.cumsum(steps), sizes[sizes > 0]
+    starts = np.cumsum(sizes) - sizes
+    return out - np.repeat(out[starts] - steps[starts], sizes)
+
+
+def level(count: np.ndarray) -> np.ndarray:
+    """A count as a number that ascends with it: itself up to ``EXACT``, from there by the logarithm."""
+    return np.where(count <= EXACT, count, EXACT + np.round(LOG_STEPS * np.log2(np.maximum(count, 1) / EXACT))).astype(np.int64)
+
+
+def count_of(level: np.ndarray) -> np.ndarray:
+    return np.where(level <= EXACT, level, EXACT * np.exp2((level - EXACT) / LOG_STEPS))
+
+
+def in_order(values: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Values that come in ascending order of ``by``, put in the order of ``by`` itself."""
+    out = np.empty_like(values)
+    out[np.argsort(by, kind="stable")] = values
+    return out
+
+
 def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """The part of each word; ascends with the hash."""
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
@@ -401,13 +432,18 @@ def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, contex
                  entry[by], entry_part[by], entry_size[by], entry_total[by])
 
 
+def of_root(count: np.ndarray, model: Model) -> np.ndarray:
+    """Probability of a word without any context."""
+    return (count + ALPHA) / (model.tokens + ALPHA * (model.types + 1))
+
+
 def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.ndarray]]:
     """Orders 1 to ``depth`` of a chunk, each with the tokens' probabilities in the tree of shorter contexts; then None and the last.
 
     An order is passed once its counts and the weights of its states (parts_k) have come back to the chunk.
     """
     words, place, h, c = row["words"], row["place"], row["h"], row["c"]
-    p = (c[words] + ALPHA) / (model.tokens + ALPHA * (model.types + 1))
+    p = of_root(c[words], model)
     end = np.int32(row["end"])
     name = np.r_[end, words[:-1]]  # of every token: number of its context; the end before the first
     name[row["starts"]] = end
@@ -445,14 +481,16 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
 def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa.RecordBatch]:
     """The distinct continuations of order ``k``, one block for each part: contexts with their totals, next words with counts.
 
-    Numbers and logarithms of probabilities go in as few bytes as they need: contexts, and the words behind each, ascend by
-    number, and so, on the whole, do the logarithms, so that steps between neighbours are small.
+    Numbers, counts and logarithms go in as few bytes as they need: contexts, and the words behind each, ascend by
+    number, and the probabilities of shorter contexts come in order of the words' numbers, so that steps between neighbours
+    are small.
     """
     for row in _rows(batches):
         learn = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
         order, p = next(islice(_orders(row, model, k), k - 1, None))
         n = np.bincount(order.pair, weights=learn[order.at], minlength=len(order.part)).astype(np.int64)
-        lower = np.round(-LOG_STEPS * np.log2(p[order.first])).astype(np.int64)
+        # Behind a context of one word only the next word's count matters; it varies less from word to word than its logarithm.
+        lower = level(row["c"][order.next]) if k == 1 else np.round(-LOG_STEPS * np.log2(p[order.first])).astype(np.int64)
         following = row["h"].view(np.int64)[order.next]
         part, contexts = order.entry_part, np.stack([x[order.entry] for x in order.contexts])
         cuts = np.r_[0, np.flatnonzero(part[1:] != part[:-1]) + 1, len(part)] if len(part) else [0]
@@ -460,8 +498,9 @@ def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa
         for a, b in zip(cuts[:-1], cuts[1:]):
             sizes = order.entry_size[a:b]
             start, stop = stop, stop + int(sizes.sum())
-            blocks.append((row["chunk"], int(part[a]), narrow(near(contexts[:, a:b].ravel())), narrow(order.entry_total[a:b]), narrow(sizes),
-                           narrow(near(following[start:stop])), narrow(n[start:stop]), narrow(near(lower[start:stop]))))
+            by = np.argsort(following[start:stop], kind="stable")
+            blocks.append((row["chunk"], int(part[a]), narrow(near(contexts[:, a:b].ravel())), narrow(near(order.entry_total[a:b])), narrow(sizes),
+                           narrow(climbs(following[start:stop], sizes)), narrow(n[start:stop]), narrow(near(lower[start:stop][by]))))
             if len(blocks) == BLOCKS or b == len(part):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
                                                  names=["chunk", "part", "contexts", "totals", "sizes", "next", "n", "lower"])
@@ -493,7 +532,9 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterato
     for blocks in _by_part(batches):
         columns = list(zip(*blocks))[2:]
         words, totals, sizes, following, n, lower = ([widen(x) for x in column] for column in columns)
-        words, following, lower = ([from_near(x) for x in column] for column in (words, following, lower))
+        words, totals, lower = ([from_near(x) for x in column] for column in (words, totals, lower))
+        following = [from_climbs(x, size) for x, size in zip(following, sizes)]
+        lower = [in_order(x, by) for x, by in zip(lower, following)]
         contexts = [context_hash(x.view(np.uint64).reshape(k, -1)) for x in words]
         del words
         del columns
@@ -507,7 +548,8 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterato
         met, place, which = np.unique(context[first[some]], return_index=True, return_inverse=True)
         left, told = np.zeros((2, len(each)), np.int64)
         if len(met):
-            few, expect = sums_[some], np.exp2(np.concatenate(lower)[first[some]] / -LOG_STEPS)
+            few, expect = sums_[some], np.concatenate(lower)[first[some]]
+            expect = of_root(count_of(expect), model) if k == 1 else np.exp2(expect / -LOG_STEPS)
             shares = (np.bincount(which, few * np.log(few / expect)), np.bincount(which, few).astype(np.int64),
                       np.bincount(which, expect), np.bincount(which), total[first[some]][place])
             spread = _pieces(shares[-1], model) > 1
