@@ -180,3 +180,30 @@ def test_with_cities_array(logs, cells):
     assert got["p1"] == ("Alpha,Beta,null", ["Alpha", "Beta", "null"])
     daily = daily_itineraries(logs, cells, with_cities=True)
     assert all(r.itinerary == ",".join(r.cities) for r in daily.collect())
+
+
+@pytest.mark.parametrize("key", ["columns", "concat"])
+@pytest.mark.parametrize("unmatched", ["drop", "null_text"])
+@pytest.mark.parametrize("daily", [False, True])
+def test_towers_with_many_cities(spark, key, unmatched, daily):
+    # Nulls, repeated rows, unknown towers and up to nine cities per tower.
+    seen = [(None if i % 19 == 0 else str(i % 7), str(i % 5), None if i % 23 == 0 else f"p{i % 11}", f"2024-01-0{i % 3 + 1} 10:00:00")
+            for i in range(300)] * 2
+    towers = [(str(i % 6), None if i % 13 == 0 else str(i % 4), None if i % 17 == 0 else f"C{i % 9}") for i in range(200)] * 2
+    glued = (lambda lac, cell: lac + cell) if key == "concat" else (lambda lac, cell: (lac, cell))
+    cities, want = {}, {}
+    for lac, cell, city in towers:
+        if None not in (lac, cell, city):
+            cities.setdefault(glued(lac, cell), set()).add(city)
+    for lac, cell, phone, ts in seen:
+        found = cities.get(glued(lac, cell), set()) if lac else set()
+        if not found and unmatched == "null_text":
+            found = {"null"}
+        if found:
+            want.setdefault((phone, ts[:10]) if daily else (phone,), set()).update(found)
+    logs = spark.createDataFrame(seen, "lac string, cell string, phone string, ts string")
+    cells = spark.createDataFrame(towers, "lac string, cell string, city string")
+    make = daily_itineraries if daily else itineraries
+    got = make(logs, cells, key=key, unmatched=unmatched, cells_mode="all")
+    assert {tuple(r)[:-1]: r.itinerary for r in got.collect()} == {k: ",".join(sorted(v)) for k, v in want.items()}
+    assert got.count() == len(want)

@@ -44,6 +44,19 @@ def test_logs_are_deduplicated_before_the_join(spark):
     assert re.search(r"HashAggregate\(keys=\[phone#\d+, lac#\d+, cell#\d+\], functions=\[\]\)", p)
 
 
+def test_cities_become_rows_where_their_keys_are(spark):
+    # The join adds a tower's cities as one array: a log moves once, however
+    # many cities its towers have.
+    for name, dealt in {"itineraries": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
+                        "itineraries_distinct_pairs": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
+                        "itineraries_concat_key": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
+                        "clean_city_quotes": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
+                        "clean_city_ends": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL"}.items():
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        found = re.search(r"Generate explode\(cities#\d+\)[^\n]*\n(?:[^\n]*Project[^\n]*\n)?[^\n]*Exchange hashpartitioning\(" + dealt, p)
+        assert found, (name, p)
+
+
 def test_no_python_in_any_plan(spark):
     for name, fn in QUERIES.items():
         if name in MODEL_QUERIES:

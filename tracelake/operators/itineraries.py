@@ -8,6 +8,11 @@ Plan shape, the same at every size:
   size when planned or by its real size once it is computed (the logs' own
   reduction takes longer, so that is known before they move); a larger one
   is shuffled, and adaptive execution splits a hot tower;
+* where a tower may have many cities, the join adds them to a log as one
+  array; the rows are dealt by their keys and only then is a row made of each
+  city. The duplicates of a key so meet in one task before they are moved, and
+  a task's share does not grow with the number of cities of its towers: tasks
+  are cut by the size of the arrays, a hot phone too;
 * duplicates are removed by a distinct on (keys, city) and only then are the
   cities of a key gathered, so a phone seen a billion times gathers one row
   per distinct city, wherever its logs were.
@@ -34,6 +39,13 @@ def _check(name: str, value: str, allowed: Sequence[str]) -> None:
         raise ValueError(f"{name} must be one of {tuple(allowed)}, got {value!r}")
 
 
+def _city_sets(dim: DataFrame, on: list[str]) -> DataFrame:
+    """Rows ``(*on, city)`` → one row per tower with the array ``cities``."""
+    # Grouped by the key as one value, as in tower_cities.
+    return (dim.groupBy(F.struct(*on).alias("at")).agg(F.collect_set("city").alias("cities"))
+            .select(*[F.col(f"at.{c}").alias(c) for c in on], "cities"))
+
+
 def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = ("phone",),
                 key: str = "columns", unmatched: str = "drop", cells_mode: str = "all",
                 strip: str = "quotes", clean: bool = True) -> DataFrame:
@@ -60,7 +72,13 @@ def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = (
         facts = logs.select(*group_keys, "lac", "cell")
         on = ["lac", "cell"]
     how = "inner" if unmatched == "drop" else "left"
-    joined = facts.distinct().join(dim, on, how)
+    if cells_mode == "all":
+        sets = facts.distinct().join(_city_sets(dim, on), on, how).select(*group_keys, "cities")
+        sets = sets.withColumn("deal", F.xxhash64(*group_keys)).hint("rebalance", "deal")
+        each = F.explode if how == "inner" else F.explode_outer
+        joined = sets.select(*group_keys, each("cities").alias("city"))
+    else:
+        joined = facts.distinct().join(dim, on, how)
     city = F.col("city")
     if unmatched == "null_text" and clean:
         city = F.coalesce(city, F.lit(NULL_CITY))
