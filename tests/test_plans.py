@@ -51,10 +51,13 @@ def test_cities_become_rows_where_their_keys_are(spark):
                         "itineraries_distinct_pairs": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
                         "itineraries_concat_key": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
                         "clean_city_quotes": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
-                        "clean_city_ends": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL"}.items():
+                        "clean_city_ends": r"deal#\d+L, \d+\), REBALANCE_PARTITIONS_BY_COL",
+                        "daily_itineraries_inner": r"phone#\d+, day#\d+, 200\), REPARTITION_BY_NUM"}.items():
         p = plan(QUERIES[name](spark, SF_SMALL))
         found = re.search(r"Generate explode\(cities#\d+\)[^\n]*\n(?:[^\n]*Project[^\n]*\n)?[^\n]*Exchange hashpartitioning\(" + dealt, p)
         assert found, (name, p)
+    # The parts of daily rows are gathered where they are.
+    assert "Exchange" not in p[:found.start()]
 
 
 def test_no_python_in_any_plan(spark):

@@ -11,8 +11,10 @@ Plan shape, the same at every size:
 * where a tower may have many cities, the join adds them to a log as one
   array; the rows are dealt by their keys and only then is a row made of each
   city. The duplicates of a key so meet in one task before they are moved, and
-  a task's share does not grow with the number of cities of its towers: tasks
-  are cut by the size of the arrays, a hot phone too;
+  a task's share does not grow with the number of cities of its towers:
+  overall itineraries are cut by the size of the arrays, a hot phone too; daily
+  ones go to a fixed number of parts, where they are gathered without being
+  moved again (a key has one row per tower there, wherever its logs were);
 * duplicates are removed by a distinct on (keys, city) and only then are the
   cities of a key gathered, so a phone seen a billion times gathers one row
   per distinct city, wherever its logs were.
@@ -32,6 +34,10 @@ from tracelake.sources.logs import with_day
 KEYS = ("columns", "concat")
 UNMATCHED = ("drop", "null_text")
 DEDUPE = ("cleaned", "raw")
+# Parts at least that the rows of daily itineraries are dealt into by their
+# keys: a row becomes as many as its tower has cities only after that, so
+# adaptive execution, which sees the rows before, must not merge them.
+PARTS = 200
 
 
 def _check(name: str, value: str, allowed: Sequence[str]) -> None:
@@ -48,7 +54,7 @@ def _city_sets(dim: DataFrame, on: list[str]) -> DataFrame:
 
 def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = ("phone",),
                 key: str = "columns", unmatched: str = "drop", cells_mode: str = "all",
-                strip: str = "quotes", clean: bool = True) -> DataFrame:
+                strip: str = "quotes", clean: bool = True, spread: bool = True) -> DataFrame:
     """Logs joined to the tower directory → ``(*group_keys, city)`` rows.
 
     ``key``: ``"columns"`` matches towers on (lac, cell); ``"concat"``
@@ -56,6 +62,9 @@ def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = (
     same tower — the behaviour of the RDD job.
     ``unmatched``: ``"drop"`` (inner join) or ``"null_text"`` (left join; a
     tower missing from the directory counts as the city ``null``).
+    ``spread``: with all cities of a tower, rows are dealt by a hash of the
+    keys that adaptive execution may cut; otherwise by the keys, for a caller
+    that groups by them.
     ``cells_mode``: ``"all"`` cities of a tower or ``"one"`` (see
     ``tower_cities``). With ``clean=False`` cities are returned raw and
     ``strip`` is left to the caller.
@@ -74,7 +83,10 @@ def city_visits(logs: DataFrame, cells: DataFrame, group_keys: Sequence[str] = (
     how = "inner" if unmatched == "drop" else "left"
     if cells_mode == "all":
         sets = facts.distinct().join(_city_sets(dim, on), on, how).select(*group_keys, "cities")
-        sets = sets.withColumn("deal", F.xxhash64(*group_keys)).hint("rebalance", "deal")
+        if spread:
+            sets = sets.withColumn("deal", F.xxhash64(*group_keys)).hint("rebalance", "deal")
+        else:
+            sets = sets.repartition(max(PARTS, int(logs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *group_keys)
         each = F.explode if how == "inner" else F.explode_outer
         joined = sets.select(*group_keys, each("cities").alias("city"))
     else:
@@ -134,7 +146,7 @@ def daily_itineraries(logs: DataFrame, cells: DataFrame, key: str = "columns",
     dated = with_day(logs, mode=day_mode)
     keys = ["phone", "day"]
     visits = city_visits(dated, cells, keys, key, unmatched, cells_mode, strip,
-                         clean=dedupe == "cleaned")
+                         clean=dedupe == "cleaned", spread=False)
     return _itineraries(visits, keys, unmatched, strip, dedupe, with_cities)
 
 
