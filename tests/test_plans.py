@@ -60,6 +60,16 @@ def test_cities_become_rows_where_their_keys_are(spark):
     assert "Exchange" not in p[:found.start()]
 
 
+def test_line_items_meet_their_orders_in_parts_of_their_own(spark):
+    # The task that joins them holds the first reduction of the logs too:
+    # parts are not merged by what they read.
+    for name in ("itineraries", "itineraries_distinct_pairs", "clean_city_quotes", "clean_city_ends",
+                 "itineraries_concat_key", "itineraries_left"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        for key in ("l_orderkey", "o_orderkey"):
+            assert re.search(rf"Exchange hashpartitioning\({key}#\d+L, 200\), REPARTITION_BY_NUM", p), (name, key)
+
+
 def test_no_python_in_any_plan(spark):
     for name, fn in QUERIES.items():
         if name in MODEL_QUERIES:
