@@ -49,6 +49,21 @@ def test_replace_and_read(spark, tmp_path):
     assert read_table(spark, path).count() == 0 and read_table(spark, path).columns == ["k", "v"]
 
 
+def test_rows_are_computed_once_for_their_order(spark, tmp_path):
+    # Cutting the ranges samples the keys first; that must not compute the rows again.
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    path = str(tmp_path / "t")
+    replace_table(numbers(spark, 1000).repartition(4).mapInArrow(count, "k long, v string"), path, ["k"])
+    assert rows(read_table(spark, path)) == rows(numbers(spark, 1000))
+    assert seen.value == 1000
+
+
 def test_plain_tables_are_read_as_they_are(spark, tmp_path):
     path = str(tmp_path / "plain")
     write_table(numbers(spark, 10), path, ["k"])

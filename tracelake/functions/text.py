@@ -130,4 +130,4 @@ def day_of(ts: Column | str) -> Column:
 
 def sorted_join(values: Column, sep: str = ITINERARY_SEP) -> Column:
     """Join an array of texts in ascending order, so results are stable."""
-    return F.array_join(F.array_sort(values), sep)
+    return F.array_join(F.sort_array(values), sep)

@@ -113,7 +113,7 @@ def _itineraries(visits: DataFrame, group_keys: list[str], unmatched: str, strip
         pairs = pairs.select(*group_keys, city.alias("city")).where(F.col("city").isNotNull())
     if not with_cities:
         return pairs.groupBy(*group_keys).agg(sorted_join(F.collect_list("city")).alias("itinerary"))
-    out = pairs.groupBy(*group_keys).agg(F.array_sort(F.collect_list("city")).alias("cities"))
+    out = pairs.groupBy(*group_keys).agg(F.sort_array(F.collect_list("city")).alias("cities"))
     return out.select(*group_keys, F.array_join("cities", ITINERARY_SEP).alias("itinerary"), "cities")
 
 

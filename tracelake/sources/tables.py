@@ -30,7 +30,9 @@ _PUBLISHED = "seq long, version string, keys array<string>, buckets int, schema
 
 def _ordered(df: DataFrame, keys: Sequence[str], num_partitions: int | None) -> DataFrame:
     # The range partitioning samples the keys to cut balanced ranges; without a
-    # number adaptive execution sizes the ranges from the data.
+    # number adaptive execution sizes the ranges from the data. Sampling reads all
+    # rows: moved once before, they are read twice but computed only once.
+    df = df.hint("rebalance", *keys)
     dealt = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     return dealt.sortWithinPartitions(*keys)
 
