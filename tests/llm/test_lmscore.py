@@ -1,8 +1,10 @@
 import math
 import random
 from collections import Counter
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +154,38 @@ def test_longer_contexts_are_a_parameter(spark):
     assert total[1] - total[0] > 300
 
 
+def test_words_rare_behind_the_suffix_are_not_counted_behind_longer_contexts(spark):
+    """Every w is frequent, but comes behind b twice at most, so behind "a b" too: neither is it sent there, nor does the answer name it."""
+    rng = random.Random(6)
+    texts = [f"a b w{i // 2} z w{i // 2} z w{i // 2} a b e" for i in range(60)] + [f"a b {rng.choice('ef')}" for _ in range(60)]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, DOC_SCHEMA)
+    encoded, model, _ = lmscore.train(lmscore.encode(df, F.lit(True), F.lit(False)))
+    sent = answers = states = 0
+    for row in lmscore._rows(encoded.toArrow().to_batches()):
+        n, rest, size = lmscore._answers(row["parts_2"], 3)
+        order, _ = list(islice(lmscore._orders(row, model, 2), 2))[1]
+        sent, answers, states = sent + len(order.next), answers + (n > 0).sum(), states + (size > 0).sum()
+        assert (row["c"][order.next] > 20).all()  # a, b, e, f, z and the end; the w occur six times each
+    assert sent and answers >= states
+    compare(spark, [(r[0], r[1], None, None, 0) for r in rows], True)
+
+
+def test_counts_behind_contexts_that_are_no_state_say_only_what_is_needed():
+    model = lmscore.Model(tokens=100_000, types=50, parts=1)
+    words, counts = np.array([2, 3, 4]), np.array([30, 12, 2])
+    # The same next words behind context 7, and as likely as without it: no state.
+    block = (5, 0, lmscore.narrow(lmscore.near(np.array([7]))), lmscore.narrow(lmscore.near(np.array([100]))), lmscore.narrow(np.array([3])),
+             lmscore.narrow(lmscore.climbs(words, np.array([3]))), lmscore.narrow(counts),
+             lmscore.narrow(lmscore.near(lmscore.level(np.array([30_000, 12_000, 2_000])))))
+    names = ["chunk", "part", "contexts", "totals", "sizes", "next", "n", "lower"]
+    for last, want in ((False, [30, lmscore.PAIR_COUNT, 0]), (True, [0, 0, 0])):
+        batch = pa.RecordBatch.from_pylist([dict(zip(names, block))])
+        out = [r for b in lmscore._counted(iter([batch]), model, 1, last) for r in b.to_pylist()]
+        assert [r["context"] for r in out] == [None]
+        assert [x.tolist() for x in lmscore._answers(out, 3)] == [want, [0], [0]]
+
+
 def test_small_chunks_give_the_same_scores(spark):
     """Many chunks, many blocks of a part, and a text longer than a chunk."""
     rows = corpus(3) + [(1000, "a b " * 2000, None, None, 0), (1001, "a b " * 2000, None, None, 0)]

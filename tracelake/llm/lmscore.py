@@ -391,7 +391,7 @@ def _at(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Order:
     """Continuations of contexts of one length in a chunk: places of the tokens and the distinct (context, next) pairs by part."""
 
-    at: np.ndarray  # tokens that are frequent enough, behind a context that occurs often enough
+    at: np.ndarray  # tokens that are frequent enough (behind the context's suffix, if it has one), behind a context that occurs often enough
     total: np.ndarray  # of every token: how often its context occurs
     contexts: tuple[np.ndarray, ...]  # numbers of each context's words, the first word's first
     context: np.ndarray  # of every pair: number of its context
@@ -405,10 +405,10 @@ class Order:
     entry_total: np.ndarray
 
 
-def _dealt(row: dict, model: Model, behind: np.ndarray, name: np.ndarray, contexts: tuple[np.ndarray, ...], hashes: np.ndarray,
-           total: np.ndarray) -> Order:
+def _dealt(row: dict, model: Model, behind: np.ndarray, often: np.ndarray, name: np.ndarray, contexts: tuple[np.ndarray, ...],
+           hashes: np.ndarray, total: np.ndarray) -> Order:
     h = row["h"]
-    at = behind[row["c"][row["words"][behind]] >= NEXT_COUNT]
+    at = behind[often[behind]]
     present, seen = np.unique(name[behind], return_index=True)
     alone = ~np.isin(present, name[at])
     lone, lone_total = present[alone], total[behind[seen[alone]]]
@@ -448,6 +448,7 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
     name = np.r_[end, words[:-1]]  # of every token: number of its context; the end before the first
     name[row["starts"]] = end
     contexts, hashes, total = (h,), one_word(h), c[name]
+    often = c[words] >= NEXT_COUNT
     for k in range(1, depth + 1):
         behind = np.flatnonzero(total >= CONTEXT_COUNT)
         if k > 1:
@@ -458,7 +459,7 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
             name = np.full(len(words), -1, np.int32)
             name[behind] = number
             del before, met, number
-        order = _dealt(row, model, behind, name, contexts, hashes, total)
+        order = _dealt(row, model, behind, often, name, contexts, hashes, total)
         yield order, p
         n, rest, size = _answers(row.pop(f"parts_{k}"), 3)
         weight = np.zeros(len(hashes))  # of every context; 0 where it is no state
@@ -475,6 +476,8 @@ def _orders(row: dict, model: Model, depth: int) -> Iterator[tuple[Order, np.nda
         del order, n, rest, size, weight, own, tokens, behind
         total = np.r_[0, here[:-1]]
         total[row["starts"]] = 0
+        # Behind a longer context a word comes no oftener than behind its suffix: too rare here, it need not be counted there.
+        often = here >= PAIR_COUNT
     yield None, p
 
 
@@ -499,7 +502,7 @@ def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa
             sizes = order.entry_size[a:b]
             start, stop = stop, stop + int(sizes.sum())
             by = np.argsort(following[start:stop], kind="stable")
-            blocks.append((row["chunk"], int(part[a]), narrow(near(contexts[:, a:b].ravel())), narrow(near(order.entry_total[a:b])), narrow(sizes),
+            blocks.append((row["chunk"], int(part[a]), narrow(near(contexts[:, a:b].ravel())), narrow(near(np.where(sizes > 0, order.entry_total[a:b], 0))), narrow(sizes),
                            narrow(climbs(following[start:stop], sizes)), narrow(n[start:stop]), narrow(near(lower[start:stop][by]))))
             if len(blocks) == BLOCKS or b == len(part):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*blocks), kinds)],
@@ -520,11 +523,13 @@ def weights_of(gain: np.ndarray, seen: np.ndarray, expected: np.ndarray, size: n
     return np.where(passed, 1 - (seen - DISCOUNT * size) / total, 0.0)
 
 
-def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int, last: bool) -> Iterator[pa.RecordBatch]:
     """Blocks in order of their part: the corpus counts of every block's pairs, and of each of its contexts that is a state
     how often a rare word follows it and how many frequent ones do (0 where it is none).
 
-    A context of one part is tested here; for one of several parts this part's share of its sums goes on.
+    A context of one part is tested here; for one of several parts this part's share of its sums goes on. Behind a context
+    that is no state a pair's count makes no probability. It only tells whether the pair is a context of the next order or
+    may have continuations there, so counts in between go as the least of them, and as 0 in the ``last`` order.
     """
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64(),
              pa.int64(), pa.int64())
@@ -547,6 +552,7 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterato
         some = sums_ > 0
         met, place, which = np.unique(context[first[some]], return_index=True, return_inverse=True)
         left, told = np.zeros((2, len(each)), np.int64)
+        weighs = np.zeros(len(each), bool)
         if len(met):
             few, expect = sums_[some], np.concatenate(lower)[first[some]]
             expect = of_root(count_of(expect), model) if k == 1 else np.exp2(expect / -LOG_STEPS)
@@ -555,6 +561,7 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterato
             spread = _pieces(shares[-1], model) > 1
             weight = np.where(spread, 0.0, weights_of(*shares))
             go, known = _at(met, each)
+            weighs = known & ((weight > 0) | spread)[go]
             known &= weight[go] > 0
             left = np.where(known, (shares[-1] - shares[1])[go], 0)
             told = np.where(known, shares[3][go], 0)
@@ -564,6 +571,8 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterato
                         [*[pa.nulls(int(chosen.sum()), t) for t in kinds[:3]], pa.array(met[chosen].view(np.int64)),
                          *[pa.nulls(int(chosen.sum()), t) if x is None else pa.array(x[chosen], t) for x, t in zip(values, kinds[4:])]], names=names)
         answers, a, e = sums_[pair], 0, 0
+        idle = ~np.repeat(weighs, size) & (last | (answers < CONTEXT_COUNT))
+        answers[idle] = 0 if last else np.minimum(answers[idle], PAIR_COUNT)
         for block, rows, heads in zip(blocks, lengths, map(len, contexts)):
             row = (block[0], block[1], _answer(answers[a:a + rows], left[e:e + heads], told[e:e + heads]))
             a, e = a + rows, e + heads
@@ -598,7 +607,7 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
     for k in range(1, depth + 1):
         blocks = (encoded.drop("doc_ids").mapInArrow(partial(_ask, model=model, k=k), BLOCK_SCHEMA)
                   .repartition(buckets, "part").sortWithinPartitions("part"))
-        name = _table(blocks.mapInArrow(partial(_counted, model=model, k=k), COUNTED_SCHEMA), f"counted{k}")
+        name = _table(blocks.mapInArrow(partial(_counted, model=model, k=k, last=k == depth), COUNTED_SCHEMA), f"counted{k}")
         counted = spark.table(name)
         wide = _wide(counted)
         model = replace(model, wide=(*model.wide, wide))
