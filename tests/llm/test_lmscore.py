@@ -249,3 +249,68 @@ def test_counts_as_levels():
     small = counts <= lmscore.EXACT
     assert np.array_equal(lmscore.count_of(levels)[small], counts[small])
     assert lmscore.count_of(levels)[~small] == pytest.approx(counts[~small], rel=1 / lmscore.LOG_STEPS)
+
+
+def test_many_integers_are_a_byte_where_they_are_small():
+    rng = np.random.default_rng(1)
+    values = np.r_[(rng.pareto(0.7, 20_000) * 20).astype(np.int64) % 2**32, 0, 127, 128, 255, 256, 2**15 + 127, 2**15 + 128, 2**32 - 1]
+    packed = lmscore.narrow(values)
+    assert lmscore.widen(packed).tolist() == values.tolist()
+    planes = values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :4].T.tobytes()
+    assert len(packed) < 0.95 * len(lmscore._PRESS.compress(planes))
+
+
+def test_counts_and_numbers_of_words_come_back():
+    """Two chunks, three parts: counts descend with the rank, too rare words share one, and all other numbers differ."""
+    rng, parts = np.random.default_rng(2), 3
+    hashes = [np.sort(rng.integers(0, 2**64 - 1, 400, np.uint64)) for _ in range(2)]
+    hashes[1][::2] = hashes[0][::2]
+    hashes[1].sort()
+    learned = [(rng.pareto(0.6, 400) * 2).astype(np.int64) for _ in hashes]
+    asked = [pa.RecordBatch.from_pylist([{"chunk": i, "hashes": lmscore.narrow(np.diff(h, prepend=np.uint64(0))), "learned": lmscore.narrow(n)}])
+             for i, (h, n) in enumerate(zip(hashes, learned))]
+    rows = sorted((r for b in lmscore._vocabulary(iter(asked), parts) for r in b.to_pylist()), key=lambda r: r["part"])
+    out = [r for b in lmscore._word_counts(iter([pa.RecordBatch.from_pylist(rows)]), parts) for r in b.to_pylist()]
+    total = Counter()
+    for h, n in zip(hashes, learned):
+        total.update(dict(zip(h.tolist(), n.tolist())))
+    assert sum(r["types"] for r in out if r["chunk"] is None) == sum(n > 0 for n in total.values())
+    number = {}
+    for i, h in enumerate(hashes):
+        c, numbers = lmscore._numbered([r for r in out if r["chunk"] == i], parts)
+        assert c.tolist() == [total[x] for x in h.tolist()]
+        for x, n in zip(h.tolist(), numbers.tolist()):
+            assert number.setdefault(x, n) == n
+    often = [n for x, n in number.items() if total[x] >= lmscore.NEXT_COUNT]
+    assert len(set(often)) == len(often) > 100
+    assert len({n for x, n in number.items() if total[x] < lmscore.NEXT_COUNT} - set(often)) == parts
+
+
+@pytest.mark.parametrize("known", [0, 2, 3, 5])
+def test_blocks_do_not_say_the_counts_of_frequent_words(known):
+    """Words 0 to 4, the first ``known`` of them frequent: what is sent is the others' counts, what comes of it is the same."""
+    counts = np.array([900, 500, 300, 200, 100])
+    row = {"chunk": 5, "held_out": [False], "sizes": [400], "end": 0, "doc_ids": [1], "parts": 1,
+           "learned": lmscore.narrow(np.array([80, 80, 80, 80, 80])), "tokens": lmscore.narrow(np.tile([1, 2, 1, 3, 4, 0, 0, 4], 50)),
+           "parts_0": [{"part": 0, "data": lmscore._answer(lmscore.near(counts), np.arange(5))}]}
+    model = lmscore.Model(tokens=2000, types=5, parts=1, frequent=lmscore.level(counts[:known]).astype(np.int32))
+    whole = lmscore.Model(tokens=2000, types=5, parts=1)
+    asked = [pa.RecordBatch.from_pylist([r for b in lmscore._ask(iter([pa.RecordBatch.from_pylist([row])]), m, 1) for r in b.to_pylist()])
+             for m in (model, whole)]
+    sent, all_ = (lmscore.from_near(lmscore.widen(b.column("lower")[0].as_py())) for b in asked)
+    assert len(all_) == 9 and sent.tolist() == [x for x in all_.tolist() if x not in counts[:known]]
+    got, want = ([b.to_pylist() for b in lmscore._counted(iter([a]), m, 1, True)] for a, m in zip(asked, (model, whole)))
+    assert got == want
+
+
+def test_hashes_of_words_go_once_they_are_counted(spark):
+    import os
+
+    df = spark.createDataFrame(corpus(5, 10), DOC_SCHEMA)
+    folder = lmscore.shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    assert lmscore.encode(df, F.lit(True), F.lit(False)).count() >= 1
+    new = [x for x in set(os.listdir(folder)) - before if x.startswith(lmscore.TABLES)]
+    kinds = [k for x in new for k in os.listdir(f"{folder}/{x}") if k.startswith("kind=")]
+    assert kinds == ["kind=tokens"]
+    assert not [x for x in new if x.startswith(f"{lmscore.TABLES}chunks")]  # no second copy

@@ -14,7 +14,8 @@ end of the text before.
 
 Scale: a worker turns its documents into chunks of word numbers, written once
 to a bucketed table. Each chunk's distinct words go out in blocks, one for each
-part of the hashes, to be counted over all chunks, and the counts come back to
+part of the hashes, to be counted over all chunks (their hashes lie in a
+partition of the table, which goes then), and the counts come back to
 the chunk, again bucketed, so that counting contexts and scoring read both
 without a shuffle. A word that is in every chunk is one entry of a block of
 each, so no part is much larger than the others. The tree grows
@@ -23,7 +24,7 @@ chunk's distinct continuations of contexts that occur often enough go out by
 hash of the context (a context of many occurrences to several parts, by hash
 of the next word), are counted and tested there, and counts and what makes the weights of
 retained states come back to the chunks in a bucketed table. The driver holds the
-numbers of training tokens and types and, for each length, the few contexts of
+numbers of training tokens and types, the counts of at most ``FREQUENT`` words and, for each length, the few contexts of
 several parts, whose test is an aggregate over them (at most 4 for each part). Words and contexts are known by a 64-bit hash. The tables lie in the
 shared folder and are named tracelake_lm_*; ``drop_tables`` removes those of
 this session when the result has been read. A chunk makes at most one block for
@@ -41,7 +42,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import partial
 from itertools import islice
 from operator import itemgetter
@@ -72,14 +73,17 @@ DEPTH = 2
 TABLES = "tracelake_lm_"
 #: Parts that continuations are dealt to, for each shuffle partition.
 PARTS = 4
+#: Words, the most frequent of each part, whose counts every worker knows: blocks do not say them.
+FREQUENT = 1 << 17
 #: Blocks of continuations that leave a worker at once.
 BLOCKS = 64
 #: Text of a chunk: what a worker holds in arrays at once is about twenty times that.
 CHUNK_BYTES = 4 << 20
 END = b""  # no word is empty
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: Two rows of each chunk: of kind "tokens" without hashes, and of kind "hashes" with no more than these and the counts.
 CHUNK_SCHEMA = ("chunk long, doc_ids array<bigint>, held_out array<boolean>, sizes array<int>, end int, "
-                "tokens binary, hashes binary, learned binary")
+                "tokens binary, hashes binary, learned binary, kind string")
 #: Steps of the logarithm (base 2) that a probability is sent in: it only weighs in the divergence test.
 LOG_STEPS = 1024
 #: Counts up to this one are sent as they are, larger ones in steps of their logarithm, which are no longer than one here.
@@ -95,13 +99,15 @@ class Model:
     """Training tokens and types, and the number of parts that continuations are dealt to.
 
     ``wide``: for every order so far, hashes (sorted) and weights of the retained contexts that are spread over several
-    parts. Such a context has at least the 4 * parts-th share of all tokens, so there are at most 4 * parts of an order.
+    several parts. Such a context has at least the 4 * parts-th share of all tokens, so there are at most 4 * parts of an order.
+    ``frequent``: levels of the counts of the words with the smallest numbers, by number.
     """
 
     tokens: int
     types: int
     parts: int
     wide: tuple[tuple[np.ndarray, np.ndarray], ...] = ()
+    frequent: np.ndarray = field(default_factory=partial(np.empty, 0, np.int32))
 
 
 def one_word(h: np.ndarray) -> np.ndarray:
@@ -144,12 +150,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.
         learned = np.bincount(flat[weights], minlength=len(words))[by]
         rank = np.empty(len(by), np.int64)
         rank[by[_ranked(learned)]] = np.arange(len(by))
-        row = {"chunk": part << 24 | number, "doc_ids": ids, "held_out": held, "sizes": counts.tolist(),
-               "end": int(np.flatnonzero(by == 0)[0]), "tokens": narrow(rank[flat]),
-               "hashes": narrow(np.diff(hashes[by], prepend=np.uint64(0))), "learned": narrow(learned)}
-        return pa.RecordBatch.from_pylist([row], schema=pa.schema([
+        both = {"chunk": part << 24 | number, "learned": narrow(learned)}
+        rows_ = [both | {"doc_ids": ids, "held_out": held, "sizes": counts.tolist(), "end": int(np.flatnonzero(by == 0)[0]),
+                         "tokens": narrow(rank[flat]), "kind": "tokens"},
+                 both | {"hashes": narrow(np.diff(hashes[by], prepend=np.uint64(0))), "kind": "hashes"}]
+        return pa.RecordBatch.from_pylist(rows_, schema=pa.schema([
             ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
-            ("sizes", pa.list_(pa.int32())), ("end", pa.int32()), ("tokens", pa.binary()), ("hashes", pa.binary()), ("learned", pa.binary())]))
+            ("sizes", pa.list_(pa.int32())), ("end", pa.int32()), ("tokens", pa.binary()), ("hashes", pa.binary()),
+            ("learned", pa.binary()), ("kind", pa.string())]))
 
     for batch in batches:
         names, out, train = (batch.column(i).to_pylist() for i in range(3))
@@ -174,15 +182,44 @@ def _chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa.
 _PRESS, _UNPRESS = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
+#: Where most numbers are small, those below this one are a byte; so many numbers make it worth while.
+SMALL, MANY = 128, 256
+
+
 def narrow(values: np.ndarray) -> bytes:
-    """Non-negative integers in as few bytes each as the largest needs, compressed: first all lowest bytes, then all second ones, ..."""
+    """Non-negative integers in few bytes, compressed.
+
+    In as many bytes each as the largest needs: first all lowest bytes, then all second ones, ... Many numbers of up to four
+    bytes go otherwise (a leading 0 says so): a byte each, from ``SMALL`` on by the number's upper bytes, then the lowest
+    byte of those from ``SMALL`` on, then what of their upper bytes did not fit.
+    """
     values = np.ascontiguousarray(values, "<i8")
-    size = max(1, -(-int(values.view("<u8").max(initial=0)).bit_length() // 8))
-    return bytes([size]) + _PRESS.compress(values.view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes())
+    most = int(values.view("<u8").max(initial=0))
+    if most >> 32 or most < 256 or len(values) < MANY:
+        size = max(1, -(-most.bit_length() // 8))
+        return bytes([size]) + _PRESS.compress(values.view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes())
+    first, large = values.copy(), np.flatnonzero(values >= SMALL)
+    over, last = values[large] - SMALL, 255 - SMALL
+    upper = over >> 8
+    first[large] = SMALL + np.minimum(upper, last)
+    parts = (_PRESS.compress(x.astype(np.uint8).tobytes()) for x in (first, over & 255))
+    return bytes([0]) + b"".join(len(x).to_bytes(4, "little") + x for x in parts) + narrow(upper[upper >= last] - last)
 
 
 def widen(data: bytes) -> np.ndarray:
     size = data[0]
+    if not size:
+        parts, start = [], 1
+        for _ in range(2):
+            start, stop = start + 4, start + 4 + int.from_bytes(data[start:start + 4], "little")
+            parts.append(np.frombuffer(_UNPRESS.decompress(data[start:stop]), np.uint8).astype(np.int64))
+            start = stop
+        out, lowest = parts
+        large = np.flatnonzero(out >= SMALL)
+        upper = out[large] - SMALL
+        upper[upper == 255 - SMALL] += widen(data[start:])
+        out[large] = SMALL + (upper << 8 | lowest)
+        return out
     planes = np.frombuffer(_UNPRESS.decompress(data[1:]), np.uint8).reshape(size, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, :size] = planes.T
@@ -270,26 +307,44 @@ def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """The corpus counts and numbers of every block's words, and, in a row without a chunk, how many learned words the part has."""
-    kinds, names = (pa.int64(), pa.int32(), pa.binary(), pa.int64()), ["chunk", "part", "data", "types"]
+    """The corpus counts and ranks of every block's words, and, in a row without a chunk, how many learned words the part has
+    and the counts of its most frequent ones.
+
+    Words that no block of continuations can hold have the rank behind all others in common. Counts come in order of rank,
+    in which they descend.
+    """
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
+    names = ["chunk", "part", "data", "types", "frequent"]
     for blocks in _by_part(batches):
         hashes = np.concatenate([np.cumsum(widen(x[2]).view(np.uint64)) for x in blocks])
         sizes = [widen(x[3]) for x in blocks]
         learned, sizes = np.concatenate(sizes), [len(x) for x in sizes]
         words, which = np.unique(hashes, return_inverse=True)
         total = np.bincount(which, weights=learned, minlength=len(words)).astype(np.int64)
-        # A word's number: frequent words have small ones, and no two parts the same.
-        number = np.empty(len(words), np.int64)
-        number[np.argsort(-total, kind="stable")] = np.arange(len(words)) * parts + blocks[0][1]
-        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((None, blocks[0][1], None, int((total > 0).sum())), kinds)], names=names)
-        counts, numbers, a = total[which], number[which], 0
+        by = np.argsort(-total, kind="stable")
+        rank = np.empty(len(words), np.int64)
+        rank[by] = np.minimum(np.arange(len(words)), (total >= min(NEXT_COUNT, CONTEXT_COUNT)).sum())
+        row = (None, blocks[0][1], None, int((total > 0).sum()), narrow(total[by[:FREQUENT // parts]]))
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
+        counts, ranks, a = total[which], rank[which], 0
         del hashes, learned, which
         for block, n in zip(blocks, sizes):
-            row = (block[0], block[1], _answer(counts[a:a + n], numbers[a:a + n]), None)
+            c, r = counts[a:a + n], ranks[a:a + n]
+            row = (block[0], block[1], _answer(near(c[np.argsort(r, kind="stable")]), r), None, None)
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=names)
             a += n
 
 
+def _numbered(answers: list[dict], parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The counts and numbers of a chunk's words: frequent words have small numbers, and no two parts the same."""
+    counts, numbers = [], []
+    for answer in answers:
+        steps, rank = _answers([answer], 2)
+        counts.append(in_order(from_near(steps), rank))
+        numbers.append(rank * parts + answer["part"])
+    return np.concatenate(counts), np.concatenate(numbers)
+
+
 def _answer(*columns: np.ndarray) -> bytes:
     """A block's answer: columns of non-negative integers, each behind its length in bytes."""
     return b"".join(len(x).to_bytes(4, "little") + x for x in map(narrow, columns))
@@ -313,22 +368,27 @@ def _back(counted: DataFrame, k: int) -> DataFrame:
             .agg(F.sort_array(F.collect_list(F.struct("part", "data"))).alias(f"parts_{k}")))
 
 
-def _table(df: DataFrame, stem: str, buckets: int = 0) -> str:
-    """Name of a table of the shared folder that ``df`` was written to, in buckets of the chunk if asked."""
+def _table(df: DataFrame, stem: str, buckets: int = 0, kinds: tuple[str, ...] = ()) -> str:
+    """Name of a table of the shared folder that ``df`` was written to, in buckets of the chunk and partitions of ``kinds`` if asked."""
     spark = df.sparkSession
     name = f"{TABLES}{stem}_{uuid4().hex}"
     writer = df.write.bucketBy(buckets, "chunk") if buckets else df.write
+    writer = writer.partitionBy(*kinds) if kinds else writer
     writer.option("path", f"{shared_dir(spark).rstrip('/')}/{name}").format("parquet").saveAsTable(name)
     # What was shuffled for the table is not needed again; Spark removes such files when the driver collects garbage.
     spark._jvm.System.gc()
     return name
 
 
+def _delete(spark: SparkSession, name: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{name}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _drop(spark: SparkSession, names: list[str]) -> None:
     for name in names:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{name}")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, name)
 
 
 def drop_tables(spark: SparkSession) -> list[str]:
@@ -347,18 +407,30 @@ def encode(docs: DataFrame, learn: Column, held_out: Column, doc_id: str = "doc_
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out.alias("held_out"), learn.alias("learn"),
                        as_bytes(text).alias("text"))
     parts = PARTS * buckets
-    raw = _table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNK_SCHEMA), "words")
-    words = spark.table(raw).select("chunk", "hashes", "learned").mapInArrow(
+    raw = _table(rows.mapInArrow(partial(_chunks, chunk_bytes=chunk_bytes), CHUNK_SCHEMA), "words", buckets, ("kind",))
+    words = spark.table(raw).where("kind = 'hashes'").select("chunk", "hashes", "learned").mapInArrow(
         partial(_vocabulary, parts=parts), "chunk long, part int, hashes binary, learned binary")
     dealt = words.repartition(buckets, "part").sortWithinPartitions("part")
-    name = _table(dealt.mapInArrow(partial(_word_counts, parts=parts), "chunk long, part int, data binary, types long"), "counted0")
+    name = _table(dealt.mapInArrow(partial(_word_counts, parts=parts), "chunk long, part int, data binary, types long, frequent binary"), "counted0")
+    # From here on a word is known by its number; the hashes go.
+    spark.sql(f"ALTER TABLE {raw} DROP IF EXISTS PARTITION (kind = 'hashes')")
+    _delete(spark, f"{raw}/kind=hashes")
     types = spark.table(name).agg(F.sum("types")).first()[0] or 0
+    frequent = _table(spark.table(name).where("chunk is null").select("part", "frequent"), "frequent")
     level = spark.table(_table(_back(spark.table(name), 0), "order0", buckets)).withColumnRenamed("chunk", "_chunk")
     _drop(spark, [name])
-    # From here on a word is known by its number; the hashes go.
-    chunks = spark.table(_table(spark.table(raw).drop("hashes"), "chunks", buckets))
-    _drop(spark, [raw])
-    return chunks.join(level, F.col("chunk") == F.col("_chunk")).drop("_chunk").withColumn("types", F.lit(int(types)))
+    chunks = spark.table(raw).where("kind = 'tokens'").drop("kind", "hashes")
+    return (chunks.join(level, F.col("chunk") == F.col("_chunk")).drop("_chunk")
+            .withColumn("types", F.lit(int(types))).withColumn("frequent", F.lit(frequent)).withColumn("parts", F.lit(parts)))
+
+
+def _frequent(spark: SparkSession, name: str, parts: int) -> np.ndarray:
+    """Levels of the counts of the words with the smallest numbers, from the table of each part's."""
+    counts = np.zeros((FREQUENT // parts, parts), np.int64)
+    for row in spark.table(name).collect():
+        of_part = widen(bytes(row["frequent"]))
+        counts[:len(of_part), row["part"]] = of_part
+    return level(counts.ravel()).astype(np.int32)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -366,9 +438,9 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-            c, h = _answers(row.pop("parts_0"), 2)
+            c, h = _numbered(row.pop("parts_0"), row.pop("parts"))
             # Words in order of their number, so that frequent ones come first.
-            by = np.argsort(h)
+            by = np.argsort(h, kind="stable")
             new = np.empty(len(by), np.int32)
             new[by] = np.arange(len(by))
             words, c, h = new[_ranked(widen(row.pop("learned")))][widen(row.pop("tokens"))], c[by], h[by]
@@ -486,8 +558,9 @@ def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa
 
     Numbers, counts and logarithms go in as few bytes as they need: contexts, and the words behind each, ascend by
     number, and the probabilities of shorter contexts come in order of the words' numbers, so that steps between neighbours
-    are small.
+    are small. Behind one word that is a count, and goes for the words that are not among the frequent ones.
     """
+    known = len(model.frequent) if k == 1 else 0
     for row in _rows(batches):
         learn = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
         order, p = next(islice(_orders(row, model, k), k - 1, None))
@@ -502,6 +575,7 @@ def _ask(batches: Iterator[pa.RecordBatch], model: Model, k: int) -> Iterator[pa
             sizes = order.entry_size[a:b]
             start, stop = stop, stop + int(sizes.sum())
             by = np.argsort(following[start:stop], kind="stable")
+            by = by[np.searchsorted(following[start:stop][by], known):]
             blocks.append((row["chunk"], int(part[a]), narrow(near(contexts[:, a:b].ravel())), narrow(near(np.where(sizes > 0, order.entry_total[a:b], 0))), narrow(sizes),
                            narrow(climbs(following[start:stop], sizes)), narrow(n[start:stop]), narrow(near(lower[start:stop][by]))))
             if len(blocks) == BLOCKS or b == len(part):
@@ -534,12 +608,13 @@ def _counted(batches: Iterator[pa.RecordBatch], model: Model, k: int, last: bool
     kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64(),
              pa.int64(), pa.int64())
     names = ["chunk", "part", "data", "context", "weight", "gain", "seen", "expected", "size", "total"]
+    frequent = model.frequent if k == 1 else model.frequent[:0]
     for blocks in _by_part(batches):
         columns = list(zip(*blocks))[2:]
         words, totals, sizes, following, n, lower = ([widen(x) for x in column] for column in columns)
         words, totals, lower = ([from_near(x) for x in column] for column in (words, totals, lower))
         following = [from_climbs(x, size) for x, size in zip(following, sizes)]
-        lower = [in_order(x, by) for x, by in zip(lower, following)]
+        lower = [in_order(np.concatenate([frequent[np.sort(by[by < len(frequent)])], x]), by) for x, by in zip(lower, following)]
         contexts = [context_hash(x.view(np.uint64).reshape(k, -1)) for x in words]
         del words
         del columns
@@ -599,11 +674,14 @@ def train(encoded: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, Model, lis
     """
     spark = encoded.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    types = encoded.agg(F.max("types")).first()[0] or 0
+    types, frequent = encoded.agg(F.max("types"), F.max("frequent")).first()
     ends = encoded.select("held_out", "sizes").select(F.explode(F.arrays_zip("held_out", "sizes")).alias("d"))
     tokens = ends.where(F.col("d.held_out") == F.lit(False)).agg(F.sum("d.sizes")).first()[0] or 0
-    model, states = Model(int(tokens), int(types), PARTS * buckets), []
-    encoded = encoded.drop("types")
+    parts = PARTS * buckets
+    model, states = Model(int(tokens), int(types or 0), parts), []
+    if frequent:
+        model = replace(model, frequent=_frequent(spark, frequent, parts))
+    encoded = encoded.drop("types", "frequent")
     for k in range(1, depth + 1):
         blocks = (encoded.drop("doc_ids").mapInArrow(partial(_ask, model=model, k=k), BLOCK_SCHEMA)
                   .repartition(buckets, "part").sortWithinPartitions("part"))
